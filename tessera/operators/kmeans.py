@@ -3,10 +3,13 @@
 * init: the k rows with the smallest seeded hash of their key (k distinct
   rows), or explicit centres;
 * assignment: nearest centre by squared Euclidean distance, ties to the
-  lowest index -- a Column expression with the centres as literals;
-* update: one ``groupBy(label).agg(avg…)`` per iteration over a cached
-  projection (partial aggregation: each task sends at most k rows);
-  an empty cluster keeps its centre;
+  lowest index -- a Column expression with the centres as literals while
+  k·d is small; for wide problems (k·d > ``WIDE``) the expression would pass
+  the 64 KB code-generation limit, so assignment and per-partition partial
+  sums run vectorised in ``mapInPandas`` (k rows per task);
+* update: one aggregation per iteration over a cached projection (partial
+  aggregation: each task sends at most k rows); an empty cluster keeps its
+  centre;
 * stop: total squared centre shift < tol, or max_iter.
 
 Rows with a NULL coordinate are left out of the fit and get a NULL label.
@@ -18,12 +21,58 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.expr import col_of, nearest_center
 from tessera.operators.rank import hash_key
 
+# Above this many centre coordinates (k * d) assignment is vectorised in Python.
+WIDE = 64
+
+
+def _nearest(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    """Index of the nearest centre per row (first index on ties)."""
+    d = np.empty((x.shape[0], centers.shape[0]))
+    for j, c in enumerate(centers):
+        d[:, j] = ((x - c) ** 2).sum(axis=1)
+    return d.argmin(axis=1)
+
+
+def _partial_sums(centers: np.ndarray, cols: list[str]):
+    k, dim = centers.shape
+
+    def run(batches):
+        sums = np.zeros((k, dim))
+        cnt = np.zeros(k, dtype=np.int64)
+        for pdf in batches:
+            x = pdf[cols].to_numpy(dtype=np.float64)
+            if len(x) == 0:
+                continue
+            lab = _nearest(x, centers)
+            np.add.at(sums, lab, x)
+            cnt += np.bincount(lab, minlength=k)
+        out = {"_l": np.arange(k, dtype=np.int32), "_n": cnt}
+        for j in range(dim):
+            out[f"_s{j}"] = sums[:, j]
+        yield pd.DataFrame(out)
+
+    return run
+
+
+def _label_udf(centers: np.ndarray):
+    @F.pandas_udf("int")
+    def label(*cols: pd.Series) -> pd.Series:
+        x = np.column_stack([c.to_numpy(dtype=np.float64, na_value=np.nan) for c in cols])
+        ok = ~np.isnan(x).any(axis=1)
+        out = pd.Series(pd.array([None] * len(x), dtype="Int32"))
+        if ok.any():
+            out[ok] = _nearest(x[ok], centers).astype(np.int32)
+        return out
+
+    return label
+
 
 @dataclass(frozen=True)
 class KMeansModel:
@@ -37,7 +86,10 @@ class KMeansModel:
         return len(self.centers)
 
     def label(self, points: Sequence[str | Column]) -> Column:
-        return nearest_center([col_of(p) for p in points], self.centers)
+        pts = [col_of(p) for p in points]
+        if len(self.centers) * len(pts) > WIDE:
+            return _label_udf(np.asarray(self.centers, dtype=float))(*[p.cast("double") for p in pts])
+        return nearest_center(pts, self.centers)
 
     def predict(self, df: DataFrame, points: Sequence[str | Column], out: str = "zone") -> DataFrame:
         """Stateless: works on batch and streaming DataFrames."""
@@ -83,12 +135,25 @@ def kmeans_fit(
     n_iter = 0
     converged = False
     try:
+        wide = k * d > WIDE
         for n_iter in range(1, max_iter + 1):
-            label = nearest_center(pcols, [tuple(c) for c in centers])
-            rows = proj.groupBy(label.alias("_l")).agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(pcols)]).collect()
+            if wide:
+                schema = "_l int, _n long, " + ", ".join(f"_s{i} double" for i in range(d))
+                part = proj.mapInPandas(_partial_sums(centers, [f"_p{i}" for i in range(d)]), schema)
+                rows = (
+                    part.groupBy("_l")
+                    .agg(F.sum("_n").alias("_n"), *[F.sum(f"_s{i}").alias(f"_s{i}") for i in range(d)])
+                    .filter(F.col("_n") > 0)
+                    .collect()
+                )
+                means = {r["_l"]: [r[f"_s{i}"] / r["_n"] for i in range(d)] for r in rows}
+            else:
+                label = nearest_center(pcols, [tuple(c) for c in centers])
+                rows = proj.groupBy(label.alias("_l")).agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(pcols)]).collect()
+                means = {r["_l"]: [r[f"m{i}"] for i in range(d)] for r in rows}
             new = centers.copy()
-            for r in rows:
-                new[r["_l"]] = [r[f"m{i}"] for i in range(d)]
+            for lbl, m in means.items():
+                new[lbl] = m
             shift = float(np.sum((centers - new) ** 2))
             centers = new
             if shift < tol:
