@@ -22,11 +22,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.expr import col_of, nearest_center
 from tessera.operators.rank import hash_key
+from tessera.session import spread
 
 # Above this many centre coordinates (k * d) assignment is vectorised in Python.
 WIDE = 64
@@ -130,7 +132,7 @@ def kmeans_fit(
             raise ValueError(f"fewer than {k} complete rows")
         centers = np.array([[r[f"_p{i}"] for i in range(d)] for r in first], dtype=float)
     pcols = [F.col(f"_p{i}") for i in range(d)]
-    proj = proj.select(*pcols).cache()
+    proj = spread(proj.select(*pcols)).persist(StorageLevel.MEMORY_AND_DISK)
     shift = float("inf")
     n_iter = 0
     converged = False

@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.session import spread
+
 MAX_COLUMNS = 2000
 FAN_IN = 32
 
@@ -95,9 +97,9 @@ def tsqr(
     for i in range(k):
         cond = F.col(f"_x{i}").isNotNull()
         complete = cond if complete is None else complete & cond
-    proj = proj.filter(complete)
+    proj = spread(proj.filter(complete))
     partials = proj.mapInPandas(_partial_factors(k, group is not None), _SCHEMA)
-    parts = max(1, df.rdd.getNumPartitions())
+    parts = max(1, proj.rdd.getNumPartitions())
     level = partials
     while parts > fan_in:
         level = level.withColumn("_part", F.floor(F.col("_part") / fan_in).cast("long")).groupBy("_g", "_part").applyInPandas(

@@ -12,6 +12,11 @@ from pyspark.sql import functions as F
 from tessera.functions.expr import dlit
 from tessera.operators.prep import numeric_columns
 from tessera.operators.rank import exact_quantiles
+from tessera.session import persisted, spread
+
+# A corr() keeps 6 buffer fields; whole-stage codegen stops at 100 fields per
+# operator, so correlations are aggregated in chunks of this many pairs.
+CORR_CHUNK = 16
 
 DESCRIBE_SCHEMA = (
     "column string, position int, count long, unique long, top string, freq long, mean double, std double, "
@@ -25,6 +30,11 @@ def describe_all(df: DataFrame, exact: bool = True) -> DataFrame:
     Quartiles interpolate linearly; ``exact=False`` uses ``percentile_approx``.
     Top value ties go to the smallest value.
     """
+    with persisted(spread(df)) as cached:
+        return _describe(cached, exact)
+
+
+def _describe(df: DataFrame, exact: bool) -> DataFrame:
     spark = df.sparkSession
     cols = df.columns
     nums = numeric_columns(df)
@@ -102,20 +112,19 @@ def corr_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     One aggregate of p(p-1)/2 ``corr`` expressions; the diagonal is corr(a, a).
     """
     cols = list(columns or numeric_columns(df))
-    aggs, pairs = [], []
-    for i, a in enumerate(cols):
-        for j, b in enumerate(cols):
-            if j < i:
-                continue
-            aggs.append(F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"c{i}_{j}"))
-            pairs.append((i, j))
-    wide = df.agg(*aggs)
-    structs = []
-    for i, j in pairs:
-        structs.append(F.struct(F.lit(cols[i]).alias("a"), F.lit(cols[j]).alias("b"), F.col(f"c{i}_{j}").alias("r")))
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
+    values = {}
+    with persisted(spread(df.select(*[F.col(c).cast("double").alias(c) for c in cols]))) as data:
+        for s in range(0, len(pairs), CORR_CHUNK):
+            chunk = pairs[s : s + CORR_CHUNK]
+            row = data.agg(*[F.corr(cols[i], cols[j]).alias(f"c{i}_{j}") for i, j in chunk]).first()
+            values.update({(i, j): row[f"c{i}_{j}"] for i, j in chunk})
+    rows = []
+    for (i, j), v in values.items():
+        rows.append((cols[i], cols[j], v))
         if i != j:
-            structs.append(F.struct(F.lit(cols[j]).alias("a"), F.lit(cols[i]).alias("b"), F.col(f"c{i}_{j}").alias("r")))
-    return wide.select(F.explode(F.array(*structs)).alias("_s")).select("_s.*")
+            rows.append((cols[j], cols[i], v))
+    return df.sparkSession.createDataFrame(rows, "a string, b string, r double")
 
 
 def _range(df: DataFrame, col: str) -> tuple[float, float, int]:

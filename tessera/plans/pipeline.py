@@ -20,6 +20,7 @@ from tessera.operators.evaluate import evaluate
 from tessera.operators.prep import NormParams, fit_zscore, target_transform
 from tessera.operators.regress import LinearModel, fit
 from tessera.operators.split import split_column
+from tessera.session import persisted, spread
 
 
 @dataclass(frozen=True)
@@ -85,17 +86,23 @@ def train_and_evaluate(
     if fit_params is None:
         fit_params = {"method": "gradient_descent", "learning_rate": 0.01, "epochs": 1000}
     feats = [c for c in df.columns if c != target and c not in key_cols] if features is None else list(features)
-    tagged = df.withColumn(split_col, split_column(df, key_cols, test_size, seed))
-    train = tagged.filter(~F.col(split_col))
-    test = tagged.filter(F.col(split_col))
-    norm = fit_zscore(train, feats, "skip_binary") if normalize else None
-    y = F.col(target)
-    if transform_target is not None:
-        y = target_transform(transform_target)(y)
-    base = {f: norm.columns(f) for f in feats} if norm else None
-    model = fit(train, feats, y, degree, base=base, **dict(fit_params))
-    pipe = FittedPipeline(tuple(feats), target, model, norm, transform_target, inverse)
-    return TrainResult(pipe, pipe.evaluate(test, metrics), pipe.transform(tagged), split_col)
+    # the narrow projection is read by 5 jobs (count, 2 split cut points,
+    # moments, fit, metrics): spread it over the cores and keep it
+    with persisted(spread(df.select(*key_cols, *feats, target))) as data:
+        split = split_column(data, key_cols, test_size, seed)
+        tagged = data.withColumn(split_col, split)
+        train = tagged.filter(~F.col(split_col))
+        test = tagged.filter(F.col(split_col))
+        norm = fit_zscore(train, feats, "skip_binary") if normalize else None
+        y = F.col(target)
+        if transform_target is not None:
+            y = target_transform(transform_target)(y)
+        base = {f: norm.columns(f) for f in feats} if norm else None
+        model = fit(train, feats, y, degree, base=base, **dict(fit_params))
+        pipe = FittedPipeline(tuple(feats), target, model, norm, transform_target, inverse)
+        scores = pipe.evaluate(test, metrics)
+        scores = df.sparkSession.createDataFrame(scores.collect(), scores.schema)
+    return TrainResult(pipe, scores, pipe.transform(df.withColumn(split_col, split)), split_col)
 
 
 def evaluate_new_data(df: DataFrame, pipeline: FittedPipeline, metrics: Sequence[str | Metric] = (MSE, R2)) -> DataFrame:

@@ -28,6 +28,7 @@ from tessera.operators.features import (
 )
 from tessera.operators.kmeans import KMeansModel, kmeans_fit
 from tessera.operators.prep import fit_mean
+from tessera.session import persisted, spread
 
 ZONE = "location_zone"
 
@@ -164,15 +165,22 @@ def process_dataset(
     Zone statistics are taken before imputation; feature statistics cover the
     engineered features and the interactions.
     """
-    if prep is None:
-        prep = fit_prepare(df, **fit_kwargs)
-    zs = None
-    if prep.location_cols and prep.impute_cols:
-        labelled = df.withColumn(ZONE, prep.kmeans.label([F.col(c) for c in prep.location_cols]))
-        zs = zone_stats(labelled.filter(F.col(ZONE).isNotNull()), ZONE, list(prep.impute_cols), prep.kmeans.centers)
+    spark = df.sparkSession
+    with persisted(spread(df)) as data:
+        if prep is None:
+            prep = fit_prepare(data, **fit_kwargs)
+        zs = None
+        if prep.location_cols and prep.impute_cols:
+            labelled = data.withColumn(ZONE, prep.kmeans.label([F.col(c) for c in prep.location_cols]))
+            z = zone_stats(labelled.filter(F.col(ZONE).isNotNull()), ZONE, list(prep.impute_cols), prep.kmeans.centers)
+            zs = spark.createDataFrame(z.collect(), z.schema)
+        full, _ = prep.transform(data)
+        new = [c for c in full.columns if c not in df.columns and c != ZONE]
+        fs = None
+        if new:
+            f = feature_stats(full, new)
+            fs = spark.createDataFrame(f.collect(), f.schema)
     out, pos = prep.transform(df)
-    new = [c for c in out.columns if c not in df.columns and c != ZONE]
-    fs = feature_stats(out, new) if new else None
     if save_path is not None:
         out.write.mode("overwrite").parquet(save_path)
     return PrepResult(out, pos, zs, fs, prep)

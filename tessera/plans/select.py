@@ -36,6 +36,7 @@ from tessera.operators.moments import merge_factors, tsqr
 from tessera.operators.prep import target_transform
 from tessera.operators.regress import FitSpec, fit_from_r, solve_ols, solve_ridge
 from tessera.operators.split import fold_column, split_column
+from tessera.session import persisted, spread
 
 NUMPY_INVERSE = {"exp": np.exp, "log": np.log}
 
@@ -256,15 +257,22 @@ def cross_validate(
         raise ValueError(f"unknown variable {variable!r}")
     if transform_target is not None and inverse is None:
         raise ValueError("inverse must be given when the target is transformed")
-    spark = df.sparkSession
     feats = list(features)
-    p = len(feats)
     fit_params = dict(fit_params or {})
     spec = FitSpec(**{"method": "pseudo_inverse", "regularization": "l2" if variable == "penalty" else None, **fit_params}).validated()
     grid = list(grid) if variable != "plain" else [0.0]
     degrees = [int(v) for v in grid] if variable == "degree" else [degree] * len(grid)
-    d_max = max(degrees)
 
+    with persisted(spread(df.select(*key_cols, *feats, target))) as base_df:
+        return _cross_validate(base_df, feats, target, key_cols, grid, variable, n_splits, seed, normalize,
+                               transform_target, inverse, metrics, spec, degrees)
+
+
+def _cross_validate(df, feats, target, key_cols, grid, variable, n_splits, seed, normalize, transform_target, inverse,
+                    metrics, spec, degrees) -> GridResult:
+    spark = df.sparkSession
+    p = len(feats)
+    d_max = max(degrees)
     n = df.count()
     fold = fold_column(df, key_cols, n_splits, seed, n=n)
     data = df.select(*feats, target, fold.alias("_fold"))
@@ -345,10 +353,16 @@ def lambda_sweep(
     Jobs: split (count + 2 small), train moments (1), TSQR of train and test
     (1), plus one scoring job only with an inverse transform.
     """
-    spark = df.sparkSession
     feats = list(features)
-    p = len(feats)
     spec = FitSpec(**{"method": "pseudo_inverse", "regularization": "l2", **dict(fit_params or {})}).validated()
+    with persisted(spread(df.select(*key_cols, *feats, target))) as base_df:
+        return _lambda_sweep(base_df, feats, target, key_cols, lambdas, test_size, seed, degree, normalize, inverse,
+                             metrics, spec)
+
+
+def _lambda_sweep(df, feats, target, key_cols, lambdas, test_size, seed, degree, normalize, inverse, metrics, spec) -> GridResult:
+    spark = df.sparkSession
+    p = len(feats)
     is_test = split_column(df, key_cols, test_size, seed)
     data = df.select(*feats, target, is_test.cast("int").alias("_test"))
     moments = _moments_by(data, feats, F.col("_test"))

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -77,3 +79,28 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """At least one partition per core for CPU-heavy stages.
+
+    A large input already has many more partitions than cores and is left
+    alone (no shuffle); a small one (few files or row groups) is
+    round-robin repartitioned so per-row work is not single-threaded.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+@contextmanager
+def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK):
+    """Persist a projection read by several jobs; always unpersist.
+
+    Cached blocks are a speed-up only: a lost executor recomputes them
+    from the (deterministic) lineage.
+    """
+    df = df.persist(level)
+    try:
+        yield df
+    finally:
+        df.unpersist()
