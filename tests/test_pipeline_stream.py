@@ -1,0 +1,82 @@
+import os
+import tempfile
+
+import numpy as np
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
+from tessera.operators.prep import convert_units
+from tessera.plans.pipeline import evaluate_new_data, predict_new_rows, train_and_evaluate
+from tessera.plans.prepare import ZONE, process_dataset
+from tessera.streaming import prepare_stream, run_available_now, score_stream
+
+from conftest import HOUSE_SCHEMA, SF_SMALL, make_houses, to_spark
+
+
+def test_train_and_evaluate_numpy(spark, houses):
+    df = convert_units(houses)
+    res = train_and_evaluate(df, "price", ["id"], ["area", "is_house", "has_pool"], fit_params={"method": "pseudo_inverse"})
+    m = {r["metric"]: r["value"] for r in res.metrics.collect()}
+    pdf = df.toPandas()
+    tagged = res.data.toPandas()
+    tr, te = pdf[~tagged["is_test"].values], pdf[tagged["is_test"].values]
+    x = tr[["area", "is_house", "has_pool"]].values
+    a = np.column_stack([np.ones(len(x)), x])
+    b = np.linalg.lstsq(a, tr["price"].values, rcond=None)[0]
+    p = np.column_stack([np.ones(len(te)), te[["area", "is_house", "has_pool"]].values]) @ b
+    assert len(te) == int(len(pdf) * 0.2)
+    assert np.isclose(m["mse"], np.mean((p - te["price"].values) ** 2))
+    # GD default parameters of the workflow also run
+    gd = train_and_evaluate(df, "price", ["id"], ["area", "is_house"], transform_target="log", inverse="exp")
+    assert gd.pipeline.model.info["method"] == "gradient_descent"
+    new = evaluate_new_data(df, gd.pipeline).collect()
+    assert {r["metric"] for r in new} == {"mse", "r2"}
+    pred = predict_new_rows(df.drop("price"), gd.pipeline).select("prediction").first()[0]
+    assert pred > 0
+
+
+def test_process_dataset_zones(spark):
+    pdf = make_houses(300, seed=4, null_zone=True)
+    df = convert_units(to_spark(spark, pdf, HOUSE_SCHEMA))
+    res = process_dataset(df, k=2, impute_by_zone=True, create_zone_interactions=True, key_cols=["id"],
+                          zone_interaction_features=["area", "age", "house_area", "dist_to_cluster_center", "absent"])
+    out = res.df.toPandas()
+    assert "lat" not in out.columns and ZONE in out.columns
+    assert {"area_zone_0", "area_zone_1", "house_area_zone_1", "dist_to_cluster_center_zone_0"} <= set(out.columns)
+    # the zone whose ages are all NULL keeps NULL (no global fallback)
+    by_zone = out.groupby(ZONE)["age"].apply(lambda s: s.isna().all())
+    assert by_zone.sum() == 1
+    assert (out["area"] == out["area_zone_0"] + out["area_zone_1"]).all()
+    zs = res.zone_stats.toPandas()
+    assert set(zs["feature"]) == {"age", "rooms"} and np.isclose(zs.groupby(ZONE)["percentage"].first().sum(), 100)
+    # the fitted preparation applies unchanged to new data
+    again, pos = res.prep.transform(df)
+    assert again.columns == res.df.columns and pos.columns == ["lat", "lon", ZONE]
+    fs = res.feature_stats.toPandas().set_index("feature")
+    assert np.isclose(fs.loc["house_area", "mean"], out["house_area"].mean())
+
+
+def test_stream_scoring_equals_batch(spark, houses):
+    df = convert_units(houses)
+    res = train_and_evaluate(df, "price", ["id"], ["area", "is_house"], fit_params={"method": "pseudo_inverse"})
+    prep = process_dataset(df, k=2, key_cols=["id"]).prep
+    root = tempfile.mkdtemp(prefix="tessera-stream-", dir="/tmp")
+    src = os.path.join(root, "in")
+    df.write.parquet(src)
+    stream = spark.readStream.schema(df.schema).parquet(src)
+    scored = prepare_stream(score_stream(stream, res.pipeline), prep)
+    run_available_now(scored, os.path.join(root, "out"), os.path.join(root, "ckpt"))
+    got = spark.read.parquet(os.path.join(root, "out")).orderBy("id").select("id", "prediction", ZONE).toPandas()
+    want = prep.transform_all(predict_new_rows(df, res.pipeline)).orderBy("id").select("id", "prediction", ZONE).toPandas()
+    assert np.allclose(got["prediction"], want["prediction"]) and (got[ZONE] == want[ZONE]).all()
+
+
+def test_entry_contract(spark):
+    out = entry.entry(spark)
+    rows = out.collect()
+    assert [c for c in out.columns] == ["metric", "value"] and len(rows) == 2
+    q, o = entry.queries(), entry.oracle_sql()
+    assert set(o) <= set(q) and len(q) >= 70
+    # a few registered queries run on the smoke tables
+    for name in ["describe_all", "kmeans_fit", "cv_lambda", "qq_table"]:
+        assert q[name](spark, SF_SMALL).count() > 0
