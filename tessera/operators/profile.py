@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tessera.functions.expr import dlit
 from tessera.operators.prep import numeric_columns
 from tessera.operators.rank import exact_quantiles
-from tessera.session import persisted, spread
+from tessera.session import staged
 
 # A corr() keeps 6 buffer fields; whole-stage codegen stops at 100 fields per
 # operator, so correlations are aggregated in chunks of this many pairs.
@@ -30,8 +30,8 @@ def describe_all(df: DataFrame, exact: bool = True) -> DataFrame:
     Quartiles interpolate linearly; ``exact=False`` uses ``percentile_approx``.
     Top value ties go to the smallest value.
     """
-    with persisted(spread(df)) as cached:
-        return _describe(cached, exact)
+    with staged(df) as data:
+        return _describe(data, exact)
 
 
 def _describe(df: DataFrame, exact: bool) -> DataFrame:
@@ -114,7 +114,7 @@ def corr_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     cols = list(columns or numeric_columns(df))
     pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
     values = {}
-    with persisted(spread(df.select(*[F.col(c).cast("double").alias(c) for c in cols]))) as data:
+    with staged(df.select(*[F.col(c).cast("double").alias(c) for c in cols])) as data:
         for s in range(0, len(pairs), CORR_CHUNK):
             chunk = pairs[s : s + CORR_CHUNK]
             row = data.agg(*[F.corr(cols[i], cols[j]).alias(f"c{i}_{j}") for i, j in chunk]).first()

@@ -26,11 +26,11 @@ from pyspark.sql import functions as F
 
 from tessera.session import materialize
 
-# Rows per hash bucket aimed at when locating cut positions.
+# Rows of a hash bucket small enough to rank directly (one task).
 TARGET_BUCKET_ROWS = 100_000
 # Histogram width of one selection round, and the size at which a bucket is
 # ranked directly.
-SELECT_BUCKETS = 1024
+SELECT_BUCKETS = 256
 SELECT_LEAF_ROWS = 50_000
 SELECT_MAX_ROUNDS = 16
 
@@ -40,11 +40,6 @@ def hash_key(seed: int | str, key_cols: Sequence[str]) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in key_cols]))
 
 
-def _hash_bucket(h: Column, bits: int) -> Column:
-    prefix = F.conv(F.substring(h, 1, 8), 16, 10).cast("long")  # leading 32 bits
-    return F.shiftright(prefix, 32 - bits) if bits > 0 else F.lit(0).cast("long")
-
-
 def lex_le(cols: Sequence[Column], values: Sequence) -> Column:
     """(c1, c2, …) <= (v1, v2, …) in lexicographic order (codegen-friendly)."""
     expr = None
@@ -67,30 +62,63 @@ def rank_thresholds(
     """Order values ``(h, *keys)`` of the rows at 1-based ``positions``.
 
     Row ``x`` has rank <= p  iff  ``lex_le((h, *keys), threshold_p)``.
+
+    Refinement over hex prefixes of the (uniform) md5: each level counts rows
+    per next 3 hex digits (4096 groups, so map-side partial aggregation keeps
+    each task's output small) inside the prefixes that hold a cut position;
+    once such a bucket has at most ``TARGET_BUCKET_ROWS`` rows, its rows are
+    ranked directly.  Typically 1 level up to ~4e8 rows, 2 up to ~1.6e12.
     """
     positions = sorted(set(int(p) for p in positions if 1 <= p <= n))
     if not positions:
         return []
-    bits = max(0, min(24, math.ceil(math.log2(max(1.0, n / TARGET_BUCKET_ROWS)))))
-    tagged = df.select(h.alias("_h"), *key_cols).withColumn("_b", _hash_bucket(F.col("_h"), bits))
-    counts = tagged.groupBy("_b").agg(F.count(F.lit(1)).alias("_cnt"))
-    # cumulative counts on the small (<= 2^bits rows) bucket table
-    cum = counts.withColumn("_cum", F.sum("_cnt").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)))
-    pos_df = df.sparkSession.createDataFrame([(p,) for p in positions], "_p long")
-    located = (
-        cum.join(F.broadcast(pos_df), (F.col("_p") > F.col("_cum") - F.col("_cnt")) & (F.col("_p") <= F.col("_cum")))
-        .select("_b", "_p", (F.col("_p") - (F.col("_cum") - F.col("_cnt"))).alias("_local"))
-        .collect()
-    )
-    wanted = df.sparkSession.createDataFrame([(r["_b"], r["_local"], r["_p"]) for r in located], "_b long, _local long, _p long")
-    w = Window.partitionBy("_b").orderBy("_h", *key_cols)
-    picked = (
-        tagged.join(F.broadcast(wanted.select("_b").distinct()), "_b")
-        .withColumn("_rn", F.row_number().over(w))
-        .join(F.broadcast(wanted), (F.col("_rn") == F.col("_local")) & (tagged["_b"] == wanted["_b"]))
-        .select("_p", "_h", *key_cols)
-        .collect()
-    )
+    spark = df.sparkSession
+    tagged = df.select(h.alias("_h"), *key_cols)
+    # position -> (prefix, rows before the prefix)
+    pending = {p: ("", 0) for p in positions}
+    leaves: dict[int, tuple[str, int]] = {}
+    depth = 0
+    while pending:
+        if n <= TARGET_BUCKET_ROWS and depth == 0:
+            leaves = {p: ("", p) for p in pending}
+            break
+        prefixes = sorted({pre for pre, _ in pending.values()})
+        width = len(prefixes[0])
+        scope = tagged if width == 0 else tagged.filter(F.substring("_h", 1, width).isin(prefixes))
+        rows = (
+            scope.groupBy(F.substring("_h", 1, width).alias("_pre"), F.substring("_h", width + 1, 3).alias("_c"))
+            .agg(F.count(F.lit(1)).alias("_n"))
+            .collect()
+        )
+        children: dict[str, list] = {}
+        for r in rows:
+            children.setdefault(r["_pre"] if width else "", []).append((r["_c"], r["_n"]))
+        nxt = {}
+        for p, (pre, base) in pending.items():
+            before = base
+            for c, cnt in sorted(children[pre]):
+                if p <= before + cnt:
+                    if cnt <= TARGET_BUCKET_ROWS or width + 3 >= 32:
+                        leaves[p] = (pre + c, p - before)
+                    else:
+                        nxt[p] = (pre + c, before)
+                    break
+                before += cnt
+        pending = nxt
+        depth += 1
+    picked = []
+    for width in sorted({len(pre) for pre, _ in leaves.values()}):
+        items = [(pre, int(local), int(p)) for p, (pre, local) in leaves.items() if len(pre) == width]
+        wanted = spark.createDataFrame(items, "_wpre string, _local long, _p long")
+        scope = tagged.withColumn("_pre", F.substring("_h", 1, width) if width else F.lit(""))
+        w = Window.partitionBy("_pre").orderBy("_h", *key_cols)
+        picked += (
+            scope.join(F.broadcast(wanted.select(F.col("_wpre").alias("_pre")).distinct()), "_pre")
+            .withColumn("_rn", F.row_number().over(w))
+            .join(F.broadcast(wanted), (F.col("_rn") == F.col("_local")) & (F.col("_pre") == F.col("_wpre")))
+            .select("_p", "_h", *key_cols)
+            .collect()
+        )
     by_pos = {r["_p"]: tuple([r["_h"], *[r[k] for k in key_cols]]) for r in picked}
     return [by_pos[p] for p in positions]
 

@@ -28,7 +28,7 @@ from tessera.operators.features import (
 )
 from tessera.operators.kmeans import KMeansModel, kmeans_fit
 from tessera.operators.prep import fit_mean
-from tessera.session import persisted, spread
+from tessera.session import staged
 
 ZONE = "location_zone"
 
@@ -166,7 +166,7 @@ def process_dataset(
     engineered features and the interactions.
     """
     spark = df.sparkSession
-    with persisted(spread(df)) as data:
+    with staged(df) as data:
         if prep is None:
             prep = fit_prepare(data, **fit_kwargs)
         zs = None

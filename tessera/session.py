@@ -104,3 +104,19 @@ def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK)
         yield df
     finally:
         df.unpersist()
+
+
+@contextmanager
+def staged(df: DataFrame):
+    """Stage a whole-table input read by several jobs.
+
+    A small input (fewer partitions than cores) is spread and persisted; a
+    large one is yielded unchanged, so every job re-reads only the columns it
+    needs from the (columnar) source instead of caching the whole table.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        yield df
+        return
+    with persisted(df.repartition(cores)) as cached:
+        yield cached

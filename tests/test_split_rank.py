@@ -94,3 +94,14 @@ def test_exact_quantiles_match_numpy(spark, monkeypatch):
     per = rk.exact_quantiles(df, ["a"], [0.5], group_col="g")
     for grp, sub in pdf.groupby("g"):
         assert np.isclose(per[(str(grp), "a", 0.5)], sub["a"].median(), atol=1e-12)
+
+
+def test_thresholds_two_refinement_levels(spark, monkeypatch):
+    monkeypatch.setattr(rk, "TARGET_BUCKET_ROWS", 3)
+    n = 20000
+    df = spark.range(n).withColumnRenamed("id", "k")
+    out = sp.kfold(df, ["k"], 3, 9).toPandas()
+    order = _order(range(n), 9)
+    size = n // 3
+    want = {key: min(i // size, 2) for i, key in enumerate(order)}
+    assert all(want[r.k] == r.fold for r in out.itertuples())
