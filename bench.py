@@ -119,7 +119,9 @@ QUERIES = {
 def main():
     spark = local_session(CPUS, app="tessera-bench", shuffle_partitions=max(8, 2 * CPUS), driver_memory="16g")
     sc = spark.sparkContext
-    spark.range(1000).selectExpr("sum(id)").collect()  # warm-up: JVM, codegen
+    # warm-up: JVM, code generation and the Python workers used by mapInPandas
+    spark.range(1000).selectExpr("sum(id)").collect()
+    spark.range(1000).repartition(CPUS).mapInPandas(lambda it: (b for b in it), "id long").count()
     times, jobs = {}, {}
     for name, fn in QUERIES.items():
         sc.setJobGroup(name, name)

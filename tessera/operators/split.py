@@ -17,15 +17,23 @@ from pyspark.sql import functions as F
 from tessera.operators.rank import hash_key, lex_le, rank_thresholds
 
 
-def _order_cols(seed, key_cols: Sequence[str]) -> list[Column]:
-    return [hash_key(seed, key_cols), *[F.col(k) for k in key_cols]]
+def _order_cols(seed, key_cols: Sequence[str], h: Column | None = None) -> list[Column]:
+    return [hash_key(seed, key_cols) if h is None else h, *[F.col(k) for k in key_cols]]
 
 
-def split_column(df: DataFrame, key_cols: Sequence[str], test_size: float = 0.2, seed: int = 42, n: int | None = None) -> Column:
+def split_column(
+    df: DataFrame,
+    key_cols: Sequence[str],
+    test_size: float = 0.2,
+    seed: int = 42,
+    n: int | None = None,
+    h: Column | None = None,
+) -> Column:
     """Boolean Column: True for the test part.
 
     ``n_test = int(n * test_size)``; the first ``n - n_test`` rows of the
-    seeded order are the training part.
+    seeded order are the training part.  ``h`` may name a column that
+    already holds ``hash_key(seed, key_cols)`` (computed once, reused).
     """
     if not 0 <= test_size <= 1:
         raise ValueError("test_size must be in [0, 1]")
@@ -36,9 +44,9 @@ def split_column(df: DataFrame, key_cols: Sequence[str], test_size: float = 0.2,
         return F.lit(False)
     if n_train == 0:
         return F.lit(True)
-    h = hash_key(seed, key_cols)
+    h = hash_key(seed, key_cols) if h is None else h
     (thr,) = rank_thresholds(df, h, key_cols, [n_train], n)
-    return ~lex_le(_order_cols(seed, key_cols), thr)
+    return ~lex_le(_order_cols(seed, key_cols, h), thr)
 
 
 def train_test_split(
@@ -52,7 +60,9 @@ def train_test_split(
     return df.withColumn(split_col, split_column(df, key_cols, test_size, seed))
 
 
-def fold_column(df: DataFrame, key_cols: Sequence[str], n_splits: int = 5, seed: int = 42, n: int | None = None) -> Column:
+def fold_column(
+    df: DataFrame, key_cols: Sequence[str], n_splits: int = 5, seed: int = 42, n: int | None = None, h: Column | None = None
+) -> Column:
     """Integer fold id: ``fold = min((rank - 1) // (n // K), K - 1)``."""
     if n_splits < 2:
         raise ValueError("n_splits must be >= 2")
@@ -61,9 +71,9 @@ def fold_column(df: DataFrame, key_cols: Sequence[str], n_splits: int = 5, seed:
         raise ValueError(f"cannot make {n_splits} folds of {n} rows")
     fold_size = n // n_splits
     cuts = [fold_size * i for i in range(1, n_splits)]
-    h = hash_key(seed, key_cols)
+    h = hash_key(seed, key_cols) if h is None else h
     thresholds = rank_thresholds(df, h, key_cols, cuts, n)
-    order = _order_cols(seed, key_cols)
+    order = _order_cols(seed, key_cols, h)
     fold = F.lit(0)
     for thr in thresholds:
         fold = fold + F.when(lex_le(order, thr), 0).otherwise(1)

@@ -19,6 +19,7 @@ from tessera.functions.metrics import MSE, R2, Metric
 from tessera.operators.evaluate import evaluate
 from tessera.operators.prep import NormParams, fit_zscore, target_transform
 from tessera.operators.regress import LinearModel, fit
+from tessera.operators.rank import hash_key
 from tessera.operators.split import split_column
 from tessera.session import persisted, spread
 
@@ -88,8 +89,8 @@ def train_and_evaluate(
     feats = [c for c in df.columns if c != target and c not in key_cols] if features is None else list(features)
     # the narrow projection is read by 5 jobs (count, 2 split cut points,
     # moments, fit, metrics): spread it over the cores and keep it
-    with persisted(spread(df.select(*key_cols, *feats, target))) as data:
-        split = split_column(data, key_cols, test_size, seed)
+    with persisted(spread(df.select(*key_cols, *feats, target, hash_key(seed, key_cols).alias("_h")))) as data:
+        split = split_column(data, key_cols, test_size, seed, n=data.count(), h=F.col("_h"))
         tagged = data.withColumn(split_col, split)
         train = tagged.filter(~F.col(split_col))
         test = tagged.filter(F.col(split_col))
@@ -102,7 +103,8 @@ def train_and_evaluate(
         pipe = FittedPipeline(tuple(feats), target, model, norm, transform_target, inverse)
         scores = pipe.evaluate(test, metrics)
         scores = df.sparkSession.createDataFrame(scores.collect(), scores.schema)
-    return TrainResult(pipe, scores, pipe.transform(df.withColumn(split_col, split)), split_col)
+    tagged_all = df.withColumn("_h", hash_key(seed, key_cols))
+    return TrainResult(pipe, scores, pipe.transform(tagged_all.withColumn(split_col, split)).drop("_h"), split_col)
 
 
 def evaluate_new_data(df: DataFrame, pipeline: FittedPipeline, metrics: Sequence[str | Metric] = (MSE, R2)) -> DataFrame:

@@ -35,6 +35,7 @@ from tessera.functions.metrics import get_metric
 from tessera.operators.moments import merge_factors, tsqr
 from tessera.operators.prep import target_transform
 from tessera.operators.regress import FitSpec, fit_from_r, solve_ols, solve_ridge
+from tessera.operators.rank import hash_key
 from tessera.operators.split import fold_column, split_column
 from tessera.session import persisted, spread
 
@@ -263,7 +264,7 @@ def cross_validate(
     grid = list(grid) if variable != "plain" else [0.0]
     degrees = [int(v) for v in grid] if variable == "degree" else [degree] * len(grid)
 
-    with persisted(spread(df.select(*key_cols, *feats, target))) as base_df:
+    with persisted(spread(df.select(*key_cols, *feats, target, hash_key(seed, key_cols).alias("_h")))) as base_df:
         return _cross_validate(base_df, feats, target, key_cols, grid, variable, n_splits, seed, normalize,
                                transform_target, inverse, metrics, spec, degrees)
 
@@ -274,7 +275,7 @@ def _cross_validate(df, feats, target, key_cols, grid, variable, n_splits, seed,
     p = len(feats)
     d_max = max(degrees)
     n = df.count()
-    fold = fold_column(df, key_cols, n_splits, seed, n=n)
+    fold = fold_column(df, key_cols, n_splits, seed, n=n, h=F.col("_h"))
     data = df.select(*feats, target, fold.alias("_fold"))
     y = F.col(target) if transform_target is None else target_transform(transform_target)(F.col(target))
 
@@ -355,7 +356,7 @@ def lambda_sweep(
     """
     feats = list(features)
     spec = FitSpec(**{"method": "pseudo_inverse", "regularization": "l2", **dict(fit_params or {})}).validated()
-    with persisted(spread(df.select(*key_cols, *feats, target))) as base_df:
+    with persisted(spread(df.select(*key_cols, *feats, target, hash_key(seed, key_cols).alias("_h")))) as base_df:
         return _lambda_sweep(base_df, feats, target, key_cols, lambdas, test_size, seed, degree, normalize, inverse,
                              metrics, spec)
 
@@ -363,7 +364,7 @@ def lambda_sweep(
 def _lambda_sweep(df, feats, target, key_cols, lambdas, test_size, seed, degree, normalize, inverse, metrics, spec) -> GridResult:
     spark = df.sparkSession
     p = len(feats)
-    is_test = split_column(df, key_cols, test_size, seed)
+    is_test = split_column(df, key_cols, test_size, seed, n=df.count(), h=F.col("_h"))
     data = df.select(*feats, target, is_test.cast("int").alias("_test"))
     moments = _moments_by(data, feats, F.col("_test"))
     if normalize:
