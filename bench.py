@@ -56,6 +56,14 @@ def q_lambda_sweep(spark):
     return res.curve.collect()
 
 
+def q_lasso_sweep(spark):
+    res = sel.lambda_sweep(houses(spark), ["area", "lat", "lon", "is_house", "has_pool"], "price", LINEITEM_KEY,
+                           list(np.linspace(0, 10, 200)),
+                           fit_params={"method": "gradient_descent", "regularization": "l1", "learning_rate": 0.01,
+                                       "epochs": 1000})
+    return res.curve.collect()
+
+
 def q_cv_lambda(spark):
     res = sel.cv_lambda(houses(spark), ["area", "lat", "lon", "is_house"], "price", LINEITEM_KEY,
                         list(np.linspace(0, 1, 100)), n_splits=10, seed=12, degree=5, metrics=("mse",))
@@ -105,6 +113,7 @@ QUERIES = {
     "fit_ols": q_fit_ols,
     "train_and_evaluate": q_train_and_evaluate,
     "lambda_sweep": q_lambda_sweep,
+    "lasso_sweep": q_lasso_sweep,
     "cv_lambda": q_cv_lambda,
     "cv_degree": q_cv_degree,
     "kmeans_wide": q_kmeans_wide,

@@ -1225,3 +1225,71 @@ def q_qq_line(spark, sf):
     line = dg.qq_line(_qq(spark, sf))
     # the intercept is zero up to rounding noise: compare it at 4 decimals
     return small(line.withColumn("intercept", F.round("intercept", 4) + 0.0), ["slope", "r"])
+
+
+# --------------------------------------------- lasso sweep (gradient descent)
+
+LASSO_LAMBDAS = [0.0, 10.0, 50.0]
+LASSO_EPOCHS, LASSO_LR = 30, 0.01
+LASSO_FIT = {"method": "gradient_descent", "regularization": "l1", "epochs": LASSO_EPOCHS, "learning_rate": LASSO_LR,
+             "tolerance": 1e-12}
+
+
+def _lasso_sql(select: str) -> str:
+    lam_rows = ", ".join(f"({i}, {v}::DOUBLE)" for i, v in enumerate(LASSO_LAMBDAS))
+    g = ("g AS (SELECT n, n * c11 / (s1 * s1) AS g11, n * c12 / (s1 * s2) AS g12, n * c22 / (s2 * s2) AS g22, "
+         "n * my AS t0, n * c1y / s1 AS t1, n * c2y / s2 AS t2, n * (vy + my * my) AS yy, m1, s1, m2, s2 FROM st)")
+    st = ("st AS (SELECT count(*)::DOUBLE AS n, avg(area) AS m1, stddev_samp(area) AS s1, avg(lon) AS m2, stddev_samp(lon) AS s2, "
+          "avg(price) AS my, var_pop(price) AS vy, covar_pop(area, area) AS c11, covar_pop(area, lon) AS c12, covar_pop(lon, lon) AS c22, "
+          "covar_pop(area, price) AS c1y, covar_pop(lon, price) AS c2y FROM split WHERE NOT is_test)")
+    loss = ("((n * b0 * b0 + g11 * b1 * b1 + g22 * b2 * b2 + 2 * g12 * b1 * b2 - 2 * (b0 * t0 + b1 * t1 + b2 * t2) + yy) / n "
+            "+ lam * (abs(b1) + abs(b2)))")
+    nb0 = f"b0 - {LASSO_LR} * (2 / n) * (n * b0 - t0)"
+    nb1 = f"b1 - {LASSO_LR} * ((2 / n) * (g11 * b1 + g12 * b2 - t1) + lam * sign(b1))"
+    nb2 = f"b2 - {LASSO_LR} * ((2 / n) * (g12 * b1 + g22 * b2 - t2) + lam * sign(b2))"
+    gd = (
+        "gd(position, lam, epoch, b0, b1, b2, prev, minl, w0, w1, w2, done) AS ("
+        "SELECT position, \"lambda\", 0, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, 'inf'::DOUBLE, 'inf'::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, false FROM lam "
+        "UNION ALL SELECT position, lam, epoch + 1, "
+        f"CASE WHEN abs(prev - L) < 1e-12 THEN b0 ELSE {nb0} END, CASE WHEN abs(prev - L) < 1e-12 THEN b1 ELSE {nb1} END, "
+        f"CASE WHEN abs(prev - L) < 1e-12 THEN b2 ELSE {nb2} END, L, "
+        "CASE WHEN abs(prev - L) >= 1e-12 AND L < minl THEN L ELSE minl END, "
+        f"CASE WHEN abs(prev - L) >= 1e-12 AND L < minl THEN {nb0} ELSE w0 END, "
+        f"CASE WHEN abs(prev - L) >= 1e-12 AND L < minl THEN {nb1} ELSE w1 END, "
+        f"CASE WHEN abs(prev - L) >= 1e-12 AND L < minl THEN {nb2} ELSE w2 END, abs(prev - L) < 1e-12 "
+        f"FROM (SELECT gd.*, g.*, {loss} AS L FROM gd, g) WHERE epoch < {LASSO_EPOCHS} AND NOT done)"
+    )
+    fin = ("fin AS (SELECT position, lam AS \"lambda\", arg_max(w0, epoch) AS w0, arg_max(w1, epoch) AS w1, arg_max(w2, epoch) AS w2 "
+           "FROM gd GROUP BY position, lam)")
+    return (
+        "WITH RECURSIVE " + ",\n".join([HOUSES, CONV, split_cte(), st, g, f"lam AS (SELECT * FROM (VALUES {lam_rows}) t(position, \"lambda\"))", gd, fin])
+        + "\n" + select
+    )
+
+
+def _lasso(spark, sf):
+    return sel.lambda_sweep(conv(spark, sf), ["area", "lon"], "price", KEY, LASSO_LAMBDAS, 0.2, SEED, fit_params=LASSO_FIT)
+
+
+@query(
+    "lasso_weights",
+    _lasso_sql(
+        f"SELECT CAST(position AS INTEGER) AS position, {LAM}, 'area' AS feature, {ssig('w1')} AS weight FROM fin "
+        f"UNION ALL SELECT CAST(position AS INTEGER), {LAM}, 'lon', {ssig('w2')} FROM fin"
+    ),
+)
+def q_lasso_weights(spark, sf):
+    return small(_lasso(spark, sf).weights, ["weight"])
+
+
+@query(
+    "lasso_sweep",
+    _lasso_sql(
+        "SELECT CAST(fin.position AS INTEGER) AS position, fin.\"lambda\", "
+        + ssig("avg(pow(price - (w0 + w1 * (area - m1) / s1 + w2 * (lon - m2) / s2), 2))") + " AS mse, "
+        + ssig("1 - sum(pow(price - (w0 + w1 * (area - m1) / s1 + w2 * (lon - m2) / s2), 2)) / (var_pop(price) * count(price))")
+        + " AS r2 FROM fin, g, split WHERE is_test GROUP BY fin.position, fin.\"lambda\""
+    ),
+)
+def q_lasso_sweep(spark, sf):
+    return small(_lasso(spark, sf).curve, ["mse", "r2"])

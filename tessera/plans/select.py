@@ -34,7 +34,7 @@ from tessera.functions.expr import dlit, display_name, poly_terms
 from tessera.functions.metrics import get_metric
 from tessera.operators.moments import merge_factors, tsqr
 from tessera.operators.prep import target_transform
-from tessera.operators.regress import FitSpec, fit_from_r, solve_ols, solve_ridge
+from tessera.operators.regress import FitSpec, fit_from_r, gradient_descent_grid, solve_ols, solve_ridge
 from tessera.operators.rank import hash_key
 from tessera.operators.split import fold_column, split_column
 from tessera.session import persisted, spread
@@ -115,6 +115,15 @@ def _solve(m: np.ndarray, n: int, cols: list[int], spec: FitSpec, alpha: float)
     return solve_ols(sub, n)
 
 
+def _solve_grid(m: np.ndarray, n: int, cols: list[int], spec: FitSpec, alphas: Sequence[float]) -> list[np.ndarray]:
+    """Coefficients for every penalty of a grid on one design; gradient
+    descent with a squared loss runs all penalties at once."""
+    if spec.method == "gradient_descent" and spec.loss in ("mse", "l2") and len(alphas) > 1:
+        B = gradient_descent_grid(m[:, cols + [m.shape[1] - 1]], n, spec, alphas)
+        return [B[:, j] for j in range(B.shape[1])]
+    return [_solve(m, n, cols, spec, float(a)) for a in alphas]
+
+
 def _moments_by(df: DataFrame, feats: Sequence[str], group: Column) -> dict:
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for i, f in enumerate(feats):
@@ -305,10 +314,14 @@ def _cross_validate(df, feats, target, key_cols, grid, variable, n_splits, seed,
         n_val = R[k][1]
         sst = _sse(m_val, [0], solve_ols(m_val[:, [0, -1]], n_val))
         B = np.zeros((1 + d_max * p, len(grid)))
+        if variable == "penalty":
+            cols_all = list(range(1 + degrees[0] * p))
+            betas = _solve_grid(m_tr, n_tr, cols_all, spec, [float(v) for v in grid])
+        else:
+            betas = [_solve(m_tr, n_tr, list(range(1 + degrees[l] * p)), spec, spec.alpha) for l in range(len(grid))]
         for l, v in enumerate(grid):
             cols = list(range(1 + degrees[l] * p))
-            alpha = float(v) if variable == "penalty" else spec.alpha
-            beta = _solve(m_tr, n_tr, cols, spec, alpha)
+            beta = betas[l]
             B[: len(cols), l] = beta
             if inverse is None:
                 per_group[(k, l)] = _metric_values(metrics, n_val, _sse(m_val, cols, beta), sst)
@@ -381,8 +394,9 @@ def _lambda_sweep(df, feats, target, key_cols, lambdas, test_size, seed, degree,
     B = np.zeros((len(cols), len(lambdas)))
     per_group, weight_rows = {}, []
     names = [n for n, _ in terms]
+    betas = _solve_grid(r_tr, n_tr, cols, spec, [float(v) for v in lambdas])
     for l, lam in enumerate(lambdas):
-        beta = _solve(r_tr, n_tr, cols, spec, float(lam))
+        beta = betas[l]
         B[:, l] = beta
         for j, nm in enumerate(names):
             weight_rows.append((l, float(lam), nm, float(beta[1 + j])))

@@ -217,3 +217,16 @@ def test_kmeans_sse_never_increases(spark):
         c = np.array(m.centers)
         sse.append(((x[:, None, :] - c[None]) ** 2).sum(axis=2).min(axis=1).sum())
     assert all(b <= a + 1e-9 for a, b in zip(sse, sse[1:]))
+
+
+def test_grid_gradient_descent_equals_single_runs(linear_exact):
+    pdf, df = linear_exact
+    noisy = df.withColumn("y", F.col("y") + F.sin(F.col("id")))
+    ((r, n),) = tsqr(noisy, [F.lit(1.0), F.col("x1"), F.col("x2"), F.col("y")]).values()
+    for reg, loss in (("l1", "mse"), ("l2", "l2"), ("elasticnet", "mse")):
+        spec = rg.FitSpec(method="gradient_descent", loss=loss, regularization=reg, learning_rate=0.05, epochs=300, tolerance=1e-9)
+        alphas = [0.0, 0.1, 1.0, 5.0]
+        grid = rg.gradient_descent_grid(r, n, spec, alphas)
+        for j, a in enumerate(alphas):
+            one = rg.fit_from_r(r, n, ("x1", "x2"), 1, ("x1", "x2"), rg.FitSpec(**{**spec.__dict__, "alpha": a}))
+            assert np.allclose(grid[:, j], [one.intercept, *one.coef], atol=1e-12)
