@@ -17,6 +17,7 @@ Rows with a NULL coordinate are left out of the fit and get a NULL label.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -32,6 +33,10 @@ from tessera.session import spread
 
 # Above this many centre coordinates (k * d) assignment is vectorised in Python.
 WIDE = 64
+# Cached rows per task in the iterations (small inputs use fewer tasks).
+ROWS_PER_TASK = 20_000
+# Up to this many tasks the k partial sums per task are merged on the driver.
+DIRECT_MERGE_TASKS = 64
 
 
 def _nearest(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
@@ -133,6 +138,13 @@ def kmeans_fit(
         centers = np.array([[r[f"_p{i}"] for i in range(d)] for r in first], dtype=float)
     pcols = [F.col(f"_p{i}") for i in range(d)]
     proj = spread(proj.select(*pcols)).persist(StorageLevel.MEMORY_AND_DISK)
+    # every iteration reads the cached rows; tasks of a few hundred rows cost
+    # more in scheduling than in work, so small inputs are read by fewer tasks
+    n_rows = proj.count()
+    parts = proj.rdd.getNumPartitions()
+    wanted = max(1, min(parts, math.ceil(n_rows / ROWS_PER_TASK)))
+    data = proj.coalesce(wanted) if wanted < parts else proj
+    tasks = min(wanted, parts)
     shift = float("inf")
     n_iter = 0
     converged = False
@@ -141,17 +153,25 @@ def kmeans_fit(
         for n_iter in range(1, max_iter + 1):
             if wide:
                 schema = "_l int, _n long, " + ", ".join(f"_s{i} double" for i in range(d))
-                part = proj.mapInPandas(_partial_sums(centers, [f"_p{i}" for i in range(d)]), schema)
-                rows = (
-                    part.groupBy("_l")
-                    .agg(F.sum("_n").alias("_n"), *[F.sum(f"_s{i}").alias(f"_s{i}") for i in range(d)])
-                    .filter(F.col("_n") > 0)
-                    .collect()
-                )
-                means = {r["_l"]: [r[f"_s{i}"] / r["_n"] for i in range(d)] for r in rows}
+                part = data.mapInPandas(_partial_sums(centers, [f"_p{i}" for i in range(d)]), schema)
+                if tasks <= DIRECT_MERGE_TASKS:
+                    # at most k rows per task: merge the few partial sums here
+                    sums, cnt = np.zeros((k, d)), np.zeros(k)
+                    for r in part.collect():
+                        cnt[r["_l"]] += r["_n"]
+                        sums[r["_l"]] += [r[f"_s{i}"] for i in range(d)]
+                    means = {j: sums[j] / cnt[j] for j in range(k) if cnt[j] > 0}
+                else:
+                    rows = (
+                        part.groupBy("_l")
+                        .agg(F.sum("_n").alias("_n"), *[F.sum(f"_s{i}").alias(f"_s{i}") for i in range(d)])
+                        .filter(F.col("_n") > 0)
+                        .collect()
+                    )
+                    means = {r["_l"]: [r[f"_s{i}"] / r["_n"] for i in range(d)] for r in rows}
             else:
                 label = nearest_center(pcols, [tuple(c) for c in centers])
-                rows = proj.groupBy(label.alias("_l")).agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(pcols)]).collect()
+                rows = data.groupBy(label.alias("_l")).agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(pcols)]).collect()
                 means = {r["_l"]: [r[f"m{i}"] for i in range(d)] for r in rows}
             new = centers.copy()
             for lbl, m in means.items():
