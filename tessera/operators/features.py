@@ -39,19 +39,18 @@ def engineer_features(df: DataFrame, ops: Sequence[FeatureOp]) -> DataFrame:
 
 
 def feature_stats(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """mean, sample std, min, max of each feature: one aggregate, one row per feature."""
-    aggs = []
-    for c in features:
-        aggs.append(
-            F.struct(
-                F.lit(c).alias("feature"),
-                F.avg(c).cast("double").alias("mean"),
-                F.stddev_samp(c).cast("double").alias("std"),
-                F.min(c).cast("double").alias("min"),
-                F.max(c).cast("double").alias("max"),
-            )
-        )
-    return df.agg(F.array(*aggs).alias("_s")).select(F.inline("_s"))
+    """mean, sample std, min, max of each feature, one row per feature.
+
+    Aggregated in long form (feature, value) with one ``groupBy``: a single
+    scan, and a few aggregation buffers regardless of the number of features
+    (a wide ``agg`` of many features would pass whole-stage codegen's field limit).
+    """
+    long = df.select(
+        F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("v")) for c in features])).alias("_s")
+    ).select("_s.feature", "_s.v")
+    return long.groupBy("feature").agg(
+        F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"), F.min("v").alias("min"), F.max("v").alias("max")
+    )
 
 
 def product_features(

@@ -39,18 +39,26 @@ def _describe(df: DataFrame, exact: bool) -> DataFrame:
     cols = df.columns
     nums = numeric_columns(df)
     others = [c for c in cols if c not in nums]
-    aggs = []
-    for c in cols:
-        aggs.append(F.count(F.col(c)).alias(f"cnt__{c}"))
-    for c in nums:
-        x = F.col(c).cast("double")
-        aggs += [F.avg(x).alias(f"mean__{c}"), F.stddev_samp(x).alias(f"std__{c}"),
-                 F.min(x).alias(f"min__{c}"), F.max(x).alias(f"max__{c}")]
+    base: dict = {}
+    if nums:
+        # numeric moments in long form: one scan, few aggregation buffers
+        long = df.select(
+            F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v")) for c in nums])).alias("_s")
+        ).select("_s.c", "_s.v")
+        aggs = [F.count("v").alias("cnt"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
+                F.min("v").alias("min"), F.max("v").alias("max")]
         if not exact:
-            aggs.append(F.percentile_approx(x, [0.25, 0.5, 0.75], 100_000).alias(f"q__{c}"))
-    for c in others:
-        aggs.append(F.count_distinct(F.col(c)).alias(f"uniq__{c}"))
-    base = df.agg(*aggs).first()
+            aggs.append(F.percentile_approx("v", [0.25, 0.5, 0.75], 100_000).alias("q"))
+        for r in long.groupBy("c").agg(*aggs).collect():
+            c = r["c"]
+            base.update({f"cnt__{c}": r["cnt"], f"mean__{c}": r["mean"], f"std__{c}": r["std"], f"min__{c}": r["min"],
+                         f"max__{c}": r["max"]})
+            if not exact:
+                base[f"q__{c}"] = r["q"]
+    if others:
+        row = df.agg(*[F.count(F.col(c)).alias(f"cnt__{c}") for c in others],
+                     *[F.count_distinct(F.col(c)).alias(f"uniq__{c}") for c in others]).first()
+        base.update(row.asDict())
     quant = exact_quantiles(df, nums, [0.25, 0.5, 0.75]) if (exact and nums) else {}
     tops = {}
     if others:
