@@ -40,8 +40,16 @@ def hash_key(seed: int | str, key_cols: Sequence[str]) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in key_cols]))
 
 
-def lex_le(cols: Sequence[Column], values: Sequence) -> Column:
-    """(c1, c2, …) <= (v1, v2, …) in lexicographic order (codegen-friendly)."""
+def lex_le(cols: Sequence[Column], values: Sequence, types: Sequence | None = None) -> Column:
+    """(c1, c2, …) <= (v1, v2, …) in lexicographic order.
+
+    With ``types`` (the Spark types of the columns) this is one struct
+    comparison, so an expensive first column (the md5) is evaluated once.
+    """
+    if types is not None:
+        left = F.struct(*[c.alias(f"f{i}") for i, c in enumerate(cols)])
+        right = F.struct(*[F.lit(v).cast(t).alias(f"f{i}") for i, (v, t) in enumerate(zip(values, types))])
+        return left <= right
     expr = None
     for i in reversed(range(len(cols))):
         c, v = cols[i], F.lit(values[i])

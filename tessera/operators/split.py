@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.operators.rank import hash_key, lex_le, rank_thresholds
 
@@ -21,6 +22,10 @@ def _order_cols(seed, key_cols: Sequence[str], h: Column | None = None) -> list[
     return [hash_key(seed, key_cols) if h is None else h, *[F.col(k) for k in key_cols]]
 
 
+def _order_types(df: DataFrame, key_cols: Sequence[str]) -> list:
+    return [T.StringType(), *[df.schema[k].dataType for k in key_cols]]
+
+
 def split_column(
     df: DataFrame,
     key_cols: Sequence[str],
@@ -46,7 +51,7 @@ def split_column(
         return F.lit(True)
     h = hash_key(seed, key_cols) if h is None else h
     (thr,) = rank_thresholds(df, h, key_cols, [n_train], n)
-    return ~lex_le(_order_cols(seed, key_cols, h), thr)
+    return ~lex_le(_order_cols(seed, key_cols, h), thr, _order_types(df, key_cols))
 
 
 def train_test_split(
@@ -74,9 +79,10 @@ def fold_column(
     h = hash_key(seed, key_cols) if h is None else h
     thresholds = rank_thresholds(df, h, key_cols, cuts, n)
     order = _order_cols(seed, key_cols, h)
+    types = _order_types(df, key_cols)
     fold = F.lit(0)
     for thr in thresholds:
-        fold = fold + F.when(lex_le(order, thr), 0).otherwise(1)
+        fold = fold + F.when(lex_le(order, thr, types), 0).otherwise(1)
     return fold.cast("int")
 
 
