@@ -31,7 +31,7 @@ NUMERIC_TYPES = (
 # Above this many groups a fitted group table is joined instead of inlined.
 MAX_INLINE_GROUPS = 256
 # Above this many groups the group table is not broadcast.
-MAX_BROADCAST_GROUPS = 1_000_000
+MAX_BROADCAST_GROUPS = 100_000
 
 
 # ------------------------------------------------------------ simple projections

@@ -32,7 +32,9 @@ TARGET_BUCKET_ROWS = 100_000
 # ranked directly.
 SELECT_BUCKETS = 256
 SELECT_LEAF_ROWS = 50_000
-SELECT_MAX_ROUNDS = 16
+# Each round shrinks the range at least SELECT_BUCKETS-fold, so ~256 rounds
+# separate any two doubles; the cap is a guard, not a working limit.
+SELECT_MAX_ROUNDS = 300
 
 
 def hash_key(seed: int | str, key_cols: Sequence[str]) -> Column:
@@ -85,6 +87,7 @@ def rank_thresholds(
     # position -> (prefix, rows before the prefix)
     pending = {p: ("", 0) for p in positions}
     leaves: dict[int, tuple[str, int]] = {}
+    dup_prefix: dict[int, str] = {}
     depth = 0
     while pending:
         if n <= TARGET_BUCKET_ROWS and depth == 0:
@@ -106,8 +109,12 @@ def rank_thresholds(
             before = base
             for c, cnt in sorted(children[pre]):
                 if p <= before + cnt:
-                    if cnt <= TARGET_BUCKET_ROWS or width + 3 >= 32:
+                    if cnt <= TARGET_BUCKET_ROWS:
                         leaves[p] = (pre + c, p - before)
+                    elif width + 3 >= 32:
+                        # the whole md5 is fixed: only duplicate keys remain, which
+                        # are equal in the order -- no task has to rank them
+                        dup_prefix[p] = pre + c
                     else:
                         nxt[p] = (pre + c, before)
                     break
@@ -115,6 +122,9 @@ def rank_thresholds(
         pending = nxt
         depth += 1
     picked = []
+    for p, pre in dup_prefix.items():
+        first = tagged.filter(F.col("_h") == pre).agg(F.min(F.struct("_h", *key_cols)).alias("_m")).first()["_m"]
+        picked.append({"_p": p, "_h": first["_h"], **{k: first[k] for k in key_cols}})
     for width in sorted({len(pre) for pre, _ in leaves.values()}):
         items = [(pre, int(local), int(p)) for p, (pre, local) in leaves.items() if len(pre) == width]
         wanted = spark.createDataFrame(items, "_wpre string, _local long, _p long")

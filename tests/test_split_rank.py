@@ -105,3 +105,21 @@ def test_thresholds_two_refinement_levels(spark, monkeypatch):
     size = n // 3
     want = {key: min(i // size, 2) for i, key in enumerate(order)}
     assert all(want[r.k] == r.fold for r in out.itertuples())
+
+
+def test_hot_duplicate_key_needs_no_big_task(spark, monkeypatch):
+    # a third of the rows share one key: they are equal in the order, so the
+    # cut is taken from an aggregate instead of ranking them in one task
+    monkeypatch.setattr(rk, "TARGET_BUCKET_ROWS", 3)
+    keys = list(range(200)) + [7] * 100
+    df = spark.createDataFrame([(k,) for k in keys], "k long").repartition(4)
+    n = len(keys)
+    vals = sorted((hashlib.md5(f"42|{k}".encode()).hexdigest(), k) for k in keys)
+    first = [v[1] for v in vals].index(7)
+    n_train = first + 50  # the cut falls inside the duplicate block
+    test_size = (n - n_train + 0.5) / n
+    assert int(n * test_size) == n - n_train
+    out = sp.train_test_split(df, ["k"], test_size, 42).toPandas()
+    cut = vals[n_train - 1]
+    want = [(hashlib.md5(f"42|{k}".encode()).hexdigest(), k) > cut for k in out["k"]]
+    assert list(out["is_test"]) == want
