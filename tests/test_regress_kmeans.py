@@ -223,10 +223,34 @@ def test_grid_gradient_descent_equals_single_runs(linear_exact):
     pdf, df = linear_exact
     noisy = df.withColumn("y", F.col("y") + F.sin(F.col("id")))
     ((r, n),) = tsqr(noisy, [F.lit(1.0), F.col("x1"), F.col("x2"), F.col("y")]).values()
-    for reg, loss in (("l1", "mse"), ("l2", "l2"), ("elasticnet", "mse")):
-        spec = rg.FitSpec(method="gradient_descent", loss=loss, regularization=reg, learning_rate=0.05, epochs=300, tolerance=1e-9)
+    for reg, loss, solver in (("l1", "mse", "subgradient"), ("l2", "l2", "subgradient"), ("elasticnet", "mse", "subgradient"),
+                              ("l1", "mse", "proximal"), ("elasticnet", "l2", "proximal")):
+        spec = rg.FitSpec(method="gradient_descent", loss=loss, regularization=reg, learning_rate=0.05, epochs=300,
+                          tolerance=1e-9, solver=solver)
         alphas = [0.0, 0.1, 1.0, 5.0]
         grid = rg.gradient_descent_grid(r, n, spec, alphas)
         for j, a in enumerate(alphas):
             one = rg.fit_from_r(r, n, ("x1", "x2"), 1, ("x1", "x2"), rg.FitSpec(**{**spec.__dict__, "alpha": a}))
             assert np.allclose(grid[:, j], [one.intercept, *one.coef], atol=1e-12)
+
+
+def test_proximal_lasso_exact_zeros_and_mllib(spark):
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+
+    rng = np.random.default_rng(21)
+    n = 400
+    x = rng.normal(size=(n, 3))
+    y = 1.0 + 2.0 * x[:, 0] + 0.01 * x[:, 2] + rng.normal(0, 0.1, n)
+    pdf = pd.DataFrame({"a": x[:, 0], "b": x[:, 1], "c": x[:, 2], "y": y})
+    df = to_spark(spark, pdf, "a double, b double, c double, y double", partitions=3)
+    alpha = 0.2
+    m = rg.fit_gd(df, ["a", "b", "c"], "y", regularization="l1", alpha=alpha, solver="proximal",
+                  learning_rate=0.1, epochs=5000, tolerance=1e-14)
+    assert m.coef[1] == 0.0 and m.coef[2] == 0.0 and m.coef[0] > 1.5
+    vec = VectorAssembler(inputCols=["a", "b", "c"], outputCol="f").transform(df)
+    ml = LinearRegression(featuresCol="f", labelCol="y", regParam=alpha / 2, elasticNetParam=1.0,
+                          standardization=False, tol=1e-12, maxIter=1000).fit(vec)
+    assert np.allclose([m.intercept, *m.coef], [ml.intercept, *ml.coefficients.toArray()], atol=1e-4)
+    with pytest.raises(ValueError):
+        rg.fit_gd(df, ["a"], "y", solver="newton")
