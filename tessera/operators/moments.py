@@ -23,6 +23,8 @@ from tessera.session import spread
 
 MAX_COLUMNS = 2000
 FAN_IN = 32
+# Groups (folds, split sides, segments) kept per task; each holds a k x k factor.
+MAX_GROUPS = 10_000
 
 _SCHEMA = "_g string, _part long, _n long, _r array<double>"
 
@@ -49,6 +51,8 @@ def _partial_factors(k: int, grouped: bool):
                 r, n = acc.get(g, (None, 0))
                 m = a if r is None else np.vstack([r, a])
                 acc[g] = (_qr_r(m, k), n + len(sub))
+                if len(acc) > MAX_GROUPS:
+                    raise ValueError(f"more than {MAX_GROUPS} groups: one k x k factor per group must fit a task")
         if acc:
             yield pd.DataFrame(
                 {
