@@ -1293,3 +1293,55 @@ def q_lasso_weights(spark, sf):
 )
 def q_lasso_sweep(spark, sf):
     return small(_lasso(spark, sf).curve, ["mse", "r2"])
+
+
+# ------------------------------------------- separate keys of the inventory
+
+_PEN_SQL = {
+    "ridge": f"0.5 * {PEN_ALPHA} * (b1 * b1 + b2 * b2)",
+    "lasso": f"{PEN_ALPHA} * (abs(b1) + abs(b2))",
+    "elasticnet": f"{PEN_ALPHA} * {PEN_RATIO} * (abs(b1) + abs(b2)) + 0.5 * {PEN_ALPHA} * (1 - {PEN_RATIO}) * (b1 * b1 + b2 * b2)",
+}
+
+for _p in ("ridge", "lasso", "elasticnet"):
+    def _pq(spark, sf, _p=_p):
+        coefs = _ridge_model(spark, sf).coef_table(spark)
+        return small(coefficient_penalties(coefs, PEN_ALPHA, PEN_RATIO).select(F.col(_p).alias("penalty")), ["penalty"])
+
+    query(f"penalty_{_p}", W(HOUSES, CONV, *_RIDGE) + f"SELECT {ssig(_PEN_SQL[_p])} AS penalty FROM fit")(_pq)
+
+
+@query(
+    "erfinv",
+    W(*QQ_CTES) + f"SELECT i, round({_erfinv_sql('2 * p - 1')}, 9) AS erfinv FROM qp",
+)
+def q_erfinv(spark, sf):
+    qq = _qq(spark, sf)
+    return qq.select("i", r(erfinv(2 * F.col("p") - 1), 9).alias("erfinv"))
+
+
+def _csv_roundtrip(spark, sf, schema):
+    import uuid
+
+    from tessera.session import ensure_checkpoint_dir
+    from tessera.sources.io import HOUSE_SCHEMA, read_csv, write_table
+
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/csv-{uuid.uuid4().hex}"
+    cols = [f.name for f in HOUSE_SCHEMA.fields]
+    write_table(houses(spark, sf).select(*cols), folder, fmt="csv")
+    return read_csv(spark, folder, HOUSE_SCHEMA if schema else None).select(*cols)
+
+
+_CSV_SQL = W(HOUSES) + "SELECT area, area_units, is_house, has_pool, age, price, lat, lon, rooms FROM houses"
+
+
+@query("sink_csv", _CSV_SQL)
+def q_sink_csv(spark, sf):
+    """Write the whole table as header CSV (shared folder), read it back with the schema."""
+    return _csv_roundtrip(spark, sf, True)
+
+
+@query("scan_csv", _CSV_SQL)
+def q_scan_csv(spark, sf):
+    """Header CSV scan with inferred types (double/string/int) and empty cells as NULL."""
+    return _csv_roundtrip(spark, sf, False)
