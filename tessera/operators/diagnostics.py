@@ -9,7 +9,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.expr import col_of, dlit, normal_quantile
+from tessera.functions.expr import dlit, normal_quantile
 from tessera.operators.rank import exact_rank
 from tessera.operators.regress import fit
 

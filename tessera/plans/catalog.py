@@ -16,11 +16,10 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.expr import dlit, erfinv
+from tessera.functions.expr import erfinv
 from tessera.operators import diagnostics as dg
 from tessera.operators import features as fe
 from tessera.operators import prep as pr
@@ -32,7 +31,7 @@ from tessera.operators.regress import fit
 from tessera.plans import select as sel
 from tessera.plans.pipeline import evaluate_new_data, predict_new_rows, train_and_evaluate
 from tessera.plans.prepare import ZONE, process_dataset
-from tessera.sources.io import load_xy, read_table
+from tessera.sources.io import load_xy
 from tessera.sources.tables import (
     CUSTOMER_LOCATIONS_SQL,
     HOUSES_CONVERTED_SQL,
