@@ -254,3 +254,15 @@ def test_proximal_lasso_exact_zeros_and_mllib(spark):
     assert np.allclose([m.intercept, *m.coef], [ml.intercept, *ml.coefficients.toArray()], atol=1e-4)
     with pytest.raises(ValueError):
         rg.fit_gd(df, ["a"], "y", solver="newton")
+
+
+def test_mllib_backend_agrees_on_separated_clusters(spark):
+    from tessera.operators.kmeans import kmeans_fit_mllib
+
+    rng = np.random.default_rng(12)
+    x = np.vstack([rng.normal(0, 0.3, (150, 2)), rng.normal(5, 0.3, (150, 2)), rng.normal((0, 5), 0.3, (150, 2))])
+    pdf = pd.DataFrame({"id": np.arange(450), "a": x[:, 0], "b": x[:, 1]})
+    df = to_spark(spark, pdf, "id long, a double, b double", partitions=3)
+    ours = sorted(kmeans_fit(df, ["a", "b"], k=3, key_cols=["id"]).centers)
+    ml = sorted(kmeans_fit_mllib(df, ["a", "b"], k=3).centers)
+    assert np.allclose(ours, ml, atol=1e-6)
