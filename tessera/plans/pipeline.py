@@ -89,7 +89,8 @@ def train_and_evaluate(
     feats = [c for c in df.columns if c != target and c not in key_cols] if features is None else list(features)
     # the narrow projection is read by 5 jobs (count, 2 split cut points,
     # moments, fit, metrics): spread it over the cores and keep it
-    with persisted(spread(df.select(*key_cols, *feats, target, hash_key(seed, key_cols).alias("_h")))) as data:
+    staged = spread(df.select(*key_cols, *feats, target), by=key_cols)
+    with persisted(staged.withColumn("_h", hash_key(seed, key_cols))) as data:
         split = split_column(data, key_cols, test_size, seed, n=data.count(), h=F.col("_h"))
         tagged = data.withColumn(split_col, split)
         train = tagged.filter(~F.col(split_col))

@@ -273,7 +273,8 @@ def cross_validate(
     grid = list(grid) if variable != "plain" else [0.0]
     degrees = [int(v) for v in grid] if variable == "degree" else [degree] * len(grid)
 
-    with persisted(spread(df.select(*key_cols, *feats, target, hash_key(seed, key_cols).alias("_h")))) as base_df:
+    staged = spread(df.select(*key_cols, *feats, target), by=key_cols)
+    with persisted(staged.withColumn("_h", hash_key(seed, key_cols))) as base_df:
         return _cross_validate(base_df, feats, target, key_cols, grid, variable, n_splits, seed, normalize,
                                transform_target, inverse, metrics, spec, degrees)
 
@@ -369,7 +370,8 @@ def lambda_sweep(
     """
     feats = list(features)
     spec = FitSpec(**{"method": "pseudo_inverse", "regularization": "l2", **dict(fit_params or {})}).validated()
-    with persisted(spread(df.select(*key_cols, *feats, target, hash_key(seed, key_cols).alias("_h")))) as base_df:
+    staged = spread(df.select(*key_cols, *feats, target), by=key_cols)
+    with persisted(staged.withColumn("_h", hash_key(seed, key_cols))) as base_df:
         return _lambda_sweep(base_df, feats, target, key_cols, lambdas, test_size, seed, degree, normalize, inverse,
                              metrics, spec)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Sequence
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
@@ -81,15 +82,18 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, by: Sequence[str] | None = None) -> DataFrame:
     """At least one partition per core for CPU-heavy stages.
 
     A large input already has many more partitions than cores and is left
     alone (no shuffle); a small one (few files or row groups) is
-    round-robin repartitioned so per-row work is not single-threaded.
+    repartitioned so per-row work is not single-threaded: hashed on ``by``
+    (a unique key: balanced, deterministic without a sort) or round-robin.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *by) if by else df.repartition(cores)
 
 
 @contextmanager
