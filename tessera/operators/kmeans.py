@@ -3,10 +3,11 @@
 * init: the k rows with the smallest seeded hash of their key (k distinct
   rows), or explicit centres;
 * assignment: nearest centre by squared Euclidean distance, ties to the
-  lowest index -- a Column expression with the centres as literals while
-  k·d is small; for wide problems (k·d > ``WIDE``) the expression would pass
-  the 64 KB code-generation limit, so assignment and per-partition partial
-  sums run vectorised in ``mapInPandas`` (k rows per task);
+  lowest index -- on many tasks a Column expression with the centres as
+  literals (codegen'd ``groupBy``); for wide problems (k·d > ``WIDE``, the
+  expression would pass the 64 KB code-generation limit) and for inputs read
+  by few tasks, assignment and per-task partial sums run vectorised in
+  ``mapInPandas`` (k rows per task);
 * update: one aggregation per iteration over a cached projection (partial
   aggregation: each task sends at most k rows); an empty cluster keeps its
   centre;
@@ -149,9 +150,12 @@ def kmeans_fit(
     n_iter = 0
     converged = False
     try:
-        wide = k * d > WIDE
+        # vectorised partial sums when the expression would be too wide for
+        # code generation, or when so few tasks run that job overhead, not
+        # work, dominates (one job per iteration instead of two stages)
+        vectorised = k * d > WIDE or tasks <= DIRECT_MERGE_TASKS
         for n_iter in range(1, max_iter + 1):
-            if wide:
+            if vectorised:
                 schema = "_l int, _n long, " + ", ".join(f"_s{i} double" for i in range(d))
                 part = data.mapInPandas(_partial_sums(centers, [f"_p{i}" for i in range(d)]), schema)
                 if tasks <= DIRECT_MERGE_TASKS:

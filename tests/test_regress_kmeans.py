@@ -167,7 +167,11 @@ def _lloyd(x, centers, iters):
     return centers
 
 
-def test_kmeans_matches_numpy_lloyd(spark):
+@pytest.mark.parametrize("direct", [64, 0])
+def test_kmeans_matches_numpy_lloyd(spark, monkeypatch, direct):
+    import tessera.operators.kmeans as km
+
+    monkeypatch.setattr(km, "DIRECT_MERGE_TASKS", direct)  # 0: codegen'd groupBy path
     rng = np.random.default_rng(3)
     x = np.vstack([rng.normal(0, 1, (100, 2)), rng.normal(6, 1, (100, 2))])
     pdf = pd.DataFrame({"id": np.arange(200), "a": x[:, 0], "b": x[:, 1]})
@@ -177,20 +181,25 @@ def test_kmeans_matches_numpy_lloyd(spark):
     assert np.allclose(np.array(m.centers), _lloyd(x, np.array(init), 5), atol=1e-10)
 
 
-def test_kmeans_wide_path_equals_expression_path(spark, monkeypatch):
+def test_kmeans_paths_agree(spark, monkeypatch):
+    """Codegen'd expression path, vectorised path merged by groupBy, and
+    vectorised path merged on the driver give the same centres and labels."""
+    import tessera.operators.kmeans as km
+
     rng = np.random.default_rng(4)
     x = rng.normal(size=(150, 3))
     pdf = pd.DataFrame({"id": np.arange(150), "a": x[:, 0], "b": x[:, 1], "c": x[:, 2]})
     df = to_spark(spark, pdf, "id long, a double, b double, c double", partitions=3)
-    narrow = kmeans_fit(df, ["a", "b", "c"], k=3, max_iter=6, key_cols=["id"])
-    import tessera.operators.kmeans as km
-
-    monkeypatch.setattr(km, "WIDE", 1)
-    wide = kmeans_fit(df, ["a", "b", "c"], k=3, max_iter=6, key_cols=["id"])
-    assert np.allclose(narrow.centers, wide.centers, atol=1e-10)
-    labs_n = narrow.predict(df, ["a", "b", "c"]).orderBy("id").select("zone").toPandas()
-    labs_w = wide.predict(df, ["a", "b", "c"]).orderBy("id").select("zone").toPandas()
-    assert (labs_n.values == labs_w.values).all()
+    results = []
+    for wide, direct in ((10_000, 0), (1, 0), (1, 64)):
+        monkeypatch.setattr(km, "WIDE", wide)
+        monkeypatch.setattr(km, "DIRECT_MERGE_TASKS", direct)
+        m = kmeans_fit(df, ["a", "b", "c"], k=3, max_iter=6, key_cols=["id"])
+        labels = m.predict(df, ["a", "b", "c"]).orderBy("id").select("zone").toPandas()["zone"].values
+        results.append((np.array(m.centers), labels))
+    for centers, labels in results[1:]:
+        assert np.allclose(results[0][0], centers, atol=1e-10)
+        assert (results[0][1] == labels).all()
     assert WIDE >= 1
 
 
