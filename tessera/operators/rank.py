@@ -127,16 +127,18 @@ def rank_thresholds(
         picked.append({"_p": p, "_h": first["_h"], **{k: first[k] for k in key_cols}})
     for width in sorted({len(pre) for pre, _ in leaves.values()}):
         items = [(pre, int(local), int(p)) for p, (pre, local) in leaves.items() if len(pre) == width]
-        wanted = spark.createDataFrame(items, "_wpre string, _local long, _p long")
+        # at most one leaf per cut position: literal predicates, no broadcast jobs
         scope = tagged.withColumn("_pre", F.substring("_h", 1, width) if width else F.lit(""))
+        if width:
+            scope = scope.filter(F.col("_pre").isin(sorted({pre for pre, _, _ in items})))
         w = Window.partitionBy("_pre").orderBy("_h", *key_cols)
-        picked += (
-            scope.join(F.broadcast(wanted.select(F.col("_wpre").alias("_pre")).distinct()), "_pre")
-            .withColumn("_rn", F.row_number().over(w))
-            .join(F.broadcast(wanted), (F.col("_rn") == F.col("_local")) & (F.col("_pre") == F.col("_wpre")))
-            .select("_p", "_h", *key_cols)
-            .collect()
-        )
+        ranked = scope.withColumn("_rn", F.row_number().over(w))
+        hit, pos = None, F.lit(None).cast("long")
+        for pre, local, p in items:
+            cond = (F.col("_pre") == pre) & (F.col("_rn") == local)
+            hit = cond if hit is None else hit | cond
+            pos = F.when(cond, F.lit(p)).otherwise(pos)
+        picked += ranked.filter(hit).select(pos.alias("_p"), "_h", *key_cols).collect()
     by_pos = {r["_p"]: tuple([r["_h"], *[r[k] for k in key_cols]]) for r in picked}
     return [by_pos[p] for p in positions]
 
