@@ -27,7 +27,7 @@ from tessera.operators.kmeans import kmeans_fit  # noqa: E402
 from tessera.operators.prep import convert_units  # noqa: E402
 from tessera.operators.regress import fit  # noqa: E402
 from tessera.plans import select as sel  # noqa: E402
-from tessera.plans.pipeline import train_and_evaluate  # noqa: E402
+from tessera.plans.training import train_and_evaluate  # noqa: E402
 from tessera.plans.prepare import process_dataset  # noqa: E402
 from tessera.sources.io import read_table  # noqa: E402
 from tessera.sources.tables import LINEITEM_KEY, customer_locations, embedding_points, lineitem_houses  # noqa: E402

@@ -29,7 +29,7 @@ from tessera.operators.evaluate import coefficient_penalties, evaluate, loss_gra
 from tessera.operators.kmeans import kmeans_fit
 from tessera.operators.regress import fit
 from tessera.plans import select as sel
-from tessera.plans.pipeline import evaluate_new_data, predict_new_rows, train_and_evaluate
+from tessera.plans.training import evaluate_new_data, predict_new_rows, train_and_evaluate
 from tessera.plans.prepare import ZONE, process_dataset
 from tessera.sources.io import load_xy
 from tessera.sources.tables import (

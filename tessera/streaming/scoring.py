@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from tessera.operators.kmeans import KMeansModel
-from tessera.plans.pipeline import FittedPipeline
+from tessera.plans.training import FittedPipeline
 from tessera.plans.prepare import FittedPrep
 
 

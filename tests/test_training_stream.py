@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from tessera.operators.prep import convert_units
-from tessera.plans.pipeline import evaluate_new_data, predict_new_rows, train_and_evaluate
+from tessera.plans.training import evaluate_new_data, predict_new_rows, train_and_evaluate
 from tessera.plans.prepare import ZONE, process_dataset
 from tessera.streaming import prepare_stream, run_available_now, score_stream
 
