@@ -59,7 +59,8 @@ def _describe(df: DataFrame, exact: bool) -> DataFrame:
         row = df.agg(*[F.count(F.col(c)).alias(f"cnt__{c}") for c in others],
                      *[F.count_distinct(F.col(c)).alias(f"uniq__{c}") for c in others]).first()
         base.update(row.asDict())
-    quant = exact_quantiles(df, nums, [0.25, 0.5, 0.75]) if (exact and nums) else {}
+    known = {(None, c): (base[f"cnt__{c}"], base[f"min__{c}"], base[f"max__{c}"]) for c in nums}
+    quant = exact_quantiles(df, nums, [0.25, 0.5, 0.75], stats=known) if (exact and nums) else {}
     tops = {}
     if others:
         long = df.select(

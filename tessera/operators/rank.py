@@ -185,11 +185,14 @@ def exact_quantiles(
     value_cols: Sequence[str],
     qs: Sequence[float],
     group_col: str | None = None,
+    stats: dict | None = None,
 ) -> dict[tuple, float | None]:
     """Exact linear-interpolation quantiles (pandas/R7 rule), NULLs skipped.
 
     Returns ``{(group, column, q): value}``; ``group`` is None without groups.
     The number of groups x columns must be small (they are the work items).
+    ``stats`` may pass known ``{(group, column): (n, min, max)}`` (non-NULL
+    count and range) to skip the first job.
     """
     spark = df.sparkSession
     g = F.col(group_col).cast("string") if group_col else F.lit(None).cast("string")
@@ -198,9 +201,12 @@ def exact_quantiles(
     )
     long = df.select(g.alias("_g"), stack.alias("_s")).select("_g", F.col("_s.c").alias("_c"), F.col("_s.v").alias("_v"))
     long = long.filter(F.col("_v").isNotNull())
-    stats = long.groupBy("_g", "_c").agg(
-        F.count(F.lit(1)).alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi")
-    ).collect()
+    if stats is not None:
+        stats = [{"_g": g, "_c": c, "n": n, "lo": lo, "hi": hi} for (g, c), (n, lo, hi) in stats.items() if n]
+    else:
+        stats = long.groupBy("_g", "_c").agg(
+            F.count(F.lit(1)).alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi")
+        ).collect()
     if len(stats) > 100_000:
         raise ValueError("too many groups for exact quantiles")
 

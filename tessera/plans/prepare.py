@@ -6,9 +6,10 @@ split off the location part.
 means, nothing else is data-dependent) and returns a frozen
 :class:`FittedPrep`; ``FittedPrep.transform`` is then a pure projection
 (plus a literal CASE for zone means), so the same preparation applies to
-test data, to single new rows and to streaming DataFrames.  ``refit=True`` in
-:func:`process_dataset` re-learns on the data it is given, which is what the
-original workflow does for every table.
+test data, to single new rows and to streaming DataFrames.
+:func:`process_dataset` without a fitted ``prep`` re-learns on the data it is
+given (what the original workflow does for every table); with one it applies
+the frozen parameters.
 """
 
 from __future__ import annotations
