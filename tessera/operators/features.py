@@ -142,11 +142,21 @@ def zone_stats(
             F.avg(f).alias(f"mean__{f}"),
             F.stddev_samp(f).alias(f"std__{f}"),
             F.count_if(F.col(f).isNull()).alias(f"missing__{f}"),
+            F.count(f).alias(f"n__{f}"),
+            F.min(F.col(f).cast("double")).alias(f"lo__{f}"),
+            F.max(F.col(f).cast("double")).alias(f"hi__{f}"),
         ]
-    per_zone = df.groupBy(zone_col).agg(*aggs)
+    # the per-zone table is small (one row per zone): compute it once
+    rows = df.groupBy(zone_col).agg(*aggs).collect()
+    per_zone = spark.createDataFrame(rows, df.groupBy(zone_col).agg(*aggs).schema)
     total = F.sum("size").over(Window.partitionBy())
     per_zone = per_zone.withColumn("percentage", F.col("size") / total * 100)
-    medians = exact_quantiles(df, list(features), [0.5], group_col=zone_col)
+    known = {
+        (None if r[zone_col] is None else str(r[zone_col]), f): (r[f"n__{f}"], r[f"lo__{f}"], r[f"hi__{f}"])
+        for r in rows
+        for f in features
+    }
+    medians = exact_quantiles(df, list(features), [0.5], group_col=zone_col, stats=known)
     med_rows = [(int(g) if g is not None else None, c, v) for (g, c, _), v in medians.items()]
     med_df = spark.createDataFrame(med_rows, f"{zone_col} int, feature string, median double") if med_rows else None
     stacked = per_zone.select(

@@ -167,7 +167,7 @@ def process_dataset(
     engineered features and the interactions.
     """
     spark = df.sparkSession
-    with staged(df) as data:
+    with staged(df, by=fit_kwargs.get("key_cols")) as data:
         if prep is None:
             prep = fit_prepare(data, **fit_kwargs)
         zs = None

@@ -111,7 +111,7 @@ def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK)
 
 
 @contextmanager
-def staged(df: DataFrame):
+def staged(df: DataFrame, by: Sequence[str] | None = None):
     """Stage a whole-table input read by several jobs.
 
     A small input (fewer partitions than cores) is spread and persisted; a
@@ -122,5 +122,5 @@ def staged(df: DataFrame):
     if df.rdd.getNumPartitions() >= cores:
         yield df
         return
-    with persisted(df.repartition(cores)) as cached:
+    with persisted(df.repartition(cores, *by) if by else df.repartition(cores)) as cached:
         yield cached
