@@ -83,3 +83,14 @@ def test_apply_params_only_known_columns(spark):
     assert row["a"] == 0.0 and row["z"] == 10.0
     back = pr.NormParams.from_df(params.to_df(spark))
     assert back.mean["a"] == 1.0
+
+
+def test_group_mean_join_path(spark, houses, monkeypatch):
+    monkeypatch.setattr(pr, "MAX_INLINE_GROUPS", 1)  # force the (broadcast) join instead of an inline CASE
+    fitted = pr.fit_group_mean(houses, ["age", "rooms"], "is_house")
+    assert fitted.inline is None
+    got = fitted.apply(houses).toPandas().set_index("id")
+    pdf = houses.toPandas()
+    want = pdf["age"].fillna(pdf.groupby("is_house")["age"].transform("mean"))
+    assert np.allclose(got.loc[pdf["id"], "age"].values, want.values)
+    assert list(fitted.apply(houses).columns) == houses.columns

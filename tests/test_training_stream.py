@@ -80,3 +80,16 @@ def test_entry_contract(spark):
     # a few registered queries run on the smoke tables
     for name in ["describe_all", "kmeans_fit", "cv_lambda", "qq_table"]:
         assert q[name](spark, SF_SMALL).count() > 0
+
+
+def test_process_dataset_global_impute_without_locations(spark, houses):
+    df = convert_units(houses)
+    res = process_dataset(df, location_cols=None, features_to_impute=["age", "rooms"], impute_by_zone=False)
+    out = res.df.toPandas()
+    assert res.zone_stats is None and res.df_pos is None
+    assert "dist_to_cluster_center" not in out.columns and {"pool_house", "house_area"} <= set(out.columns)
+    assert out["age"].notna().all() and np.isclose(out["age"].mean(), df.toPandas()["age"].mean())
+    import pytest
+
+    with pytest.raises(ValueError):
+        process_dataset(df, location_cols=None, impute_by_zone=True)
