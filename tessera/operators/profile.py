@@ -199,3 +199,26 @@ def binned_scatter(df: DataFrame, x: str, y: str, bins: int = 20, hue: str | Non
     if hue:
         keys.append(F.col(hue))
     return df.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("count"))
+
+
+def pair_bins(df: DataFrame, columns: Sequence[str], bins: int = 10, hue: str | None = None) -> DataFrame:
+    """2-D bin counts for every pair of ``columns`` (the table behind a pair
+    plot), in one scan: ranges in one aggregate, then rows exploded to
+    (x, y, bx, by) and counted with one ``groupBy``."""
+    cols = list(columns)
+    r = df.agg(*[F.min(c).cast("double").alias(f"lo_{i}") for i, c in enumerate(cols)],
+               *[F.max(c).cast("double").alias(f"hi_{i}") for i, c in enumerate(cols)]).first()
+    pairs = [(i, j) for i in range(len(cols)) for j in range(len(cols)) if i != j]
+    structs = []
+    for i, j in pairs:
+        xi, xj = F.col(cols[i]).cast("double"), F.col(cols[j]).cast("double")
+        ok = xi.isNotNull() & xj.isNotNull()
+        structs.append(
+            F.when(ok, F.struct(F.lit(cols[i]).alias("x"), F.lit(cols[j]).alias("y"),
+                                bin_index(xi, r[f"lo_{i}"], r[f"hi_{i}"], bins).alias("bx"),
+                                bin_index(xj, r[f"lo_{j}"], r[f"hi_{j}"], bins).alias("by")))
+        )
+    keep = [F.col(hue)] if hue else []
+    long = df.select(*keep, F.explode(F.array(*structs)).alias("_s")).filter(F.col("_s").isNotNull())
+    keys = [F.col("_s.x").alias("x"), F.col("_s.y").alias("y"), F.col("_s.bx").alias("bx"), F.col("_s.by").alias("by")]
+    return long.groupBy(*keys, *keep).agg(F.count(F.lit(1)).alias("count"))

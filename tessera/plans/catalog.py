@@ -1344,3 +1344,26 @@ def q_sink_csv(spark, sf):
 def q_scan_csv(spark, sf):
     """Header CSV scan with inferred types (double/string/int) and empty cells as NULL."""
     return _csv_roundtrip(spark, sf, False)
+
+
+PAIR_COLS = ["area", "price", "age"]
+
+
+def _pair_sql() -> str:
+    parts = []
+    for a in PAIR_COLS:
+        for b in PAIR_COLS:
+            if a == b:
+                continue
+            parts.append(
+                f"SELECT '{a}' AS x, '{b}' AS y, CAST(least(floor(({a} - lo_{a}) / (hi_{a} - lo_{a}) * 10), 9) AS INTEGER) AS bx, "
+                f"CAST(least(floor(({b} - lo_{b}) / (hi_{b} - lo_{b}) * 10), 9) AS INTEGER) AS by, is_house, count(*) AS count "
+                f"FROM houses, rg WHERE {a} IS NOT NULL AND {b} IS NOT NULL GROUP BY ALL"
+            )
+    rg = "rg AS (SELECT " + ", ".join(f"min({c})::DOUBLE AS lo_{c}, max({c})::DOUBLE AS hi_{c}" for c in PAIR_COLS) + " FROM houses)"
+    return W(HOUSES, rg) + "\nUNION ALL\n".join(parts)
+
+
+@query("binned_pairs", _pair_sql())
+def q_binned_pairs(spark, sf):
+    return pf.pair_bins(houses(spark, sf), PAIR_COLS, 10, hue="is_house")

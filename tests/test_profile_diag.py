@@ -126,3 +126,17 @@ def test_features(spark, houses):
     assert row["age_zone_0"] is None and row["age_zone_1"] is None  # NULL * 0 stays NULL
     stats = fe.feature_stats(out, ["a2"]).first()
     assert np.isclose(stats["mean"], 2 * make_houses()["area"].mean())
+
+
+def test_pair_bins_matches_numpy(spark, houses):
+    pdf = make_houses()
+    got = pf.pair_bins(houses, ["area", "age"], 4).toPandas()
+    sub = pdf[["area", "age"]].dropna()
+    h, _, _ = np.histogram2d(sub["area"], sub["age"], bins=4,
+                             range=[[pdf["area"].min(), pdf["area"].max()], [pdf["age"].min(), pdf["age"].max()]])
+    g = got[(got.x == "area") & (got.y == "age")]
+    mat = np.zeros((4, 4))
+    for r in g.itertuples():
+        mat[r.bx, r.by] = r.count
+    assert np.array_equal(mat, h)
+    assert set(zip(got.x, got.y)) == {("area", "age"), ("age", "area")}
