@@ -146,3 +146,24 @@ def test_segment_fit_and_feature_impact(spark):
     assert set(imp.index) == {"0", "1", "2", "all"}
     assert np.isclose(imp.loc["all", "average_target"], pdf["y"].mean())
     assert imp.loc["all", "display_name"] == "X"
+
+
+def test_lambda_sweep_with_inverse_transform(data):
+    pdf, df = data
+    df = df.withColumn("ly", F.log("y"))
+    grid = [0.0, 2.0]
+    res = sel.lambda_sweep(df, ["a", "b"], "ly", ["id"], grid, test_size=0.3, seed=8, degree=2, inverse="exp")
+    order = sorted(pdf["id"], key=lambda i: (hashlib.md5(f"8|{i}".encode()).hexdigest(), i))
+    n_test = int(len(order) * 0.3)
+    is_test = pdf["id"].isin(set(order[len(order) - n_test :])).values
+    x, ly = pdf[["a", "b"]].values, np.log(pdf["y"].values)
+    m, s = x[~is_test].mean(axis=0), x[~is_test].std(axis=0, ddof=1)
+    a_tr, a_te = _design((x[~is_test] - m) / s, 2), _design((x[is_test] - m) / s, 2)
+    curve = res.curve.orderBy("position").toPandas()
+    for pos, lam in enumerate(grid):
+        eye = np.eye(a_tr.shape[1])
+        eye[0, 0] = 0
+        b = np.linalg.solve(a_tr.T @ a_tr + lam * eye, a_tr.T @ ly[~is_test]) if lam else np.linalg.lstsq(a_tr, ly[~is_test], rcond=None)[0]
+        p, yy = np.exp(a_te @ b), np.exp(ly[is_test])
+        assert np.isclose(curve.loc[pos, "mse"], np.mean((p - yy) ** 2), rtol=1e-8)
+        assert np.isclose(curve.loc[pos, "r2"], 1 - ((yy - p) ** 2).sum() / ((yy - yy.mean()) ** 2).sum(), rtol=1e-8)
