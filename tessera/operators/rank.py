@@ -24,6 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.functions.expr import dlit
 from tessera.session import materialize
 
 # Rows of a hash bucket small enough to rank directly (one task).
@@ -235,18 +236,14 @@ def exact_quantiles(
         if rounds >= SELECT_MAX_ROUNDS:
             _resolve_by_rank(long, pending, found)
             break
-        rdf = spark.createDataFrame(
-            [(i, rg[0], rg[1], float(rg[2]), float(rg[3])) for rg, i in rid.items()],
-            "_rid int, _rg string, _rc string, _lo double, _hi double",
-        )
-        cond = F.col("_g").eqNullSafe(F.col("_rg")) & (F.col("_c") == F.col("_rc")) & F.col("_v").between(F.col("_lo"), F.col("_hi"))
-        bucket = F.least(
-            F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * SELECT_BUCKETS),
-            F.lit(SELECT_BUCKETS - 1),
-        ).cast("int")
+        # ranges of one column are disjoint or identical: a literal CASE gives
+        # each value its range (no join, no broadcast job)
+        range_id, bucket = _range_case(rid, lambda lo, hi: F.least(
+            F.floor((F.col("_v") - dlit(lo)) / dlit(hi - lo) * SELECT_BUCKETS), F.lit(SELECT_BUCKETS - 1)))
         hist = (
-            long.join(F.broadcast(rdf), cond)
-            .groupBy("_rid", bucket.alias("_bk"))
+            long.select(range_id.alias("_rid"), bucket.cast("int").alias("_bk"), "_v")
+            .filter(F.col("_rid").isNotNull())
+            .groupBy("_rid", "_bk")
             .agg(F.count(F.lit(1)).alias("cnt"), F.min("_v").alias("bmin"), F.max("_v").alias("bmax"))
             .collect()
         )
@@ -282,28 +279,35 @@ def exact_quantiles(
     return result
 
 
+def _range_case(rid: dict, bucket_of=None):
+    """CASE expressions mapping ``(_g, _c, _v)`` to its range id (and bucket)."""
+    rid_expr, bucket_expr = None, None
+    for (g, c, lo, hi, *_), i in rid.items():
+        cond = (F.col("_c") == F.lit(c)) & F.col("_v").between(dlit(lo), dlit(hi))
+        cond = cond & (F.col("_g").isNull() if g is None else (F.col("_g") == F.lit(g)))
+        rid_expr = F.when(cond, F.lit(i)) if rid_expr is None else rid_expr.when(cond, F.lit(i))
+        if bucket_of is not None:
+            b = bucket_of(lo, hi)
+            bucket_expr = F.when(cond, b) if bucket_expr is None else bucket_expr.when(cond, b)
+    return rid_expr, bucket_expr
+
+
 def _resolve_by_rank(long: DataFrame, targets: dict[tuple, list], found: dict) -> None:
     """Rank the rows of each small leaf range directly (one job for all leaves)."""
-    spark = long.sparkSession
     items = list(targets.items())
     ranges = sorted({(t[0], t[1], s[0], s[1], s[2]) for t, s in items}, key=repr)
     rid = {rg: i for i, rg in enumerate(ranges)}
-    rdf = spark.createDataFrame(
-        [(i, rg[0], rg[1], float(rg[2]), float(rg[3])) for rg, i in rid.items()],
-        "_rid int, _rg string, _rc string, _lo double, _hi double",
-    )
-    want = spark.createDataFrame(
-        [(rid[(t[0], t[1], s[0], s[1], s[2])], int(t[2] - s[2] + 1), i) for i, (t, s) in enumerate(items)],
-        "_wrid int, _wrn long, _tid int",
-    )
-    cond = F.col("_g").eqNullSafe(F.col("_rg")) & (F.col("_c") == F.col("_rc")) & F.col("_v").between(F.col("_lo"), F.col("_hi"))
+    range_id, _ = _range_case(rid)
     w = Window.partitionBy("_rid").orderBy("_v")
-    rows = (
-        long.join(F.broadcast(rdf), cond)
-        .select("_rid", "_v", F.row_number().over(w).alias("_rn"))
-        .join(F.broadcast(want), (F.col("_rid") == F.col("_wrid")) & (F.col("_rn") == F.col("_wrn")))
-        .select("_tid", "_v")
-        .collect()
+    ranked = (
+        long.select(range_id.alias("_rid"), "_v")
+        .filter(F.col("_rid").isNotNull())
+        .withColumn("_rn", F.row_number().over(w))
     )
-    for r in rows:
+    hit, tid = None, F.lit(None).cast("int")
+    for i, (t, st) in enumerate(items):
+        cond = (F.col("_rid") == rid[(t[0], t[1], st[0], st[1], st[2])]) & (F.col("_rn") == int(t[2] - st[2] + 1))
+        hit = cond if hit is None else hit | cond
+        tid = F.when(cond, F.lit(i)).otherwise(tid)
+    for r in ranked.filter(hit).select(tid.alias("_tid"), "_v").collect():
         found[items[r["_tid"]][0]] = r["_v"]
