@@ -275,3 +275,23 @@ def test_mllib_backend_agrees_on_separated_clusters(spark):
     ours = sorted(kmeans_fit(df, ["a", "b"], k=3, key_cols=["id"]).centers)
     ml = sorted(kmeans_fit_mllib(df, ["a", "b"], k=3).centers)
     assert np.allclose(ours, ml, atol=1e-6)
+
+
+def test_ridge_matches_mllib_mapping(spark):
+    """Closed-form ridge with penalty alpha equals MLlib's ridge with
+    regParam = alpha * sample_std(y) / n (no standardisation, L-BFGS)."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+
+    rng = np.random.default_rng(31)
+    n = 500
+    x = rng.normal(size=(n, 2))
+    y = 4.0 + 1.5 * x[:, 0] - 2.0 * x[:, 1] + rng.normal(0, 0.5, n)
+    pdf = pd.DataFrame({"a": x[:, 0], "b": x[:, 1], "y": y})
+    df = to_spark(spark, pdf, "a double, b double, y double", partitions=2)
+    alpha = 40.0
+    ours = rg.fit_ridge(df, ["a", "b"], "y", alpha=alpha)
+    vec = VectorAssembler(inputCols=["a", "b"], outputCol="f").transform(df)
+    ml = LinearRegression(featuresCol="f", labelCol="y", regParam=alpha * pdf["y"].std() / n, elasticNetParam=0.0,
+                          standardization=False, solver="l-bfgs", tol=1e-12, maxIter=500).fit(vec)
+    assert np.allclose([ours.intercept, *ours.coef], [ml.intercept, *ml.coefficients.toArray()], rtol=1e-4, atol=1e-4)
