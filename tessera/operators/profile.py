@@ -6,11 +6,14 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.expr import dlit
 from tessera.operators.prep import numeric_columns
+from tessera.operators.moments import tsqr
 from tessera.operators.rank import exact_quantiles
 from tessera.session import staged
 
@@ -118,16 +121,30 @@ def rows_with_null(df: DataFrame) -> DataFrame:
 def corr_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Pearson correlation of every pair (pairwise-complete), long form (a, b, r).
 
-    One aggregate of p(p-1)/2 ``corr`` expressions; the diagonal is corr(a, a).
+    Without NULLs in the columns, all pairs come from ONE TSQR pass: for
+    R = qr([1, X]), the block after the intercept gives R_xxᵀR_xx = n·cov
+    (centred, no cancellation).  Columns with NULLs need pairwise-complete
+    statistics: ``corr`` aggregates in chunks of ``CORR_CHUNK`` pairs (whole-stage
+    codegen stops at 100 buffer fields).
     """
     cols = list(columns or numeric_columns(df))
     pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
     values = {}
     with staged(df.select(*[F.col(c).cast("double").alias(c) for c in cols])) as data:
-        for s in range(0, len(pairs), CORR_CHUNK):
-            chunk = pairs[s : s + CORR_CHUNK]
-            row = data.agg(*[F.corr(cols[i], cols[j]).alias(f"c{i}_{j}") for i, j in chunk]).first()
-            values.update({(i, j): row[f"c{i}_{j}"] for i, j in chunk})
+        nulls = data.agg(*[F.count_if(F.col(c).isNull() | F.isnan(c)).alias(c) for c in cols]).first()
+        if len(pairs) > CORR_CHUNK and all(nulls[c] == 0 for c in cols):
+            ((r, n),) = tsqr(data, [F.lit(1.0), *[F.col(c) for c in cols]]).values()
+            rxx = r[1:, 1:]
+            scatter = rxx.T @ rxx
+            d = np.sqrt(np.diag(scatter))
+            with np.errstate(divide="ignore", invalid="ignore"):
+                corr = scatter / np.outer(d, d)
+            values = {(i, j): (None if not np.isfinite(corr[i, j]) else float(corr[i, j])) for i, j in pairs}
+        else:
+            for s in range(0, len(pairs), CORR_CHUNK):
+                chunk = pairs[s : s + CORR_CHUNK]
+                row = data.agg(*[F.corr(cols[i], cols[j]).alias(f"c{i}_{j}") for i, j in chunk]).first()
+                values.update({(i, j): row[f"c{i}_{j}"] for i, j in chunk})
     rows = []
     for (i, j), v in values.items():
         rows.append((cols[i], cols[j], v))

@@ -140,3 +140,20 @@ def test_pair_bins_matches_numpy(spark, houses):
         mat[r.bx, r.by] = r.count
     assert np.array_equal(mat, h)
     assert set(zip(got.x, got.y)) == {("area", "age"), ("age", "area")}
+
+
+def test_corr_one_pass_equals_pairwise(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(400, 6)) @ rng.normal(size=(6, 6)) + 1000.0  # large means: no cancellation allowed
+    cols = [f"c{i}" for i in range(6)]
+    pdf = pd.DataFrame(x, columns=cols)
+    df = to_spark(spark, pdf, ", ".join(f"{c} double" for c in cols), partitions=3)
+    monkeypatch.setattr(pf, "CORR_CHUNK", 4)  # 21 pairs > 4: the one-pass (TSQR) route
+    fast = pf.corr_matrix(df, cols).toPandas().set_index(["a", "b"])["r"]
+    monkeypatch.setattr(pf, "CORR_CHUNK", 1000)  # one chunk of corr() aggregates
+    slow = pf.corr_matrix(df, cols).toPandas().set_index(["a", "b"])["r"]
+    want = pdf.corr()
+    for a in cols:
+        for b in cols:
+            assert np.isclose(fast[(a, b)], want.loc[a, b], atol=1e-12)
+            assert np.isclose(slow[(a, b)], want.loc[a, b], atol=1e-12)
