@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.metrics import MSE, R2, Metric
 from tessera.operators.evaluate import evaluate
-from tessera.operators.prep import NormParams, fit_zscore, target_transform
+from tessera.operators.prep import NormParams, fit_zscore, numeric_columns, target_transform
 from tessera.operators.regress import LinearModel, fit
 from tessera.operators.rank import hash_key
 from tessera.operators.split import split_column
@@ -86,7 +86,10 @@ def train_and_evaluate(
         raise ValueError("inverse must be given when the target is transformed")
     if fit_params is None:
         fit_params = {"method": "gradient_descent", "learning_rate": 0.01, "epochs": 1000}
-    feats = [c for c in df.columns if c != target and c not in key_cols] if features is None else list(features)
+    if features is None:  # every numeric column but the target and the key
+        feats = [c for c in numeric_columns(df) if c != target and c not in key_cols]
+    else:
+        feats = list(features)
     # the narrow projection is read by 5 jobs (count, 2 split cut points,
     # moments, fit, metrics): spread it over the cores and keep it
     staged = spread(df.select(*key_cols, *feats, target), by=key_cols)

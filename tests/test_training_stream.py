@@ -93,3 +93,9 @@ def test_process_dataset_global_impute_without_locations(spark, houses):
 
     with pytest.raises(ValueError):
         process_dataset(df, location_cols=None, impute_by_zone=True)
+
+
+def test_default_features_are_numeric(spark, houses):
+    res = train_and_evaluate(houses, "price", ["id"], fit_params={"method": "pseudo_inverse"})
+    assert "area_units" not in res.pipeline.features and "id" not in res.pipeline.features
+    assert set(res.pipeline.features) == {"area", "is_house", "has_pool", "age", "lat", "lon", "rooms"}
