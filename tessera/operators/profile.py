@@ -20,6 +20,8 @@ from tessera.session import staged
 # A corr() keeps 6 buffer fields; whole-stage codegen stops at 100 fields per
 # operator, so correlations are aggregated in chunks of this many pairs.
 CORR_CHUNK = 16
+# Grid points per KDE aggregate (one sum buffer each; codegen stops at 100).
+KDE_CHUNK = 96
 
 DESCRIBE_SCHEMA = (
     "column string, position int, count long, unique long, top string, freq long, mean double, std double, "
@@ -190,8 +192,9 @@ def histogram(df: DataFrame, col: str, bins: int = 10, lo: float | None = None,
 def kde_grid(df: DataFrame, col: str, points: int = 100, bandwidth: float | None = None) -> DataFrame:
     """Gaussian kernel density on ``points`` even grid points from min to max.
 
-    Exact over all rows: one aggregate of ``points`` sums.  Default bandwidth
-    is Scott's rule, sample std · n^(-1/5).
+    Exact over all rows: one sum per grid point, aggregated in chunks of
+    ``KDE_CHUNK`` points (one buffer field each, within the codegen limit).
+    Default bandwidth is Scott's rule, sample std · n^(-1/5).
     """
     x = F.col(col).cast("double")
     r = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"), F.count(x).alias("n"), F.stddev_samp(x).alias("s")).first()
@@ -200,12 +203,13 @@ def kde_grid(df: DataFrame, col: str, points: int = 100, bandwidth: float | None
     step = (hi - lo) / (points - 1) if points > 1 else 0.0
     grid = [lo + i * step for i in range(points)]
     norm = 1.0 / (n * h * math.sqrt(2 * math.pi))
-    aggs = [F.sum(F.exp(-0.5 * F.pow((dlit(g) - x) / dlit(h), 2))).alias(f"k{i}") for i, g in enumerate(grid)]
-    wide = df.filter(x.isNotNull()).agg(*aggs)
-    return wide.select(
-        F.explode(F.array(*[F.struct(F.lit(i).alias("i"), dlit(g).alias("x"), (F.col(f"k{i}") * norm).alias("density"))
-                            for i, g in enumerate(grid)])).alias("_s")
-    ).select("_s.*")
+    data = df.select(x.alias("_x")).filter(F.col("_x").isNotNull())
+    rows = []
+    for start in range(0, points, KDE_CHUNK):
+        idx = range(start, min(points, start + KDE_CHUNK))
+        sums = data.agg(*[F.sum(F.exp(-0.5 * F.pow((dlit(grid[i]) - F.col("_x")) / dlit(h), 2))).alias(f"k{i}") for i in idx]).first()
+        rows += [(i, float(grid[i]), float(sums[f"k{i}"]) * norm) for i in idx]
+    return df.sparkSession.createDataFrame(rows, "i int, x double, density double")
 
 
 def binned_scatter(df: DataFrame, x: str, y: str, bins: int = 20, hue: str | None = None) -> DataFrame:

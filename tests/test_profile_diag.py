@@ -157,3 +157,12 @@ def test_corr_one_pass_equals_pairwise(spark, monkeypatch):
         for b in cols:
             assert np.isclose(fast[(a, b)], want.loc[a, b], atol=1e-12)
             assert np.isclose(slow[(a, b)], want.loc[a, b], atol=1e-12)
+
+
+def test_kde_many_points_chunked(spark):
+    v = np.linspace(-2, 3, 50) ** 3
+    df = spark.createDataFrame([(float(x),) for x in v], "v double")
+    k = pf.kde_grid(df, "v", 250, bandwidth=1.3).orderBy("i").toPandas()
+    x = k["x"].values
+    want = np.exp(-0.5 * ((x[:, None] - v[None, :]) / 1.3) ** 2).sum(axis=1) / (len(v) * 1.3 * math.sqrt(2 * math.pi))
+    assert len(k) == 250 and np.allclose(k["density"], want)
