@@ -72,8 +72,10 @@ def _describe(df: DataFrame, exact: bool) -> DataFrame:
             F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in others])).alias("_s")
         ).select("_s.c", "_s.v").filter(F.col("v").isNotNull())
         counts = long.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
-        best = counts.groupBy("c").agg(F.max("n").alias("n"))
-        top = counts.join(best, ["c", "n"]).groupBy("c").agg(F.min("v").alias("top"), F.first("n").alias("freq"))
+        # most frequent value per column, ties to the smallest value
+        top = counts.groupBy("c").agg(
+            F.min_by("v", F.struct((-F.col("n")).alias("k"), F.col("v").alias("v"))).alias("top"), F.max("n").alias("freq")
+        )
         tops = {r["c"]: (r["top"], r["freq"]) for r in top.collect()}
     rows = []
     for i, c in enumerate(cols):

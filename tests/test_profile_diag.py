@@ -166,3 +166,9 @@ def test_kde_many_points_chunked(spark):
     x = k["x"].values
     want = np.exp(-0.5 * ((x[:, None] - v[None, :]) / 1.3) ** 2).sum(axis=1) / (len(v) * 1.3 * math.sqrt(2 * math.pi))
     assert len(k) == 250 and np.allclose(k["density"], want)
+
+
+def test_describe_top_ties_to_smallest(spark):
+    df = spark.createDataFrame([("b",), ("a",), ("b",), ("a",), ("c",), (None,)], "s string")
+    row = pf.describe_all(df).first()
+    assert row["top"] == "a" and row["freq"] == 2 and row["unique"] == 3 and row["count"] == 5
