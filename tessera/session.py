@@ -79,7 +79,13 @@ def materialize(df: DataFrame) -> DataFrame:
     join back on); a lost executor re-reads the files instead of recomputing.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    # an eager checkpoint evaluates the plan twice (count, then write);
+    # persisting first makes both read the same blocks
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return cached.checkpoint(eager=True)
+    finally:
+        cached.unpersist()
 
 
 def spread(df: DataFrame, by: Sequence[str] | None = None) -> DataFrame:
