@@ -135,6 +135,7 @@ class GroupMeans:
     columns: tuple[str, ...]
     table: DataFrame  # (group_col, *columns)
     inline: tuple[tuple, ...] | None = None  # collected rows when the table is small
+    n_groups: int | None = None
 
     def apply(self, df: DataFrame) -> DataFrame:
         if self.inline is not None:
@@ -153,7 +154,7 @@ class GroupMeans:
         means = self.table.select(
             F.col(self.group_col).alias("_grp"), *[F.col(c).alias(f"_mean_{c}") for c in self.columns]
         )
-        n_groups = means.count()
+        n_groups = self.n_groups if self.n_groups is not None else means.count()
         if n_groups <= MAX_BROADCAST_GROUPS:
             means = F.broadcast(means)
         joined = df.join(means, F.col(self.group_col).eqNullSafe(F.col("_grp")), "left")
@@ -169,7 +170,7 @@ def fit_group_mean(df: DataFrame, columns: Sequence[str], group_col: str) -> Gro
     inline = None
     if n_groups <= MAX_INLINE_GROUPS:
         inline = tuple(tuple(r) for r in table.orderBy(group_col).collect())
-    return GroupMeans(group_col, tuple(columns), table, inline)
+    return GroupMeans(group_col, tuple(columns), table, inline, n_groups)
 
 
 def impute_group_mean(df: DataFrame, columns: Sequence[str], group_col: str) -> DataFrame:
