@@ -20,6 +20,8 @@ from tessera.session import staged
 # A corr() keeps 6 buffer fields; whole-stage codegen stops at 100 fields per
 # operator, so correlations are aggregated in chunks of this many pairs.
 CORR_CHUNK = 16
+# From this many chunks on, NULL-free columns are correlated in one TSQR pass.
+CORR_ONE_PASS_CHUNKS = 4
 # Grid points per KDE aggregate (one sum buffer each; codegen stops at 100).
 KDE_CHUNK = 96
 
@@ -135,8 +137,12 @@ def corr_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
     values = {}
     with staged(df.select(*[F.col(c).cast("double").alias(c) for c in cols])) as data:
-        nulls = data.agg(*[F.count_if(F.col(c).isNull() | F.isnan(c)).alias(c) for c in cols]).first()
-        if len(pairs) > CORR_CHUNK and all(nulls[c] == 0 for c in cols):
+        # one pass pays off once chunking would take several jobs
+        one_pass = len(pairs) > CORR_ONE_PASS_CHUNKS * CORR_CHUNK
+        if one_pass:
+            nulls = data.agg(*[F.count_if(F.col(c).isNull() | F.isnan(c)).alias(c) for c in cols]).first()
+            one_pass = all(nulls[c] == 0 for c in cols)
+        if one_pass:
             ((r, n),) = tsqr(data, [F.lit(1.0), *[F.col(c) for c in cols]]).values()
             rxx = r[1:, 1:]
             scatter = rxx.T @ rxx
