@@ -99,3 +99,24 @@ def test_default_features_are_numeric(spark, houses):
     res = train_and_evaluate(houses, "price", ["id"], fit_params={"method": "pseudo_inverse"})
     assert "area_units" not in res.pipeline.features and "id" not in res.pipeline.features
     assert set(res.pipeline.features) == {"area", "is_house", "has_pool", "age", "lat", "lon", "rooms"}
+
+
+def test_stream_wide_kmeans_labels(spark):
+    import pandas as pd
+
+    from tessera.operators.kmeans import kmeans_fit
+    from tessera.streaming import zone_stream
+
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(120, 12))
+    pdf = pd.DataFrame(x, columns=[f"f{i}" for i in range(12)]).assign(id=np.arange(120))
+    df = to_spark(spark, pdf, ", ".join(f"f{i} double" for i in range(12)) + ", id long")
+    cols = [f"f{i}" for i in range(12)]
+    model = kmeans_fit(df, cols, k=8, max_iter=5, key_cols=["id"])  # k*d = 96: vectorised label UDF
+    root = tempfile.mkdtemp(prefix="tessera-stream-", dir="/tmp")
+    df.write.parquet(os.path.join(root, "in"))
+    stream = spark.readStream.schema(df.schema).parquet(os.path.join(root, "in"))
+    run_available_now(zone_stream(stream, model, cols), os.path.join(root, "out"), os.path.join(root, "ckpt"))
+    got = spark.read.parquet(os.path.join(root, "out")).orderBy("id").select("zone").toPandas()["zone"].values
+    want = model.predict(df, cols).orderBy("id").select("zone").toPandas()["zone"].values
+    assert (got == want).all()
