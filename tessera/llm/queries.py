@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import exact_dedup, langid
-from tessera.llm.common import held_out
+from tessera.llm import exact_dedup, langid, mixing, packing, token_counts
+from tessera.llm.common import held_out, scratch_path
 from tessera.sources.io import read_table
 
+TOKENIZER = "word_bpe_49k.json"
+
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
 
@@ -18,6 +20,12 @@ def query(fn):
     return fn
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
+
+
 @query
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
@@ -46,3 +54,53 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     learn = F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))
     model = langid.train(docs, learn=learn)
     return langid.predict(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mark(read_table(spark, sf_dir, "documents"))
+
+
+ORACLE["op4_source_mix"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, md5('17:' || CAST(doc_id AS VARCHAR)) AS digest,
+         CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
+  FROM documents),
+s AS (
+  SELECT source, sum(size) AS source_size,
+         CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5.0 WHEN 1 THEN 2.0 ELSE 1.0 END AS w
+  FROM d GROUP BY source),
+fill(step, level) AS (
+  SELECT 0, CAST(0 AS DOUBLE)
+  UNION ALL
+  SELECT step + 1,
+         (1.5 * (SELECT sum(source_size) FROM s)
+          - (SELECT coalesce(sum(CASE WHEN w * level > 2 * source_size THEN 2 * source_size END), 0) FROM s))
+         / nullif((SELECT sum(CASE WHEN w * level <= 2 * source_size AND source_size > 0 THEN w END) FROM s), 0)
+  FROM fill WHERE step < 60),
+t AS (
+  SELECT source, CAST(source_size AS BIGINT) AS source_size,
+         CAST(CASE WHEN source_size = 0 THEN 0
+              ELSE least(2.0 * source_size, w * (SELECT max(level) FROM fill)) END AS DOUBLE) AS target
+  FROM s),
+r AS (
+  SELECT *, CASE WHEN source_size = 0 THEN 0 ELSE CAST(round(target) AS BIGINT) // source_size END AS whole FROM t),
+c AS (
+  SELECT d.doc_id, d.size, r.source_size, r.target, r.whole, CAST(round(r.target) AS BIGINT) - r.whole * r.source_size AS rest,
+         sum(d.size) OVER (PARTITION BY d.source ORDER BY d.digest, d.doc_id) - d.size AS before
+  FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source)
+SELECT doc_id, size, source_size, target,
+       CAST(whole * size + greatest(0, least(size, rest - before)) AS BIGINT) AS taken
+FROM c"""
+
+
+@query
+def op2_sequence_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # a cache of its own for each call: every distinct content is encoded
+    cache = scratch_path(spark, "token-cache")
+    return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), tokenizer_path(), cache)
