@@ -91,21 +91,20 @@ def build_directory(
         "slots",
     )
     fits = (F.col("keys") <= bucket_keys) & (F.col("bytes") <= bucket_bytes)
-    depth, open_slots, settled = 0, fine, None
+    depth, settled = 0, None
     while True:
         slot = F.shiftrightunsigned(F.col("fine"), MAX_DEPTH - depth)
-        filled = open_slots.groupBy(slot.alias("slot")).agg(F.sum("keys").alias("keys"), F.sum("bytes").alias("bytes"))
-        if depth == MAX_DEPTH:
-            closed, more = filled, 0
-        else:
-            closed = filled.filter(fits)
-            more = filled.filter(~fits).count()
+        filled = fine.groupBy(slot.alias("slot")).agg(F.sum("keys").alias("keys"), F.sum("bytes").alias("bytes"))
+        if depth:
+            # a bucket of this depth exists where its parent (two slots) was overfull
+            pair = Window.partitionBy(F.shiftrightunsigned(F.col("slot"), 1))
+            parent = (F.sum("keys").over(pair) > bucket_keys) | (F.sum("bytes").over(pair) > bucket_bytes)
+            filled = filled.withColumn("split", parent).filter("split").drop("split")
+        closed = filled if depth == MAX_DEPTH else filled.filter(fits)
         part = closed.select(F.lit(depth).alias("local_depth"), "slot")
         settled = part if settled is None else settled.unionAll(part)
-        if not more:
+        if depth == MAX_DEPTH or not filled.filter(~fits).count():
             break
-        over = filled.filter(~fits).select("slot")
-        open_slots = open_slots.withColumn("slot", slot).join(F.broadcast(over), "slot", "left_semi").drop("slot")
         depth += 1
     # a bucket of local depth l owns 2^(depth - l) slots of the directory
     span = F.pow(F.lit(2), F.lit(depth) - F.col("local_depth")).cast("long")
