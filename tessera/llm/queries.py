@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import exact_dedup, langid, mixing, packing, token_counts
+from tessera.llm import exact_dedup, langid, mixing, near_dedup, packing, token_counts
 from tessera.llm.common import held_out, scratch_path
 from tessera.sources.io import read_table
 
@@ -104,3 +104,31 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     # a cache of its own for each call: every distinct content is encoded
     cache = scratch_path(spark, "token-cache")
     return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), tokenizer_path(), cache)
+
+
+@query
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.mark(read_table(spark, sf_dir, "documents"), k=3, percent=85)
+
+
+ORACLE["op6_near_dedup"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                              'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+         ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s
+  FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+l AS (
+  SELECT p.a, p.b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i FROM s x JOIN s y ON x.s = y.s AND x.doc_id < y.doc_id
+                        GROUP BY ALL) p
+  JOIN n x ON x.doc_id = p.a JOIN n y ON y.doc_id = p.b
+  WHERE 100 * p.i >= 85 * (x.n + y.n - p.i)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(a, b) AS (SELECT doc_id, doc_id FROM n UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+c AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c.component_id, w.doc_id) AS component_id,
+       coalesce(c.component_id, w.doc_id) = w.doc_id AS kept
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN c ON c.doc_id = w.doc_id"""
