@@ -4,6 +4,7 @@ row fingerprints, and per-process caches of Python workers."""
 from __future__ import annotations
 
 import atexit
+import contextlib
 import sys
 import types
 import uuid
@@ -40,27 +41,27 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Delete every scratch table written through :func:`staged` so far.
+def scratch_tables() -> list[str]:
+    return [path for _, path in _SCRATCH]
 
-    Only for callers that have written the results read from them (the corpus
-    pipeline between stages, the session's end).
-    """
-    while _SCRATCH:
-        _, path = _SCRATCH.pop()
-        try:
-            jvm = spark._jvm
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-        except Exception:  # the session may be gone at interpreter exit
-            return
+
+def release(spark: SparkSession, paths: list[str]) -> None:
+    """Delete scratch tables.  Only for callers that have written what was read
+    from them (the corpus pipeline between stages, the session's end)."""
+    gone = set(paths)
+    fs = spark._jvm.org.apache.hadoop.fs
+    for path in gone:
+        p = fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    _SCRATCH[:] = [x for x in _SCRATCH if x[1] not in gone]
 
 
 @atexit.register
 def _release_at_exit() -> None:
     active = SparkSession.getActiveSession()
-    if active is not None:
-        release(active)
+    with contextlib.suppress(Exception):  # the JVM may be gone by then
+        if active is not None:
+            release(active, scratch_tables())
 
 
 def held_out(doc_id: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import exact_dedup, langid, mixing, near_dedup, packing, token_counts
+from tessera.llm import exact_dedup, knn, langid, mixing, near_dedup, packing, token_counts
 from tessera.llm.common import held_out, scratch_path
 from tessera.sources.io import read_table
 
@@ -132,3 +132,22 @@ c AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a)
 SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c.component_id, w.doc_id) AS component_id,
        coalesce(c.component_id, w.doc_id) = w.doc_id AS kept
 FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN c ON c.doc_id = w.doc_id"""
+
+
+@query
+def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return knn.top_k(read_table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
+ORACLE["op10_topk_search"] = r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+  WHERE q.vec_id % 100 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM p)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10"""
