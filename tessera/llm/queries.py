@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import exact_dedup, knn, langid, mixing, near_dedup, packing, token_counts
+from tessera.llm import exact_dedup, html_extract, knn, langid, mixing, near_dedup, packing, token_counts
 from tessera.llm.common import held_out, scratch_path
 from tessera.sources.io import read_table
 
@@ -151,3 +151,8 @@ p AS (
   WHERE q.vec_id % 100 = 0),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM p)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10"""
+
+
+@query
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(read_table(spark, sf_dir, "pages"))
