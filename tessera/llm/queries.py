@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import exact_dedup, html_extract, knn, langid, mixing, near_dedup, packing, token_counts
+from tessera.llm import exact_dedup, html_extract, knn, langid, mixing, near_dedup, packing, token_counts, toxicity
 from tessera.llm.common import held_out, scratch_path
 from tessera.sources.io import read_table
 
@@ -156,3 +156,16 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10"""
 @query
 def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(read_table(spark, sf_dir, "pages"))
+
+
+@query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    learn = F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))
+    model = toxicity.train(docs, read_table(spark, sf_dir, "labels"), learn)
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"),
+    )
