@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import exact_dedup, html_extract, knn, langid, mixing, near_dedup, packing, token_counts, toxicity
+from tessera.llm import exact_dedup, html_extract, knn, langid, mixing, near_dedup, packing, pii, token_counts, toxicity
 from tessera.llm.common import held_out, scratch_path
 from tessera.sources.io import read_table
 
@@ -169,3 +169,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"),
     )
+
+
+@query
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(read_table(spark, sf_dir, "documents"))
+    digest = F.sha2("base", 256).alias("base_sha256")
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", digest, "spans")
