@@ -41,6 +41,9 @@ THRESHOLD = 0.7
 GAMMA = 0.9
 #: Pages of evidence that the tree over all hosts is worth.
 PRIOR_PAGES = 10
+#: Pages' worth of belief that a branch matters, before any evidence: two pages
+#: that repeat each other are no proof of a site's design.
+BELIEF_PAGES = 5
 MAX_BROADCAST_HOSTS = 50_000
 
 # Element names by their part in HTML.
@@ -68,7 +71,8 @@ TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(" + "|".join(NOT_TEXT) + r")\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
-    r"|</?[a-zA-Z!?][^>]*>",
+    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)>"  # a tag with a stray quote
+    r"|<[!?/][^>]*>",
     re.S | re.I,
 )
 ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
@@ -110,7 +114,7 @@ class Page:
             if m.start() > at:
                 self.text.append(source[at : m.start()])
             at = m.end()
-            tag = m[3]
+            close, tag, attributes = (m[2], m[3], m[4]) if m[3] else (m[5], m[6], m[7])
             if tag is None:
                 if m[1] is not None:
                     self.text.append(" ")
@@ -122,7 +126,7 @@ class Page:
                 continue
             else:
                 self.flush()
-                self.end(tag) if m[2] else self.start(tag, m[4])
+                self.end(tag) if close else self.start(tag, attributes)
         self.text.append(source[at:])
         self.flush()
 
@@ -261,10 +265,8 @@ def low_branches(rows: DataFrame, threshold: float) -> DataFrame:
     # evidence of other hosts counts as far as there is any
     worth = F.least(F.lit(float(PRIOR_PAGES)), F.col("all_pages") - 1)
     m = F.col("pages") - 1
-    blended = (m * F.col("importance") + worth * F.col("all_importance")) / F.greatest(m + worth, F.lit(1e-9))
-    both = own.join(everywhere, "node").withColumn(
-        "blended", F.when(m + worth > 0, blended).otherwise(F.lit(1.0))
-    )
+    seen = m * F.col("importance") + worth * F.col("all_importance")
+    both = own.join(everywhere, "node").withColumn("blended", (seen + BELIEF_PAGES) / (m + worth + BELIEF_PAGES))
     # node paths are part of a site's design, so a host has few of them
     low = both.filter(F.col("blended") < threshold)
     return low.groupBy("host").agg(F.sort_array(F.collect_set("node")).alias("low"))
