@@ -64,10 +64,12 @@ def poly_terms(features: Sequence[str], degree: int, base: dict[str, Column] | N
 
 
 def linear_combination(intercept: float, coefs: Sequence[float], terms: Sequence[Column]) -> Column:
-    out = dlit(intercept)
-    for b, t in zip(coefs, terms):
-        out = out + dlit(b) * t
-    return out
+    """Σ as a balanced tree, so the expression's depth grows with the logarithm
+    of the number of terms."""
+    level = [dlit(intercept), *[dlit(b) * t for b, t in zip(coefs, terms)]]
+    while len(level) > 1:
+        level = [a + b for a, b in zip(level[::2], level[1::2])] + level[len(level) & ~1 :]
+    return level[0]
 
 
 def squared_distances(points: Sequence[Column], centers: Sequence[Sequence[float]]) -> list[Column]:
@@ -102,7 +104,3 @@ def distance_to_own_center(points: Sequence[Column], zone: Column, centers: Sequ
         expr = F.when(zone == z, d) if expr is None else expr.when(zone == z, d)
     return F.sqrt(expr)
 
-
-def sig_round(c: str | Column, digits: int = 6) -> Column:
-    """Round to ``digits`` decimals (used to compare engines on float outputs)."""
-    return F.round(col_of(c), digits)

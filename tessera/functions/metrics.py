@@ -58,7 +58,3 @@ def get_metric(m: str | Metric) -> Metric:
     except KeyError:
         raise ValueError(f"unknown metric {m!r}; known: {sorted(METRICS)}") from None
 
-
-def rounded_mse(y: Column, p: Column) -> Column:
-    """MSE with the prediction rounded half-to-even first."""
-    return F.avg(F.pow(F.rint(p) - y, 2))

@@ -64,7 +64,7 @@ def regularized_loss(
     exclude_intercept: bool = True,
 ) -> float:
     """Base loss over the data + penalty on the coefficients (first = intercept)."""
-    from tessera.operators.regress import penalty_value
+    from tessera.operators.regress import Penalty
 
     loss = loss.lower()
     e = linear_combination(0.0, beta, terms) - F.col(y)
@@ -75,9 +75,10 @@ def regularized_loss(
         "l1": F.sum(F.abs(e)),
     }
     if loss not in aggs:
-        raise ValueError(f"Unrecognized loss function: {loss}")
+        raise ValueError(f"no such loss: {loss!r}")
     base = df.agg(aggs[loss].alias("v")).first()["v"]
-    return base + penalty_value(np.asarray(beta, dtype=float), regularization, alpha, l1_ratio, exclude_intercept)
+    penalty = Penalty.of(regularization, alpha, l1_ratio, exclude_intercept)
+    return base + float(penalty.value(np.asarray(beta, dtype=float)))
 
 
 def loss_gradient(
@@ -92,11 +93,11 @@ def loss_gradient(
     exclude_intercept: bool = True,
 ) -> np.ndarray:
     """∂loss/∂β in one aggregate: mse 2/m Xᵀe; mae 1/m Xᵀsign(e); l2 Xᵀe/‖e‖; l1 Xᵀsign(e)."""
-    from tessera.operators.regress import penalty_gradient
+    from tessera.operators.regress import Penalty
 
     loss = loss.lower()
     if loss not in ("mse", "mae", "l1", "l2"):
-        raise ValueError(f"Unrecognized loss function: {loss}")
+        raise ValueError(f"no such loss: {loss!r}")
     e = linear_combination(0.0, beta, terms) - F.col(y)
     w = F.signum(e) if loss in ("mae", "l1") else e
     row = df.agg(
@@ -113,7 +114,7 @@ def loss_gradient(
     elif loss == "l2":
         g = np.zeros_like(g) if row["norm"] < 1e-10 else g / row["norm"]
     beta = np.asarray(beta, dtype=float)
-    return g + penalty_gradient(beta, regularization, alpha, l1_ratio, exclude_intercept)
+    return g + Penalty.of(regularization, alpha, l1_ratio, exclude_intercept).gradient(beta)
 
 
 def coefficient_penalties(coefs: DataFrame, alpha: float, l1_ratio: float = 0.5, group_cols: Sequence[str] = ()) -> DataFrame:

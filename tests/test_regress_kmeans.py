@@ -84,13 +84,13 @@ def test_gradient_descent_matches_numpy_loop(linear_exact):
     for _ in range(200):
         b = b - 0.05 * (2 / 300) * a.T @ (a @ b - y)
     assert np.allclose([m.intercept, *m.coef], b, atol=1e-9)
-    assert len(m.history) == 200 and not m.info["converged"]
+    assert len(m.history) == 200 and not m.info["rested"]
 
 
 def test_gd_converges_and_absolute_loss(linear_exact):
     _, df = linear_exact
     m = rg.fit_gd(df, ["x1", "x2"], "y", learning_rate=0.1, epochs=2000, tolerance=1e-10)
-    assert m.info["converged"] and np.allclose([m.intercept, *m.coef], [3, 2, -1], atol=1e-3)
+    assert m.info["rested"] and np.allclose([m.intercept, *m.coef], [3, 2, -1], atol=1e-3)
     mae = rg.fit_gd(df, ["x1"], "y", loss="mae", learning_rate=0.5, epochs=15, tolerance=1e-12)
     assert len(mae.history) == 15 and mae.history[-1] < mae.history[0]
 
