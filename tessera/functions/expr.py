@@ -87,13 +87,14 @@ def squared_distances(points: Sequence[Column], centers: Sequence[Sequence[float
 def nearest_center(points: Sequence[Column], centers: Sequence[Sequence[float]]) -> Column:
     """Index of the nearest centre (0-based); ties go to the lowest index.
 
-    A row with a NULL coordinate gets NULL.
+    A row with a NULL or NaN coordinate gets NULL.
     """
     dists = F.array(*squared_distances(points, centers))
     label = (F.array_position(dists, F.array_min(dists)) - 1).cast("int")
     any_null = None
     for x in points:
-        any_null = x.isNull() if any_null is None else (any_null | x.isNull())
+        gone = x.isNull() | F.isnan(x.cast("double"))
+        any_null = gone if any_null is None else (any_null | gone)
     return F.when(any_null, F.lit(None).cast("int")).otherwise(label)
 
 

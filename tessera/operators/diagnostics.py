@@ -49,8 +49,10 @@ def polyfit_curve(df: DataFrame, y: str, y_hat: str, degree: int = 1, points: in
 def normal_pdf_overlay(df: DataFrame, col: str, points: int = 100) -> DataFrame:
     """N(mean, population std) density on ``points`` even points from min to max."""
     r = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi"), F.avg(col).alias("m"), F.stddev_pop(col).alias("s")).first()
-    step = (r["hi"] - r["lo"]) / (points - 1) if points > 1 else 0.0
     s, m = r["s"], r["m"]
+    if not s:  # no values, or all equal: there is no density to draw
+        return df.sparkSession.createDataFrame([], "i int, x double, pdf double")
+    step = (r["hi"] - r["lo"]) / (points - 1) if points > 1 else 0.0
     x = dlit(r["lo"]) + F.col("id") * dlit(step)
     pdf = dlit(1.0 / (s * math.sqrt(2 * math.pi))) * F.exp(-F.pow(x - dlit(m), 2) / dlit(2 * s * s))
     return df.sparkSession.range(points).select(F.col("id").cast("int").alias("i"), x.alias("x"), pdf.alias("pdf"))

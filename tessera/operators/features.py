@@ -101,20 +101,20 @@ def zone_interactions(df: DataFrame, features: Sequence[str], zone_col: str, n_z
 
 
 def power_feature_names(
-    df: DataFrame, powers: Sequence[int] = range(1, 40), cap: int = 300, exclude: Sequence[str] = ()
+    df: DataFrame, powers: Sequence[int] = range(1, 40), cap: int | None = None, exclude: Sequence[str] = ()
 ) -> list[tuple[str, str, int]]:
-    """(name, column, power) in column-major order, capped at ``cap`` features."""
+    """(name, column, power) in column-major order; ``cap`` keeps the first ones."""
     out = []
     for c in numeric_columns(df, exclude):
         for p in powers:
-            if len(out) >= cap:
+            if cap is not None and len(out) >= cap:
                 return out
             out.append((f"{c}_power_{p}", c, p))
     return out
 
 
 def power_features(
-    df: DataFrame, powers: Sequence[int] = range(1, 40), cap: int = 300, exclude: Sequence[str] = ()
+    df: DataFrame, powers: Sequence[int] = range(1, 40), cap: int | None = None, exclude: Sequence[str] = ()
 ) -> DataFrame:
     """``c_power_k`` for each numeric column (target excluded via ``exclude``), one projection."""
     specs = power_feature_names(df, powers, cap, exclude)

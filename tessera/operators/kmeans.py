@@ -13,7 +13,7 @@
   centre;
 * stop: total squared centre shift < tol, or max_iter.
 
-Rows with a NULL coordinate are left out of the fit and get a NULL label.
+Rows with a NULL or NaN coordinate are left out of the fit and get a NULL label.
 """
 
 from __future__ import annotations
@@ -123,7 +123,7 @@ def kmeans_fit(
     d = len(pts)
     complete = None
     for i, p in enumerate(pts):
-        c = p.isNotNull()
+        c = p.isNotNull() & ~F.isnan(p.cast("double"))
         complete = c if complete is None else complete & c
     proj = df.filter(complete).select(*[p.cast("double").alias(f"_p{i}") for i, p in enumerate(pts)], *(key_cols or []))
     if init is not None:
@@ -142,10 +142,9 @@ def kmeans_fit(
     # every iteration reads the cached rows; tasks of a few hundred rows cost
     # more in scheduling than in work, so small inputs are read by fewer tasks
     n_rows = proj.count()
-    parts = proj.rdd.getNumPartitions()
-    wanted = max(1, min(parts, math.ceil(n_rows / ROWS_PER_TASK)))
-    data = proj.coalesce(wanted) if wanted < parts else proj
-    tasks = min(wanted, parts)
+    # coalesce never adds partitions, so this is an upper bound of the tasks
+    tasks = max(1, math.ceil(n_rows / ROWS_PER_TASK))
+    data = proj.coalesce(tasks) if tasks <= DIRECT_MERGE_TASKS else proj
     shift = float("inf")
     n_iter = 0
     converged = False
@@ -196,12 +195,6 @@ def kmeans_fit_predict(df: DataFrame, points: Sequence[str | Column], out: str =
     return model, model.predict(df, points, out)
 
 
-def cluster_summary(df: DataFrame, model: KMeansModel, points: Sequence[str | Column], zone_col: str = "zone") -> DataFrame:
-    """(zone, size, center) of a fitted model over ``df``."""
-    counts = model.predict(df, points, zone_col).groupBy(zone_col).agg(F.count(F.lit(1)).alias("size"))
-    return counts.join(F.broadcast(model.centers_df(df.sparkSession, zone_col)), zone_col, "full")
-
-
 def kmeans_fit_mllib(
     df: DataFrame,
     points: Sequence[str | Column],

@@ -1,9 +1,9 @@
 """Distributed TSQR: the R factor of [design | y], per group, in one job.
 
-Each partition folds its Arrow batches into one small upper-triangular R
-(``mapInPandas``); the partial factors are then merged in a tree of
-``applyInPandas`` steps (QR of stacked R's) so that at most ``fan_in``
-factors per group reach the driver.  RᵀR = [X y]ᵀ[X y], so everything a
+Each partition folds its Arrow batches into one small upper-triangular R per
+group (``mapInPandas``); the partial factors are then merged by
+``applyInPandas`` (QR of stacked R's): for large inputs over a fixed tree keyed by
+the partition number, then to one factor per group.  RᵀR = [X y]ᵀ[X y], so everything a
 least-squares, ridge or squared-loss gradient-descent fit needs follows from
 R, and ``lstsq(R[:, S], R[:, y])`` is the least-squares fit on any subset S
 of the design columns.  Rows never leave the executors.
@@ -19,12 +19,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.session import spread
+from tessera.session import is_small, spread
 
 MAX_COLUMNS = 2000
 FAN_IN = 32
-# Groups (folds, split sides, segments) kept per task; each holds a k x k factor.
-MAX_GROUPS = 10_000
+# Factors of groups (folds, split sides, segments) held by a task; beyond these
+# bytes they are handed on and the task starts afresh.
+HELD_BYTES = 256 << 20
 
 _SCHEMA = "_g string, _part long, _n long, _r array<double>"
 
@@ -36,7 +37,7 @@ def _qr_r(m: np.ndarray, k: int) -> np.ndarray:
     return r
 
 
-def _partial_factors(k: int, grouped: bool):
+def _partial_factors(k: int, grouped: bool, held: int):
     cols = [f"_x{i}" for i in range(k)]
 
     def run(batches):
@@ -44,6 +45,19 @@ def _partial_factors(k: int, grouped: bool):
 
         part = TaskContext.get().partitionId()
         acc: dict = {}
+
+        def handed_on():
+            frame = pd.DataFrame(
+                {
+                    "_g": [None if (g is None or (isinstance(g, float) and math.isnan(g))) else str(g) for g in acc],
+                    "_part": [part] * len(acc),
+                    "_n": [v[1] for v in acc.values()],
+                    "_r": [v[0].ravel() for v in acc.values()],
+                }
+            )
+            acc.clear()
+            return frame
+
         for pdf in batches:
             groups = pdf.groupby("_g", dropna=False, sort=False) if grouped else [(None, pdf)]
             for g, sub in groups:
@@ -51,17 +65,10 @@ def _partial_factors(k: int, grouped: bool):
                 r, n = acc.get(g, (None, 0))
                 m = a if r is None else np.vstack([r, a])
                 acc[g] = (_qr_r(m, k), n + len(sub))
-                if len(acc) > MAX_GROUPS:
-                    raise ValueError(f"more than {MAX_GROUPS} groups: one k x k factor per group must fit a task")
+                if 8 * k * k * len(acc) > held:
+                    yield handed_on()
         if acc:
-            yield pd.DataFrame(
-                {
-                    "_g": [None if (g is None or (isinstance(g, float) and math.isnan(g))) else str(g) for g in acc],
-                    "_part": [part] * len(acc),
-                    "_n": [v[1] for v in acc.values()],
-                    "_r": [v[0].ravel() for v in acc.values()],
-                }
-            )
+            yield handed_on()
 
     return run
 
@@ -81,45 +88,43 @@ def _merge(k: int):
     return run
 
 
+def factor_table(
+    df: DataFrame, columns: Sequence[Column], group: Column | None = None, fan_in: int = FAN_IN, tree: bool | None = None
+) -> DataFrame:
+    """One row per group: (_g, _n, _r), the row count and the flat R factor.
+
+    Rows with a NULL or NaN in any column are skipped (complete cases).
+    ``tree`` forces or forbids the merge tree (default: large inputs).
+    """
+    k = len(columns)
+    if k > MAX_COLUMNS:
+        raise ValueError(f"{k} design columns is beyond the dense-factor limit {MAX_COLUMNS}")
+    g = group.cast("string") if group is not None else F.lit(None).cast("string")
+    values = [F.nanvl(c.cast("double"), F.lit(None)).alias(f"_x{i}") for i, c in enumerate(columns)]
+    proj = df.select(g.alias("_g"), *values).dropna(subset=[f"_x{i}" for i in range(k)])
+    tree = not is_small(proj) if tree is None else tree
+    partials = spread(proj).mapInPandas(_partial_factors(k, group is not None, HELD_BYTES), _SCHEMA)
+    if tree:
+        # at most fan_in^2 merges per group of partitions, then fan_in
+        for slots in (fan_in * fan_in, fan_in):
+            keyed = partials.withColumn("_part", F.col("_part") % slots)
+            partials = keyed.groupBy("_g", "_part").applyInPandas(_merge(k), _SCHEMA)
+    return partials.groupBy("_g").applyInPandas(_merge(k), _SCHEMA).select("_g", "_n", "_r")
+
+
 def tsqr(
     df: DataFrame,
     columns: Sequence[Column],
     group: Column | None = None,
     fan_in: int = FAN_IN,
+    tree: bool | None = None,
 ) -> dict:
-    """R factor (k x k, k = len(columns)) and row count per group.
-
-    Rows with a NULL in any column are skipped (complete cases).  Returns
-    ``{group_value_as_str_or_None: (R, n)}``.
-    """
+    """R factor (k x k, k = len(columns)) and row count per group, on the
+    driver: ``{group_value_as_str_or_None: (R, n)}``.  For few groups (folds,
+    split sides); many are solved in place, see :func:`factor_table`."""
     k = len(columns)
-    if k > MAX_COLUMNS:
-        raise ValueError(f"{k} design columns is beyond the dense-factor limit {MAX_COLUMNS}")
-    g = group.cast("string") if group is not None else F.lit(None).cast("string")
-    proj = df.select(g.alias("_g"), *[c.cast("double").alias(f"_x{i}") for i, c in enumerate(columns)])
-    complete = None
-    for i in range(k):
-        cond = F.col(f"_x{i}").isNotNull()
-        complete = cond if complete is None else complete & cond
-    proj = spread(proj.filter(complete))
-    partials = proj.mapInPandas(_partial_factors(k, group is not None), _SCHEMA)
-    parts = max(1, proj.rdd.getNumPartitions())
-    level = partials
-    while parts > fan_in:
-        level = level.withColumn("_part", F.floor(F.col("_part") / fan_in).cast("long")).groupBy("_g", "_part").applyInPandas(
-            _merge(k), _SCHEMA
-        )
-        parts = math.ceil(parts / fan_in)
-    rows = level.collect()
-    out: dict = {}
-    for r in rows:
-        mat = np.asarray(r["_r"], dtype=np.float64).reshape(k, k)
-        if r["_g"] in out:
-            prev, n = out[r["_g"]]
-            out[r["_g"]] = (_qr_r(np.vstack([prev, mat]), k), n + r["_n"])
-        else:
-            out[r["_g"]] = (mat, r["_n"])
-    return out
+    rows = factor_table(df, columns, group, fan_in, tree).collect()
+    return {r["_g"]: (np.asarray(r["_r"], dtype=np.float64).reshape(k, k), r["_n"]) for r in rows}
 
 
 def merge_factors(factors: Sequence[np.ndarray]) -> np.ndarray:

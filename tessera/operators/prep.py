@@ -129,7 +129,8 @@ def impute_mean(df: DataFrame, means: Mapping[str, float | None]) -> DataFrame:
 
 @dataclass(frozen=True)
 class GroupMeans:
-    """Per-group means; a group whose values are all NULL keeps NULL."""
+    """Per-group means.  A group whose values are all NULL keeps NULL, and so do
+    rows whose group is NULL, however many groups there are."""
 
     group_col: str
     columns: tuple[str, ...]
@@ -157,7 +158,7 @@ class GroupMeans:
         n_groups = self.n_groups if self.n_groups is not None else means.count()
         if n_groups <= MAX_BROADCAST_GROUPS:
             means = F.broadcast(means)
-        joined = df.join(means, F.col(self.group_col).eqNullSafe(F.col("_grp")), "left")
+        joined = df.join(means, F.col(self.group_col) == F.col("_grp"), "left")
         return joined.withColumns(
             {c: F.coalesce(F.col(c), F.col(f"_mean_{c}")) for c in self.columns if c in df.columns}
         ).drop("_grp", *[f"_mean_{c}" for c in self.columns])
@@ -165,12 +166,12 @@ class GroupMeans:
 
 def fit_group_mean(df: DataFrame, columns: Sequence[str], group_col: str) -> GroupMeans:
     """Means per group: one aggregate with map-side partial aggregation."""
-    table = df.groupBy(group_col).agg(*[F.avg(F.col(c)).alias(c) for c in columns])
-    n_groups = table.count()
-    inline = None
-    if n_groups <= MAX_INLINE_GROUPS:
-        inline = tuple(tuple(r) for r in table.orderBy(group_col).collect())
-    return GroupMeans(group_col, tuple(columns), table, inline, n_groups)
+    known = df.filter(F.col(group_col).isNotNull())
+    table = known.groupBy(group_col).agg(*[F.avg(F.col(c)).alias(c) for c in columns])
+    first = table.take(MAX_INLINE_GROUPS + 1)
+    if len(first) <= MAX_INLINE_GROUPS:
+        return GroupMeans(group_col, tuple(columns), table, tuple(tuple(r) for r in first), len(first))
+    return GroupMeans(group_col, tuple(columns), table)
 
 
 def impute_group_mean(df: DataFrame, columns: Sequence[str], group_col: str) -> DataFrame:

@@ -7,23 +7,19 @@ import math
 from collections.abc import Sequence
 
 import numpy as np
+import pandas as pd
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.expr import dlit
 from tessera.operators.prep import numeric_columns
-from tessera.operators.moments import tsqr
 from tessera.operators.rank import exact_quantiles
 from tessera.session import staged
 
-# A corr() keeps 6 buffer fields; whole-stage codegen stops at 100 fields per
-# operator, so correlations are aggregated in chunks of this many pairs.
-CORR_CHUNK = 16
-# From this many chunks on, NULL-free columns are correlated in one TSQR pass.
-CORR_ONE_PASS_CHUNKS = 4
-# Grid points per KDE aggregate (one sum buffer each; codegen stops at 100).
-KDE_CHUNK = 96
+# A pair keeps about 14 buffer fields; whole-stage codegen stops at 100 fields
+# per operator, so correlations are aggregated in chunks of this many pairs.
+CORR_CHUNK = 7
 
 DESCRIBE_SCHEMA = (
     "column string, position int, count long, unique long, top string, freq long, mean double, std double, "
@@ -127,34 +123,28 @@ def rows_with_null(df: DataFrame) -> DataFrame:
 def corr_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Pearson correlation of every pair (pairwise-complete), long form (a, b, r).
 
-    Without NULLs in the columns, all pairs come from ONE TSQR pass: for
-    R = qr([1, X]), the block after the intercept gives R_xxᵀR_xx = n·cov
-    (centred, no cancellation).  Columns with NULLs need pairwise-complete
-    statistics: ``corr`` aggregates in chunks of ``CORR_CHUNK`` pairs (whole-stage
-    codegen stops at 100 buffer fields).
+    One rule whatever the number of columns: ``covar_pop`` over both standard
+    deviations, on the rows where both columns are known; NULL when one of
+    them is constant there.  Pairs are aggregated ``CORR_CHUNK`` at a time
+    (whole-stage codegen stops at 100 buffer fields).
     """
     cols = list(columns or numeric_columns(df))
     pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
     values = {}
-    with staged(df.select(*[F.col(c).cast("double").alias(c) for c in cols])) as data:
-        # one pass pays off once chunking would take several jobs
-        one_pass = len(pairs) > CORR_ONE_PASS_CHUNKS * CORR_CHUNK
-        if one_pass:
-            nulls = data.agg(*[F.count_if(F.col(c).isNull() | F.isnan(c)).alias(c) for c in cols]).first()
-            one_pass = all(nulls[c] == 0 for c in cols)
-        if one_pass:
-            ((r, n),) = tsqr(data, [F.lit(1.0), *[F.col(c) for c in cols]]).values()
-            rxx = r[1:, 1:]
-            scatter = rxx.T @ rxx
-            d = np.sqrt(np.diag(scatter))
-            with np.errstate(divide="ignore", invalid="ignore"):
-                corr = scatter / np.outer(d, d)
-            values = {(i, j): (None if not np.isfinite(corr[i, j]) else float(corr[i, j])) for i, j in pairs}
-        else:
-            for s in range(0, len(pairs), CORR_CHUNK):
-                chunk = pairs[s : s + CORR_CHUNK]
-                row = data.agg(*[F.corr(cols[i], cols[j]).alias(f"c{i}_{j}") for i, j in chunk]).first()
-                values.update({(i, j): row[f"c{i}_{j}"] for i, j in chunk})
+
+    def r(a: str, b: str) -> Column:
+        x, y = F.col(a), F.col(b)
+        both = x.isNotNull() & y.isNotNull()
+        x, y = F.when(both, x), F.when(both, y)
+        varies = (F.min(x) < F.max(x)) & (F.min(y) < F.max(y))
+        return F.when(varies, F.covar_pop(x, y) / F.nullif(F.stddev_pop(x) * F.stddev_pop(y), F.lit(0.0)))
+
+    columns_ = [F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in cols]
+    with staged(df.select(*columns_)) as data:
+        for s in range(0, len(pairs), CORR_CHUNK):
+            chunk = pairs[s : s + CORR_CHUNK]
+            row = data.agg(*[r(cols[i], cols[j]).alias(f"c{i}_{j}") for i, j in chunk]).first()
+            values.update({(i, j): row[f"c{i}_{j}"] for i, j in chunk})
     rows = []
     for (i, j), v in values.items():
         rows.append((cols[i], cols[j], v))
@@ -170,6 +160,8 @@ def _range(df: DataFrame, col: str) -> tuple[float, float, int]:
 
 def bin_index(x: Column, lo: float, hi: float, bins: int) -> Column:
     """Equal-width bin 0..bins-1; x = hi folds into the last bin."""
+    if lo is None or hi is None:
+        return F.lit(None).cast("int")
     width = (hi - lo) if hi > lo else 1.0
     return F.least(F.floor((x - dlit(lo)) / dlit(width) * bins), F.lit(bins - 1)).cast("int")
 
@@ -180,6 +172,8 @@ def histogram(df: DataFrame, col: str, bins: int = 10, lo: float | None = None,
         lo0, hi0, _ = _range(df, col)
         lo = lo0 if lo is None else lo
         hi = hi0 if hi is None else hi
+    if lo is None or hi is None:  # no value at all: no bin
+        return df.sparkSession.createDataFrame([], "bin int, lo double, hi double, count long, density double")
     width = (hi - lo) / bins if hi > lo else 1.0 / bins
     x = F.col(col).cast("double")
     counted = (
@@ -200,24 +194,32 @@ def histogram(df: DataFrame, col: str, bins: int = 10, lo: float | None = None,
 def kde_grid(df: DataFrame, col: str, points: int = 100, bandwidth: float | None = None) -> DataFrame:
     """Gaussian kernel density on ``points`` even grid points from min to max.
 
-    Exact over all rows: one sum per grid point, aggregated in chunks of
-    ``KDE_CHUNK`` points (one buffer field each, within the codegen limit).
-    Default bandwidth is Scott's rule, sample std · n^(-1/5).
+    Exact over all rows, in one scan for any number of points: tasks sum the
+    kernels of their rows on the whole grid.  No value gives no row.  Default bandwidth is Scott's rule, sample std · n^(-1/5).
     """
     x = F.col(col).cast("double")
     r = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"), F.count(x).alias("n"), F.stddev_samp(x).alias("s")).first()
     lo, hi, n, s = r["lo"], r["hi"], r["n"], r["s"]
+    schema = "i int, x double, density double"
+    if not n:
+        return df.sparkSession.createDataFrame([], schema)
     h = bandwidth if bandwidth is not None else (s or 1.0) * n ** (-0.2)
     step = (hi - lo) / (points - 1) if points > 1 else 0.0
-    grid = [lo + i * step for i in range(points)]
-    norm = 1.0 / (n * h * math.sqrt(2 * math.pi))
+    grid = np.array([lo + i * step for i in range(points)])
+
+    def kernel_sums(batches):
+        total = np.zeros(points)
+        for pdf in batches:
+            values = pdf["_x"].to_numpy(np.float64)
+            for at in range(0, len(values), 2048):
+                total += np.exp(-0.5 * ((grid[:, None] - values[None, at : at + 2048]) / h) ** 2).sum(axis=1)
+        yield pd.DataFrame({"i": np.arange(points, dtype=np.int32), "k": total})
+
     data = df.select(x.alias("_x")).filter(F.col("_x").isNotNull())
-    rows = []
-    for start in range(0, points, KDE_CHUNK):
-        idx = range(start, min(points, start + KDE_CHUNK))
-        sums = data.agg(*[F.sum(F.exp(-0.5 * F.pow((dlit(grid[i]) - F.col("_x")) / dlit(h), 2))).alias(f"k{i}") for i in idx]).first()
-        rows += [(i, float(grid[i]), float(sums[f"k{i}"]) * norm) for i in idx]
-    return df.sparkSession.createDataFrame(rows, "i int, x double, density double")
+    sums = data.mapInPandas(kernel_sums, "i int, k double").groupBy("i").agg(F.sum("k").alias("k")).collect()
+    norm = 1.0 / (n * h * math.sqrt(2 * math.pi))
+    rows = sorted((r["i"], float(grid[r["i"]]), float(r["k"]) * norm) for r in sums)
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 def binned_scatter(df: DataFrame, x: str, y: str, bins: int = 20, hue: str | None = None) -> DataFrame:

@@ -26,6 +26,14 @@ def _order_types(df: DataFrame, key_cols: Sequence[str]) -> list:
     return [T.StringType(), *[df.schema[k].dataType for k in key_cols]]
 
 
+def _check_cuts(df: DataFrame, below: Sequence[Column], cuts: Sequence[int], key_cols: Sequence[str]) -> None:
+    """Rows up to each cut must be as many as the cut says; rows that share a
+    key fall on one side together and would change the sizes unseen."""
+    got = df.agg(*[F.count_if(b).alias(f"c{i}") for i, b in enumerate(below)]).first()
+    if list(got) != list(cuts):
+        raise ValueError(f"the key {list(key_cols)} is not unique: {list(got)} rows up to cuts at {list(cuts)}")
+
+
 def split_column(
     df: DataFrame,
     key_cols: Sequence[str],
@@ -51,7 +59,9 @@ def split_column(
         return F.lit(True)
     h = hash_key(seed, key_cols) if h is None else h
     (thr,) = rank_thresholds(df, h, key_cols, [n_train], n)
-    return ~lex_le(_order_cols(seed, key_cols, h), thr, _order_types(df, key_cols))
+    below = lex_le(_order_cols(seed, key_cols, h), thr, _order_types(df, key_cols))
+    _check_cuts(df, [below], [n_train], key_cols)
+    return ~below
 
 
 def train_test_split(
@@ -80,9 +90,11 @@ def fold_column(
     thresholds = rank_thresholds(df, h, key_cols, cuts, n)
     order = _order_cols(seed, key_cols, h)
     types = _order_types(df, key_cols)
+    below = [lex_le(order, thr, types) for thr in thresholds]
+    _check_cuts(df, below, cuts, key_cols)
     fold = F.lit(0)
-    for thr in thresholds:
-        fold = fold + F.when(lex_le(order, thr, types), 0).otherwise(1)
+    for b in below:
+        fold = fold + F.when(b, 0).otherwise(1)
     return fold.cast("int")
 
 

@@ -1129,7 +1129,8 @@ def q_cv_degree(spark, sf):
     + f"SELECT segment, 'intercept' AS term, {ssig('b0')} AS coefficient, n FROM g UNION ALL SELECT segment, 'area', {ssig('b1')}, n FROM g",
 )
 def q_segment(spark, sf):
-    return small(sel.segment_fit(conv(spark, sf), ["area"], "price", "is_house"), ["coefficient"])
+    coefs = sel.segment_fit(conv(spark, sf), ["area"], "price", "is_house")
+    return small(coefs.select("segment", "term", "coefficient", "n"), ["coefficient"])
 
 
 @query(

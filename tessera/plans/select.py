@@ -13,8 +13,10 @@ Cross-validation (``cv_lambda`` / ``cv_degree``):
    fold-normalised data is ``D_g · A_k``.  ``M = R · diag(A_k, 1)`` satisfies
    MᵀM = [D_z y]ᵀ[D_z y], so every fit and every validation SSE of every
    grid value is a small dense computation;
-5. only when metrics need an inverse target transform (e.g. exp of a log
-   model) one more job scores all (fold, grid value) pairs at once.
+5. absolute losses (mae, l1) cannot be fitted from R: all (fold, grid value)
+   models descend together, one job per epoch over the cached design;
+6. only when metrics need rows (an inverse target transform, mae, l1, own
+   metrics) one more job scores all (fold, grid value) pairs at once.
 
 ``lambda_sweep`` is the same with one split instead of folds.
 """
@@ -31,13 +33,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.expr import dlit, display_name, poly_terms
-from tessera.functions.metrics import get_metric
-from tessera.operators.moments import merge_factors, tsqr
+from tessera.functions.metrics import Metric, get_metric
+from tessera.operators.moments import factor_table, merge_factors, tsqr
 from tessera.operators.prep import target_transform
-from tessera.operators.regress import FitSpec, fit_from_r, gradient_descent_grid, solve_ols, solve_ridge
+from tessera.operators.regress import FitSpec, descend, gradient_descent_grid, rows_step, solve_ols, solve_ridge
 from tessera.operators.rank import hash_key
 from tessera.operators.split import fold_column, split_column
-from tessera.session import persisted, spread
+from tessera.session import staged
 
 NUMPY_INVERSE = {"exp": np.exp, "log": np.log}
 
@@ -103,25 +105,60 @@ def _sse(m: np.ndarray, cols: Sequence[int], beta: np.ndarray) -> float:
     return float(e @ e)
 
 
-def _solve(m: np.ndarray, n: int, cols: list[int], spec: FitSpec, alpha: float) -> np.ndarray:
+def _solve_grid(m: np.ndarray, n: int, cols: list[int], spec: FitSpec, alphas: Sequence[float]) -> list[np.ndarray]:
+    """Coefficients for every penalty of a grid on one design, from its R
+    factor; gradient descent runs all penalties at once."""
     sub = m[:, cols + [m.shape[1] - 1]]
     if spec.method == "gradient_descent":
-        s = FitSpec(**{**spec.__dict__, "alpha": alpha})
-        names = tuple(f"t{i}" for i in range(len(cols) - 1))
-        model = fit_from_r(sub, n, names, 1, names, s)
-        return np.array([model.intercept, *model.coef])
-    if spec.regularization == "l2" and alpha > 0:
-        return solve_ridge(sub, alpha, exclude_intercept=spec.exclude_intercept)
-    return solve_ols(sub, n)
+        B = gradient_descent_grid(sub, n, spec, alphas)
+        return [B[:, j] for j in range(B.shape[1])]
+    if spec.regularization == "l2":
+        return [
+            solve_ridge(sub, a, exclude_intercept=spec.exclude_intercept) if a > 0 else solve_ols(sub, n) for a in alphas
+        ]
+    return [solve_ols(sub, n)] * len(alphas)
 
 
-def _solve_grid(m: np.ndarray, n: int, cols: list[int], spec: FitSpec, alphas: Sequence[float]) -> list[np.ndarray]:
-    """Coefficients for every penalty of a grid on one design; gradient
-    descent with a squared loss runs all penalties at once."""
-    if spec.method == "gradient_descent" and spec.loss in ("mse", "l2") and len(alphas) > 1:
-        B = gradient_descent_grid(m[:, cols + [m.shape[1] - 1]], n, spec, alphas)
-        return [B[:, j] for j in range(B.shape[1])]
-    return [_solve(m, n, cols, spec, float(a)) for a in alphas]
+def _checked(spec: FitSpec, alphas: Sequence[float]) -> FitSpec:
+    """Every penalty weight of a grid must be valid for the fit."""
+    for a in alphas:
+        FitSpec(**{**spec.__dict__, "alpha": float(a)}).validated()
+    return spec
+
+
+def _needs_rows(spec: FitSpec) -> bool:
+    return spec.method == "gradient_descent" and spec.loss in ("mae", "l1")
+
+
+def _fit_rows(
+    data: DataFrame,
+    terms: Sequence[Column],
+    y: Column,
+    group: Column,
+    spec: FitSpec,
+    models: Sequence[tuple[int, np.ndarray, float, int]],
+) -> list[np.ndarray]:
+    """Absolute-loss fits of many models at once.
+
+    A model is (group left out, map A of its design from the common one,
+    penalty weight, number of its coefficients): with design D and map A it
+    predicts D A b, so its gradient is A' times the common one.
+    """
+    width = len(terms)
+    step, proj = rows_step(data, terms, y, spec.loss, group)
+    leave_out = [g for g, _, _, _ in models]
+    mask = np.arange(width)[:, None] < np.array([q for _, _, _, q in models])[None, :]
+
+    def data_step(b):
+        common = np.column_stack([a @ b[:, j] for j, (_, a, _, _) in enumerate(models)])
+        loss, grad = step(common, leave_out)
+        return loss, np.column_stack([a.T @ grad[:, j] for j, (_, a, _, _) in enumerate(models)])
+
+    try:
+        best = descend(data_step, width, spec, [alpha for _, _, alpha, _ in models], mask)[0]
+    finally:
+        proj.unpersist()
+    return [best[:q, j] for j, (_, _, _, q) in enumerate(models)]
 
 
 def _moments_by(df: DataFrame, feats: Sequence[str], group: Column) -> dict:
@@ -143,70 +180,99 @@ def _norm_from(parts, zero_std: float) -> tuple[np.ndarray, np.ndarray]:
     return np.array(means), np.array(stds)
 
 
-def _score_with_inverse(
+def _predictions(feats: Sequence[str], params: dict, degree_of: Sequence[int]):
+    """batch -> (group, y, predictions of every grid value); ``params[g] =
+    (mean, std, B)`` with B a (q_max x L) coefficient matrix of the normalised
+    design."""
+    p, d_max = len(feats), max(degree_of)
+
+    def of(pdf):
+        for g, sub in pdf.groupby("_g", sort=False):
+            if g not in params:
+                continue
+            mean, std, B = params[g]
+            x = (sub[[f"_f{i}" for i in range(p)]].to_numpy(np.float64) - mean) / std
+            cols = [np.ones(len(sub))]
+            for i in range(1, d_max + 1):
+                cols += [x[:, c] ** i for c in range(p)]
+            yield g, sub["_y"].to_numpy(np.float64), np.column_stack(cols) @ B
+
+    return of
+
+
+def _score_rows(
     df: DataFrame,
     feats: Sequence[str],
     y: Column,
     group: Column,
     params: dict,
     degree_of: Sequence[int],
-    inverse: str,
+    inverse,
+    metrics: Sequence[Metric],
 ) -> dict:
-    """One job: for every row of group g and every grid value l, score
-    inverse(ŷ) against inverse(y).  ``params[g] = (mean, std, B)`` with B a
-    (q_max x L) coefficient matrix of the normalised design."""
-    inv = NUMPY_INVERSE[inverse]
-    p = len(feats)
-    d_max = max(degree_of)
-    L = len(degree_of)
+    """{(group, grid position): {metric: value}} on the rows of each group.
+
+    The known metrics under a named inverse are sums over tasks, with the
+    total sum of squares from Spark's merged moments.  Own metrics and callable
+    inverses are evaluated as the Spark aggregates that they are, on one row
+    per (row, grid value)."""
+    of = _predictions(feats, params, degree_of)
+    proj = df.select(group.cast("string").alias("_g"), *[F.col(f).cast("double").alias(f"_f{i}") for i, f in enumerate(feats)],
+                     y.cast("double").alias("_y")).dropna()
+    names = [m.name for m in metrics]
+    if callable(inverse) or any(m is not get_metric_or_none(m.name) for m in metrics):
+
+        def rows(batches):
+            for pdf in batches:
+                for g, yt, P in of(pdf):
+                    yield pd.DataFrame({"_g": g, "_y": yt, "_p": list(P)})
+
+        long = proj.mapInPandas(rows, "_g string, _y double, _p array<double>")
+        long = long.select("_g", "_y", F.posexplode("_p").alias("_l", "_q"))
+        inv = target_transform(inverse) or (lambda c: c)
+        scored = long.select("_g", "_l", inv(F.col("_y")).alias("_y"), inv(F.col("_q")).alias("_q"))
+        out = scored.groupBy("_g", "_l").agg(*[m(F.col("_y"), F.col("_q")) for m in metrics]).collect()
+        return {(r["_g"], r["_l"]): {n: r[n] for n in names} for r in out}
+
+    forward = NUMPY_INVERSE[inverse] if inverse is not None else (lambda v: v)
 
-    def run(batches):
+    def sums(batches):
         acc = {}
         for pdf in batches:
-            for g, sub in pdf.groupby("_g", sort=False):
-                if g not in params:
-                    continue
-                mean, std, B = params[g]
-                x = (sub[[f"_f{i}" for i in range(p)]].to_numpy(np.float64) - mean) / std
-                cols = [np.ones(len(sub))]
-                for i in range(1, d_max + 1):
-                    for c in range(p):
-                        cols.append(x[:, c] ** i)
-                D = np.column_stack(cols)
-                P = inv(D @ B)
-                yt = inv(sub["_y"].to_numpy(np.float64))
-                err = ((P - yt[:, None]) ** 2).sum(axis=0)
-                a = acc.setdefault(g, np.zeros((L, 4)))
-                a[:, 0] += len(sub)
-                a[:, 1] += err
-                a[:, 2] += yt.sum()
-                a[:, 3] += (yt**2).sum()
-        rows = []
-        for g, a in acc.items():
-            for l in range(L):
-                rows.append((str(g), l, float(a[l, 0]), float(a[l, 1]), float(a[l, 2]), float(a[l, 3])))
+            for g, yt, P in of(pdf):
+                e = forward(P) - forward(yt)[:, None]
+                acc[g] = acc.get(g, 0) + np.stack([(e * e).sum(axis=0), np.abs(e).sum(axis=0)], axis=1)
+        rows = [(str(g), l, float(a[l, 0]), float(a[l, 1])) for g, a in acc.items() for l in range(len(a))]
         if rows:
-            yield pd.DataFrame(rows, columns=["_g", "_l", "n", "sse", "sy", "syy"])
+            yield pd.DataFrame(rows, columns=["_g", "_l", "sse", "sae"])
 
-    proj = df.select(group.cast("string").alias("_g"), *[F.col(f).cast("double").alias(f"_f{i}") for i, f in enumerate(feats)],
-                     y.cast("double").alias("_y")).dropna()
-    scored = proj.mapInPandas(run, "_g string, _l int, n double, sse double, sy double, syy double")
-    out = scored.groupBy("_g", "_l").agg(*[F.sum(c).alias(c) for c in ("n", "sse", "sy", "syy")]).collect()
-    return {(r["_g"], r["_l"]): (r["n"], r["sse"], r["sy"], r["syy"]) for r in out}
-
-
-def _metric_values(names: Sequence[str], n: float, sse: float, sst: float) -> dict:
-    out = {}
-    for m in names:
-        if m == "mse":
-            out[m] = sse / n
-        elif m == "r2":
-            out[m] = 1 - sse / sst if sst > 0 else None
-        elif m == "l2":
-            out[m] = math.sqrt(sse)
-        else:
-            raise ValueError(f"metric {m!r} is not available from squared errors")
-    return out
+    errors = proj.mapInPandas(sums, "_g string, _l int, sse double, sae double")
+    errors = errors.groupBy("_g", "_l").agg(F.sum("sse").alias("sse"), F.sum("sae").alias("sae")).collect()
+    scale = (target_transform(inverse) or (lambda c: c))(F.col("_y"))
+    spread_ = {r["_g"]: r for r in proj.groupBy("_g").agg(F.count("*").alias("n"), (F.var_pop(scale) * F.count("*")).alias("sst")).collect()}
+    return {
+        (r["_g"], r["_l"]): _metric_values(names, spread_[r["_g"]]["n"], r["sse"], spread_[r["_g"]]["sst"], r["sae"]) for r in errors
+    }
+
+
+def get_metric_or_none(name: str) -> Metric | None:
+    try:
+        return get_metric(name)
+    except ValueError:
+        return None
+
+
+def _from_factor(metrics: Sequence[Metric], inverse) -> bool:
+    """Whether the metrics follow from squared residuals alone."""
+    return inverse is None and all(m.name in ("mse", "r2", "l2") and m is get_metric_or_none(m.name) for m in metrics)
+
+
+def _metric_values(names: Sequence[str], n: float, sse: float, sst: float, sae: float | None = None) -> dict:
+    if not n:
+        return {m: None for m in names}
+    known = {"mse": sse / n, "r2": 1 - sse / sst if sst > 0 else None, "l2": math.sqrt(sse),
+             "mae": None if sae is None else sae / n, "l1": sae}
+    return {m: known[m] for m in names}
 
 
 # ------------------------------------------------------------------ results
@@ -219,27 +285,31 @@ class GridResult:
     weights: DataFrame | None = None  # (position, lambda, feature, weight)
 
 
-def _grid_frames(spark: SparkSession, param_name: str, grid, metrics, per_group: dict, groups) -> tuple[DataFrame, DataFrame, dict]:
-    schema_m = ", ".join(f"{m} double" for m in metrics)
+def _grid_frames(
+    spark: SparkSession, param_name: str, grid, metrics: Sequence[Metric], per_group: dict, groups
+) -> tuple[DataFrame, DataFrame, dict]:
+    """Curve (mean over groups), fold scores and the best grid value of each
+    metric; a score that no group has is NULL."""
+    names = [m.name for m in metrics]
+    schema_m = ", ".join(f"`{m}` double" for m in names)
+    none = dict.fromkeys(names)
     fold_rows, curve_rows = [], []
     for l, v in enumerate(grid):
-        vals = {m: [] for m in metrics}
-        for g in groups:
-            mv = per_group[(g, l)]
-            fold_rows.append((int(g), l, float(v), *[mv[m] for m in metrics]))
-            for m in metrics:
-                vals[m].append(mv[m])
-        curve_rows.append((l, float(v), *[float(np.mean([x for x in vals[m] if x is not None])) if any(x is not None for x in vals[m]) else None for m in metrics]))
+        scores = [per_group.get((g, l), none) for g in groups]
+        fold_rows += [(int(g), l, float(v), *[sc[m] for m in names]) for g, sc in zip(groups, scores)]
+        means = []
+        for m in names:
+            found = [sc[m] for sc in scores if sc[m] is not None]
+            means.append(float(np.mean(found)) if found else None)
+        curve_rows.append((l, float(v), *means))
     curve = spark.createDataFrame(curve_rows, f"position int, {param_name} double, {schema_m}")
     folds = spark.createDataFrame(fold_rows, f"fold int, position int, {param_name} double, {schema_m}")
     best = {}
-    for m in metrics:
-        minimize = get_metric(m).minimize
-        cand = [(r[2 + metrics.index(m)], r[0], r[1]) for r in curve_rows if r[2 + metrics.index(m)] is not None]
+    for i, m in enumerate(metrics):
+        cand = [(r[2 + i] if m.minimize else -r[2 + i], r[0], r) for r in curve_rows if r[2 + i] is not None]
         if cand:
-            key = (lambda t: (t[0], t[1])) if minimize else (lambda t: (-t[0], t[1]))
-            s, pos, v = min(cand, key=key)
-            best[m] = (v, s)
+            row = min(cand, key=lambda c: c[:2])[2]
+            best[m.name] = (row[1], row[2 + i])
     return curve, folds, best
 
 
@@ -256,13 +326,17 @@ def cross_validate(
     seed: int = 42,
     degree: int = 1,
     normalize: bool = True,
-    transform_target: str | None = None,
-    inverse: str | None = None,
-    metrics: Sequence[str] = ("mse", "r2"),
+    transform_target=None,
+    inverse=None,
+    metrics: Sequence[str | Metric] = ("mse", "r2"),
     fit_params: Mapping | None = None,
 ) -> GridResult:
     """k-fold CV over a grid of penalties (``variable='penalty'``), degrees
-    (``'degree'``) or nothing (``'plain'``: one fit per fold)."""
+    (``'degree'``) or nothing (``'plain'``: one fit per fold).
+
+    ``transform_target`` and ``inverse`` are names (``'log'``, ``'exp'``) or
+    functions of a Column; metrics are names or :class:`Metric` objects.
+    """
     if variable not in ("penalty", "degree", "plain"):
         raise ValueError(f"unknown variable {variable!r}")
     if transform_target is not None and inverse is None:
@@ -272,9 +346,11 @@ def cross_validate(
     spec = FitSpec(**{"method": "pseudo_inverse", "regularization": "l2" if variable == "penalty" else None, **fit_params}).validated()
     grid = list(grid) if variable != "plain" else [0.0]
     degrees = [int(v) for v in grid] if variable == "degree" else [degree] * len(grid)
+    _checked(spec, grid if variable == "penalty" else [spec.alpha])
+    metrics = [get_metric(m) for m in metrics]
 
-    staged = spread(df.select(*key_cols, *feats, target), by=key_cols)
-    with persisted(staged.withColumn("_h", hash_key(seed, key_cols))) as base_df:
+    narrow = df.select(*key_cols, *feats, target).withColumn("_h", hash_key(seed, key_cols))
+    with staged(narrow, by=key_cols) as base_df:
         return _cross_validate(base_df, feats, target, key_cols, grid, variable, n_splits, seed, normalize,
                                transform_target, inverse, metrics, spec, degrees)
 
@@ -298,42 +374,45 @@ def _cross_validate(df, feats, target, key_cols, grid, variable, n_splits, seed,
     factors = tsqr(data, [F.lit(1.0), *terms, y], group=F.col("_fold"))
     R = {int(g): factors[g] for g in factors}
 
-    per_group, fold_params = {}, {}
+    alphas = [float(v) for v in grid] if variable == "penalty" else [spec.alpha] * len(grid)
+    widths = [1 + d * p for d in degrees]
+    maps, norms = {}, {}
     for k in folds:
         train_parts = [moments[j] for j in folds if j != k]
-        if normalize:
-            m_k, s_k = _norm_from(train_parts, 1e-8)
-        else:
-            m_k, s_k = np.zeros(p), np.ones(p)
-        a = g_std / s_k
-        b = (g_mean - m_k) / s_k
-        A = _augment(affine_design_map(a, b, d_max))
-        r_tr = merge_factors([R[j][0] for j in folds if j != k])
+        norms[k] = _norm_from(train_parts, 1e-8) if normalize else (np.zeros(p), np.ones(p))
+        m_k, s_k = norms[k]
+        maps[k] = affine_design_map(g_std / s_k, (g_mean - m_k) / s_k, d_max)
+    if _needs_rows(spec):
+        models = [(k, maps[k], alphas[l], widths[l]) for k in folds for l in range(len(grid))]
+        fitted = _fit_rows(data, [F.lit(1.0), *terms], y, F.col("_fold"), spec, models)
+        betas = {k: fitted[i * len(grid) : (i + 1) * len(grid)] for i, k in enumerate(folds)}
+    from_factor = _from_factor(metrics, inverse)
+    names = [m.name for m in metrics]
+    per_group, fold_params = {}, {}
+    for k in folds:
+        A = _augment(maps[k])
+        m_tr = merge_factors([R[j][0] for j in folds if j != k]) @ A
         n_tr = sum(R[j][1] for j in folds if j != k)
-        m_tr = r_tr @ A
-        m_val = R[k][0] @ A
-        n_val = R[k][1]
+        m_val, n_val = R[k][0] @ A, R[k][1]
         sst = _sse(m_val, [0], solve_ols(m_val[:, [0, -1]], n_val))
-        B = np.zeros((1 + d_max * p, len(grid)))
-        if variable == "penalty":
-            cols_all = list(range(1 + degrees[0] * p))
-            betas = _solve_grid(m_tr, n_tr, cols_all, spec, [float(v) for v in grid])
+        if _needs_rows(spec):
+            found = betas[k]
+        elif variable == "penalty":
+            found = _solve_grid(m_tr, n_tr, list(range(widths[0])), spec, alphas)
         else:
-            betas = [_solve(m_tr, n_tr, list(range(1 + degrees[l] * p)), spec, spec.alpha) for l in range(len(grid))]
-        for l, v in enumerate(grid):
-            cols = list(range(1 + degrees[l] * p))
-            beta = betas[l]
-            B[: len(cols), l] = beta
-            if inverse is None:
-                per_group[(k, l)] = _metric_values(metrics, n_val, _sse(m_val, cols, beta), sst)
-        fold_params[str(k)] = (m_k, s_k, B)
-    if inverse is not None:
+            found = [_solve_grid(m_tr, n_tr, list(range(q)), spec, [spec.alpha])[0] for q in widths]
+        B = np.zeros((1 + d_max * p, len(grid)))
+        for l, beta in enumerate(found):
+            B[: len(beta), l] = beta
+            if from_factor:
+                per_group[(k, l)] = _metric_values(names, n_val, _sse(m_val, list(range(len(beta))), beta), sst)
+        fold_params[str(k)] = (*norms[k], B)
+    if not from_factor:
         # the design of the scoring job uses the fold normalisation directly
-        scores = _score_with_inverse(data, feats, y, F.col("_fold"), fold_params, degrees, inverse)
-        for (g, l), (cnt, sse, sy, syy) in scores.items():
-            per_group[(int(g), l)] = _metric_values(metrics, cnt, sse, syy - sy * sy / cnt)
+        scores = _score_rows(data, feats, y, F.col("_fold"), fold_params, degrees, inverse, metrics)
+        per_group = {(int(g), l): v for (g, l), v in scores.items()}
     name = {"penalty": "lambda", "degree": "degree", "plain": "param"}[variable]
-    curve, fold_df, best = _grid_frames(spark, name, grid, list(metrics), per_group, folds)
+    curve, fold_df, best = _grid_frames(spark, name, grid, metrics, per_group, folds)
     return GridResult(curve, best, fold_df)
 
 
@@ -359,8 +438,8 @@ def lambda_sweep(
     seed: int = 42,
     degree: int = 1,
     normalize: bool = True,
-    inverse: str | None = None,
-    metrics: Sequence[str] = ("mse", "r2"),
+    inverse=None,
+    metrics: Sequence[str | Metric] = ("mse", "r2"),
     fit_params: Mapping | None = None,
 ) -> GridResult:
     """One split; for each λ fit, keep the weights (no intercept) and test metrics.
@@ -370,8 +449,10 @@ def lambda_sweep(
     """
     feats = list(features)
     spec = FitSpec(**{"method": "pseudo_inverse", "regularization": "l2", **dict(fit_params or {})}).validated()
-    staged = spread(df.select(*key_cols, *feats, target), by=key_cols)
-    with persisted(staged.withColumn("_h", hash_key(seed, key_cols))) as base_df:
+    _checked(spec, lambdas)
+    metrics = [get_metric(m) for m in metrics]
+    narrow = df.select(*key_cols, *feats, target).withColumn("_h", hash_key(seed, key_cols))
+    with staged(narrow, by=key_cols) as base_df:
         return _lambda_sweep(base_df, feats, target, key_cols, lambdas, test_size, seed, degree, normalize, inverse,
                              metrics, spec)
 
@@ -389,26 +470,31 @@ def _lambda_sweep(df, feats, target, key_cols, lambdas, test_size, seed, degree,
     base = {f: (F.col(f) - dlit(mean[i])) / dlit(std[i]) for i, f in enumerate(feats)}
     terms = poly_terms(feats, degree, base)
     factors = tsqr(data, [F.lit(1.0), *[c for _, c in terms], F.col(target)], group=F.col("_test"))
+    if "0" not in factors:
+        raise ValueError("the training side of the split is empty")
     r_tr, n_tr = factors["0"]
-    r_te, n_te = factors["1"]
-    cols = list(range(1 + degree * p))
-    sst = _sse(r_te, [0], solve_ols(r_te[:, [0, -1]], n_te))
-    B = np.zeros((len(cols), len(lambdas)))
+    # without test rows (a small table or test_size) every score is NULL
+    r_te, n_te = factors.get("1", (np.zeros_like(r_tr), 0))
+    width = 1 + degree * p
+    alphas = [float(v) for v in lambdas]
+    design = [F.lit(1.0), *[c for _, c in terms]]
+    if _needs_rows(spec):
+        models = [(1, np.eye(width), a, width) for a in alphas]
+        betas = _fit_rows(data, design, F.col(target), F.col("_test"), spec, models)
+    else:
+        betas = _solve_grid(r_tr, n_tr, list(range(width)), spec, alphas)
+    names = [m.name for m in metrics]
     per_group, weight_rows = {}, []
-    names = [n for n, _ in terms]
-    betas = _solve_grid(r_tr, n_tr, cols, spec, [float(v) for v in lambdas])
-    for l, lam in enumerate(lambdas):
-        beta = betas[l]
-        B[:, l] = beta
-        for j, nm in enumerate(names):
-            weight_rows.append((l, float(lam), nm, float(beta[1 + j])))
-        if inverse is None:
-            per_group[(1, l)] = _metric_values(metrics, n_te, _sse(r_te, cols, beta), sst)
-    if inverse is not None:
-        scores = _score_with_inverse(data, feats, F.col(target), F.col("_test"), {"1": (mean, std, B)}, [degree] * len(lambdas), inverse)
-        for (g, l), (cnt, sse, sy, syy) in scores.items():
-            per_group[(1, l)] = _metric_values(metrics, cnt, sse, syy - sy * sy / cnt)
-    curve, _, best = _grid_frames(spark, "lambda", lambdas, list(metrics), per_group, [1])
+    for l, beta in enumerate(betas):
+        weight_rows += [(l, alphas[l], nm, float(b)) for (nm, _), b in zip(terms, beta[1:])]
+        if n_te and _from_factor(metrics, inverse):
+            sst = _sse(r_te, [0], solve_ols(r_te[:, [0, -1]], n_te))
+            per_group[(1, l)] = _metric_values(names, n_te, _sse(r_te, list(range(width)), beta), sst)
+    if n_te and not _from_factor(metrics, inverse):
+        B = np.column_stack(betas)
+        scores = _score_rows(data, feats, F.col(target), F.col("_test"), {"1": (mean, std, B)}, [degree] * len(lambdas), inverse, metrics)
+        per_group = {(1, l): v for (_, l), v in scores.items()}
+    curve, _, best = _grid_frames(spark, "lambda", lambdas, metrics, per_group, [1])
     weights = spark.createDataFrame(weight_rows, "position int, lambda double, feature string, weight double")
     return GridResult(curve, best, None, weights)
 
@@ -423,24 +509,32 @@ def segment_fit(
     total_label: str | None = "all",
     degree: int = 1,
 ) -> DataFrame:
-    """One least-squares model per segment plus one over all rows, from ONE
-    grouped TSQR job (the total merges the segment factors).
+    """One least-squares model per segment plus one over all rows.
 
-    Returns (segment, term, coefficient, n).
+    Every segment is solved where its factors meet, so segments are not
+    counted, collected or bounded; the total merges a copy of all factors.
+    Returns (segment, is_total, term, coefficient, n); the NULL segment has
+    its own model, and ``is_total`` tells the total from a segment of its name.
     """
-    spark = df.sparkSession
     names, terms = zip(*poly_terms(list(features), degree))
-    factors = tsqr(df, [F.lit(1.0), *terms, F.col(target)], group=F.col(segment_col))
-    rows = []
-    items = list(factors.items())
-    if total_label is not None and items:
-        items.append((total_label, (merge_factors([f[0] for _, f in items]), sum(f[1] for _, f in items))))
-    for seg, (r, n) in items:
-        beta = solve_ols(r, n)
-        rows.append((seg, "intercept", float(beta[0]), int(n)))
-        for nm, b in zip(names, beta[1:]):
-            rows.append((seg, nm, float(b), int(n)))
-    return spark.createDataFrame(rows, "segment string, term string, coefficient double, n long")
+    design = [F.lit(1.0), *terms, F.col(target)]
+    k = len(design)
+    parts = factor_table(df, design, F.col(segment_col)).withColumn("_total", F.lit(False))
+    if total_label is not None:
+        whole = factor_table(df, design).select(F.lit(total_label).alias("_g"), "_n", "_r", F.lit(True).alias("_total"))
+        parts = parts.unionByName(whole)
+    labels = ["intercept", *names]
+
+    def solve(batches):
+        for pdf in batches:
+            rows = []
+            for g, n, r, t in zip(pdf["_g"], pdf["_n"], pdf["_r"], pdf["_total"]):
+                beta = solve_ols(np.asarray(r, np.float64).reshape(k, k), int(n))
+                rows += [(g, bool(t), nm, float(b), int(n)) for nm, b in zip(labels, beta)]
+            if rows:
+                yield pd.DataFrame(rows, columns=["segment", "is_total", "term", "coefficient", "n"])
+
+    return parts.mapInPandas(solve, "segment string, is_total boolean, term string, coefficient double, n long")
 
 
 def feature_impact(
@@ -453,17 +547,25 @@ def feature_impact(
 ) -> DataFrame:
     """Per segment model: coefficient of ``feature``, average target, their
     ratio in percent, and a display name.  Segments without the feature are
-    skipped."""
+    skipped; the NULL segment counts like any other.  Segments of the models
+    that the data do not have, or the other way round, raise."""
     avg = (
         df.rollup(segment_col)
         .agg(F.avg(target).alias("average_target"), F.grouping(segment_col).alias("_tot"))
         .select(
-            F.when(F.col("_tot") == 1, F.lit(total_label)).otherwise(F.col(segment_col).cast("string")).alias("segment"),
+            (F.col("_tot") == 1).alias("_all"),
+            F.when(F.col("_tot") == 1, F.lit(total_label)).otherwise(F.col(segment_col).cast("string")).alias("_seg"),
             "average_target",
         )
     )
-    c = coefs.filter(F.col("term") == feature).select("segment", F.col("coefficient").alias("absolute_impact"))
-    return c.join(avg, "segment").select(
+    fitted = coefs.select("segment", "is_total").distinct()
+    same = F.col("segment").eqNullSafe(F.col("_seg")) & (F.col("is_total") == F.col("_all"))
+    known = avg.filter(~F.col("_all") & F.col("average_target").isNotNull())
+    unmatched = fitted.join(avg, same, "left_anti").count() + known.join(fitted, same, "left_anti").count()
+    if unmatched:
+        raise ValueError(f"{unmatched} segments are on one side only (models or data)")
+    c = coefs.filter(F.col("term") == feature).select("segment", "is_total", F.col("coefficient").alias("absolute_impact"))
+    return c.join(avg, same).select(
         "segment",
         F.lit(feature).alias("feature_name"),
         display_name(F.lit(feature)).alias("display_name"),

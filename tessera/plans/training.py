@@ -21,7 +21,7 @@ from tessera.operators.prep import NormParams, fit_zscore, numeric_columns, targ
 from tessera.operators.regress import LinearModel, fit
 from tessera.operators.rank import hash_key
 from tessera.operators.split import split_column
-from tessera.session import persisted, spread
+from tessera.session import staged
 
 
 @dataclass(frozen=True)
@@ -91,9 +91,9 @@ def train_and_evaluate(
     else:
         feats = list(features)
     # the narrow projection is read by 5 jobs (count, 2 split cut points,
-    # moments, fit, metrics): spread it over the cores and keep it
-    staged = spread(df.select(*key_cols, *feats, target), by=key_cols)
-    with persisted(staged.withColumn("_h", hash_key(seed, key_cols))) as data:
+    # moments, fit, metrics): a small one is spread over the cores and kept
+    narrow = df.select(*key_cols, *feats, target).withColumn("_h", hash_key(seed, key_cols))
+    with staged(narrow, by=key_cols) as data:
         split = split_column(data, key_cols, test_size, seed, n=data.count(), h=F.col("_h"))
         tagged = data.withColumn(split_col, split)
         train = tagged.filter(~F.col(split_col))

@@ -88,17 +88,29 @@ def materialize(df: DataFrame) -> DataFrame:
         cached.unpersist()
 
 
+def is_small(df: DataFrame) -> bool:
+    """Whether the optimizer's size estimate is below one input split per core.
+
+    Read from the plan's statistics: nothing runs, so shuffles upstream of
+    ``df`` are not executed to learn a partition count.
+    """
+    spark = df.sparkSession
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size < split * spark.sparkContext.defaultParallelism
+
+
 def spread(df: DataFrame, by: Sequence[str] | None = None) -> DataFrame:
-    """At least one partition per core for CPU-heavy stages.
+    """One partition per core for CPU-heavy stages over a small input.
 
-    A large input already has many more partitions than cores and is left
-    alone (no shuffle); a small one (few files or row groups) is
-    repartitioned so per-row work is not single-threaded: hashed on ``by``
-    (a unique key: balanced, deterministic without a sort) or round-robin.
+    A large input already has many splits and is left alone (no shuffle); a
+    small one (few files or row groups) is repartitioned so per-row work is
+    not single-threaded: hashed on ``by`` (a unique key: balanced,
+    deterministic without a sort) or round-robin.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    if not is_small(df):
         return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores, *by) if by else df.repartition(cores)
 
 
@@ -120,13 +132,12 @@ def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK)
 def staged(df: DataFrame, by: Sequence[str] | None = None):
     """Stage a whole-table input read by several jobs.
 
-    A small input (fewer partitions than cores) is spread and persisted; a
-    large one is yielded unchanged, so every job re-reads only the columns it
+    A small input (see :func:`is_small`) is spread and persisted; a large one
+    is yielded unchanged, so every job re-reads only the columns it
     needs from the (columnar) source instead of caching the whole table.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    if not is_small(df):
         yield df
         return
-    with persisted(df.repartition(cores, *by) if by else df.repartition(cores)) as cached:
+    with persisted(spread(df, by)) as cached:
         yield cached

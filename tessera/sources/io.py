@@ -55,7 +55,7 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver tables, ``{sf_dir}/{name}.parquet``."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def write_table(
@@ -78,15 +78,19 @@ def write_table(
 
 
 def load_xy(
-    df: DataFrame,
+    df: DataFrame | str,
     target: str,
     features: Sequence[str] | None = None,
     transform_target: Callable[[Column], Column] | None = None,
 ) -> tuple[DataFrame, list[str]]:
     """Pick features (default: all but the target) and the (optionally transformed) target.
 
-    X and y stay in one DataFrame so rows never need re-aligning.
+    X and y stay in one DataFrame so rows never need re-aligning.  ``df`` may be
+    the path of a CSV file with a header, or of a Parquet table.
     """
+    if isinstance(df, str):
+        spark = SparkSession.active()
+        df = read_csv(spark, df) if df.lower().endswith(".csv") else read_parquet(spark, df)
     if target not in df.columns:
         raise ValueError(f"target column {target!r} not found")
     feats = [c for c in df.columns if c != target] if features is None else list(features)
