@@ -38,8 +38,6 @@ def _qr_r(m: np.ndarray, k: int) -> np.ndarray:
 
 
 def _partial_factors(k: int, grouped: bool, held: int):
-    cols = [f"_x{i}" for i in range(k)]
-
     def run(batches):
         from pyspark import TaskContext
 
@@ -61,10 +59,13 @@ def _partial_factors(k: int, grouped: bool, held: int):
         for pdf in batches:
             groups = pdf.groupby("_g", dropna=False, sort=False) if grouped else [(None, pdf)]
             for g, sub in groups:
-                a = sub[cols].to_numpy(dtype=np.float64)
+                a = np.array(sub["_x"].tolist(), dtype=np.float64).reshape(len(sub), k)
+                a = a[~np.isnan(a).any(axis=1)]
+                if not len(a):
+                    continue
                 r, n = acc.get(g, (None, 0))
                 m = a if r is None else np.vstack([r, a])
-                acc[g] = (_qr_r(m, k), n + len(sub))
+                acc[g] = (_qr_r(m, k), n + len(a))
                 if 8 * k * k * len(acc) > held:
                     yield handed_on()
         if acc:
@@ -100,8 +101,8 @@ def factor_table(
     if k > MAX_COLUMNS:
         raise ValueError(f"{k} design columns is beyond the dense-factor limit {MAX_COLUMNS}")
     g = group.cast("string") if group is not None else F.lit(None).cast("string")
-    values = [F.nanvl(c.cast("double"), F.lit(None)).alias(f"_x{i}") for i, c in enumerate(columns)]
-    proj = df.select(g.alias("_g"), *values).dropna(subset=[f"_x{i}" for i in range(k)])
+    # one array column, however wide the design; NULL arrives as NaN
+    proj = df.select(g.alias("_g"), F.array(*[c.cast("double") for c in columns]).alias("_x"))
     tree = not is_small(proj) if tree is None else tree
     partials = spread(proj).mapInPandas(_partial_factors(k, group is not None, HELD_BYTES), _SCHEMA)
     if tree:

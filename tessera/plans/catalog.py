@@ -26,7 +26,7 @@ from tessera.operators import prep as pr
 from tessera.operators import profile as pf
 from tessera.operators import split as sp
 from tessera.operators.evaluate import coefficient_penalties, evaluate, loss_gradient, regularized_loss
-from tessera.operators.kmeans import kmeans_fit
+from tessera.operators.kmeans import kmeans_fit, kmeans_fit_predict
 from tessera.operators.regress import fit
 from tessera.plans import select as sel
 from tessera.plans.training import evaluate_new_data, predict_new_rows, train_and_evaluate
@@ -475,22 +475,15 @@ def q_products(spark, sf):
 
 
 def _power_sql() -> str:
-    cols = []
-    n = 0
-    for c, e in (("a", "lat / 10"), ("b", "lon / 10")):
-        for p in range(1, 40):
-            if n >= 50:
-                break
-            cols.append(f"round(pow({e}, {p}), 12) AS {c}_power_{p}")
-            n += 1
+    cols = [f"round(pow({e}, {p}), 12) AS {c}_power_{p}" for c, e in (("a", "lat / 10"), ("b", "lon / 10")) for p in range(1, 40)]
     return W(HOUSES, CONV) + f"SELECT {KEYS_SQL}, " + ", ".join(cols) + " FROM conv"
 
 
 @query("power_features", _power_sql())
 def q_powers(spark, sf):
     df = conv(spark, sf).select(*KEY, (F.col("lat") / 10).alias("a"), (F.col("lon") / 10).alias("b"), "price")
-    out = fe.power_features(df, range(1, 40), cap=50, exclude=[*KEY, "price"])
-    names = [n for n, _, _ in fe.power_feature_names(df, range(1, 40), 50, [*KEY, "price"])]
+    out = fe.power_features(df, range(1, 40), exclude=[*KEY, "price"])
+    names = [n for n, _, _ in fe.power_feature_names(df, range(1, 40), exclude=[*KEY, "price"])]
     return out.select(*KEY, *[r(c, 12).alias(c) for c in names])
 
 
@@ -508,21 +501,26 @@ def q_poly_design(spark, sf):
 
 # ---------------------------------------------------------- 2.7 clustering
 
-def kmeans_ctes(src: str, order_sql: str, coords: list[str], k: int, iters: int, p: str) -> tuple[list[str], str, str]:
-    """CTE chain of Lloyd iterations (md5 init, lowest index on ties, empty
-    cluster keeps its centre).  Returns (ctes, final centres, final labels)."""
+KM_TOL = 1e-4
+
+
+def kmeans_ctes(src: str, order_sql: str, coords: list[str], k: int, p: str, rounds: int = 20) -> tuple[list[str], str, str]:
+    """CTE chain of Lloyd iterations with the stop rule (md5 init, lowest index
+    on ties, empty cluster keeps its centre).  ``rounds`` lies beyond the
+    iteration that stops: from there on the centres are handed on unchanged.
+    Returns (ctes, final centres, final labels)."""
     d = len(coords)
     xs = ", ".join(f"{c} AS x{j}" for j, c in enumerate(coords))
     nn = " AND ".join(f"{c} IS NOT NULL" for c in coords)
     ctes = [
         f"{p}pts AS (SELECT *, {xs} FROM {src} WHERE {nn})",
-        f"{p}c0 AS (SELECT CAST(row_number() OVER (ORDER BY {order_sql}) - 1 AS INTEGER) AS z, "
+        f"{p}c0 AS MATERIALIZED (SELECT CAST(row_number() OVER (ORDER BY {order_sql}) - 1 AS INTEGER) AS z, "
         + ", ".join(f"x{j}" for j in range(d))
-        + f" FROM {p}pts ORDER BY {order_sql} LIMIT {k})",
+        + f", false AS done FROM {p}pts ORDER BY {order_sql} LIMIT {k})",
     ]
 
-    def pivot(t):
-        return f"{p}w{t} AS (SELECT " + ", ".join(
+    def pivot(t, name):
+        return f"{name} AS MATERIALIZED (SELECT " + ", ".join(
             f"max(x{j}) FILTER (WHERE z = {i}) AS c{i}_{j}" for i in range(k) for j in range(d)
         ) + f" FROM {p}c{t})"
 
@@ -531,34 +529,35 @@ def kmeans_ctes(src: str, order_sql: str, coords: list[str], k: int, iters: int,
         m = "least(" + ", ".join(ds) + ")" if k > 1 else ds[0]
         return "CASE " + " ".join(f"WHEN {ds[i]} = {m} THEN {i}" for i in range(k)) + " END"
 
-    for t in range(1, iters + 1):
-        ctes.append(pivot(t - 1))
-        ctes.append(f"{p}a{t} AS (SELECT {p}pts.*, {label()} AS z FROM {p}pts, {p}w{t - 1})")
+    for t in range(1, rounds + 1):
+        ctes.append(pivot(t - 1, f"{p}w{t - 1}"))
         means = ", ".join(f"avg(x{j}) AS x{j}" for j in range(d))
-        keep = ", ".join(f"coalesce(m.x{j}, c.x{j}) AS x{j}" for j in range(d))
+        ctes.append(f"{p}m{t} AS MATERIALIZED (SELECT z, {means} FROM (SELECT {p}pts.*, {label()} AS z FROM {p}pts, {p}w{t - 1}) GROUP BY z)")
+        keep = ", ".join(f"CASE WHEN c.done THEN c.x{j} ELSE coalesce(m.x{j}, c.x{j}) END AS x{j}" for j in range(d))
+        shift = " + ".join(f"pow(coalesce(m.x{j}, c.x{j}) - c.x{j}, 2)" for j in range(d))
         ctes.append(
-            f"{p}c{t} AS (SELECT c.z, {keep} FROM {p}c{t - 1} c LEFT JOIN (SELECT z, {means} FROM {p}a{t} GROUP BY z) m ON c.z = m.z)"
+            f"{p}c{t} AS MATERIALIZED (SELECT c.z, {keep}, c.done OR sum({shift}) OVER () < {KM_TOL} AS done "
+            f"FROM {p}c{t - 1} c LEFT JOIN {p}m{t} m ON c.z = m.z)"
         )
-    ctes.append(pivot(iters))
-    ctes.append(f"{p}lab AS (SELECT {p}pts.*, {label()} AS z FROM {p}pts, {p}w{iters})")
-    return ctes, f"{p}c{iters}", f"{p}lab"
+    ctes.append(pivot(rounds, f"{p}w"))
+    ctes.append(f"{p}lab AS (SELECT {p}pts.*, {label()} AS z FROM {p}pts, {p}w)")
+    return ctes, f"{p}c{rounds}", f"{p}lab"
 
 
-KM_ITERS = 3
 CUST_ORDER = f"md5(concat_ws('|', '{SEED}', c_custkey)), c_custkey"
-_cust_km, _cust_c, _cust_lab = kmeans_ctes("cust", CUST_ORDER, ["lat", "lon"], 3, KM_ITERS, "k")
-_house_km, _house_c, _house_lab = kmeans_ctes("conv", ORDER_SQL, ["lat", "lon"], 2, KM_ITERS, "h")
+_cust_km, _cust_c, _cust_lab = kmeans_ctes("cust", CUST_ORDER, ["lat", "lon"], 3, "k")
+_house_km, _house_c, _house_lab = kmeans_ctes("conv", ORDER_SQL, ["lat", "lon"], 2, "h")
 
 
 def _cust_model(spark, sf):
     df = customer_locations(spark, sf)
-    m = kmeans_fit(df, ["lat", "lon"], k=3, max_iter=KM_ITERS, tol=0.0, seed=SEED, key_cols=["c_custkey"])
+    m = kmeans_fit(df, ["lat", "lon"], k=3, seed=SEED, key_cols=["c_custkey"])
     return df, m
 
 
 def _house_model(spark, sf):
     df = conv(spark, sf)
-    m = kmeans_fit(df, ["lat", "lon"], k=2, max_iter=KM_ITERS, tol=0.0, seed=SEED, key_cols=KEY)
+    m = kmeans_fit(df, ["lat", "lon"], k=2, seed=SEED, key_cols=KEY)
     return df, m
 
 
@@ -588,30 +587,47 @@ def q_kmeans_predict(spark, sf):
     W(CUST, *_cust_km) + f"SELECT z AS zone, count(*) AS size FROM {_cust_lab} GROUP BY z",
 )
 def q_kmeans_fit_predict(spark, sf):
-    df, m = _cust_model(spark, sf)
-    return m.predict(df, ["lat", "lon"], "zone").groupBy("zone").agg(F.count(F.lit(1)).alias("size"))
+    _, out = kmeans_fit_predict(customer_locations(spark, sf), ["lat", "lon"], "zone", k=3, seed=SEED, key_cols=["c_custkey"])
+    return out.groupBy("zone").agg(F.count(F.lit(1)).alias("size"))
+
+
+# two of the three starting centres coincide, so one cluster stays empty
+_EMPTY_INIT = [[0.0, 0.0], [0.0, 0.0], [500.0, 500.0]]
+_empty_km, _empty_c, _ = kmeans_ctes("cust", CUST_ORDER, ["lat", "lon"], 3, "y")
+_empty_km[1] = "yc0 AS MATERIALIZED (SELECT * FROM (VALUES " + ", ".join(
+    f"({z}, {c[0]}::DOUBLE, {c[1]}::DOUBLE, false)" for z, c in enumerate(_EMPTY_INIT)
+) + ") t(z, x0, x1, done))"
+
+
+@query("kmeans_empty_cluster", W(CUST, *_empty_km) + f"SELECT z AS zone, round(x0, 9) AS lat, round(x1, 9) AS lon FROM {_empty_c}")
+def q_kmeans_empty(spark, sf):
+    m = kmeans_fit(customer_locations(spark, sf), ["lat", "lon"], k=3, init=_EMPTY_INIT)
+    rows = [(z, float(c[0]), float(c[1])) for z, c in enumerate(m.centers)]
+    return spark.createDataFrame(rows, "zone int, lat double, lon double").select("zone", r("lat", 9).alias("lat"), r("lon", 9).alias("lon"))
 
 
 EMB_DIM = 64
 _emb_km, _emb_c, _emb_lab = kmeans_ctes(
-    "emb", f"md5(concat_ws('|', '{SEED}', vec_id)), vec_id", [f"CAST(embedding[{j + 1}] AS DOUBLE)" for j in range(EMB_DIM)], 10, KM_ITERS, "e"
+    "emb", f"md5(concat_ws('|', '{SEED}', vec_id)), vec_id", [f"CAST(embedding[{j + 1}] AS DOUBLE)" for j in range(EMB_DIM)], 10, "e"
 )
 
 
 @query(
     "kmeans_wide",
     W("emb AS (SELECT vec_id, embedding FROM embeddings)", *_emb_km, f"sz AS (SELECT z, count(*) AS size FROM {_emb_lab} GROUP BY z)")
-    + f"SELECT c.z AS zone, coalesce(sz.size, 0) AS size, round(c.x0, 9) AS c0, round(c.x1, 9) AS c1, round(c.x63, 9) AS c63 "
+    + f"SELECT c.z AS zone, coalesce(sz.size, 0) AS size, "
+    + ", ".join(f"round(c.x{j}, 9) AS c{j}" for j in range(EMB_DIM)) + " "
     f"FROM {_emb_c} c LEFT JOIN sz ON c.z = sz.z",
 )
 def q_kmeans_wide(spark, sf):
     df = embedding_points(spark, sf)
     pts = [F.col("embedding").getItem(j).cast("double") for j in range(EMB_DIM)]
-    m = kmeans_fit(df, pts, k=10, max_iter=KM_ITERS, tol=0.0, seed=SEED, key_cols=["vec_id"])
+    m = kmeans_fit(df, pts, k=10, seed=SEED, key_cols=["vec_id"])
     sizes = m.predict(df, pts, "zone").groupBy("zone").agg(F.count(F.lit(1)).alias("size"))
-    cen = spark.createDataFrame([(z, c[0], c[1], c[63]) for z, c in enumerate(m.centers)], "zone int, c0 double, c1 double, c63 double")
+    names = [f"c{j}" for j in range(EMB_DIM)]
+    cen = spark.createDataFrame([(z, *map(float, c)) for z, c in enumerate(m.centers)], "zone int, " + ", ".join(f"{c} double" for c in names))
     return cen.join(sizes, "zone", "left").select(
-        "zone", F.coalesce("size", F.lit(0)).alias("size"), *[r(c, 9).alias(c) for c in ("c0", "c1", "c63")]
+        "zone", F.coalesce("size", F.lit(0)).alias("size"), *[r(c, 9).alias(c) for c in names]
     )
 
 
@@ -625,7 +641,7 @@ def _own_dist_sql(lab: str, cen_pivot: str, k: int, coords=("lat", "lon")) -> st
 @query(
     "dist_to_center",
     W(CUST, *_cust_km)
-    + f"SELECT c_custkey, z AS zone, round({_own_dist_sql('', '', 3)}, 9) AS dist FROM {_cust_lab}, kw{KM_ITERS}",
+    + f"SELECT c_custkey, z AS zone, round({_own_dist_sql('', '', 3)}, 9) AS dist FROM {_cust_lab}, kw",
 )
 def q_dist(spark, sf):
     df, m = _cust_model(spark, sf)
@@ -676,7 +692,7 @@ def _process_sql() -> str:
             f"zm AS (SELECT z, avg(age) AS ma, avg(rooms) AS mr FROM {_house_lab} GROUP BY z)",
             f"imp AS (SELECT l.* REPLACE (coalesce(l.age, zm.ma) AS age, coalesce(l.rooms, zm.mr) AS rooms) FROM {_house_lab} l JOIN zm ON l.z = zm.z)",
             f"eng AS (SELECT imp.*, has_pool * is_house AS pool_house, area * is_house AS house_area, "
-            f"{_own_dist_sql('', '', 2)} AS dist_to_cluster_center FROM imp, hw{KM_ITERS})"]
+            f"{_own_dist_sql('', '', 2)} AS dist_to_cluster_center FROM imp, hw)"]
     cols = [KEYS_SQL, "round(area, 9) AS area", "is_house", "has_pool", "round(age, 9) AS age", "round(rooms, 9) AS rooms",
             "round(price, 9) AS price", "z AS location_zone", "pool_house", "round(house_area, 9) AS house_area",
             "round(dist_to_cluster_center, 9) AS dist_to_cluster_center"]
@@ -692,7 +708,7 @@ def q_process(spark, sf):
     res = process_dataset(
         conv(spark, sf), k=2, location_cols=["lat", "lon"], features_to_impute=["age", "rooms"], impute_by_zone=True,
         create_zone_interactions=True, zone_interaction_features=PROC_INTER, key_cols=KEY,
-        kmeans_params={"max_iter": KM_ITERS, "tol": 0.0, "seed": SEED},
+        kmeans_params={"seed": SEED},
     )
     out = res.df
     dtypes = dict(out.dtypes)
@@ -764,7 +780,7 @@ def q_fit_linear(spark, sf):
     return _coef_df(spark, fit_linear(conv(spark, sf), ["area"], "price"))
 
 
-GD_EPOCHS = 50
+GD_EPOCHS = 1000
 GD_LR = 0.01
 _GD_CTES = [
     HOUSES, CONV,
@@ -779,7 +795,7 @@ GD_WITH = "WITH RECURSIVE " + ",\n".join(_GD_CTES) + "\n"
 
 def _gd_model(spark, sf):
     df = conv(spark, sf).withColumn("y", F.col("price") / 1000)
-    return fit(df, ["lon"], "y", method="gradient_descent", learning_rate=GD_LR, epochs=GD_EPOCHS, tolerance=1e-12)
+    return fit(df, ["lon"], "y", method="gradient_descent", learning_rate=GD_LR, epochs=GD_EPOCHS, tolerance=1e-300)
 
 
 @query(
@@ -802,6 +818,80 @@ def q_loss_history(spark, sf):
     return small(_gd_model(spark, sf).loss_history(spark), ["loss"])
 
 
+def _descent_sql(loss: str, lr: float, epochs: int, w1: float = 0.0, w2: float = 0.0) -> str:
+    """Subgradient descent of y on lon over the rows, one CTE per epoch; the
+    state after the epoch with the lowest loss counts."""
+    base = {"mse": "avg(e * e)", "l2": "sqrt(sum(e * e))", "mae": "avg(abs(e))", "l1": "sum(abs(e))"}[loss]
+    scale = {"mse": "2 * avg({})", "l2": "sum({}) / sqrt(sum(e * e))", "mae": "avg({})", "l1": "sum({})"}[loss]
+    part = "sign(e)" if loss in ("mae", "l1") else "e"
+    g0, g1 = scale.format(part), scale.format(f"{part} * lon")
+    ctes = [HOUSES, CONV, "d AS MATERIALIZED (SELECT lon / 100 AS lon, price / 1000 AS y FROM conv)",
+            "t0 AS (SELECT 0.0::DOUBLE AS b0, 0.0::DOUBLE AS b1, 'inf'::DOUBLE AS low, 0.0::DOUBLE AS w0, 0.0::DOUBLE AS w1)"]
+    for t in range(epochs):
+        ctes.append(
+            f"a{t} AS MATERIALIZED (SELECT any_value(b0) AS b0, any_value(b1) AS b1, any_value(low) AS low, any_value(w0) AS w0, any_value(w1) AS w1, "
+            f"{base} + {w1} * abs(any_value(b1)) + {w2} * any_value(b1) * any_value(b1) / 2 AS v, "
+            f"any_value(b0) - {lr} * ({g0}) AS n0, any_value(b1) - {lr} * ({g1} + {w1} * sign(any_value(b1)) + {w2} * any_value(b1)) AS n1 "
+            f"FROM (SELECT t{t}.*, d.lon, b0 + b1 * lon - y AS e FROM d, t{t}))"
+        )
+        ctes.append(
+            f"t{t + 1} AS MATERIALIZED (SELECT n0 AS b0, n1 AS b1, least(low, v) AS low, CASE WHEN v < low THEN n0 ELSE w0 END AS w0, "
+            f"CASE WHEN v < low THEN n1 ELSE w1 END AS w1 FROM a{t})"
+        )
+    return W(*ctes) + f"SELECT 'intercept' AS term, 0 AS power, {ssig('w0')} AS coefficient FROM t{epochs} UNION ALL SELECT 'lon', 1, {ssig('w1')} FROM t{epochs}"
+
+
+# rate, and epochs that the unrolled SQL can follow
+DESCENTS = {
+    "fit_gd_mae": ({"loss": "mae"}, 2.0, (0, 0)),
+    "fit_gd_l1": ({"loss": "l1"}, 2e-4, (0, 0)),
+    "fit_gd_l2": ({"loss": "l2"}, 0.5, (0, 0)),
+    "fit_gd_ridge": ({"regularization": "l2", "alpha": 0.4}, 0.1, (0, 0.4)),
+    "fit_gd_elasticnet": ({"regularization": "elasticnet", "alpha": 0.4, "l1_ratio": 0.25}, 0.1, (0.1, 0.3)),
+}
+DESCENT_EPOCHS = 40
+
+
+def _descent_query(name: str, params: dict, lr: float, weights: tuple) -> None:
+    @query(name, _descent_sql(params.get("loss", "mse"), lr, DESCENT_EPOCHS, *weights))
+    def run(spark, sf):
+        df = conv(spark, sf).select((F.col("lon") / 100).alias("lon"), (F.col("price") / 1000).alias("y"))
+        return _coef_df(spark, fit(df, ["lon"], "y", method="gradient_descent", learning_rate=lr, epochs=DESCENT_EPOCHS, tolerance=1e-300, **params))
+
+
+for _name, (_params, _lr, _weights) in DESCENTS.items():
+    _descent_query(_name, _params, _lr, _weights)
+
+
+@query(
+    "fit_ols_rank_deficient",
+    W(HOUSES, CONV, *ols2_ctes("conv", "area", "lon", "price"))
+    + f"SELECT {KEYS_SQL}, round((my - b1 * m1 - b2 * m2) + b1 * area + b2 * lon, 3) AS prediction FROM conv, fit",
+)
+def q_rank_deficient(spark, sf):
+    # the minimum-norm solution of three dependent regressors predicts what two do
+    df = conv(spark, sf).withColumn("mix", 2 * F.col("lon") + F.col("area"))
+    m = fit(df, ["area", "lon", "mix"], "price")
+    return m.predict(df).select(*KEY, r("prediction", 3).alias("prediction"))
+
+
+WIDE_MODEL = 300
+
+
+@query(
+    "fit_predict_wide",
+    W(HOUSES, CONV, *ols2_ctes("conv", "area", "lon", "price"))
+    + f"SELECT {KEYS_SQL}, round((my - b1 * m1 - b2 * m2) + b1 * area + b2 * lon, 3) AS prediction FROM conv, fit",
+)
+def q_fit_wide(spark, sf):
+    # 300 dependent regressors span the same space as two
+    df = conv(spark, sf)
+    parts = {f"x{i}": F.col("area") * (1 + i % 7) + F.col("lon") * (i % 5) for i in range(WIDE_MODEL)}
+    wide = df.withColumns(parts)
+    m = fit(wide, list(parts), "price")
+    return m.predict(wide).select(*KEY, r("prediction", 3).alias("prediction"))
+
+
 @query(
     "predict",
     W(HOUSES, CONV, *ols2_ctes("conv", "area", "lon", "price"))
@@ -1012,12 +1102,12 @@ def q_sweep(spark, sf):
 
 @query(
     "weight_paths",
-    W(*_SWEEP)
-    + f"SELECT CAST(position AS INTEGER) AS position, {LAM}, 'area' AS feature, {ssig('w1')} AS weight FROM cf "
-    f"UNION ALL SELECT CAST(position AS INTEGER), {LAM}, 'lon', {ssig('w2')} FROM cf",
+    W(*_SWEEP) + f"SELECT {LAM}, 'area' AS feature, {ssig('w1')} AS weight FROM cf UNION ALL SELECT {LAM}, 'lon', {ssig('w2')} FROM cf",
 )
 def q_weights(spark, sf):
-    return small(_sweep(spark, sf).weights, ["weight"])
+    weights = _sweep(spark, sf).weights
+    wide = weights.groupBy("lambda").pivot("feature", ["area", "lon"]).agg(F.first("weight"))
+    return small(dg.weight_paths(wide, "lambda", ["area", "lon"]), ["weight"])
 
 
 @query(
@@ -1084,6 +1174,18 @@ def q_cv_lambda(spark, sf):
     return small(res.curve, ["mse", "r2"])
 
 
+def _cv_mae_sql(lambdas) -> str:
+    sql = _cv_sql(lambdas)
+    sql = sql.replace(f"avg(pow(price - ({SWEEP_PRED}), 2)) AS mse", f"avg(abs(price - ({SWEEP_PRED}))) AS mse")
+    return sql.replace(" AS mse, " + ssig("avg(r2)") + " AS r2", " AS mae")
+
+
+@query("cv_metric_mae", _cv_mae_sql(CV_LAMBDAS))
+def q_cv_metric_mae(spark, sf):
+    res = sel.cv_lambda(conv(spark, sf), ["area", "lon"], "price", KEY, CV_LAMBDAS, n_splits=5, seed=SEED, metrics=("mae",))
+    return small(res.curve, ["mae"])
+
+
 @query("cv_plain", _cv_sql([0.0]).replace("lambda", "param"))
 def q_cv_plain(spark, sf):
     res = sel.cv_plain(conv(spark, sf), ["area", "lon"], "price", KEY, n_splits=5, seed=SEED)
@@ -1230,7 +1332,8 @@ def q_qq_line(spark, sf):
 # --------------------------------------------- lasso sweep (gradient descent)
 
 LASSO_LAMBDAS = [0.0, 10.0, 50.0]
-LASSO_EPOCHS, LASSO_LR = 30, 0.01
+# as many epochs as both engines follow to the last digit compared
+LASSO_EPOCHS, LASSO_LR = 60, 0.01
 LASSO_FIT = {"method": "gradient_descent", "regularization": "l1", "epochs": LASSO_EPOCHS, "learning_rate": LASSO_LR,
              "tolerance": 1e-12}
 

@@ -295,12 +295,3 @@ def test_ridge_matches_mllib_mapping(spark):
     ml = LinearRegression(featuresCol="f", labelCol="y", regParam=alpha * pdf["y"].std() / n, elasticNetParam=0.0,
                           standardization=False, solver="l-bfgs", tol=1e-12, maxIter=500).fit(vec)
     assert np.allclose([ours.intercept, *ours.coef], [ml.intercept, *ml.coefficients.toArray()], rtol=1e-4, atol=1e-4)
-
-
-def test_tsqr_group_guard(spark, monkeypatch):
-    import tessera.operators.moments as mo
-
-    monkeypatch.setattr(mo, "MAX_GROUPS", 2)  # shipped by value with the task function
-    df = spark.createDataFrame([(float(i), float(i % 5), str(i % 3)) for i in range(30)], "x double, y double, g string").coalesce(1)
-    with pytest.raises(Exception, match="groups"):
-        tsqr(df, [F.lit(1.0), F.col("x"), F.col("y")], group=F.col("g"))
