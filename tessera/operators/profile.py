@@ -58,10 +58,6 @@ def _describe(df: DataFrame, exact: bool) -> DataFrame:
                          f"max__{c}": r["max"]})
             if not exact:
                 base[f"q__{c}"] = r["q"]
-    if others:
-        row = df.agg(*[F.count(F.col(c)).alias(f"cnt__{c}") for c in others],
-                     *[F.count_distinct(F.col(c)).alias(f"uniq__{c}") for c in others]).first()
-        base.update(row.asDict())
     known = {(None, c): (base[f"cnt__{c}"], base[f"min__{c}"], base[f"max__{c}"]) for c in nums}
     quant = exact_quantiles(df, nums, [0.25, 0.5, 0.75], stats=known) if (exact and nums) else {}
     tops = {}
@@ -70,11 +66,13 @@ def _describe(df: DataFrame, exact: bool) -> DataFrame:
             F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in others])).alias("_s")
         ).select("_s.c", "_s.v").filter(F.col("v").isNotNull())
         counts = long.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
-        # most frequent value per column, ties to the smallest value
+        # count, distinct values and most frequent value (ties to the smallest)
+        # all follow from one grouped count
         top = counts.groupBy("c").agg(
-            F.min_by("v", F.struct((-F.col("n")).alias("k"), F.col("v").alias("v"))).alias("top"), F.max("n").alias("freq")
+            F.min_by("v", F.struct((-F.col("n")).alias("k"), F.col("v").alias("v"))).alias("top"), F.max("n").alias("freq"),
+            F.sum("n").alias("cnt"), F.count("*").alias("uniq"),
         )
-        tops = {r["c"]: (r["top"], r["freq"]) for r in top.collect()}
+        tops = {r["c"]: (r["cnt"], r["uniq"], r["top"], r["freq"]) for r in top.collect()}
     rows = []
     for i, c in enumerate(cols):
         if c in nums:
@@ -85,8 +83,8 @@ def _describe(df: DataFrame, exact: bool) -> DataFrame:
             rows.append((c, i, base[f"cnt__{c}"], None, None, None, base[f"mean__{c}"], base[f"std__{c}"],
                          base[f"min__{c}"], *q, base[f"max__{c}"]))
         else:
-            top, freq = tops.get(c, (None, None))
-            rows.append((c, i, base[f"cnt__{c}"], base[f"uniq__{c}"], top, freq, None, None, None, None, None, None, None))
+            cnt, uniq, top, freq = tops.get(c, (0, 0, None, None))
+            rows.append((c, i, cnt, uniq, top, freq, None, None, None, None, None, None, None))
     return spark.createDataFrame(rows, DESCRIBE_SCHEMA)
 
 

@@ -31,11 +31,10 @@ from tessera.session import materialize
 TARGET_BUCKET_ROWS = 100_000
 # Histogram width of one selection round, and the size at which a bucket is
 # ranked directly.
-SELECT_BUCKETS = 256
 SELECT_LEAF_ROWS = 50_000
 # Each round shrinks the range at least SELECT_BUCKETS-fold, so ~256 rounds
 # separate any two doubles; the cap is a guard, not a working limit.
-SELECT_MAX_ROUNDS = 300
+BRACKET_ACCURACY = 10_000
 
 
 def hash_key(seed: int | str, key_cols: Sequence[str]) -> Column:
@@ -191,7 +190,10 @@ def exact_quantiles(
     """Exact linear-interpolation quantiles (pandas/R7 rule), NULLs skipped.
 
     Returns ``{(group, column, q): value}``; ``group`` is None without groups.
-    The number of groups x columns must be small (they are the work items).
+    Approximate percentiles bracket each position, exact counts say where it
+    lies inside, and only a small range of values is read: four scans up to
+    about 10^8 rows whatever the distribution, one more for each factor of 50.
+    Groups x columns x quantiles are the work items that the driver holds.
     ``stats`` may pass known ``{(group, column): (n, min, max)}`` (non-NULL
     count and range) to skip the first job.
     """
@@ -208,106 +210,110 @@ def exact_quantiles(
         stats = long.groupBy("_g", "_c").agg(
             F.count(F.lit(1)).alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi")
         ).collect()
-    if len(stats) > 100_000:
-        raise ValueError("too many groups for exact quantiles")
-
-    result: dict[tuple, float | None] = {}
-    # target: (g, c, pos) -> state [lo, hi, base]; value found -> resolved
-    state: dict[tuple, list] = {}
-    found: dict[tuple, float] = {}
-    for r in stats:
-        n = r["n"]
-        for q in qs:
-            h = (n - 1) * q
-            for pos in {math.floor(h), math.ceil(h)}:
-                state[(r["_g"], r["_c"], pos)] = [r["lo"], r["hi"], 0]
-
-    rounds = 0
-    while True:
-        pending = {t: s for t, s in state.items() if t not in found}
-        for t, (lo, hi, base) in list(pending.items()):
-            if lo == hi:
-                found[t] = lo
-                del pending[t]
-        if not pending:
-            break
-        ranges = sorted({(t[0], t[1], s[0], s[1]) for t, s in pending.items()}, key=repr)
-        rid = {rg: i for i, rg in enumerate(ranges)}
-        if rounds >= SELECT_MAX_ROUNDS:
-            _resolve_by_rank(long, pending, found)
-            break
-        # ranges of one column are disjoint or identical: a literal CASE gives
-        # each value its range (no join, no broadcast job)
-        range_id, bucket = _range_case(rid, lambda lo, hi: F.least(
-            F.floor((F.col("_v") - dlit(lo)) / dlit(hi - lo) * SELECT_BUCKETS), F.lit(SELECT_BUCKETS - 1)))
-        hist = (
-            long.select(range_id.alias("_rid"), bucket.cast("int").alias("_bk"), "_v")
-            .filter(F.col("_rid").isNotNull())
-            .groupBy("_rid", "_bk")
-            .agg(F.count(F.lit(1)).alias("cnt"), F.min("_v").alias("bmin"), F.max("_v").alias("bmax"))
-            .collect()
-        )
-        per_rid: dict[int, list] = {}
-        for r in hist:
-            per_rid.setdefault(r["_rid"], []).append(r)
+    counts = {(r["_g"], r["_c"]): r["n"] for r in stats}
+    # target: (g, c, position) -> values that part the column around it
+    points = {
+        (r["_g"], r["_c"], pos): {r["lo"], r["hi"]}
+        for r in stats
+        for q in qs
+        for pos in {math.floor((r["n"] - 1) * q), math.ceil((r["n"] - 1) * q)}
+    }
+    found = {t: min(ends) for t, ends in points.items() if len(ends) == 1}
+    _bracket(long, points, found, counts)
+    while len(found) < len(points):
+        segments = _segments(long, {t: ends for t, ends in points.items() if t not in found})
         leaves = {}
-        for t, (lo, hi, base) in pending.items():
-            rows = sorted(per_rid[rid[(t[0], t[1], lo, hi)]], key=lambda r: r["_bk"])
-            need = t[2] - base
-            before = 0
-            for r in rows:
-                if need < before + r["cnt"]:
+        for t in points:
+            if t in found:
+                continue
+            need = t[2]
+            for r in segments[t[:2]]:
+                if need < r["cnt"]:
                     break
-                before += r["cnt"]
+                need -= r["cnt"]
             if r["bmin"] == r["bmax"]:
                 found[t] = r["bmin"]
             elif r["cnt"] <= SELECT_LEAF_ROWS:
-                leaves[t] = [r["bmin"], r["bmax"], base + before]
+                leaves[t] = (r["bmin"], r["bmax"], need)
             else:
-                state[t] = [r["bmin"], r["bmax"], base + before]
+                # the ends become points of their own, so the stretch shrinks
+                # even where a hot value fills the whole grid
+                at, last = need / r["cnt"] * (len(r["grid"]) - 1), len(r["grid"]) - 1
+                near = {r["grid"][max(0, math.floor(at) - 1)], r["grid"][min(last, math.ceil(at) + 1)]}
+                points[t] = {r["bmin"], r["bmax"], r["grid"][round(at)], *near}
         if leaves:
-            _resolve_by_rank(long, leaves, found)
-        rounds += 1
-
-    for r in stats:
-        n = r["n"]
+            _resolve_leaves(long, leaves, found)
+    result = {}
+    for (g, c), n in counts.items():
         for q in qs:
             h = (n - 1) * q
-            lo_v = found[(r["_g"], r["_c"], math.floor(h))]
-            hi_v = found[(r["_g"], r["_c"], math.ceil(h))]
-            result[(r["_g"], r["_c"], q)] = lo_v + (h - math.floor(h)) * (hi_v - lo_v)
+            lo_v, hi_v = found[g, c, math.floor(h)], found[g, c, math.ceil(h)]
+            result[g, c, q] = lo_v + (h - math.floor(h)) * (hi_v - lo_v)
     return result
 
 
-def _range_case(rid: dict, bucket_of=None):
-    """CASE expressions mapping ``(_g, _c, _v)`` to its range id (and bucket)."""
-    rid_expr, bucket_expr = None, None
-    for (g, c, lo, hi, *_), i in rid.items():
-        cond = (F.col("_c") == F.lit(c)) & F.col("_v").between(dlit(lo), dlit(hi))
-        cond = cond & (F.col("_g").isNull() if g is None else (F.col("_g") == F.lit(g)))
-        rid_expr = F.when(cond, F.lit(i)) if rid_expr is None else rid_expr.when(cond, F.lit(i))
-        if bucket_of is not None:
-            b = bucket_of(lo, hi)
-            bucket_expr = F.when(cond, b) if bucket_expr is None else bucket_expr.when(cond, b)
-    return rid_expr, bucket_expr
+def _bracket(long: DataFrame, points: dict, found: dict, counts: dict) -> None:
+    """Part the columns at approximate percentiles around every position (one
+    scan; their rank error is at most n / BRACKET_ACCURACY)."""
+    pending = [t for t in points if t not in found]
+    if not pending:
+        return
+    reach = 2 / BRACKET_ACCURACY
+
+    def around(t):
+        at = t[2] / counts[t[:2]]
+        return max(0.0, at - reach), min(1.0, at + reach)
 
+    wanted = sorted({p for t in pending for p in around(t)})
+    rows = long.groupBy("_g", "_c").agg(F.percentile_approx("_v", wanted, BRACKET_ACCURACY).alias("p")).collect()
+    values = {(r["_g"], r["_c"]): dict(zip(wanted, r["p"])) for r in rows}
+    for t in pending:
+        points[t] = {values[t[:2]][p] for p in around(t)}
 
-def _resolve_by_rank(long: DataFrame, targets: dict[tuple, list], found: dict) -> None:
-    """Rank the rows of each small leaf range directly (one job for all leaves)."""
-    items = list(targets.items())
-    ranges = sorted({(t[0], t[1], s[0], s[1], s[2]) for t, s in items}, key=repr)
-    rid = {rg: i for i, rg in enumerate(ranges)}
-    range_id, _ = _range_case(rid)
-    w = Window.partitionBy("_rid").orderBy("_v")
-    ranked = (
-        long.select(range_id.alias("_rid"), "_v")
-        .filter(F.col("_rid").isNotNull())
-        .withColumn("_rn", F.row_number().over(w))
+
+def _segments(long: DataFrame, points: dict) -> dict:
+    """Per (group, column), in order of value: count, extremes and approximate
+    grid of the rows at each point and between points (one scan)."""
+    case = None
+    for key in sorted({t[:2] for t in points}, key=repr):
+        inner = None
+        ends = sorted(set().union(*[e for t, e in points.items() if t[:2] == key]))
+        for i, end in enumerate(ends):
+            below, at = F.col("_v") < dlit(end), F.col("_v") == dlit(end)
+            inner = F.when(below, F.lit(2 * i)) if inner is None else inner.when(below, F.lit(2 * i))
+            inner = inner.when(at, F.lit(2 * i + 1))
+        inner = inner.otherwise(F.lit(2 * len(ends)))
+        same = (F.col("_c") == F.lit(key[1])) & (F.col("_g").isNull() if key[0] is None else F.col("_g") == F.lit(key[0]))
+        case = F.when(same, inner) if case is None else case.when(same, inner)
+    grid = [i / 100 for i in range(101)]
+    rows = (
+        long.withColumn("_seg", case)
+        .filter(F.col("_seg").isNotNull())
+        .groupBy("_g", "_c", "_seg")
+        .agg(F.count("*").alias("cnt"), F.min("_v").alias("bmin"), F.max("_v").alias("bmax"),
+             F.percentile_approx("_v", grid, BRACKET_ACCURACY).alias("grid"))
+        .collect()
     )
-    hit, tid = None, F.lit(None).cast("int")
-    for i, (t, st) in enumerate(items):
-        cond = (F.col("_rid") == rid[(t[0], t[1], st[0], st[1], st[2])]) & (F.col("_rn") == int(t[2] - st[2] + 1))
+    out: dict = {}
+    for r in sorted(rows, key=lambda r: r["_seg"]):
+        out.setdefault((r["_g"], r["_c"]), []).append(r)
+    return out
+
+
+def _resolve_leaves(long: DataFrame, leaves: dict, found: dict) -> None:
+    """Read the distinct values of small ranges with their counts (one job) and
+    count off the positions."""
+    hit = None
+    for (g, c, _), (lo, hi, _) in leaves.items():
+        same = F.col("_g").isNull() if g is None else F.col("_g") == F.lit(g)
+        cond = same & (F.col("_c") == F.lit(c)) & F.col("_v").between(dlit(lo), dlit(hi))
         hit = cond if hit is None else hit | cond
-        tid = F.when(cond, F.lit(i)).otherwise(tid)
-    for r in ranked.filter(hit).select(tid.alias("_tid"), "_v").collect():
-        found[items[r["_tid"]][0]] = r["_v"]
+    values: dict = {}
+    for r in long.filter(hit).groupBy("_g", "_c", "_v").agg(F.count("*").alias("n")).collect():
+        values.setdefault((r["_g"], r["_c"]), []).append((r["_v"], r["n"]))
+    for t, (lo, hi, need) in leaves.items():
+        for v, n in sorted(x for x in values[t[:2]] if lo <= x[0] <= hi):
+            if need < n:
+                found[t] = v
+                break
+            need -= n

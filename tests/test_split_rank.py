@@ -78,7 +78,7 @@ def test_exact_rank_with_hot_value(spark):
 
 def test_exact_quantiles_match_numpy(spark, monkeypatch):
     monkeypatch.setattr(rk, "SELECT_LEAF_ROWS", 20)
-    monkeypatch.setattr(rk, "SELECT_BUCKETS", 8)
+    monkeypatch.setattr(rk, "BRACKET_ACCURACY", 20)
     rng = np.random.default_rng(2)
     a = rng.lognormal(size=2001)
     b = np.where(rng.random(2001) < 0.4, 3.0, rng.normal(size=2001))
@@ -96,6 +96,31 @@ def test_exact_quantiles_match_numpy(spark, monkeypatch):
         assert np.isclose(per[(str(grp), "a", 0.5)], sub["a"].median(), atol=1e-12)
 
 
+def test_quantiles_of_a_log_spread_column_need_few_jobs(spark):
+    rng = np.random.default_rng(6)
+    v = np.exp(rng.normal(0, 12, 60_000))
+    df = to_spark(spark, pd.DataFrame({"v": v}), "v double", partitions=4).cache()
+    df.count()
+    spark.sparkContext.setJobGroup("log-spread", "log-spread")
+    got = rk.exact_quantiles(df, ["v"], [0.5, 0.999])
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("log-spread"))
+    spark.sparkContext.setJobGroup("idle", "idle")
+    assert np.isclose(got[(None, "v", 0.5)], np.quantile(v, 0.5)) and np.isclose(got[(None, "v", 0.999)], np.quantile(v, 0.999))
+    assert jobs <= 8  # four scans, each with its aggregation
+
+
+@pytest.mark.parametrize("leaf", [1, 5, 50_000])
+def test_quantiles_with_hot_values(spark, monkeypatch, leaf):
+    monkeypatch.setattr(rk, "SELECT_LEAF_ROWS", leaf)
+    monkeypatch.setattr(rk, "BRACKET_ACCURACY", 50)
+    rng = np.random.default_rng(7)
+    v = np.where(rng.random(3000) < 0.9, 2.0, rng.normal(2, 1, 3000))
+    df = to_spark(spark, pd.DataFrame({"v": v}), "v double", partitions=4).cache()
+    qs = [0.0, 0.01, 0.04, 0.06, 0.5, 0.95, 0.99, 1.0]
+    got = rk.exact_quantiles(df, ["v"], qs)
+    assert np.allclose([got[(None, "v", q)] for q in qs], np.quantile(v, qs), atol=1e-12)
+
+
 def test_thresholds_two_refinement_levels(spark, monkeypatch):
     monkeypatch.setattr(rk, "TARGET_BUCKET_ROWS", 3)
     n = 20000
@@ -107,19 +132,14 @@ def test_thresholds_two_refinement_levels(spark, monkeypatch):
     assert all(want[r.k] == r.fold for r in out.itertuples())
 
 
-def test_hot_duplicate_key_needs_no_big_task(spark, monkeypatch):
-    # a third of the rows share one key: they are equal in the order, so the
-    # cut is taken from an aggregate instead of ranking them in one task
+def test_cut_inside_a_hot_duplicate_key_raises(spark, monkeypatch):
+    # a third of the rows share one key: they are equal in the order, so no cut
+    # can fall between them
     monkeypatch.setattr(rk, "TARGET_BUCKET_ROWS", 3)
     keys = list(range(200)) + [7] * 100
     df = spark.createDataFrame([(k,) for k in keys], "k long").repartition(4)
-    n = len(keys)
     vals = sorted((hashlib.md5(f"42|{k}".encode()).hexdigest(), k) for k in keys)
     first = [v[1] for v in vals].index(7)
-    n_train = first + 50  # the cut falls inside the duplicate block
-    test_size = (n - n_train + 0.5) / n
-    assert int(n * test_size) == n - n_train
-    out = sp.train_test_split(df, ["k"], test_size, 42).toPandas()
-    cut = vals[n_train - 1]
-    want = [(hashlib.md5(f"42|{k}".encode()).hexdigest(), k) > cut for k in out["k"]]
-    assert list(out["is_test"]) == want
+    n, n_train = len(keys), first + 50
+    with pytest.raises(ValueError):
+        sp.train_test_split(df, ["k"], (n - n_train + 0.5) / n, 42)
