@@ -26,6 +26,7 @@ from tessera.operators.diagnostics import qq_table  # noqa: E402
 from tessera.operators.kmeans import kmeans_fit  # noqa: E402
 from tessera.operators.prep import convert_units  # noqa: E402
 from tessera.operators.regress import fit  # noqa: E402
+from tessera.plans import catalog  # noqa: E402
 from tessera.plans import select as sel  # noqa: E402
 from tessera.plans.training import train_and_evaluate  # noqa: E402
 from tessera.plans.prepare import process_dataset  # noqa: E402
@@ -110,7 +111,12 @@ def q_qq_table(spark):
     qq_table(orders, "o_totalprice", ["o_orderkey"]).write.format("noop").mode("overwrite").save()
 
 
+def q_fit_predict_wide(spark):
+    catalog.QUERIES["fit_predict_wide"](spark, SF_DIR).write.format("noop").mode("overwrite").save()
+
+
 QUERIES = {
+    "fit_predict_wide": q_fit_predict_wide,
     "fit_ols": q_fit_ols,
     "train_and_evaluate": q_train_and_evaluate,
     "lambda_sweep": q_lambda_sweep,

@@ -2,6 +2,7 @@ import os
 import tempfile
 
 import pytest
+from tessera import session
 from pyspark.sql import functions as F
 
 from tessera.session import ensure_checkpoint_dir, materialize, spread
@@ -37,9 +38,13 @@ def test_checkpoint_dir_and_materialize(spark):
     assert df.agg(F.sum("x")).first()[0] == 90
 
 
-def test_spread_only_small_inputs(spark):
+def test_spread_only_small_inputs(spark, monkeypatch):
     cores = spark.sparkContext.defaultParallelism
-    small = spark.range(10).coalesce(1)
-    assert spread(small).rdd.getNumPartitions() == cores
-    big = spark.range(100).repartition(cores + 2)
-    assert spread(big).rdd.getNumPartitions() == cores + 2
+    small = spark.range(10).repartition(2)
+    assert session.is_small(small) and session.spread(small).rdd.getNumPartitions() == cores
+    # a size estimate of one input split per core or more is left alone
+    monkeypatch.setattr(session, "is_small", lambda df: False)
+    large = spark.range(10).repartition(cores + 2)
+    assert session.spread(large) is large
+    with session.staged(large) as same:
+        assert same is large and not same.is_cached
