@@ -1424,12 +1424,10 @@ def q_erfinv(spark, sf):
 
 
 def _csv_roundtrip(spark, sf, schema):
-    import uuid
-
-    from tessera.session import ensure_checkpoint_dir
+    from tessera.session import scratch_path
     from tessera.sources.io import HOUSE_SCHEMA, read_csv, write_table
 
-    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/csv-{uuid.uuid4().hex}"
+    folder = scratch_path(spark, "csv")
     cols = [f.name for f in HOUSE_SCHEMA.fields]
     write_table(houses(spark, sf).select(*cols), folder, fmt="csv")
     return read_csv(spark, folder, HOUSE_SCHEMA if schema else None).select(*cols)

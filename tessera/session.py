@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+import uuid
 from collections.abc import Sequence
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -72,6 +74,39 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     )
 
 
+_scratch: list[str] = []
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder below the session's shared checkpoint folder; it is
+    deleted when the interpreter ends, or by :func:`release`."""
+    path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
+
+
+def scratch_tables() -> list[str]:
+    return list(_scratch)
+
+
+def release(spark: SparkSession, paths: Sequence[str]) -> None:
+    """Delete scratch folders.  Only for callers that have written what was read
+    from them (a pipeline between stages, the session's end)."""
+    gone = set(paths)
+    for path in gone:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    _scratch[:] = [path for path in _scratch if path not in gone]
+
+
+@atexit.register
+def _release_at_exit() -> None:
+    active = SparkSession.getActiveSession()
+    with suppress(Exception):  # the JVM may be gone by then
+        if active is not None:
+            release(active, scratch_tables())
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cut lineage with a reliable checkpoint in the session's checkpoint folder.
 
