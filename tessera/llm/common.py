@@ -3,30 +3,18 @@ row fingerprints, and per-process caches of Python workers."""
 
 from __future__ import annotations
 
-import atexit
-import contextlib
 import sys
 import types
-import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.session import ensure_checkpoint_dir
+from tessera.session import release, scratch_path, scratch_tables  # noqa: F401  (used through this module)
 
 # The six ASCII white-space characters of [\x20\x09-\x0D].
 ASCII_SPACE = " \t\n\x0b\f\r"
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
-_SCRATCH: list[tuple[SparkSession, str]] = []
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the session's shared checkpoint folder."""
-    path = f"{ensure_checkpoint_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
-    _SCRATCH.append((spark, path))
-    return path
-
 
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
@@ -41,29 +29,6 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def scratch_tables() -> list[str]:
-    return [path for _, path in _SCRATCH]
-
-
-def release(spark: SparkSession, paths: list[str]) -> None:
-    """Delete scratch tables.  Only for callers that have written what was read
-    from them (the corpus pipeline between stages, the session's end)."""
-    gone = set(paths)
-    fs = spark._jvm.org.apache.hadoop.fs
-    for path in gone:
-        p = fs.Path(path)
-        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-    _SCRATCH[:] = [x for x in _SCRATCH if x[1] not in gone]
-
-
-@atexit.register
-def _release_at_exit() -> None:
-    active = SparkSession.getActiveSession()
-    with contextlib.suppress(Exception):  # the JVM may be gone by then
-        if active is not None:
-            release(active, scratch_tables())
-
-
 def held_out(doc_id: Column) -> Column:
     """True for rows that no model may learn labels from: crc32 of the id's
     decimal text leaves remainder 2 modulo 4.  NULL ids: false."""
