@@ -16,8 +16,8 @@ import re
 from collections.abc import Callable
 
 #: Chunks kept per worker process; later chunks are encoded again when met.
-CACHE_CHUNKS = 600_000
-CACHE_PIECES = 600_000
+CACHE_CHUNKS = 250_000
+CACHE_PIECES = 250_000
 
 # The splitting rule, by which a word tokenizer that drops white
 # space is recognised, and the same rule over lower-cased ASCII and Latin-1.
