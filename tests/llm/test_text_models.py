@@ -209,6 +209,30 @@ def test_terms_that_reveal_an_entity(make):
     assert "Zebulon" not in pii.sanitise(text[0], got[0]["spans"]) and "[email]" in pii.sanitise(text[0], got[0]["spans"])
 
 
+@pytest.mark.parametrize("few", [True, False])
+def test_terms_go_wherever_they_stand(make, monkeypatch, few):
+    """Production limits: a rare entity (two documents), a hot one (a fifth of
+    all), names far from their entity and in documents without it."""
+    if not few:
+        monkeypatch.setattr(pii, "MAX_BROADCAST_TERMS", 0)
+    rng = random.Random(8)
+    common = ["meet", "call", "write", "about", "report", "please", "today", "office", "at"]
+    filler = lambda n: " ".join(rng.choice(common) for _ in range(n))
+    texts = [filler(20) for _ in range(2500)]
+    for i in range(0, 2500, 5):
+        texts[i] += f" Hotline at desk@example.org {filler(9)}"
+    for i in (1, 2):
+        texts[i] += f" Quillon at q.f@example.org {filler(40)} QUILLON again"
+    texts[3] += " only quillon here, address masked"
+    texts[4] += f" Hotline, {filler(5)}"
+    rows = [(i, t, None, None, None) for i, t in enumerate(texts)]
+    for r in pii.find(make(rows)).collect():
+        text = texts[r["doc_id"]]
+        marked = [text[int(s) : int(e)] for k, s, e in (p.split(":") for p in r["spans"].split(",") if p) if k == "term"]
+        assert marked == re.findall("quillon|hotline", text, re.I)
+        assert not re.search("quillon|hotline", pii.sanitise(text, r["spans"]), re.I)
+
+
 def test_document_counts_are_exact(make):
     df = make([(i, "alpha beta" if i % 3 else "alpha Gamma, gamma", None, None, None) for i in range(30)])
     terms = df.sparkSession.createDataFrame([("alpha",), ("gamma",)], "term string")
