@@ -3,9 +3,10 @@
 * Language model: character trigram counts over every text of the corpus,
   counted in Spark tasks and summed; smoothed by interpolation.
 * Channel: a hidden character may be written as itself, as a look-alike
-  (leetspeak), several times in a row, or followed by a separator.  Suspicious
-  spans (look-alikes inside words, runs of a letter, single letters set apart)
-  become character lattices, and Viterbi finds the likeliest hidden text.
+  (leetspeak), several times in a row, or followed by separators.  Every span
+  with a character of the channel (a token with a look-alike, an inner separator
+  or a repeated letter; single characters set apart by separators) becomes a
+  character lattice, and Viterbi finds the likeliest hidden text.
 * Classifier: words and word beginnings of the restored texts.  Those that set
   toxic rows apart from clean ones are learned on one half of a bounded sample
   of labelled rows; a logistic model over their weights is fitted on the other.
@@ -50,10 +51,13 @@ ALPHABET = " abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñò
 OTHER = len(ALPHABET)
 SYMBOLS = OTHER + 1
 LONGEST_SPAN = 200
+#: Longer tokens are restored anew each time.
+LONGEST_KEPT = 64
 
-LEET_HINT = re.compile(r"[^\W\d_][0-9@$!|+]+[^\W_]|[0-9@$!|+][^\W\d_]")
-RUN_HINT = re.compile(r"([^\W\d_])\1\1")
-SPACED = re.compile(r"(?<!\w)\w(?:[ .\-_*][\w@$!|+](?!\w)){2,}")
+#: A token with a look-alike, a repeated letter or an inner separator.
+HINT = re.compile(r"[0-9@$!|+]|([^\W\d_])\1|[^\W_][.\-_*]+(?:[^\W_]|[@$!|+])")
+SPACED = re.compile(r"(?<![^\W_])(?:[^\W_]|[@$!|+])(?:[ .\-_*]+(?:[^\W_]|[@$!|+])(?![^\W_])){2,}")
+EDGES = ".,;:?\"'()[]"
 PUNCTUATION = bytes.maketrans(bytes(range(33, 48)) + bytes(range(58, 65)) + b"[\\]^_`{|}~", b" " * 32)
 
 
@@ -115,31 +119,28 @@ class Decoder:
         self.model = model
         self.index = {c: i for i, c in enumerate(ALPHABET)}
         self.cache: dict[str, str] = {}
+        self.words: dict[str, tuple[bytes, ...]] = {}
 
     def choices(self, span: str) -> list[list[tuple[str, float]]]:
         """Per position of the observed span, hidden strings of up to two
         characters with their channel scores."""
-        spaced = SPACED.fullmatch(span) is not None
         out, i = [], 0
         while i < len(span):
             c, run = span[i], 1
-            while i + run < len(span) and span[i + run] == c:
+            while i + run < len(span) and (span[i + run] == c or c in SEPARATORS and span[i + run] in SEPARATORS):
                 run += 1
             if c in LEET:
                 hidden = [(h, self.LOOK_ALIKE) for h in LEET[c]] + [(c, self.SAME_DIGIT)]
             elif c in SEPARATORS:
-                # a separator hides nothing, or stands for a word's end
-                hidden = [("", self.DROPPED), (" ", self.KEPT)] if spaced else [("", self.DROPPED), (" ", self.KEPT)]
+                # separators in a row hide nothing, or stand for a word's end
+                hidden = [("", self.DROPPED), (" ", self.KEPT)]
             else:
                 hidden = [(c, 0.0)]
             if run > 1 and c not in SEPARATORS:
                 # a run stands for one letter, a double letter, or (short) itself
                 hidden = [(h * k, s + self.RUN * (k == 1)) for h, s in hidden for k in (1, 2)]
-                out.append(hidden)
-                i += run
-            else:
-                out.append(hidden)
-                i += 1
+            out.append(hidden)
+            i += run
         return out
 
     def decode(self, span: str) -> str:
@@ -171,20 +172,30 @@ class Decoder:
         return text
 
 
+def readings(token: str, decoder: Decoder) -> tuple[bytes, ...]:
+    """Words of a token's restored forms that it does not show itself; a mark
+    at its end may be a letter or punctuation, so both are read."""
+    found = decoder.words.get(token)
+    if found is None:
+        forms = {t for t in (token.strip(EDGES), token.strip(EDGES + "!|+")) if HINT.search(t)}
+        shown = set(token.encode("utf-8", "replace").translate(PUNCTUATION).split())
+        out: set[bytes] = set()
+        for f in forms:
+            out.update(decoder.decode(f).encode("utf-8", "replace").translate(PUNCTUATION).split())
+        found = tuple(sorted(out - shown))
+        if len(token) <= LONGEST_KEPT and len(decoder.words) < 200_000:
+            decoder.words[token] = found
+    return found
+
+
 def restored_words(text: str, decoder: Decoder) -> set[str]:
     """Distinct words of a text, together with those of its restored spans."""
     low = text.lower()
     words = set(low.encode("utf-8", "replace").translate(PUNCTUATION).split())
-    extra: list[str] = []
-    if SPACED.search(low):
-        extra += [decoder.decode(m[0]) for m in SPACED.finditer(low)]
-    leet, run = LEET_HINT.search(low), RUN_HINT.search(low)
-    if leet or run:
-        for token in set(low.split()):
-            if LEET_HINT.search(token) or RUN_HINT.search(token):
-                extra.append(decoder.decode(token.strip(".,;:?\"'()[]") or token))
-    for e in extra:
-        words.update(e.encode("utf-8", "replace").translate(PUNCTUATION).split())
+    for m in SPACED.finditer(low):
+        words.update(decoder.decode(m[0]).encode("utf-8", "replace").translate(PUNCTUATION).split())
+    for token in set(low.split()):
+        words.update(readings(token, decoder))
     return words
 
 
@@ -333,6 +344,6 @@ def restore(text: str, model: ToxicityModel) -> str:
     text = SPACED.sub(lambda m: decoder.decode(m[0].lower()), text)
     return re.sub(
         r"\S+",
-        lambda m: decoder.decode(m[0].lower()) if LEET_HINT.search(m[0]) or RUN_HINT.search(m[0]) else m[0],
+        lambda m: decoder.decode(m[0].lower()) if HINT.search(m[0].lower()) else m[0],
         text,
     )

@@ -122,6 +122,18 @@ def test_toxicity_held_out_and_obfuscated(tox_tables):
     assert "vileword" in toxicity.restore("so v1l3w0rd now", m)
 
 
+FORMS = ["v_i_l_e_w_o_r_d", "v  i  l  e  w  o  r  d", "vile.word", "vi-lew-ord", "vilew*ord", "nastyne$$", "viileword", "v1leword!"]
+
+
+def test_every_form_of_the_channel_is_decoded(tox_tables):
+    docs, labels = tox_tables
+    m = toxicity.train(docs, labels, ~held_out(F.col("doc_id")))
+    texts = [f"merin lanko {f} torest helin" for f in FORMS] + ["merin lanko well-known 10.5 hello! all"]
+    df = docs.sparkSession.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(df, m).collect()}
+    assert [f for i, f in enumerate(FORMS) if got[i] < 0.3] == [] and got[len(FORMS)] < 0.3
+
+
 def test_toxicity_without_labels(docs, no_docs, spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     m = toxicity.train(docs, none)
