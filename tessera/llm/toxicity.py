@@ -50,9 +50,10 @@ SEPARATORS = " .-_*"
 ALPHABET = " abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
 OTHER = len(ALPHABET)
 SYMBOLS = OTHER + 1
-LONGEST_SPAN = 200
-#: Longer tokens are restored anew each time.
+#: Longer spans are restored anew each time.
 LONGEST_KEPT = 64
+#: After so many positions, what all paths share is written out.
+SETTLE = 1024
 
 #: A token with a look-alike, a repeated letter or an inner separator.
 HINT = re.compile(r"[0-9@$!|+]|([^\W\d_])\1|[^\W_][.\-_*]+(?:[^\W_]|[@$!|+])")
@@ -117,14 +118,15 @@ class Decoder:
 
     def __init__(self, model: np.ndarray):
         self.model = model
+        self.flat = model.ravel().tolist()
         self.index = {c: i for i, c in enumerate(ALPHABET)}
         self.cache: dict[str, str] = {}
         self.words: dict[str, tuple[bytes, ...]] = {}
 
-    def choices(self, span: str) -> list[list[tuple[str, float]]]:
+    def choices(self, span: str) -> Iterator[list[tuple[str, float]]]:
         """Per position of the observed span, hidden strings of up to two
         characters with their channel scores."""
-        out, i = [], 0
+        i = 0
         while i < len(span):
             c, run = span[i], 1
             while i + run < len(span) and (span[i + run] == c or c in SEPARATORS and span[i + run] in SEPARATORS):
@@ -139,38 +141,62 @@ class Decoder:
             if run > 1 and c not in SEPARATORS:
                 # a run stands for one letter, a double letter, or (short) itself
                 hidden = [(h * k, s + self.RUN * (k == 1)) for h, s in hidden for k in (1, 2)]
-            out.append(hidden)
+            yield hidden
             i += run
-        return out
 
     def decode(self, span: str) -> str:
         found = self.cache.get(span)
         if found is not None:
             return found
-        # state: the last two hidden symbols; value: (score, text)
-        states: dict[tuple[int, int], tuple[float, str]] = {(OTHER, 0): (0.0, "")}
-        for hidden in self.choices(span[:LONGEST_SPAN]):
-            after: dict[tuple[int, int], tuple[float, str]] = {}
-            for (a, b), (score, text) in states.items():
+        # state: the last two hidden symbols; value: (score, path), a path
+        # being [path before, hidden string]
+        model, index, n = self.flat, self.index, SYMBOLS
+        root: list = [None, ""]
+        states: dict[tuple[int, int], tuple[float, list]] = {(OTHER, 0): (0.0, root)}
+        done: list[str] = []
+        for at, hidden in enumerate(self.choices(span), 1):
+            after: dict[tuple[int, int], tuple[float, list, str]] = {}
+            for (a, b), (score, path) in states.items():
                 for h, channel in hidden:
                     s, x, y = score + channel, a, b
                     for c in h:
-                        z = self.index.get(c, OTHER)
-                        s += float(self.model[x, y, z])
+                        z = index.get(c, OTHER)
+                        s += model[(x * n + y) * n + z]
                         x, y = y, z
                     old = after.get((x, y))
                     if old is None or s > old[0]:
-                        after[x, y] = (s, text + h)
-            states = after
+                        after[x, y] = (s, path, h)
+            states = {k: (s, [path, h]) for k, (s, path, h) in after.items()}
+            if at % SETTLE == 0:
+                done += self.settle([path for _, path in states.values()])
         # a word ends after the span
-        best = max(states.items(), key=lambda kv: kv[1][0] + float(self.model[kv[0][0], kv[0][1], 0]))
-        text = best[1][1]
-        if len(span) > LONGEST_SPAN:
-            text += self.decode(span[LONGEST_SPAN:])
-        if len(self.cache) < 200_000:
+        best = max(states.items(), key=lambda kv: kv[1][0] + model[(kv[0][0] * n + kv[0][1]) * n])
+        text = "".join(done + self.settle([best[1][1]]))
+        if len(span) <= LONGEST_KEPT and len(self.cache) < 200_000:
             self.cache[span] = text
         return text
 
+    @staticmethod
+    def settle(paths: list[list]) -> list[str]:
+        """The strings that all paths share, cut off from them."""
+        chains = []
+        for path in paths:
+            chain = []
+            while path is not None:
+                chain.append(path)
+                path = path[0]
+            chains.append(chain[::-1])
+        shared = []
+        for step in zip(*chains):
+            if any(p is not step[0] for p in step):
+                break
+            shared.append(step[0])
+        out = [p[1] for p in shared]
+        if shared:
+            # the last shared one stays as the new root
+            shared[-1][:] = [None, ""]
+        return out
+
 
 def readings(token: str, decoder: Decoder) -> tuple[bytes, ...]:
     """Words of a token's restored forms that it does not show itself; a mark

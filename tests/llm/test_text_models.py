@@ -169,6 +169,23 @@ def test_viterbi_equals_enumeration():
         assert max(total(t, s) for t, s in paths if t == got) == pytest.approx(best, abs=1e-3)
 
 
+def test_long_spans_are_walked_whole():
+    rng = np.random.default_rng(3)
+    d = toxicity.Decoder(toxicity.log_model(rng.integers(0, 50, (toxicity.SYMBOLS,) * 3).astype(float)))
+    for span in ("ab3x" * 250_000, "d " * 500_000):
+        assert len(d.decode(span.strip())) >= 250_000
+    assert d.decode("a" * 1_000_000) in ("a", "aa") and not any(len(k) > toxicity.LONGEST_KEPT for k in d.cache)
+
+
+def test_settled_paths_equal_kept_ones(monkeypatch):
+    rng = np.random.default_rng(4)
+    model = toxicity.log_model(rng.integers(0, 50, (toxicity.SYMBOLS,) * 3).astype(float))
+    span = "".join(rng.choice(list("l0s31t. a")) for _ in range(900))
+    want = toxicity.Decoder(model).decode(span)
+    monkeypatch.setattr(toxicity, "SETTLE", 3)
+    assert toxicity.Decoder(model).decode(span) == want
+
+
 # -- personal data ------------------------------------------------------------
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
