@@ -8,8 +8,9 @@
   reaches k times without its own row.
 * Replication: a vector goes to a group only if its upper bound p.s + r|s|
   reaches the threshold.
-* Local solution: in each (group, split) the remaining scores are computed as
-  one matrix product; the best k per query and split are merged.
+* Local solution: the vectors of a group are dealt over splits by a hash of
+  each row; in each (group, split) the remaining scores are computed as matrix
+  products over blocks of rows, and the best k per query and split are merged.
 
 Components are integers floor(scale * x).  Products that stay below 2^53 are
 computed in doubles and exact; larger ones in 64-bit integers.
@@ -38,6 +39,9 @@ GROUP_QUERIES = 1024
 CHUNK = 512
 SPLIT_ROWS = 50_000
 MIN_SPLITS = 8
+#: Rows of one matrix product of a split, and bytes of vectors handed on at once.
+BLOCK_ROWS = 2048
+HANDED_BYTES = 16 << 20
 
 
 def integers(vectors: DataFrame, vec_id: str, vector: str, scale: int) -> DataFrame:
@@ -165,44 +169,67 @@ def _thresholds(data: DataFrame, dim: int, centre: np.ndarray, radius: np.ndarra
 
 
 def _replicated(data: DataFrame, dim: int, centre: np.ndarray, radius: np.ndarray, floor: np.ndarray, splits: int) -> DataFrame:
-    """Chunks of the vectors that each group needs: (g, split, ids, v)."""
+    """Chunks of the vectors that each group needs: (g, split, ids, v), one per
+    batch, group and split."""
+
+    def handed(rows: list[tuple[int, int, bytes, bytes]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([r[0] for r in rows], pa.int32()),
+                pa.array([r[1] for r in rows], pa.int32()),
+                pa.array([r[2] for r in rows], pa.binary()),
+                pa.array([r[3] for r in rows], pa.binary()),
+            ],
+            ["g", "split", "ids", "v"],
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            s, ids = matrix(b["v"], dim), b["id"].to_numpy()
-            for lo in range(0, len(s), CHUNK):
-                part, own = s[lo : lo + CHUNK], ids[lo : lo + CHUNK]
-                need = _bounds(part, centre, radius)[1] >= floor[None, :]
-                rows = []
-                for g in np.flatnonzero(need.any(axis=0)):
-                    pick = need[:, g]
-                    rows.append((int(g), int(own[0] % splits), own[pick].tobytes(), part[pick].tobytes()))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([r[0] for r in rows], pa.int32()),
-                        pa.array([r[1] for r in rows], pa.int32()),
-                        pa.array([r[2] for r in rows], pa.binary()),
-                        pa.array([r[3] for r in rows], pa.binary()),
-                    ],
-                    ["g", "split", "ids", "v"],
-                )
-
-    return data.select("id", "v").mapInArrow(run, "g int, split int, ids binary, v binary")
+            if not b.num_rows:
+                continue
+            # rows in the order of their splits, so that a split is a stretch
+            split = b["split"].to_numpy()
+            order = np.argsort(split, kind="stable")
+            split, ids, s = split[order], b["id"].to_numpy()[order], matrix(b["v"], dim)[order]
+            need = np.vstack(
+                [_bounds(s[lo : lo + CHUNK], centre, radius)[1] >= floor[None, :] for lo in range(0, len(s), CHUNK)]
+            )
+            rows, size = [], 0
+            for g in np.flatnonzero(need.any(axis=0)):
+                at = np.flatnonzero(need[:, g])
+                for part in np.split(at, np.flatnonzero(np.diff(split[at])) + 1):
+                    rows.append((int(g), int(split[part[0]]), ids[part].tobytes(), s[part].tobytes()))
+                    size += len(rows[-1][3])
+                if size >= HANDED_BYTES:
+                    yield handed(rows)
+                    rows, size = [], 0
+            yield handed(rows)
+
+    # neither file order nor the pattern of the ids decides on the split
+    dealt = F.pmod(F.xxhash64("id", "v"), F.lit(splits)).cast("int").alias("split")
+    return data.select("id", "v", dealt).mapInArrow(run, "g int, split int, ids binary, v binary")
 
 
 def _best(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, s: np.ndarray, k: int):
     """Best k rows of each query (own id left out): rows, columns, scores."""
-    score = products(q, s)
-    out = []
-    for i in range(len(q)):
-        row = score[i]
-        ok = np.flatnonzero(ids != q_ids[i])
-        if len(ok) > k:
-            cut = np.partition(row[ok], len(ok) - k)[len(ok) - k]
-            ok = ok[row[ok] >= cut]
-        order = np.lexsort((ids[ok], -row[ok]))[:k]
-        out += [(i, int(ids[j]), int(row[j])) for j in ok[order]]
-    return out
+    best = [(np.zeros(0, np.int64), np.zeros(0, np.int64))] * len(q)
+    for lo in range(0, len(s), BLOCK_ROWS):
+        own, score = ids[lo : lo + BLOCK_ROWS], products(q, s[lo : lo + BLOCK_ROWS])
+        for i in range(len(q)):
+            row, (held, top) = score[i], best[i]
+            ok = own != q_ids[i]
+            if len(top) == k:
+                ok &= row >= top[-1]
+            at = np.flatnonzero(ok)
+            if not len(at):
+                continue
+            if len(at) > k:
+                cut = np.partition(row[at], len(at) - k)[len(at) - k]
+                at = at[row[at] >= cut]
+            held, top = np.concatenate([held, own[at]]), np.concatenate([top, row[at]])
+            order = np.lexsort((held, -top))[:k]
+            best[i] = held[order], top[order]
+    return [(i, int(j), int(x)) for i, (held, top) in enumerate(best) for j, x in zip(held, top)]
 
 
 def _solver(dim: int, k: int):

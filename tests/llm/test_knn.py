@@ -2,7 +2,9 @@
 
 import math
 import random
+from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -77,6 +79,31 @@ def test_groups_are_split(spark, monkeypatch):
     assert got(table(spark, rows), 5) == brute(rows, 5, 10)
 
 
+def test_ids_in_file_order_reach_every_split(spark):
+    rows = [(i, [float(i % 7), 1.0]) for i in range(8192)]
+    data = knn.integers(spark.createDataFrame(rows, "vec_id long, embedding array<float>").coalesce(1), "vec_id", "embedding", 1024)
+    chunks = knn._replicated(data, 2, np.zeros((1, 2)), np.ones(1), np.array([-np.inf]), 8).collect()
+    held = Counter()
+    for c in chunks:
+        held[c["split"]] += len(c["ids"]) // 8
+    assert sum(held.values()) == 8192 and len(held) == 8 and max(held.values()) < 1.2 * 1024
+    assert sorted(np.frombuffer(b"".join(c["ids"] for c in chunks), np.int64)) == list(range(8192))
+
+
+def test_products_are_taken_in_blocks(spark, monkeypatch):
+    sizes, products = [], knn.products
+    monkeypatch.setattr(knn, "products", lambda q, s: sizes.append(len(s)) or products(q, s))
+    rng = np.random.default_rng(7)
+    s = rng.integers(-3, 4, (5000, 4))
+    ids = rng.permutation(5000)
+    got = knn._best(ids[:20], s[:20], ids, s, 10)
+    score = s[:20] @ s.T
+    for i in range(20):
+        want = sorted((-int(score[i, j]), int(ids[j])) for j in range(5000) if ids[j] != ids[i])[:10]
+        assert [(-x, j) for n, j, x in got if n == i] == want
+    assert max(sizes) <= 2048 and sum(sizes) == 5000
+
+
 def test_thresholds_are_reached(spark):
     rows = vectors(400, 6, 5, 0.1)
     data = knn.integers(table(spark, rows), "vec_id", "embedding", 1024)
