@@ -19,8 +19,9 @@ Text of a page: blocks in page order, character references decoded, white
 space inside a block turned into one space, joined by two line feeds.
 
 Defined results: NULL and empty html give an empty text; a page whose url has
-no host belongs to the site of the empty host; repeated rows are pages of
-their own; malformed markup is closed where the next block begins.
+no host belongs to the site of the empty host; repeated rows have results of
+their own, but rows of one host with equal html are one page of its tree;
+malformed markup is closed where the next block begins.
 """
 
 from __future__ import annotations
@@ -34,6 +35,7 @@ from urllib.parse import urlsplit
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.llm.common import join_bounded, staged
 
@@ -45,6 +47,7 @@ PRIOR_PAGES = 10
 #: that repeat each other are no proof of a site's design.
 BELIEF_PAGES = 5
 MAX_BROADCAST_HOSTS = 50_000
+MAX_BROADCAST_COPIES = 200_000
 
 # Element names by their part in HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -195,16 +198,36 @@ def features(page: Page) -> set[tuple[int, str, str]]:
     return out
 
 
+def hosted(rows: DataFrame) -> DataFrame:
+    """Add ``host`` to rows that have ``url``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            hosts = pa.array([host_of(u) for u in b["url"].to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([*b.columns, hosts], [*b.schema.names, "host"])
+
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("host", T.StringType())]))
+
+
 def tree_rows(pages: DataFrame, url: str, source: str) -> DataFrame:
-    """(host, kind, node, feature, pages): the merged trees of all hosts."""
+    """(host, kind, node, feature, pages): the merged trees of all hosts, each
+    distinct html of a host counted once."""
+    rows = pages.select(
+        pages[url].alias("url"),
+        pages[source].alias("html"),
+        F.sha2(F.coalesce(pages[source], F.lit("")).cast("binary"), 256).alias("digest"),
+    )
+    # only digests meet; n copies of a page weigh 1/n each
+    copies = hosted(rows.select("url", "digest")).groupBy("host", "digest").agg(F.count("*").alias("copies"))
+    copies = staged(copies.filter("copies > 1"), "page-copies")
+    weighed = join_bounded(hosted(rows), copies, ["host", "digest"], "left", MAX_BROADCAST_COPIES)
+    weighed = weighed.select("host", "html", (F.lit(1.0) / F.coalesce("copies", F.lit(1))).alias("weight"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             count: Counter = Counter()
-            for u, h in zip(b["url"].to_pylist(), b["html"]):
-                host = host_of(u)
+            for host, h, weight in zip(b["host"].to_pylist(), b["html"], b["weight"].to_pylist()):
                 for kind, node, feature in features(Page(h.as_py() or "")):
-                    count[host, kind, node, feature] += 1
+                    count[host, kind, node, feature] += weight
             keys = list(count)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -212,16 +235,17 @@ def tree_rows(pages: DataFrame, url: str, source: str) -> DataFrame:
                     pa.array([k[1] for k in keys], pa.int32()),
                     pa.array([k[2] for k in keys], pa.string()),
                     pa.array([k[3] for k in keys], pa.string()),
-                    pa.array([count[k] for k in keys], pa.int64()),
+                    pa.array([count[k] for k in keys], pa.float64()),
                 ],
                 ["host", "kind", "node", "feature", "n"],
             )
 
-    rows = pages.select(pages[url].alias("url"), pages[source].alias("html"))
-    found = rows.mapInArrow(run, "host string, kind int, node string, feature string, n long")
+    found = weighed.mapInArrow(run, "host string, kind int, node string, feature string, n double")
     # features are compared by digest; equal ones of a task are one row
     found = found.withColumn("feature", F.xxhash64("feature"))
-    return staged(found.groupBy("host", "kind", "node", "feature").agg(F.sum("n").alias("n")), "style-tree")
+    # the weights of a page's copies add up to one but for rounding
+    whole = F.round(F.sum("n")).cast("long").alias("n")
+    return staged(found.groupBy("host", "kind", "node", "feature").agg(whole), "style-tree")
 
 
 def importances(rows: DataFrame, by: list[str]) -> DataFrame:
@@ -313,13 +337,6 @@ def extract(
     """Per page: page_id, url, text, n_chars."""
     low = staged(low_branches(tree_rows(pages, url, source), threshold), "low-branches")
 
-    def host_column(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays(
-                [b["page_id"], b["url"], b["html"], pa.array([host_of(u) for u in b["url"].to_pylist()], pa.string())],
-                ["page_id", "url", "html", "host"],
-            )
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = []
@@ -333,6 +350,5 @@ def extract(
     rows = pages.select(
         pages[page_id].cast("long").alias("page_id"), pages[url].alias("url"), pages[source].alias("html")
     )
-    rows = rows.mapInArrow(host_column, "page_id long, url string, html string, host string")
-    joined = join_bounded(rows, low, "host", "left", MAX_BROADCAST_HOSTS)
+    joined = join_bounded(hosted(rows), low, "host", "left", MAX_BROADCAST_HOSTS)
     return joined.select("page_id", "url", "html", "low").mapInArrow(run, "page_id long, url string, text string, n_chars long")

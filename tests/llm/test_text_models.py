@@ -339,3 +339,17 @@ def test_importance_follows_the_entropies(spark):
     assert math.isclose(got["body"], 8 / 9, rel_tol=1e-6)
 
 
+@pytest.mark.parametrize("few", [True, False])
+def test_copies_are_no_evidence_of_a_template(spark, monkeypatch, few):
+    """A host of copies only, copies with one other page, and another host of
+    the same layout: no text goes because rows repeat it."""
+    if not few:
+        monkeypatch.setattr(html_extract, "MAX_BROADCAST_COPIES", 0)
+    page = lambda t: f"<body><div class=story><p>{t} one</p><p>{t} two</p></div></body>"
+    pages = [("a.example", "alone")] * 40 + [("b.example", "copied")] * 100 + [("b.example", "other")]
+    pages += [("c.example", f"text {i}") for i in range(12)]
+    df = spark.createDataFrame([(i, f"https://{h}/{i}", page(t)) for i, (h, t) in enumerate(pages)], "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_extract.extract(df.repartition(3)).collect()}
+    assert got == {i: f"{t} one\n\n{t} two" for i, (_, t) in enumerate(pages)}
+    held = html_extract.tree_rows(df, "url", "html").filter("host = 'b.example' and kind = 1").collect()
+    assert held and {r["n"] for r in held} == {2}
