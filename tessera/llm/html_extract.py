@@ -55,7 +55,9 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small "
     "span strike strong sub sup time tt u var wbr img br input".split()
 )
-NOT_TEXT = ("script", "style", "noscript", "template", "svg", "math", "iframe", "object", "canvas", "head", "textarea")
+NOT_TEXT = ("script", "style", "noscript", "template", "iframe", "textarea")
+#: Without their end tag, these end where the page's body or a block begins.
+ENDS_AT_BLOCK = ("title", "svg", "math", "object", "canvas")
 NOISE_TAGS = frozenset("nav footer aside form button select menu dialog".split())
 MAIN_TAGS = frozenset(("article", "main"))
 NOISE_ROLES = frozenset(
@@ -72,13 +74,22 @@ CLOSES_P = frozenset(
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(" + "|".join(NOT_TEXT) + r")\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</\1\s*>|\Z)"
+    r"|<(?P<raw>" + "|".join(NOT_TEXT) + r")\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<empty>svg|math)\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>(?<=/>)"
+    r"|<(?P<part>" + "|".join(ENDS_AT_BLOCK) + r")\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>"
+    r"(?:(?:(?!<(?P=part)\b).)*?</(?P=part)\s*>|.*?(?=</head\b|</?body\b|<(?:" + "|".join(sorted(CLOSES_P)) + r")\b|\Z))"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)>"  # a tag with a stray quote
     r"|<[!?/][^>]*>",
     re.S | re.I,
 )
 ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+#: Words that make a compound of a role word that role's part of a page.
+ROLE_PARTS = frozenset(
+    "area bar banner block body box button buttons container content form icons item items link links list logo "
+    "menu message nav notice popup post posts article articles section signup slot text unit widget widgets "
+    "wrap wrapper inner top bottom".split()
+)
 
 
 def host_of(url: str | None) -> str:
@@ -88,18 +99,33 @@ def host_of(url: str | None) -> str:
         return ""
 
 
-def style_of(tag: str, attributes: str) -> tuple[str, bool]:
-    """(style, noise): tag with class and id, and whether its role is noise."""
-    noise, style = tag in NOISE_TAGS, tag
+def role_word(word: str) -> bool:
+    """Whether a class token names a noise role: as a whole, or as a compound
+    of a role and one of its parts.  States and layouts of a page that begin
+    with a role word ('menu-open', 'sidebar-first') are none."""
+    if word in NOISE_ROLES:
+        return True
+    parts = [w for w in re.split(r"[-_]+", word) if w]
+    return len(parts) > 1 and parts[0] in NOISE_ROLES and all(w in ROLE_PARTS or w in NOISE_ROLES for w in parts[1:])
+
+
+NONE, BY_NAME, BY_TAG = 0, 1, 2
+
+
+def style_of(tag: str, attributes: str) -> tuple[str, int]:
+    """(style, noise): tag with class and id, and what makes it noise, if
+    anything: a class, an id or the form tag, or its role itself."""
+    noise, style = BY_TAG if tag in NOISE_TAGS and tag != "form" else NONE, tag
     if attributes and attributes.strip():
         for m in ATTRIBUTE.finditer(attributes):
             value = (m[2] or m[3] or m[4] or "").lower()
             words = value.split()
-            noise |= any(w in NOISE_ROLES or w.split("-")[0] in NOISE_ROLES or w.split("_")[0] in NOISE_ROLES for w in words)
+            if any(map(role_word, words)):
+                noise = max(noise, BY_TAG if m[1].lower() == "role" else BY_NAME)
             if m[1].lower() != "role" and words:
                 # numbers in class and id names differ from page to page
                 style += (".", "#")[m[1].lower() == "id"] + re.sub(r"\d+", "0", words[0])
-    return style, noise
+    return style, NONE if tag in ("html", "body") else noise
 
 
 class Page:
@@ -109,17 +135,21 @@ class Page:
     def __init__(self, source: str):
         self.blocks: list[tuple[tuple[str, ...], bool, bool, str]] = []
         self.children: list[tuple[tuple[str, ...], list[str]]] = []
-        # open elements: tag, style, noise, main, number of its child list
-        self.open: list[tuple[str, str, bool, bool, int]] = []
+        # all elements: number of the parent, tag, noise
+        self.elements: list[tuple[int, str, int]] = []
+        # found blocks: style path, number of the element, text
+        self.found: list[tuple[tuple[str, ...], int, str]] = []
+        # open elements: tag, style, number
+        self.open: list[tuple[str, str, int]] = []
         self.text: list[str] = []
         at = 0
         for m in TOKEN.finditer(source):
             if m.start() > at:
                 self.text.append(source[at : m.start()])
             at = m.end()
-            close, tag, attributes = (m[2], m[3], m[4]) if m[3] else (m[5], m[6], m[7])
+            close, tag, attributes = (m[4], m[5], m[6]) if m[5] else (m[7], m[8], m[9])
             if tag is None:
-                if m[1] is not None:
+                if m[1] or m[2] or m[3]:
                     self.text.append(" ")
                 continue
             tag = tag.lower()
@@ -127,11 +157,15 @@ class Page:
                 self.text.append(" ")
             elif tag in INLINE:
                 continue
+            elif tag == "head":
+                # what stands in a head is no text, and its end tag may be missing
+                self.flush()
             else:
                 self.flush()
                 self.end(tag) if close else self.start(tag, attributes)
         self.text.append(source[at:])
         self.flush()
+        self.judge()
 
     def path(self) -> tuple[str, ...]:
         return tuple(e[1] for e in self.open)
@@ -141,8 +175,7 @@ class Page:
             text = " ".join(entities.unescape("".join(self.text)).split())
             self.text = []
             if text:
-                top = self.open[-1] if self.open else ("", "", False, False, -1)
-                self.blocks.append((self.path(), top[2], top[3], text))
+                self.found.append((self.path(), self.open[-1][2] if self.open else -1, text))
 
     def start(self, tag: str, attributes: str) -> None:
         if tag in VOID or attributes.rstrip().endswith("/") and tag not in CLOSES_P:
@@ -155,15 +188,42 @@ class Page:
             for s in same:
                 self.pop_implied(s, stop)
         style, noise = style_of(tag, attributes)
-        noise_above, main_above = (self.open[-1][2], self.open[-1][3]) if self.open else (False, False)
-        # the header of an article belongs to it; a page's header does not
-        noise |= tag == "header" and not main_above
-        main = main_above or tag in MAIN_TAGS
+        above = self.open[-1][2] if self.open else -1
         if self.open:
-            self.children[self.open[-1][4]][1].append(style)
-        self.open.append((tag, style, noise_above or noise, main and not noise, len(self.children)))
+            self.children[above][1].append(style)
+        self.open.append((tag, style, len(self.children)))
+        self.elements.append((above, tag, noise))
         self.children.append((self.path(), []))
 
+    def judge(self) -> None:
+        """Tell noise and main text apart, once the whole page is known: a
+        branch that holds an article or main element, or a form that holds most
+        of the page's text, is no noise by its name or form tag."""
+        n = len(self.elements)
+        # of an element and all above it; the last entry stands above the page
+        certain, inside = [False] * (n + 1), [False] * (n + 1)
+        for i, (above, tag, noise) in enumerate(self.elements):
+            # the header of an article belongs to it; a page's header does not
+            certain[i] = certain[above] or noise == BY_TAG or tag == "header" and not inside[above]
+            inside[i] = inside[above] or tag in MAIN_TAGS
+        chars, holds = [0] * (n + 1), [False] * (n + 1)
+        for _, at, text in self.found:
+            if not certain[at]:
+                chars[at] += len(text)
+        for i in range(n - 1, -1, -1):
+            above, tag, noise = self.elements[i]
+            holds[i] |= not certain[i] and (tag == "main" or tag == "article" and noise == NONE)
+            holds[above] |= holds[i]
+            chars[above] += chars[i]
+        noisy, main = [False] * (n + 1), [False] * (n + 1)
+        for i, (above, tag, noise) in enumerate(self.elements):
+            if noise == NONE and tag == "form" and 2 * chars[i] <= chars[n]:
+                noise = BY_NAME
+            own = noise == BY_TAG or noise == BY_NAME and not holds[i] or tag == "header" and not main[above]
+            noisy[i] = noisy[above] or own
+            main[i] = (main[above] or tag in MAIN_TAGS) and not own
+        self.blocks = [(path, noisy[at], main[at], text) for path, at, text in self.found]
+
     def pop_implied(self, tag: str, stop: tuple[str, ...]) -> None:
         for k in range(len(self.open) - 1, -1, -1):
             if self.open[k][0] == tag:
@@ -306,7 +366,7 @@ def main_text(source: str, low: set[str]) -> str:
             node, gone = "", False
             for step in path:
                 node = f"{node}>{step}" if node else step
-                if node in low and node not in ("html", "html>body", "body"):
+                if node in low and re.split(r"[.#]", step, maxsplit=1)[0] not in ("html", "body"):
                     gone = True
                     break
             if gone or node in low:

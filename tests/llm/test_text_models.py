@@ -353,3 +353,25 @@ def test_copies_are_no_evidence_of_a_template(spark, monkeypatch, few):
     assert got == {i: f"{t} one\n\n{t} two" for i, (_, t) in enumerate(pages)}
     held = html_extract.tree_rows(df, "url", "html").filter("host = 'b.example' and kind = 1").collect()
     assert held and {r["n"] for r in held} == {2}
+
+
+@pytest.mark.parametrize(
+    "source, blocks",
+    [
+        ("<html class=no-menu><body class='sidebar-first menu'><div>long text</div></body></html>", ["long text"]),
+        ("<body><form id=aspnetForm><div>long text of the page</div></form></body>", ["long text of the page"]),
+        ("<body><form id=f><input><main>text</main><div class=comment-list>c</div></form></body>", ["text"]),
+        ("<div class='sidebar'><article class=post>text</article></div>", ["text"]),
+        ("<div class=comments><article class=comment>c</article></div><p>text</p>", ["text"]),
+        ("<div class=menu-open><div class=search-page><div class=header-fixed>text</div></div></div>", ["text"]),
+        ("<div class=footer-links>f</div><div class=nav_menu>n</div><p>text</p>", ["text"]),
+        ("<html><head><meta charset=x><title>t</title><script>'<div>'</script><body><p>text</p>", ["text"]),
+        ("<html><head><title>t</title><p>text</p>", ["text"]),
+        ("<p>a</p><svg viewBox='0'/><p>b</p><svg><path><p>c</p>", ["a", "b", "c"]),
+        ("<p>a <svg><text>s</text></svg> b</p>", ["a b"]),
+        ("<nav><article>n</article></nav><article><header>h</header>text</article>", ["h", "text"]),
+    ],
+)
+def test_wrappers_and_open_elements_keep_the_page(source, blocks):
+    assert html_extract.main_text(source, set()) == "\n\n".join(blocks)
+    assert html_extract.main_text(source, {"html.no-menu>body.sidebar-first"}) == "\n\n".join(blocks)
