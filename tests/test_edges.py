@@ -13,7 +13,7 @@ from tessera.operators.features import power_feature_names
 from tessera.operators.split import kfold, train_test_split
 from tessera.plans import select as sel
 
-from conftest import to_spark
+from houses import to_spark
 
 
 @pytest.fixture(scope="module")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tessera.operators import prep as pr
 from tessera.sources.io import load_xy, nan_to_null
 
-from conftest import to_spark
+from houses import to_spark
 
 
 def test_convert_units_golden(spark):

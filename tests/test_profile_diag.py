@@ -9,7 +9,7 @@ from tessera.operators import diagnostics as dg
 from tessera.operators import features as fe
 from tessera.operators import profile as pf
 
-from conftest import make_houses, to_spark, HOUSE_SCHEMA
+from houses import make_houses, to_spark, HOUSE_SCHEMA
 
 
 def test_describe_matches_pandas(spark, houses):

@@ -8,7 +8,7 @@ from tessera.operators.evaluate import evaluate_dict, loss_gradient, regularized
 from tessera.operators.kmeans import WIDE, kmeans_fit
 from tessera.operators.moments import tsqr
 
-from conftest import to_spark
+from houses import to_spark
 
 
 @pytest.fixture

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.plans import select as sel
 
-from conftest import to_spark
+from houses import to_spark
 
 
 def _folds(ids, k, seed):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tessera.operators import rank as rk
 from tessera.operators import split as sp
 
-from conftest import to_spark
+from houses import to_spark
 
 
 def _order(ids, seed=42):

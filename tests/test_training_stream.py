@@ -10,7 +10,7 @@ from tessera.plans.training import evaluate_new_data, predict_new_rows, train_an
 from tessera.plans.prepare import ZONE, process_dataset
 from tessera.streaming import prepare_stream, run_available_now, score_stream
 
-from conftest import HOUSE_SCHEMA, SF_SMALL, make_houses, to_spark
+from houses import HOUSE_SCHEMA, SF_SMALL, make_houses, to_spark
 
 
 def test_train_and_evaluate_numpy(spark, houses):
