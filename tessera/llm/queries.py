@@ -5,11 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import exact_dedup, html_extract, knn, langid, mixing, near_dedup, packing, pii, token_counts, toxicity
+from tessera.llm import (
+    cross_tokens,
+    exact_dedup,
+    fim,
+    html_extract,
+    knn,
+    langid,
+    line_dedup,
+    mixing,
+    near_dedup,
+    packing,
+    pii,
+    token_counts,
+    toxicity,
+)
 from tessera.llm.common import held_out, scratch_path
 from tessera.sources.io import read_table
 
 TOKENIZER = "word_bpe_49k.json"
+ALIGNED = ("byte_bpe_50k.json", "piece_bpe_32k.model")
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -20,10 +35,10 @@ def query(fn):
     return fn
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = TOKENIZER) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(TOKENIZER)
+    return public_tokenizers.path(name)
 
 
 @query
@@ -176,3 +191,58 @@ def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(read_table(spark, sf_dir, "documents"))
     digest = F.sha2("base", 256).alias("base_sha256")
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", digest, "spans")
+
+
+@query
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.drop_lines(read_table(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
+    return found.select("doc_id", "n_lines", "n_dropped", digest)
+
+
+ORACLE["op11_line_dedup"] = r"""
+WITH l AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
+  FROM documents),
+k AS (
+  SELECT doc_id, pos, line,
+         translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM l),
+h AS (SELECT key FROM k WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10),
+m AS (SELECT k.*, h.key IS NOT NULL AS hot FROM k LEFT JOIN h ON h.key = k.key)
+SELECT doc_id, CAST(count(*) AS BIGINT) AS n_lines, CAST(count(*) FILTER (WHERE hot) AS BIGINT) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT hot), '')) AS kept_sha256
+FROM m GROUP BY doc_id"""
+
+
+@query
+def op12_cross_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_tokens.align(read_table(spark, sf_dir, "documents"), *map(tokenizer_path, ALIGNED))
+
+
+@query
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.assemble(read_table(spark, sf_dir, "documents"))
+
+
+ORACLE["op13_fill_in_middle"] = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || doc_id) AS h FROM documents),
+e AS (
+  SELECT *, length(t) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+         CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4
+  FROM d),
+f AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+              WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM e),
+c AS (SELECT *, substr(t, 1, a) AS p, substr(t, a + 1, b - a) AS m, substr(t, b + 1) AS s FROM f)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CASE WHEN form <> 'plain' THEN CAST(a AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(b - a AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+              ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM c"""

@@ -108,7 +108,7 @@ def test_normalised_text_is_an_expression(docs):
 
 def test_entry_lists_one_query_per_operator():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(queries.ORACLE) <= set(queries.QUERIES)
     assert Tokenizer.from_file(public_tokenizers.path(queries.TOKENIZER)).get_vocab_size() > 0
 
