@@ -19,8 +19,10 @@ a group is a link.
   in its container, summed per block by array operations.
 
 Where no token of either tokenizer can cross a space that follows a visible
-character (read from the vocabularies), texts are cut there and each distinct
-chunk is encoded and aligned once per task process; otherwise whole texts are.
+character, or join a letter with another kind of character (read from rules and
+vocabularies), texts are cut into chunks there and chunks into parts, and each
+distinct part is encoded and aligned once per task process (in bounded caches);
+otherwise whole texts are.
 
 Defined results: a text that is NULL or empty, or whose token bytes differ from
 a space and the text, has no tokens (zeros, empty digest).  Every row is a
@@ -38,6 +40,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,10 +48,11 @@ from tessera.llm.common import small_enough, staged, worker_cache
 from tessera.llm.tokens import _byte_names
 
 #: A block closes at this many documents (16-bit ordinals allow 65,536), or as
-#: soon as it holds this many (document, distinct chunk) entries.
+#: soon as it holds this many occurrences of chunks.
 BLOCK_DOCS = 8192
-BLOCK_ENTRIES = 400_000
+BLOCK_CHUNKS = 1_000_000
 CACHE_CHUNKS = 150_000
+CACHE_PARTS = 150_000
 #: Scores are broadcast up to this many distinct pairs.
 MAX_BROADCAST_PAIRS = 1_000_000
 #: Blocks whose sums a scoring task holds at a time.
@@ -63,6 +67,12 @@ INDEX = f"block long, {DOCUMENT}, {POSTING}"
 # Stand-in of a space in pieces, and where a chunk can end.
 SPACE_MARK = "▁"
 CHUNK_END = re.compile(r"(?<=\S) (?=.)", re.DOTALL)
+# Between a Latin letter and ASCII punctuation, digit or line feed, and back (but
+# not behind an apostrophe, which begins short forms, and behind one line feed
+# only after a visible character).
+LATIN = "A-Za-zÀ-ÖØ-öø-ɏ"
+PART_END = re.compile(rf"(?<=[{LATIN}])(?=[!-@[-`{{-~\n])|(?<=[!-&(-@[-`{{-~])(?=[{LATIN}])|(?<=[!-~{LATIN}]\n)(?=[{LATIN}])")
+WORD = re.compile(rf" ?[{LATIN}]+")
 UNUSUAL_SPACE = re.compile(r"\A |\s | \Z")
 
 
@@ -80,7 +90,8 @@ class ByteTokens:
         self.lib.no_truncation()
         self.lib.no_padding()
         self.lib.encode_special_tokens = True
-        byte_of = {name: b for b, name in enumerate(_byte_names())}
+        self.names = _byte_names()
+        byte_of = {name: b for b, name in enumerate(self.names)}
         self.bytes_of = {
             i: bytes(byte_of[c] for c in token) if all(c in byte_of for c in token) else token.encode()
             for token, i in self.lib.get_vocab(with_added_tokens=True).items()
@@ -98,12 +109,16 @@ class ByteTokens:
             and not spec["model"].get("dropout")
         )
 
-    def encode(self, text: str) -> list[int]:
-        return self.lib.encode(" " + text, add_special_tokens=False).ids
+    def encode(self, raw: str) -> list[int]:
+        if self.cuts_at_spaces and WORD.fullmatch(raw):
+            # one word of the rule: straight to its merges
+            names = self.names
+            return [t.id for t in self.lib.model.tokenize("".join([names[b] for b in raw.encode()]))]
+        return self.lib.encode(raw, add_special_tokens=False).ids
 
 
 class PieceTokens:
-    """A sentencepiece model; it puts the space before the text itself."""
+    """A sentencepiece model; it puts a space before the text itself."""
 
     def __init__(self, path: str):
         import sentencepiece
@@ -114,15 +129,20 @@ class PieceTokens:
             i: bytes([int(p[3:5], 16)]) if self.lib.is_byte(i) else p.replace(SPACE_MARK, " ").encode()
             for i, p in enumerate(pieces)
         }
-        inner = re.compile(f"[^{SPACE_MARK}]{SPACE_MARK}")
-        same = "a  b ﬁ　c"  # a model that rewrites texts would change these
+        shown = [p for i, p in enumerate(pieces) if not (self.lib.is_byte(i) or self.lib.is_control(i) or self.lib.is_unknown(i))]
+        inner = regex.compile(rf"[^{SPACE_MARK}]{SPACE_MARK}|\p{{L}}[^\p{{L}}\p{{M}}]|[^\p{{L}}\p{{M}}{SPACE_MARK}]\p{{L}}|\n")
+        same = "a  b ﬁ　c"  # a model that rewrites texts would change these
         self.cuts_at_spaces = (
-            not any(inner.search(p) for p in pieces)
-            and b"".join(self.bytes_of[i] for i in self.encode(same)) == (" " + same).encode()
+            not any(inner.search(p) for p in shown)
+            and len(self.lib.encode("\n")) == 2
+            and b"".join(self.bytes_of[i] for i in self.encode(" " + same)) == (" " + same).encode()
         )
 
-    def encode(self, text: str) -> list[int]:
-        return self.lib.encode(text, num_threads=1)
+    def encode(self, raw: str) -> list[int]:
+        if raw[:1] == " ":
+            return self.lib.encode(raw[1:], num_threads=1)
+        # no token holds a line feed: two tokens stand for the space and this one
+        return self.lib.encode("\n" + raw, num_threads=1)[2:]
 
 
 def load(path: str):
@@ -132,54 +152,85 @@ def load(path: str):
 # -- one chunk ----------------------------------------------------------------
 
 
-def groups_of(a: list[int], b: list[int], a_bytes: dict, b_bytes: dict) -> Iterator[tuple[list[int], list[int]]]:
+def groups_of(a: list[int], b: list[int], a_len: list[int], b_len: list[int]) -> Iterator[tuple[list[int], list[int]]]:
     """Id lists between byte offsets where tokens of both end (equal totals)."""
-    i = j = at_a = at_b = first_a = first_b = 0
-    while i < len(a) or j < len(b):
-        if at_a <= at_b and i < len(a):
-            at_a += len(a_bytes[a[i]])
-            i += 1
-        else:
-            at_b += len(b_bytes[b[j]])
-            j += 1
-        if at_a == at_b and i > first_a and j > first_b:
-            yield a[first_a:i], b[first_b:j]
-            first_a, first_b = i, j
-
-
-class Chunks(dict):
-    """chunk -> (n_a, n_b, n_groups, n_links, groups as text, pairs, links of
-    each pair), or None where the tokens' bytes differ from the chunk's."""
+    i = j = 0
+    while i < len(a):
+        first_a, first_b = i, j
+        ahead = a_len[a[i]] - b_len[b[j]]
+        i, j = i + 1, j + 1
+        while ahead:
+            if ahead < 0:
+                ahead += a_len[a[i]]
+                i += 1
+            else:
+                ahead -= b_len[b[j]]
+                j += 1
+        yield a[first_a:i], b[first_b:j]
+
+
+class Parts(dict):
+    """raw text -> (n_a, n_b, n_groups, n_links, groups as text, pairs, links of
+    each pair), or None where the tokens' bytes differ from the text's."""
 
     def __init__(self, path_a: str, path_b: str):
         super().__init__()
         self.a, self.b = load(path_a), load(path_b)
-        self.cuts = self.a.cuts_at_spaces and self.b.cuts_at_spaces
+        self.lengths = [[len(t.bytes_of.get(i, b"")) for i in range(max(t.bytes_of) + 1)] for t in (self.a, self.b)]
 
-    def __missing__(self, chunk: str):
-        a, b = self.a.encode(chunk), self.b.encode(chunk)
+    def __missing__(self, raw: str):
+        a, b = self.a.encode(raw), self.b.encode(raw)
         a_bytes, b_bytes = self.a.bytes_of, self.b.bytes_of
-        raw = b" " + chunk.encode()
-        if b"".join([a_bytes[t] for t in a]) != raw or b"".join([b_bytes[t] for t in b]) != raw:
+        data = raw.encode()
+        if b"".join([a_bytes[t] for t in a]) != data or b"".join([b_bytes[t] for t in b]) != data:
             found = None
         else:
             shown, pairs, n_groups, n_links = [], {}, 0, 0
-            for left, right in groups_of(a, b, a_bytes, b_bytes):
-                shown.append(f"{','.join(map(str, left))}|{','.join(map(str, right))}")
+            for left, right in groups_of(a, b, *self.lengths):
                 n_groups += 1
-                n_links += len(left) * len(right)
-                if len(left) == 1 and len(right) == 1:
-                    key = left[0] << 32 | right[0]
-                    pairs[key] = pairs.get(key, 0) + 1
+                if len(left) == len(right) == 1:
+                    x, y = left[0], right[0]
+                    shown.append(f"{x}|{y}")
+                    n_links += 1
+                    pairs[x << 32 | y] = pairs.get(x << 32 | y, 0) + 1
                     continue
-                for x, nx in Counter(left).items():
-                    for y, ny in Counter(right).items():
+                shown.append(f"{','.join(map(str, left))}|{','.join(map(str, right))}")
+                n_links += len(left) * len(right)
+                for x, nx in Counter(left).items() if len(left) > 9 else ((t, 1) for t in left):
+                    for y, ny in Counter(right).items() if len(right) > 9 else ((t, 1) for t in right):
                         pairs[x << 32 | y] = pairs.get(x << 32 | y, 0) + nx * ny
-            found = (len(a), len(b), n_groups, n_links, ";".join(shown), list(pairs), list(pairs.values()))
-        if len(self) < CACHE_CHUNKS and len(chunk) < 64:
-            self[chunk] = found
+            found = (len(a), len(b), n_groups, n_links, ";".join(shown), tuple(pairs), tuple(pairs.values()))
+        if len(self) < CACHE_PARTS and len(raw) < 32:
+            self[raw] = found
         return found
 
+
+class Chunks(dict):
+    """chunk (without the space before it) -> the same, from its parts."""
+
+    def __init__(self, path_a: str, path_b: str):
+        super().__init__()
+        self.parts = Parts(path_a, path_b)
+        self.cuts = self.parts.a.cuts_at_spaces and self.parts.b.cuts_at_spaces
+
+    def __missing__(self, chunk: str):
+        raw = " " + chunk
+        names = PART_END.split(raw) if self.cuts and not chunk.isalpha() else [raw]
+        found = [self.parts[n] for n in names]
+        if None in found:
+            record = None
+        elif len(found) == 1:
+            record = found[0]
+        else:
+            n_a, n_b, n_groups, n_links, shown, pairs, links = zip(*found)
+            record = (
+                sum(n_a), sum(n_b), sum(n_groups), sum(n_links), ";".join(shown),
+                tuple([x for p in pairs for x in p]), tuple([x for m in links for x in m]),
+            )
+        if len(self) < CACHE_CHUNKS and len(chunk) < 64:
+            self[chunk] = record
+        return record
+
     def runs(self, text: str) -> Iterator[list[str]]:
         """The chunks of a text, some at a time."""
         if not self.cuts:
@@ -197,74 +248,85 @@ class Chunks(dict):
 # -- a block of documents -----------------------------------------------------
 
 
+class Numbers(dict):
+    """chunk -> its number in the block; keeps the records by number."""
+
+    def __init__(self, chunks: Chunks):
+        super().__init__()
+        self.chunks, self.records, self.shown, self.bad = chunks, [], [], set()
+
+    def __missing__(self, chunk: str) -> int:
+        record, number = self.chunks[chunk], len(self.records)
+        if record is None:
+            self.bad.add(number)
+            record = (0, 0, 0, 0, "", (), ())
+        self.records.append(record)
+        self.shown.append(record[4])
+        self[chunk] = number
+        return number
+
+
 class Block:
-    """Documents and (document, chunk) entries until the block closes."""
+    """Documents, and the numbers of their chunks, until the block closes."""
 
     def __init__(self, chunks: Chunks):
         self.chunks = chunks
         self.clear()
 
     def clear(self) -> None:
-        self.documents: list[tuple] = []
-        self.number: dict[str, int] = {}
-        self.records: list[tuple] = []
-        self.entries: list[tuple[np.ndarray, np.ndarray, int]] = []
+        self.numbers = Numbers(self.chunks)
+        self.ids: list[int | None] = []
+        self.digests: list[str] = []
+        self.uses: list[np.ndarray] = []  # per run of chunks
+        self.ordinals: list[int] = []
         self.held = 0
 
     def full(self) -> bool:
-        return len(self.documents) >= BLOCK_DOCS or self.held >= BLOCK_ENTRIES
+        return len(self.ids) >= BLOCK_DOCS or self.held >= BLOCK_CHUNKS
 
     def add(self, doc_id: int | None, text: str | None) -> None:
-        ordinal = len(self.documents)
-        uses, sums, digest = Counter(), [0, 0, 0, 0], hashlib.sha256()
-        whole, first = bool(text), True
+        numbers, digest, uses = self.numbers, hashlib.sha256(), []
+        whole = bool(text)
         for run in self.chunks.runs(text or ""):
-            counted, records = Counter(run), {}
-            for chunk in counted:
-                records[chunk] = self.chunks[chunk]
-            if None in records.values():
+            at = [numbers[c] for c in run]
+            if numbers.bad and not numbers.bad.isdisjoint(at):
                 whole = False
                 break
-            for chunk, n in counted.items():
-                record = records[chunk]
-                sums[0] += n * record[0]
-                sums[1] += n * record[1]
-                sums[2] += n * record[2]
-                sums[3] += n * record[3]
-                at = self.number.get(chunk)
-                if at is None:
-                    at = self.number[chunk] = len(self.records)
-                    self.records.append(record[5:])
-                uses[at] += n
-            digest.update(("" if first else ";").encode())
-            digest.update(";".join([records[c][4] for c in run]).encode())
-            first = False
-        if not whole:
-            self.documents.append((ordinal, doc_id, 0, 0, 0, 0, ""))
-            return
-        self.documents.append((ordinal, doc_id, *sums, digest.hexdigest()))
-        at = np.fromiter(uses.keys(), np.int64, len(uses))
-        self.entries.append((at, np.fromiter(uses.values(), np.int64, len(uses)), ordinal))
-        self.held += len(uses)
-
-    def postings(self) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """Per plane: (pair, ordinal) sorted by pair and ordinal."""
-        if not self.entries:
-            return []
-        sizes = np.array([len(r[0]) for r in self.records], np.int64)
-        starts = np.concatenate([[0], np.cumsum(sizes)])
-        pairs = np.fromiter((p for r in self.records for p in r[0]), np.int64, starts[-1])
-        links = np.fromiter((m for r in self.records for m in r[1]), np.int64, starts[-1])
+            shown = numbers.shown
+            digest.update(((";" if uses else "") + ";".join([shown[i] for i in at])).encode())
+            uses.append(np.array(at, np.int32))
+        if whole:
+            self.uses += uses
+            self.ordinals += [len(self.ids)] * len(uses)
+            self.held += sum(map(len, uses))
+        self.ids.append(doc_id)
+        self.digests.append(digest.hexdigest() if whole else "")
+
+    def tables(self) -> tuple[dict, list[tuple[int, np.ndarray, np.ndarray]]]:
+        """Document columns; and per plane (pair, ordinal), sorted by both."""
+        records, n = self.numbers.records, len(self.ids)
+        sums = np.zeros((4, n), np.int64)
+        columns = {"ordinal": np.arange(n, dtype=np.int32), "doc_id": self.ids, "groups_sha256": self.digests}
+        columns |= dict(zip(("n_a", "n_b", "n_groups", "n_links"), sums))
+        if not self.uses:
+            return columns, []
+        each = np.concatenate(self.uses).astype(np.int64)
+        ordinal = np.repeat(np.array(self.ordinals, np.int64), [len(u) for u in self.uses])
+        sizes = np.array([r[:4] for r in records], np.int64)
+        for i in range(4):
+            np.add.at(sums[i], ordinal, sizes[each, i])
+        # (document, chunk) once, with its number of occurrences
+        used, times = np.unique(ordinal * len(records) + each, return_counts=True)
+        ordinal, chunk = np.divmod(used, len(records))
+        length = np.array([len(r[5]) for r in records], np.int64)
+        starts = np.cumsum(length) - length
+        pairs = np.fromiter((p for r in records for p in r[5]), np.int64, length.sum())
+        links = np.fromiter((m for r in records for m in r[6]), np.int64, length.sum())
         names, local = np.unique(pairs, return_inverse=True)
-        chunk = np.concatenate([e[0] for e in self.entries])
-        times = np.concatenate([e[1] for e in self.entries])
-        ordinal = np.repeat([e[2] for e in self.entries], [len(e[0]) for e in self.entries])
-        each = sizes[chunk]
-        inside = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
-        at = np.repeat(starts[chunk], each) + inside
-        key = local[at] * np.int64(BLOCK_DOCS) + np.repeat(ordinal, each)
-        weight = links[at] * np.repeat(times, each)
-        del at, inside
+        span = length[chunk]
+        at = np.repeat(starts[chunk] - (np.cumsum(span) - span), span) + np.arange(span.sum())
+        key = local[at] * np.int64(BLOCK_DOCS) + np.repeat(ordinal, span)
+        weight = links[at] * np.repeat(times, span)
         order = np.argsort(key, kind="stable")
         key, weight = key[order], weight[order]
         first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
@@ -275,7 +337,7 @@ class Block:
             bit = more & 1 == 1
             out.append((plane, names[key[bit] // BLOCK_DOCS], key[bit] % BLOCK_DOCS))
             key, more, plane = key[more > 1], more[more > 1] >> 1, plane + 1
-        return out
+        return columns, out
 
 
 # -- the index ----------------------------------------------------------------
@@ -325,12 +387,11 @@ def build_index(docs: DataFrame, path_a: str, path_b: str, doc_id: str = "doc_id
     """The written index: document rows (``plane`` NULL) and posting rows."""
 
     def closed(block: Block, number: int) -> Iterator[pa.RecordBatch]:
-        names = [f.split()[0] for f in DOCUMENT.split(", ")]
-        columns = dict(zip(names, zip(*block.documents)))
-        given = {n: pa.array(columns[n], _FIELDS.field(n).type) for n in names}
-        yield _batch(number, len(block.documents), given)
-        for plane in block.postings():
-            for rows in containers(*plane, len(block.documents)):
+        columns, planes = block.tables()
+        n = len(block.ids)
+        yield _batch(number, n, {c: pa.array(v, _FIELDS.field(c).type) for c, v in columns.items()})
+        for plane in planes:
+            for rows in containers(*plane, n):
                 yield _batch(number, len(rows["a"]), rows)
         block.clear()
 
@@ -346,7 +407,7 @@ def build_index(docs: DataFrame, path_a: str, path_b: str, doc_id: str = "doc_id
                 if block.full():
                     yield from closed(block, number)
                     number += 1
-        if block.documents:
+        if block.ids:
             yield from closed(block, number)
 
     rows = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text"))

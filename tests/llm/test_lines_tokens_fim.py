@@ -6,6 +6,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
@@ -197,6 +198,12 @@ def test_pair_counts_and_link_counts(make, aligned):
     assert sum(r["n_links"] for r in pairs) == sum(r[4] for r in want)
 
 
+def documents(block):
+    found = block.tables()[0]
+    names = ("doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256")
+    return by_row((r[0], *map(int, r[1:5]), r[5]) for r in zip(*(found[n] for n in names)))
+
+
 def test_small_blocks_and_runs(make, aligned, monkeypatch):
     table, want, _ = aligned
     monkeypatch.setattr(cross_tokens, "RUN_CHARS", 50)
@@ -209,7 +216,7 @@ def test_small_blocks_and_runs(make, aligned, monkeypatch):
     block = cross_tokens.Block(chunks)
     for r in table:
         block.add(r[0], r[1])
-    assert by_row((d[1], *d[2:6], d[6]) for d in block.documents) == by_row((w[0], *w[1:5], w[7]) for w in want)
+    assert documents(block) == by_row((w[0], *w[1:5], w[7]) for w in want)
 
 
 def test_alignment_without_chunks_and_of_nothing(no_docs, make, monkeypatch):
@@ -223,7 +230,7 @@ def test_alignment_without_chunks_and_of_nothing(no_docs, make, monkeypatch):
     one, two = cross_tokens.Block(whole), cross_tokens.Block(cut)
     one.add(1, text)
     two.add(1, text)
-    assert one.documents == two.documents
+    assert documents(one) == documents(two)
 
 
 @settings(max_examples=60, deadline=None)
@@ -235,15 +242,13 @@ def test_containers_round_trip(found):
         return
     keys = sorted(links)
     total = Counter()
-    chunks = type("Fixed", (dict,), {})()
-    block = cross_tokens.Block(chunks)
-    block.records = [([p << 32 | 7], [1]) for p in range(41)]
-    block.documents = [None] * 300
+    block = cross_tokens.Block(None)
+    block.numbers.records = [(1, 1, 1, 1, "", [p << 32 | 7], [1]) for p in range(41)]
+    block.ids = block.digests = [None] * 300
     for p, o in keys:
-        import numpy as np
-
-        block.entries.append((np.array([p]), np.array([links[p, o]]), o))
-    for plane, pairs, ordinals in block.postings():
+        block.uses.append(np.full(links[p, o], p, np.int32))
+        block.ordinals.append(o)
+    for plane, pairs, ordinals in block.tables()[1]:
         for rows in cross_tokens.containers(plane, pairs, ordinals, 300):
             n = rows["docs"].to_numpy()
             for kind in (False, True):
