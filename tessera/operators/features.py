@@ -5,12 +5,16 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.expr import distance_to_own_center, poly_terms
 from tessera.operators.prep import numeric_columns
-from tessera.operators.rank import exact_quantiles
+from tessera.operators.rank import grouped_quantiles
+from tessera.session import materialize
+
+# Centres of zones sent to every task (one short row each).
+MAX_BROADCAST_CENTERS = 100_000
 
 FeatureOp = Mapping[str, "str | Callable[[DataFrame], Column] | Column"]
 
@@ -134,57 +138,33 @@ def zone_stats(
     centers: Sequence[Sequence[float]] | None = None,
 ) -> DataFrame:
     """Per zone x feature: mean, exact median, sample std, missing; per zone:
-    size, percentage of all rows and centre.  One aggregate + one selection."""
+    size, percentage of all rows and centre.
+
+    Two scans, one for the aggregates and one for the medians, in long form:
+    nothing grows with the number of zones but the rows of the result.
+    """
     spark = df.sparkSession
-    aggs = [F.count(F.lit(1)).alias("size")]
-    for f in features:
-        aggs += [
-            F.avg(f).alias(f"mean__{f}"),
-            F.stddev_samp(f).alias(f"std__{f}"),
-            F.count_if(F.col(f).isNull()).alias(f"missing__{f}"),
-            F.count(f).alias(f"n__{f}"),
-            F.min(F.col(f).cast("double")).alias(f"lo__{f}"),
-            F.max(F.col(f).cast("double")).alias(f"hi__{f}"),
-        ]
-    # the per-zone table is small (one row per zone): compute it once
-    rows = df.groupBy(zone_col).agg(*aggs).collect()
-    per_zone = spark.createDataFrame(rows, df.groupBy(zone_col).agg(*aggs).schema)
-    total = F.sum("size").over(Window.partitionBy())
-    per_zone = per_zone.withColumn("percentage", F.col("size") / total * 100)
-    known = {
-        (None if r[zone_col] is None else str(r[zone_col]), f): (r[f"n__{f}"], r[f"lo__{f}"], r[f"hi__{f}"])
-        for r in rows
-        for f in features
-    }
-    medians = exact_quantiles(df, list(features), [0.5], group_col=zone_col, stats=known)
-    med_rows = [(int(g) if g is not None else None, c, v) for (g, c, _), v in medians.items()]
-    med_df = spark.createDataFrame(med_rows, f"{zone_col} int, feature string, median double") if med_rows else None
-    stacked = per_zone.select(
-        zone_col,
-        "size",
-        "percentage",
-        F.explode(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(f).alias("feature"),
-                        F.col(f"mean__{f}").cast("double").alias("mean"),
-                        F.col(f"std__{f}").cast("double").alias("std"),
-                        F.col(f"missing__{f}").cast("long").alias("missing"),
-                    )
-                    for f in features
-                ]
-            )
-        ).alias("_s"),
-    ).select(zone_col, "size", "percentage", "_s.*")
-    out = stacked
-    if med_df is not None:
-        out = out.join(F.broadcast(med_df), [zone_col, "feature"], "left")
-    else:
-        out = out.withColumn("median", F.lit(None).cast("double"))
+    values = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("v")) for f in features])
+    long = df.select(zone_col, F.explode(values).alias("_s")).select(zone_col, "_s.feature", "_s.v")
+    stats = materialize(
+        long.groupBy(zone_col, "feature").agg(
+            F.count(F.lit(1)).alias("size"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
+            F.count_if(F.col("v").isNull()).alias("missing"),
+        )
+    )
+    total = stats.filter(F.col("feature") == features[0]).agg(F.sum("size").alias("n")).first()["n"] or 0
+    medians = grouped_quantiles(df, features, [0.5], zone_col).select(
+        F.col("group").alias("_zone"), F.col("feature").alias("_feature"), F.col("value").alias("median")
+    )
+    same = F.col(zone_col).eqNullSafe(F.col("_zone")) & (F.col("feature") == F.col("_feature"))
+    percentage = (F.col("size") / F.lit(total) * 100).alias("percentage")
+    out = stats.join(medians, same, "left").select(zone_col, "size", percentage, "feature", "mean", "std", "missing", "median")
     if centers is not None:
+        # one row per centre of a model that the driver holds
         cdf = spark.createDataFrame(
             [(z, [float(x) for x in c]) for z, c in enumerate(centers)], f"{zone_col} int, center array<double>"
         )
-        out = out.join(F.broadcast(cdf), zone_col, "left")
+        if len(centers) <= MAX_BROADCAST_CENTERS:
+            cdf = F.broadcast(cdf)
+        out = out.join(cdf, zone_col, "left")
     return out

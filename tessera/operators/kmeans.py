@@ -3,81 +3,127 @@
 * init: the k rows with the smallest seeded hash of their key (k distinct
   rows), or explicit centres;
 * assignment: nearest centre by squared Euclidean distance, ties to the
-  lowest index -- on many tasks a Column expression with the centres as
-  literals (codegen'd ``groupBy``); for wide problems (k·d > ``WIDE``, the
-  expression would pass the 64 KB code-generation limit) and for inputs read
-  by few tasks, assignment and per-task partial sums run vectorised in
-  ``mapInPandas`` (k rows per task);
-* update: one aggregation per iteration over a cached projection (partial
-  aggregation: each task sends at most k rows); an empty cluster keeps its
-  centre;
+  lowest index;
+* update: means of the assigned rows; an empty cluster keeps its centre;
 * stop: total squared centre shift < tol, or max_iter.
 
+Inputs that fit in memory run all rounds in one job
+(:mod:`tessera.operators.rounds`): every row carries an upper bound of the
+distance to its own centre and a lower bound of that to any other, both moved
+by the centres' shifts (triangle inequality), and only rows whose bounds meet
+look at the centres again.  Larger inputs run one aggregation per round: a Column
+expression with the centres as literals (codegen'd ``groupBy``), or, for wide
+problems (k·d > ``WIDE``, the expression would pass the 64 KB code-generation
+limit), per-task partial sums over Arrow blocks (k rows per task).
+
 Rows with a NULL or NaN coordinate are left out of the fit and get a NULL label.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
-from pyspark import StorageLevel
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.expr import col_of, nearest_center
+from tessera.operators.blocks import array_of, matrix
 from tessera.operators.rank import hash_key
-from tessera.session import spread
+from tessera.operators.rounds import can_hold, in_one_job
+from tessera.session import staged
 
 # Above this many centre coordinates (k * d) assignment is vectorised in Python.
 WIDE = 64
-# Cached rows per task in the iterations (small inputs use fewer tasks).
-ROWS_PER_TASK = 20_000
-# Up to this many tasks the k partial sums per task are merged on the driver.
-DIRECT_MERGE_TASKS = 64
+#: Bounds closer than this share of them count as meeting (rounding).
+SLACK = 1e-9
 
 
-def _nearest(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
-    """Index of the nearest centre per row (first index on ties)."""
+def _squared(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
     d = np.empty((x.shape[0], centers.shape[0]))
     for j, c in enumerate(centers):
         d[:, j] = ((x - c) ** 2).sum(axis=1)
-    return d.argmin(axis=1)
+    return d
+
+
+def _nearest(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    """Index of the nearest centre per row (first index on ties)."""
+    return _squared(x, centers).argmin(axis=1)
+
+
+def _sums(x: np.ndarray, labels: np.ndarray, k: int) -> np.ndarray:
+    """Per label the sum of the rows, and their number in the last column."""
+    out = np.zeros((k, x.shape[1] + 1))
+    for j in range(k):
+        mine = x[labels == j]
+        out[j, :-1], out[j, -1] = mine.sum(axis=0), len(mine)
+    return out
+
 
+class BoundedRows:
+    """Rows with their labels and distance bounds from round to round."""
 
-def _partial_sums(centers: np.ndarray, cols: list[str]):
-    k, dim = centers.shape
+    def __init__(self, x: np.ndarray):
+        self.x = x
+        self.labels = None
+        self.looked = 0  # rows that were compared with every centre
 
-    def run(batches):
-        sums = np.zeros((k, dim))
-        cnt = np.zeros(k, dtype=np.int64)
-        for pdf in batches:
-            x = pdf[cols].to_numpy(dtype=np.float64)
-            if len(x) == 0:
-                continue
-            lab = _nearest(x, centers)
-            np.add.at(sums, lab, x)
-            cnt += np.bincount(lab, minlength=k)
-        out = {"_l": np.arange(k, dtype=np.int32), "_n": cnt}
-        for j in range(dim):
-            out[f"_s{j}"] = sums[:, j]
-        yield pd.DataFrame(out)
+    def assign(self, centers: np.ndarray, shifts: np.ndarray | None) -> np.ndarray:
+        """Labels under ``centers``, which moved by ``shifts`` since the last
+        call."""
+        if self.labels is None or len(centers) < 2:
+            self.labels, self.own, self.other = self._look(self.x, centers)
+            return self.labels
+        self.own += shifts[self.labels]
+        # the largest move among the other centres
+        order = np.argsort(shifts)
+        most = np.full(len(centers), shifts[order[-1]])
+        most[order[-1]] = shifts[order[-2]]
+        self.other -= most[self.labels]
+        between = np.sqrt(_squared(centers, centers))
+        np.fill_diagonal(between, np.inf)
+        safe = np.maximum(between.min(axis=1)[self.labels] / 2, self.other)
+        near = np.flatnonzero(self.own * (1 + SLACK) >= safe)
+        self.own[near] = np.sqrt(((self.x[near] - centers[self.labels[near]]) ** 2).sum(axis=1))
+        near = near[self.own[near] * (1 + SLACK) >= safe[near]]
+        self.labels[near], self.own[near], self.other[near] = self._look(self.x[near], centers)
+        return self.labels
 
-    return run
+    def _look(self, x: np.ndarray, centers: np.ndarray):
+        self.looked += len(x)
+        d = _squared(x, centers)
+        labels = d.argmin(axis=1)
+        rows = np.arange(len(x))
+        own = np.sqrt(d[rows, labels])
+        d[rows, labels] = np.inf
+        return labels, own, np.sqrt(d.min(axis=1)) if len(centers) > 1 else np.full(len(x), np.inf)
+
+
+def lloyd(centers: np.ndarray, sums_of, tol: float, max_iter: int) -> tuple[np.ndarray, int, float, bool]:
+    """Rounds until the stop rule; ``sums_of(centers, shifts)`` gives the sums
+    and numbers of the rows of each centre.  Returns (centres, rounds, last
+    shift, whether the rule stopped it)."""
+    shift, n_iter, shifts = float("inf"), 0, None
+    for n_iter in range(1, max_iter + 1):
+        sums = sums_of(centers, shifts)
+        filled = sums[:, -1] > 0
+        new = centers.copy()
+        new[filled] = sums[filled, :-1] / sums[filled, -1:]
+        moved = ((centers - new) ** 2).sum(axis=1)
+        shift, shifts, centers = float(np.sum((centers - new) ** 2)), np.sqrt(moved), new
+        if shift < tol:
+            return centers, n_iter, shift, True
+    return centers, n_iter, shift, False
 
 
 def _label_udf(centers: np.ndarray):
-    @F.pandas_udf("int")
-    def label(*cols: pd.Series) -> pd.Series:
-        x = np.column_stack([c.to_numpy(dtype=np.float64, na_value=np.nan) for c in cols])
-        ok = ~np.isnan(x).any(axis=1)
-        out = pd.Series(pd.array([None] * len(x), dtype="Int32"))
-        if ok.any():
-            out[ok] = _nearest(x[ok], centers).astype(np.int32)
-        return out
+    @F.arrow_udf("int")
+    def label(x: pa.Array) -> pa.Array:
+        m = matrix(x, centers.shape[1])
+        gone = np.isnan(m).any(axis=1)
+        return pa.array(_nearest(m, centers).astype(np.int32), mask=gone)
 
     return label
 
@@ -96,7 +142,7 @@ class KMeansModel:
     def label(self, points: Sequence[str | Column]) -> Column:
         pts = [col_of(p) for p in points]
         if len(self.centers) * len(pts) > WIDE:
-            return _label_udf(np.asarray(self.centers, dtype=float))(*[p.cast("double") for p in pts])
+            return _label_udf(np.asarray(self.centers, dtype=float))(array_of(pts))
         return nearest_center(pts, self.centers)
 
     def predict(self, df: DataFrame, points: Sequence[str | Column], out: str = "zone") -> DataFrame:
@@ -125,7 +171,8 @@ def kmeans_fit(
     for i, p in enumerate(pts):
         c = p.isNotNull() & ~F.isnan(p.cast("double"))
         complete = c if complete is None else complete & c
-    proj = df.filter(complete).select(*[p.cast("double").alias(f"_p{i}") for i, p in enumerate(pts)], *(key_cols or []))
+    keys = list(key_cols or [])
+    proj = df.filter(complete).select(array_of(pts).alias("_x"), *keys)
     if init is not None:
         centers = np.asarray(init, dtype=float)
         if centers.shape != (k, d):
@@ -136,59 +183,49 @@ def kmeans_fit(
         first = proj.orderBy(hash_key(seed, key_cols), *key_cols).limit(k).collect()
         if len(first) < k:
             raise ValueError(f"fewer than {k} complete rows")
-        centers = np.array([[r[f"_p{i}"] for i in range(d)] for r in first], dtype=float)
-    pcols = [F.col(f"_p{i}") for i in range(d)]
-    proj = spread(proj.select(*pcols)).persist(StorageLevel.MEMORY_AND_DISK)
-    # every iteration reads the cached rows; tasks of a few hundred rows cost
-    # more in scheduling than in work, so small inputs are read by fewer tasks
-    n_rows = proj.count()
-    # coalesce never adds partitions, so this is an upper bound of the tasks
-    tasks = max(1, math.ceil(n_rows / ROWS_PER_TASK))
-    data = proj.coalesce(tasks) if tasks <= DIRECT_MERGE_TASKS else proj
-    shift = float("inf")
-    n_iter = 0
-    converged = False
-    try:
-        # vectorised partial sums when the expression would be too wide for
-        # code generation, or when so few tasks run that job overhead, not
-        # work, dominates (one job per iteration instead of two stages)
-        vectorised = k * d > WIDE or tasks <= DIRECT_MERGE_TASKS
-        for n_iter in range(1, max_iter + 1):
-            if vectorised:
-                schema = "_l int, _n long, " + ", ".join(f"_s{i} double" for i in range(d))
-                part = data.mapInPandas(_partial_sums(centers, [f"_p{i}" for i in range(d)]), schema)
-                if tasks <= DIRECT_MERGE_TASKS:
-                    # at most k rows per task: merge the few partial sums here
-                    sums, cnt = np.zeros((k, d)), np.zeros(k)
-                    for r in part.collect():
-                        cnt[r["_l"]] += r["_n"]
-                        sums[r["_l"]] += [r[f"_s{i}"] for i in range(d)]
-                    means = {j: sums[j] / cnt[j] for j in range(k) if cnt[j] > 0}
-                else:
-                    rows = (
-                        part.groupBy("_l")
-                        .agg(F.sum("_n").alias("_n"), *[F.sum(f"_s{i}").alias(f"_s{i}") for i in range(d)])
-                        .filter(F.col("_n") > 0)
-                        .collect()
-                    )
-                    means = {r["_l"]: [r[f"_s{i}"] / r["_n"] for i in range(d)] for r in rows}
-            else:
-                label = nearest_center(pcols, [tuple(c) for c in centers])
-                rows = data.groupBy(label.alias("_l")).agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(pcols)]).collect()
-                means = {r["_l"]: [r[f"m{i}"] for i in range(d)] for r in rows}
-            new = centers.copy()
-            for lbl, m in means.items():
-                new[lbl] = m
-            shift = float(np.sum((centers - new) ** 2))
-            centers = new
-            if shift < tol:
-                converged = True
-                break
-    finally:
-        proj.unpersist()
+        centers = np.array([r["_x"] for r in first], dtype=float)
+    proj = proj.select("_x")
+
+    def body(rows, total):
+        bounded = BoundedRows(rows)
+        return lloyd(centers, lambda c, shifts: total(_sums(rows, bounded.assign(c, shifts), k)), tol, max_iter)
+
+    found = in_one_job(proj, d, body) if can_hold(proj) else None
+    if found is None:
+        with staged(proj) as data:
+            found = lloyd(centers, lambda c, _: _sums_by_job(data, c), tol, max_iter)
+    centers, n_iter, shift, converged = found
     return KMeansModel(tuple(tuple(map(float, c)) for c in centers), n_iter, shift, converged)
 
 
+def _sums_by_job(data: DataFrame, centers: np.ndarray) -> np.ndarray:
+    """Sums and numbers of the rows of each centre, at most k rows per task
+    before they are merged."""
+    k, d = centers.shape
+    out = np.zeros((k, d + 1))
+    if k * d > WIDE:
+
+        def run(batches):
+            total = np.zeros((k, d + 1))
+            for b in batches:
+                x = matrix(b["_x"], d)
+                total += _sums(x, _nearest(x, centers), k)
+            label, at = np.divmod(np.arange(total.size), d + 1)
+            columns = [pa.array(label), pa.array(at), pa.array(total.ravel())]
+            yield pa.RecordBatch.from_arrays(columns, ["l", "at", "v"])
+
+        part = data.mapInArrow(run, "l long, at long, v double").groupBy("l", "at").agg(F.sum("v").alias("v"))
+        for r in part.collect():
+            out[r["l"], r["at"]] = r["v"]
+        return out
+    x = [F.col("_x")[i] for i in range(d)]
+    label = nearest_center(x, [tuple(c) for c in centers])
+    sums = [F.sum(c).alias(f"s{i}") for i, c in enumerate(x)]
+    for r in data.groupBy(label.alias("_l")).agg(*sums, F.count(F.lit(1)).alias("n")).collect():
+        out[r["_l"]] = [*[r[f"s{i}"] for i in range(d)], r["n"]]
+    return out
+
+
 def kmeans_fit_predict(df: DataFrame, points: Sequence[str | Column], out: str = "zone", **kwargs) -> tuple[KMeansModel, DataFrame]:
     """Fit, then label every row with the FINAL centres."""
     model = kmeans_fit(df, points, **kwargs)
@@ -215,7 +252,8 @@ def kmeans_fit_mllib(
     pts = [col_of(p).cast("double") for p in points]
     complete = None
     for p in pts:
-        complete = p.isNotNull() if complete is None else complete & p.isNotNull()
+        known = p.isNotNull() & ~F.isnan(p)
+        complete = known if complete is None else complete & known
     names = [f"_p{i}" for i in range(len(pts))]
     data = df.filter(complete).select(*[p.alias(n) for p, n in zip(pts, names)])
     vec = VectorAssembler(inputCols=names, outputCol="_v").transform(data)

@@ -1,7 +1,8 @@
 """Distributed TSQR: the R factor of [design | y], per group, in one job.
 
 Each partition folds its Arrow batches into one small upper-triangular R per
-group (``mapInPandas``); the partial factors are then merged by
+group (``mapInArrow``; the batch's buffer is the matrix, and several batches
+are stacked before each QR); the partial factors are then merged by
 ``applyInPandas`` (QR of stacked R's): for large inputs over a fixed tree keyed by
 the partition number, then to one factor per group.  RᵀR = [X y]ᵀ[X y], so everything a
 least-squares, ridge or squared-loss gradient-descent fit needs follows from
@@ -11,21 +12,25 @@ of the design columns.  Rows never leave the executors.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.session import is_small, spread
+from tessera.operators.blocks import FAN_IN, array_of, by_group, matrix, tree_merged
+from tessera.session import is_small, split_estimate, spread
 
 MAX_COLUMNS = 2000
-FAN_IN = 32
 # Factors of groups (folds, split sides, segments) held by a task; beyond these
 # bytes they are handed on and the task starts afresh.
 HELD_BYTES = 256 << 20
+# Rows of a group are stacked up to this many times the design's width, or these
+# bytes in all groups, before they are folded into the group's factor.
+STACK_WIDTHS = 64
+STACK_BYTES = 64 << 20
 
 _SCHEMA = "_g string, _part long, _n long, _r array<double>"
 
@@ -37,39 +42,66 @@ def _qr_r(m: np.ndarray, k: int) -> np.ndarray:
     return r
 
 
+class _Factors:
+    """Factor and waiting rows of each group of a task."""
+
+    def __init__(self, k: int):
+        self.k = k
+        self.factor: dict = {}
+        self.count: dict = {}
+        self.waiting: dict = {}
+        self.waiting_rows = 0
+
+    def add(self, g, rows: np.ndarray) -> None:
+        complete = ~np.isnan(rows).any(axis=1)
+        if not complete.all():
+            rows = rows[complete]
+        if not len(rows):
+            return
+        self.count[g] = self.count.get(g, 0) + len(rows)
+        self.waiting.setdefault(g, []).append(rows)
+        self.waiting_rows += len(rows)
+        if sum(map(len, self.waiting[g])) >= STACK_WIDTHS * self.k:
+            self.fold(g)
+        if 8 * self.k * self.waiting_rows >= STACK_BYTES:
+            for each in list(self.waiting):
+                self.fold(each)
+
+    def fold(self, g) -> None:
+        rows = self.waiting.pop(g)
+        self.waiting_rows -= sum(map(len, rows))
+        above = [self.factor[g]] if g in self.factor else []
+        self.factor[g] = _qr_r(np.vstack([*above, *rows]), self.k)
+
+    def handed_on(self, part: int) -> pa.RecordBatch:
+        for each in list(self.waiting):
+            self.fold(each)
+        groups = list(self.factor)
+        out = [
+            pa.array([None if g is None else str(g) for g in groups], pa.string()),
+            pa.array([part] * len(groups), pa.int64()),
+            pa.array([self.count[g] for g in groups], pa.int64()),
+            pa.array([self.factor[g].ravel() for g in groups], pa.list_(pa.float64())),
+        ]
+        self.factor.clear()
+        self.count.clear()
+        return pa.RecordBatch.from_arrays(out, ["_g", "_part", "_n", "_r"])
+
+
 def _partial_factors(k: int, grouped: bool, held: int):
     def run(batches):
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        acc: dict = {}
-
-        def handed_on():
-            frame = pd.DataFrame(
-                {
-                    "_g": [None if (g is None or (isinstance(g, float) and math.isnan(g))) else str(g) for g in acc],
-                    "_part": [part] * len(acc),
-                    "_n": [v[1] for v in acc.values()],
-                    "_r": [v[0].ravel() for v in acc.values()],
-                }
-            )
-            acc.clear()
-            return frame
-
-        for pdf in batches:
-            groups = pdf.groupby("_g", dropna=False, sort=False) if grouped else [(None, pdf)]
-            for g, sub in groups:
-                a = np.array(sub["_x"].tolist(), dtype=np.float64).reshape(len(sub), k)
-                a = a[~np.isnan(a).any(axis=1)]
-                if not len(a):
-                    continue
-                r, n = acc.get(g, (None, 0))
-                m = a if r is None else np.vstack([r, a])
-                acc[g] = (_qr_r(m, k), n + len(a))
-                if 8 * k * k * len(acc) > held:
-                    yield handed_on()
-        if acc:
-            yield handed_on()
+        factors = _Factors(k)
+        for b in batches:
+            x = matrix(b["_x"], k)
+            for g, rows in by_group(b["_g"]) if grouped else [(None, slice(None))]:
+                factors.add(g, x[rows])
+                if 8 * k * k * len(factors.count) > held:
+                    yield factors.handed_on(part)
+        if factors.count:
+            yield factors.handed_on(part)
 
     return run
 
@@ -101,15 +133,12 @@ def factor_table(
     if k > MAX_COLUMNS:
         raise ValueError(f"{k} design columns is beyond the dense-factor limit {MAX_COLUMNS}")
     g = group.cast("string") if group is not None else F.lit(None).cast("string")
-    # one array column, however wide the design; NULL arrives as NaN
-    proj = df.select(g.alias("_g"), F.array(*[c.cast("double") for c in columns]).alias("_x"))
+    proj = df.select(g.alias("_g"), array_of(columns).alias("_x"))
     tree = not is_small(proj) if tree is None else tree
-    partials = spread(proj).mapInPandas(_partial_factors(k, group is not None, HELD_BYTES), _SCHEMA)
+    partials = spread(proj).mapInArrow(_partial_factors(k, group is not None, HELD_BYTES), _SCHEMA)
     if tree:
-        # at most fan_in^2 merges per group of partitions, then fan_in
-        for slots in (fan_in * fan_in, fan_in):
-            keyed = partials.withColumn("_part", F.col("_part") % slots)
-            partials = keyed.groupBy("_g", "_part").applyInPandas(_merge(k), _SCHEMA)
+        splits = max(split_estimate(proj), fan_in * fan_in + 1)
+        partials = tree_merged(partials, ["_g"], _merge(k), _SCHEMA, splits, 8 * k * k, fan_in)
     return partials.groupBy("_g").applyInPandas(_merge(k), _SCHEMA).select("_g", "_n", "_r")
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.expr import dlit
+from tessera.session import materialize
 
 # Unit conversion factor (square feet to square metres).
 SQFT_TO_M2 = 0.092903
@@ -32,6 +33,7 @@ NUMERIC_TYPES = (
 MAX_INLINE_GROUPS = 256
 # Above this many groups the group table is not broadcast.
 MAX_BROADCAST_GROUPS = 100_000
+ROWS = "_group_rows"
 
 
 # ------------------------------------------------------------ simple projections
@@ -73,7 +75,7 @@ def convert_units(
     Units without a factor (and NULL units) leave the value unchanged.
     """
     if unit_col not in df.columns:
-        raise ValueError(f"The {unit_col!r} column does not exist in the DataFrame.")
+        raise ValueError(f"no unit column {unit_col!r} to convert by")
     factors = {"sqft": SQFT_TO_M2} if factors is None else dict(factors)
     expr = None
     for unit, factor in factors.items():
@@ -153,25 +155,43 @@ class GroupMeans:
                     out[c] = F.coalesce(F.col(c), expr)
             return df.withColumns(out) if out else df
         means = self.table.select(
-            F.col(self.group_col).alias("_grp"), *[F.col(c).alias(f"_mean_{c}") for c in self.columns]
+            F.col(self.group_col).alias("_grp"), F.col(ROWS), *[F.col(c).alias(f"_mean_{c}") for c in self.columns]
         )
-        n_groups = self.n_groups if self.n_groups is not None else means.count()
-        if n_groups <= MAX_BROADCAST_GROUPS:
-            means = F.broadcast(means)
-        joined = df.join(means, F.col(self.group_col) == F.col("_grp"), "left")
-        return joined.withColumns(
-            {c: F.coalesce(F.col(c), F.col(f"_mean_{c}")) for c in self.columns if c in df.columns}
-        ).drop("_grp", *[f"_mean_{c}" for c in self.columns])
+        same = F.col(self.group_col) == F.col("_grp")
+        if self.n_groups <= MAX_BROADCAST_GROUPS:
+            return self._filled(df.join(F.broadcast(means), same, "left"))
+        # fewer groups than the limit can hold more than this many rows each
+        total = means.agg(F.sum(ROWS).alias("n")).first()["n"]
+        large = F.col(ROWS) > total // MAX_BROADCAST_GROUPS
+        heavy = F.broadcast(means.filter(large))
+        there = self._filled(df.join(heavy, same, "inner"))
+        # rows without a group have no mean to meet
+        rest = df.join(heavy, same, "left_anti")
+        ungrouped = rest.filter(F.col(self.group_col).isNull())
+        tail = rest.filter(F.col(self.group_col).isNotNull()).join(means.filter(~large), same, "left")
+        return there.unionByName(self._filled(tail)).unionByName(ungrouped)
+
+    def _filled(self, joined: DataFrame) -> DataFrame:
+        names = [c for c in self.columns if c in joined.columns]
+        filled = joined.withColumns({c: F.coalesce(F.col(c), F.col(f"_mean_{c}")) for c in names})
+        return filled.drop("_grp", ROWS, *[f"_mean_{c}" for c in self.columns])
 
 
 def fit_group_mean(df: DataFrame, columns: Sequence[str], group_col: str) -> GroupMeans:
-    """Means per group: one aggregate with map-side partial aggregation."""
+    """Means per group: one aggregate with map-side partial aggregation.
+
+    Many groups are written once, with their numbers of rows: applying them
+    broadcasts the groups that hold a counted share of all rows and joins only
+    the tail by shuffle, so no group meets in one task.
+    """
     known = df.filter(F.col(group_col).isNotNull())
-    table = known.groupBy(group_col).agg(*[F.avg(F.col(c)).alias(c) for c in columns])
+    means = known.groupBy(group_col).agg(*[F.avg(F.col(c)).alias(c) for c in columns], F.count(F.lit(1)).alias(ROWS))
+    table = means.drop(ROWS)
     first = table.take(MAX_INLINE_GROUPS + 1)
     if len(first) <= MAX_INLINE_GROUPS:
         return GroupMeans(group_col, tuple(columns), table, tuple(tuple(r) for r in first), len(first))
-    return GroupMeans(group_col, tuple(columns), table)
+    means = materialize(means)
+    return GroupMeans(group_col, tuple(columns), means, None, means.count())
 
 
 def impute_group_mean(df: DataFrame, columns: Sequence[str], group_col: str) -> DataFrame:

@@ -8,18 +8,19 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.expr import dlit
+from tessera.operators.blocks import array_of, matrix, tree_merged
 from tessera.operators.prep import numeric_columns
-from tessera.operators.rank import exact_quantiles
-from tessera.session import staged
+from tessera.operators.rank import column_stats, exact_quantiles
+from tessera.session import split_estimate, staged
 
-# A pair keeps about 14 buffer fields; whole-stage codegen stops at 100 fields
-# per operator, so correlations are aggregated in chunks of this many pairs.
-CORR_CHUNK = 7
+# Correlations hold six dense matrices of this width at most per task.
+MAX_COLUMNS = 1000
 
 DESCRIBE_SCHEMA = (
     "column string, position int, count long, unique long, top string, freq long, mean double, std double, "
@@ -30,7 +31,9 @@ DESCRIBE_SCHEMA = (
 def describe_all(df: DataFrame, exact: bool = True) -> DataFrame:
     """Per column: count, unique/top/freq (non-numeric), mean/std/min/quartiles/max (numeric).
 
-    Quartiles interpolate linearly; ``exact=False`` uses ``percentile_approx``.
+    Three scans: moments and brackets of the quartiles, the values inside the
+    brackets, and the value counts of the non-numeric columns.  Quartiles
+    interpolate linearly; ``exact=False`` uses ``percentile_approx``.
     Top value ties go to the smallest value.
     """
     with staged(df) as data:
@@ -42,24 +45,12 @@ def _describe(df: DataFrame, exact: bool) -> DataFrame:
     cols = df.columns
     nums = numeric_columns(df)
     others = [c for c in cols if c not in nums]
-    base: dict = {}
-    if nums:
-        # numeric moments in long form: one scan, few aggregation buffers
-        long = df.select(
-            F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v")) for c in nums])).alias("_s")
-        ).select("_s.c", "_s.v")
-        aggs = [F.count("v").alias("cnt"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
-                F.min("v").alias("min"), F.max("v").alias("max")]
-        if not exact:
-            aggs.append(F.percentile_approx("v", [0.25, 0.5, 0.75], 100_000).alias("q"))
-        for r in long.groupBy("c").agg(*aggs).collect():
-            c = r["c"]
-            base.update({f"cnt__{c}": r["cnt"], f"mean__{c}": r["mean"], f"std__{c}": r["std"], f"min__{c}": r["min"],
-                         f"max__{c}": r["max"]})
-            if not exact:
-                base[f"q__{c}"] = r["q"]
-    known = {(None, c): (base[f"cnt__{c}"], base[f"min__{c}"], base[f"max__{c}"]) for c in nums}
-    quant = exact_quantiles(df, nums, [0.25, 0.5, 0.75], stats=known) if (exact and nums) else {}
+    quartiles = [0.25, 0.5, 0.75]
+    stats = column_stats(df, nums, quartiles) if nums else {}
+    if exact:
+        quant = exact_quantiles(df, nums, quartiles, stats=stats) if nums else {}
+    else:
+        quant = {(None, c, q): stats[c]["approx"][q] for c in nums for q in quartiles}
     tops = {}
     if others:
         long = df.select(
@@ -76,12 +67,9 @@ def _describe(df: DataFrame, exact: bool) -> DataFrame:
     rows = []
     for i, c in enumerate(cols):
         if c in nums:
-            if exact:
-                q = [quant.get((None, c, p)) for p in (0.25, 0.5, 0.75)]
-            else:
-                q = list(base[f"q__{c}"] or [None] * 3)
-            rows.append((c, i, base[f"cnt__{c}"], None, None, None, base[f"mean__{c}"], base[f"std__{c}"],
-                         base[f"min__{c}"], *q, base[f"max__{c}"]))
+            v = stats[c]
+            q = [quant.get((None, c, p)) for p in quartiles]
+            rows.append((c, i, v["n"], None, None, None, v["mean"], v["std"], v["min"], *q, v["max"]))
         else:
             cnt, uniq, top, freq = tops.get(c, (0, 0, None, None))
             rows.append((c, i, cnt, uniq, top, freq, None, None, None, None, None, None, None))
@@ -118,37 +106,129 @@ def rows_with_null(df: DataFrame) -> DataFrame:
     return df.agg(F.count_if(any_null(df.columns)).cast("long").alias("rows_with_null"))
 
 
+_CO_SCHEMA = "_part long, _n array<double>, _s array<double>, _q array<double>, _p array<double>, _lo array<double>, _hi array<double>"
+_CO_SUMS, _CO_ENDS = ("_n", "_s", "_q", "_p"), ("_lo", "_hi")
+
+
+class CoMoments:
+    """Pairwise-complete co-moments of a block of rows about given centres, as
+    p x p matrices that add up over blocks.  Entry (i, j) covers the rows where
+    columns i and j are both known: their number, the sums of x_i, x_i² and
+    x_i x_j, and the smallest and largest x_i."""
+
+    def __init__(self, centre: np.ndarray):
+        p = len(centre)
+        self.centre = centre
+        self.values = {c: np.zeros((p, p)) for c in _CO_SUMS} | {"_lo": np.full((p, p), np.inf), "_hi": np.full((p, p), -np.inf)}
+
+    def add(self, rows: np.ndarray) -> None:
+        if not len(rows):
+            return
+        v = self.values
+        gone = np.isnan(rows)
+        if not gone.any():
+            x = rows - self.centre
+            ones = np.ones((1, x.shape[1]))
+            v["_n"] += len(x)
+            v["_s"] += x.sum(axis=0)[:, None] @ ones
+            v["_q"] += (x * x).sum(axis=0)[:, None] @ ones
+            v["_p"] += x.T @ x
+            np.minimum(v["_lo"], rows.min(axis=0)[:, None], out=v["_lo"])
+            np.maximum(v["_hi"], rows.max(axis=0)[:, None], out=v["_hi"])
+            return
+        known = (~gone).astype(np.float64)
+        x = np.where(gone, 0.0, rows - self.centre)
+        v["_n"] += known.T @ known
+        v["_s"] += x.T @ known
+        v["_q"] += (x * x).T @ known
+        v["_p"] += x.T @ x
+        low, high = np.where(gone, np.inf, rows), np.where(gone, -np.inf, rows)
+        # columns that are known in the same rows see the same extremes
+        patterns, which = np.unique(known, axis=1, return_inverse=True)
+        for i in range(patterns.shape[1]):
+            use, at = patterns[:, i] > 0, np.flatnonzero(which.ravel() == i)
+            if use.any():
+                v["_lo"][:, at] = np.minimum(v["_lo"][:, at], low[use].min(axis=0)[:, None])
+                v["_hi"][:, at] = np.maximum(v["_hi"][:, at], high[use].max(axis=0)[:, None])
+
+    def merge(self, columns: dict) -> None:
+        shape = self.values["_n"].shape
+        for c in _CO_SUMS:
+            self.values[c] += np.asarray(columns[c], np.float64).reshape(shape)
+        for c, join in zip(_CO_ENDS, (np.minimum, np.maximum)):
+            join(self.values[c], np.asarray(columns[c], np.float64).reshape(shape), out=self.values[c])
+
+    def correlations(self) -> np.ndarray:
+        """NaN where a pair has no common row or a column is constant there."""
+        v = self.values
+        with np.errstate(divide="ignore", invalid="ignore"):
+            mean = v["_s"] / v["_n"]
+            variance = v["_q"] / v["_n"] - mean * mean
+            cov = v["_p"] / v["_n"] - mean * mean.T
+            r = cov / np.sqrt(variance * variance.T)
+        constant = ~(v["_lo"] < v["_hi"])
+        return np.where(constant | constant.T | ~np.isfinite(r), np.nan, r)
+
+
 def corr_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Pearson correlation of every pair (pairwise-complete), long form (a, b, r).
 
-    One rule whatever the number of columns: ``covar_pop`` over both standard
-    deviations, on the rows where both columns are known; NULL when one of
-    them is constant there.  Pairs are aggregated ``CORR_CHUNK`` at a time
-    (whole-stage codegen stops at 100 buffer fields).
+    Two passes whatever the number of columns: the means, and mergeable
+    co-moment matrices about them (:class:`CoMoments`), one small row per task,
+    merged over a tree on large inputs.  NULL when one column of a pair is
+    constant on the rows where both are known.
     """
     cols = list(columns or numeric_columns(df))
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    values = {}
-
-    def r(a: str, b: str) -> Column:
-        x, y = F.col(a), F.col(b)
-        both = x.isNotNull() & y.isNotNull()
-        x, y = F.when(both, x), F.when(both, y)
-        varies = (F.min(x) < F.max(x)) & (F.min(y) < F.max(y))
-        return F.when(varies, F.covar_pop(x, y) / F.nullif(F.stddev_pop(x) * F.stddev_pop(y), F.lit(0.0)))
-
-    columns_ = [F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in cols]
-    with staged(df.select(*columns_)) as data:
-        for s in range(0, len(pairs), CORR_CHUNK):
-            chunk = pairs[s : s + CORR_CHUNK]
-            row = data.agg(*[r(cols[i], cols[j]).alias(f"c{i}_{j}") for i, j in chunk]).first()
-            values.update({(i, j): row[f"c{i}_{j}"] for i, j in chunk})
-    rows = []
-    for (i, j), v in values.items():
-        rows.append((cols[i], cols[j], v))
-        if i != j:
-            rows.append((cols[j], cols[i], v))
-    return df.sparkSession.createDataFrame(rows, "a string, b string, r double")
+    p = len(cols)
+    if p > MAX_COLUMNS:
+        raise ValueError(f"{p} columns are beyond the dense-matrix limit {MAX_COLUMNS}")
+    schema = "a string, b string, r double"
+    if not p:
+        return df.sparkSession.createDataFrame([], schema)
+    x = [F.nanvl(F.col(c).cast("double"), F.lit(None)) for c in cols]
+    with staged(df.select(array_of(x).alias("_x"))) as data:
+        means = _column_means(data, p)
+
+        def block(batches):
+            from pyspark import TaskContext
+
+            total = CoMoments(means)
+            for b in batches:
+                total.add(matrix(b["_x"], p))
+            part = pa.array([TaskContext.get().partitionId()], pa.int64())
+            flat = [pa.array([total.values[c].ravel()], pa.list_(pa.float64())) for c in (*_CO_SUMS, *_CO_ENDS)]
+            yield pa.RecordBatch.from_arrays([part, *flat], ["_part", *_CO_SUMS, *_CO_ENDS])
+
+        def merge(pdf: pd.DataFrame) -> pd.DataFrame:
+            total = CoMoments(means)
+            for _, row in pdf.iterrows():
+                total.merge(row)
+            return pd.DataFrame({"_part": [int(pdf["_part"].iloc[0])], **{c: [total.values[c].ravel()] for c in total.values}})
+
+        partials = tree_merged(data.mapInArrow(block, _CO_SCHEMA), [], merge, _CO_SCHEMA, split_estimate(data), 48 * p * p)
+        total = CoMoments(means)
+        for row in partials.toLocalIterator():
+            total.merge(row)
+    r = total.correlations()
+    rows = [(cols[i], cols[j], None if np.isnan(r[i, j]) else float(r[i, j])) for i in range(p) for j in range(p)]
+    return df.sparkSession.createDataFrame(rows, schema)
+
+
+def _column_means(data: DataFrame, p: int) -> np.ndarray:
+    """Mean of the known values of each column of the array ``_x`` (0 if none)."""
+
+    def sums(batches):
+        total, n = np.zeros(p), np.zeros(p)
+        for b in batches:
+            rows = matrix(b["_x"], p)
+            total += np.nansum(rows, axis=0)
+            n += (~np.isnan(rows)).sum(axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(p)), pa.array(total), pa.array(n)], ["i", "s", "n"])
+
+    means = np.zeros(p)
+    for row in data.mapInArrow(sums, "i long, s double, n double").groupBy("i").agg(F.sum("s").alias("s"), F.sum("n").alias("n")).collect():
+        means[row["i"]] = row["s"] / row["n"] if row["n"] else 0.0
+    return means
 
 
 def _range(df: DataFrame, col: str) -> tuple[float, float, int]:

@@ -14,6 +14,9 @@ Three tools, all exact and independent of the data layout:
 * ``exact_quantiles`` -- linear-interpolated quantiles by distributed
   selection: narrow [lo, hi] with equal-width bucket histograms until the
   wanted position lies in a bucket of one value or of few rows.
+* ``grouped_quantiles`` -- the same for any number of groups, as a DataFrame:
+  one scan counts the distinct values of every group, one range sort on
+  (column, group, value) orders them, and prefix counts find the positions.
 """
 
 from __future__ import annotations
@@ -21,10 +24,14 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions.expr import dlit
+from tessera.operators.blocks import array_of, matrix
 from tessera.session import materialize
 
 # Rows of a hash bucket small enough to rank directly (one task).
@@ -35,6 +42,10 @@ SELECT_LEAF_ROWS = 50_000
 # Each round shrinks the range at least SELECT_BUCKETS-fold, so ~256 rounds
 # separate any two doubles; the cap is a guard, not a working limit.
 BRACKET_ACCURACY = 10_000
+# Distinct values that a task holds before it hands them on, and that the driver
+# takes in all.
+KEPT_VALUES = 20_000
+MAX_SELECTED = 200_000
 
 
 def hash_key(seed: int | str, key_cols: Sequence[str]) -> Column:
@@ -190,49 +201,169 @@ def exact_quantiles(
     """Exact linear-interpolation quantiles (pandas/R7 rule), NULLs skipped.
 
     Returns ``{(group, column, q): value}``; ``group`` is None without groups.
-    Approximate percentiles bracket each position, exact counts say where it
-    lies inside, and only a small range of values is read: four scans up to
-    about 10^8 rows whatever the distribution, one more for each factor of 50.
-    Groups x columns x quantiles are the work items that the driver holds.
-    ``stats`` may pass known ``{(group, column): (n, min, max)}`` (non-NULL
-    count and range) to skip the first job.
+    Approximate percentiles bracket each position in one scan, a second counts
+    exactly where it lies and reads the values inside the bracket; a bracket
+    that holds too many (from about 10^8 rows on) is narrowed, one more scan for
+    each factor of 50.  Columns x quantiles are the work items that the driver
+    holds.  With ``group_col`` the result of :func:`grouped_quantiles` is
+    collected (groups as text); for many groups use that function itself.
+    ``stats`` may pass the result of :func:`column_stats` to skip its scan.
     """
-    spark = df.sparkSession
-    g = F.col(group_col).cast("string") if group_col else F.lit(None).cast("string")
-    stack = F.explode(
-        F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v")) for c in value_cols])
+    if group_col:
+        rows = grouped_quantiles(df, value_cols, qs, group_col).collect()
+        return {(None if r["group"] is None else str(r["group"]), r["feature"], r["q"]): r["value"] for r in rows}
+    cols = list(value_cols)
+    if stats is None:
+        stats = column_stats(df, cols, qs)
+    counts = {c: stats[c]["n"] for c in cols if stats[c]["n"]}
+    # target: (column, position) -> values that part the column around it
+    points = {}
+    for c, n in counts.items():
+        known = stats[c]
+        for q in qs:
+            for pos in {math.floor((n - 1) * q), math.ceil((n - 1) * q)}:
+                points.setdefault((c, pos), set()).update(known["bracket"].get(q, (known["min"], known["max"])))
+    found = {t: min(ends) for t, ends in points.items() if stats[t[0]]["min"] == stats[t[0]]["max"]}
+    _select_in_one_scan(df, points, counts, found)
+    if len(found) < len(points):
+        stack = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v")) for c in counts]))
+        long = df.select(stack.alias("_s")).select(F.lit(None).cast("string").alias("_g"), F.col("_s.c").alias("_c"), F.col("_s.v").alias("_v"))
+        _select_in_rounds(long.filter(F.col("_v").isNotNull() & ~F.isnan("_v")), {(None, *t): e for t, e in points.items() if t not in found}, found)
+    result = {}
+    for c, n in counts.items():
+        for q in qs:
+            h = (n - 1) * q
+            lo_v, hi_v = found[c, math.floor(h)], found[c, math.ceil(h)]
+            result[None, c, q] = lo_v + (h - math.floor(h)) * (hi_v - lo_v)
+    return result
+
+
+def column_stats(df: DataFrame, cols: Sequence[str], qs: Sequence[float] = ()) -> dict[str, dict]:
+    """Per column n, mean, std, min, max, and for each quantile a bracket of two
+    values around its position (approximate percentiles), in one scan."""
+    edges = sorted({e for q in qs for e in (q, *_edges(q))})
+    aggs = []
+    for i, c in enumerate(cols):
+        v = F.nanvl(F.col(c).cast("double"), F.lit(None))
+        aggs += [F.count(v).alias(f"n{i}"), F.avg(v).alias(f"mean{i}"), F.stddev_samp(v).alias(f"std{i}"),
+                 F.min(v).alias(f"min{i}"), F.max(v).alias(f"max{i}")]
+        if edges:
+            aggs.append(F.percentile_approx(v, edges, BRACKET_ACCURACY).alias(f"p{i}"))
+    row = df.agg(*aggs).first() if aggs else {}
+    out = {}
+    for i, c in enumerate(cols):
+        out[c] = {k: row[f"{k}{i}"] for k in ("n", "mean", "std", "min", "max")}
+        at = dict(zip(edges, row[f"p{i}"] or [])) if edges else {}
+        out[c]["approx"] = {q: at.get(q) for q in qs}
+        out[c]["bracket"] = {q: tuple(at[e] for e in _edges(q)) for q in qs} if at else {}
+    return out
+
+
+def _edges(q: float) -> tuple[float, float]:
+    reach = 2 / BRACKET_ACCURACY
+    return max(0.0, q - reach), min(1.0, q + reach)
+
+
+def _select_in_one_scan(df: DataFrame, points: dict, counts: dict, found: dict) -> None:
+    """Resolve positions whose bracket holds few rows: one scan counts the rows
+    at and between the points of each column, and hands on the distinct values
+    strictly inside a bracket (of a small column: all its values)."""
+    cols = sorted({t[0] for t in points if t not in found})
+    if not cols:
+        return
+    width = len(cols)
+    ends = [np.array(sorted(set().union(*[e for t, e in points.items() if t[0] == c])), float) for c in cols]
+    wanted = []  # per column the stretches whose values are handed on
+    for c, at in zip(cols, ends):
+        inside = np.zeros(2 * len(at) + 1, bool)
+        for t, e in points.items():
+            if t[0] == c:
+                low, high = np.searchsorted(at, [min(e), max(e)])
+                inside[2 * low + 1 : 2 * high + 2] = True
+        wanted.append(inside | (counts[c] * width <= MAX_SELECTED))
+
+    def run(batches):
+        seen = [{} for _ in cols]  # per column: stretch -> [rows, least, largest]
+        kept = [{} for _ in cols]
+        for b in batches:
+            x = matrix(b["_x"], width)
+            for i, at in enumerate(ends):
+                v = x[:, i][~np.isnan(x[:, i])]
+                left, right = np.searchsorted(at, v, "left"), np.searchsorted(at, v, "right")
+                stretch = left + right  # odd: equal to a point
+                for k in np.unique(stretch):
+                    part = v[stretch == k]
+                    n, low, high = seen[i].get(int(k), (0, np.inf, -np.inf))
+                    seen[i][int(k)] = (n + len(part), min(low, part.min()), max(high, part.max()))
+                    if wanted[i][k] and k % 2 == 0:
+                        for value, times in zip(*np.unique(part, return_counts=True)):
+                            key = (int(k), float(value))
+                            kept[i][key] = kept[i].get(key, 0) + int(times)
+                if len(kept[i]) > KEPT_VALUES:
+                    yield _selected([(i, k, value, n, value, value) for (k, value), n in kept[i].items()])
+                    kept[i].clear()
+        yield _selected(
+            [(i, k, None, *s) for i, of in enumerate(seen) for k, s in of.items()]
+            + [(i, k, value, n, value, value) for i, of in enumerate(kept) for (k, value), n in of.items()]
+        )
+
+    data = df.select(array_of([F.col(c) for c in cols]).alias("_x")).mapInArrow(run, _SELECTED)
+    rows = (
+        data.groupBy("c", "stretch", "v").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
+        .limit(MAX_SELECTED + 1).collect()
     )
-    long = df.select(g.alias("_g"), stack.alias("_s")).select("_g", F.col("_s.c").alias("_c"), F.col("_s.v").alias("_v"))
-    long = long.filter(F.col("_v").isNotNull())
-    if stats is not None:
-        stats = [{"_g": g, "_c": c, "n": n, "lo": lo, "hi": hi} for (g, c), (n, lo, hi) in stats.items() if n]
-    else:
-        stats = long.groupBy("_g", "_c").agg(
-            F.count(F.lit(1)).alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi")
-        ).collect()
-    counts = {(r["_g"], r["_c"]): r["n"] for r in stats}
-    # target: (g, c, position) -> values that part the column around it
-    points = {
-        (r["_g"], r["_c"], pos): {r["lo"], r["hi"]}
-        for r in stats
-        for q in qs
-        for pos in {math.floor((r["n"] - 1) * q), math.ceil((r["n"] - 1) * q)}
-    }
-    found = {t: min(ends) for t, ends in points.items() if len(ends) == 1}
-    _bracket(long, points, found, counts)
-    while len(found) < len(points):
-        segments = _segments(long, {t: ends for t, ends in points.items() if t not in found})
-        leaves = {}
-        for t in points:
-            if t in found:
+    if len(rows) > MAX_SELECTED:
+        return
+    stretches: dict = {}
+    values: dict = {}
+    for r in rows:
+        if r["v"] is None:
+            stretches.setdefault(cols[r["c"]], []).append((r["stretch"], r["n"], r["low"], r["high"]))
+        else:
+            values.setdefault((cols[r["c"]], r["stretch"]), []).append((r["v"], r["n"]))
+    for c, position in points:
+        if (c, position) in found:
+            continue
+        need = position
+        for k, n, low, high in sorted(stretches[c]):
+            if need >= n:
+                need -= n
                 continue
+            if low == high:
+                found[c, position] = low
+            for v, times in sorted(values.get((c, k), [])):
+                if need < times:
+                    found[c, position] = v
+                    break
+                need -= times
+            break
+
+
+_SELECTED = "c int, stretch int, v double, n long, low double, high double"
+
+
+def _selected(rows: list[tuple]) -> pa.RecordBatch:
+    types = [pa.int32(), pa.int32(), pa.float64(), pa.int64(), pa.float64(), pa.float64()]
+    columns = list(zip(*rows)) if rows else [()] * 6
+    names = [f.split()[0] for f in _SELECTED.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], names)
+
+
+def _select_in_rounds(long: DataFrame, points: dict, found: dict) -> None:
+    """Narrow the stretches around the positions, one scan for each factor of
+    fifty, until one holds a single value or few rows."""
+    pending = dict(points)
+    while pending:
+        segments = _segments(long, pending)
+        leaves = {}
+        for t in list(pending):
             need = t[2]
             for r in segments[t[:2]]:
                 if need < r["cnt"]:
                     break
                 need -= r["cnt"]
             if r["bmin"] == r["bmax"]:
-                found[t] = r["bmin"]
+                found[t[1:]] = r["bmin"]
             elif r["cnt"] <= SELECT_LEAF_ROWS:
                 leaves[t] = (r["bmin"], r["bmax"], need)
             else:
@@ -240,35 +371,84 @@ def exact_quantiles(
                 # even where a hot value fills the whole grid
                 at, last = need / r["cnt"] * (len(r["grid"]) - 1), len(r["grid"]) - 1
                 near = {r["grid"][max(0, math.floor(at) - 1)], r["grid"][min(last, math.ceil(at) + 1)]}
-                points[t] = {r["bmin"], r["bmax"], r["grid"][round(at)], *near}
+                pending[t] = {r["bmin"], r["bmax"], r["grid"][round(at)], *near}
+                continue
+            pending.pop(t)
         if leaves:
-            _resolve_leaves(long, leaves, found)
-    result = {}
-    for (g, c), n in counts.items():
-        for q in qs:
-            h = (n - 1) * q
-            lo_v, hi_v = found[g, c, math.floor(h)], found[g, c, math.ceil(h)]
-            result[g, c, q] = lo_v + (h - math.floor(h)) * (hi_v - lo_v)
-    return result
+            resolved: dict = {}
+            _resolve_leaves(long, leaves, resolved)
+            found.update({t[1:]: v for t, v in resolved.items()})
 
 
-def _bracket(long: DataFrame, points: dict, found: dict, counts: dict) -> None:
-    """Part the columns at approximate percentiles around every position (one
-    scan; their rank error is at most n / BRACKET_ACCURACY)."""
-    pending = [t for t in points if t not in found]
-    if not pending:
-        return
-    reach = 2 / BRACKET_ACCURACY
+def grouped_quantiles(df: DataFrame, value_cols: Sequence[str], qs: Sequence[float], group_col: str) -> DataFrame:
+    """(group, feature, q, value): exact linear-interpolation quantiles of every
+    column in every group, NULL and NaN skipped; NULL is a group of its own.
+
+    No expression, broadcast or collect grows with the groups, and a group that
+    holds most rows is sorted over many tasks.  Few distinct values in all (at
+    most ``SELECT_LEAF_ROWS``) are counted off directly.
+    """
+    values = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v")) for c in value_cols])
+    long = df.select(F.col(group_col).alias("_g"), F.explode(values).alias("_s")).select("_g", "_s.c", "_s.v")
+    long = long.filter(F.col("v").isNotNull() & ~F.isnan("v"))
+    counted = long.groupBy("_g", "c", "v").agg(F.count("*").alias("n"))
+    schema = T.StructType(
+        [
+            T.StructField("group", df.schema[group_col].dataType),
+            T.StructField("feature", T.StringType()),
+            T.StructField("q", T.DoubleType()),
+            T.StructField("value", T.DoubleType()),
+        ]
+    )
+    few = counted.limit(SELECT_LEAF_ROWS + 1).collect()
+    if len(few) <= SELECT_LEAF_ROWS:
+        return df.sparkSession.createDataFrame(_count_off(few, qs), schema)
+    ordered = materialize(counted.orderBy("c", "_g", "v").select("*", F.spark_partition_id().alias("_pid")))
+    # a stretch of one group and column in one partition of the sort
+    w = Window.partitionBy("c", "_g")
+    runs = ordered.groupBy("c", "_g", "_pid").agg(F.sum("n").alias("m"))
+    runs = runs.select(
+        F.col("c").alias("_c"), F.col("_g").alias("_h"), F.col("_pid").alias("_at"), "m",
+        (F.sum("m").over(w.orderBy("_pid")) - F.col("m")).alias("before"), F.sum("m").over(w).alias("total"),
+    )
+    ends = [e for q in qs for e in _ends(F.col("total"), q)[:2]]
+    inside = F.filter(F.array_distinct(F.array(*ends)), lambda p: (p >= F.col("before")) & (p < F.col("before") + F.col("m")))
+    wanted = runs.withColumn("at", inside).filter(F.size("at") > 0)
+    same = (F.col("_pid") == F.col("_at")) & (F.col("c") == F.col("_c")) & F.col("_g").eqNullSafe(F.col("_h"))
+    upto = F.col("before") + F.sum("n").over(Window.partitionBy("c", "_g", "_pid").orderBy("v"))
+    met = ordered.join(wanted, same).withColumn("upto", upto)
+    here = F.filter("at", lambda p: (p >= F.col("upto") - F.col("n")) & (p < F.col("upto")))
+    met = met.withColumn("pos", F.explode(here)).groupBy("_g", "c", "total")
+    picked = []
+    for q in qs:
+        low, high, part = _ends(F.col("total"), q)
+        low_v, high_v = (F.max(F.when(F.col("pos") == e, F.col("v"))) for e in (low, high))
+        picked.append(F.struct(F.lit(float(q)).alias("q"), (low_v + part * (high_v - low_v)).alias("value")))
+    found = met.agg(F.array(*picked).alias("s")).select(F.col("_g").alias("group"), F.col("c").alias("feature"), F.explode("s").alias("s"))
+    return found.select("group", "feature", "s.q", "s.value")
+
 
-    def around(t):
-        at = t[2] / counts[t[:2]]
-        return max(0.0, at - reach), min(1.0, at + reach)
+def _ends(total: Column, q: float) -> tuple[Column, Column, Column]:
+    """0-based positions around quantile ``q`` of ``total`` rows, and the weight
+    of the upper one."""
+    h = (total - 1) * F.lit(float(q))
+    return F.floor(h).cast("long"), F.ceil(h).cast("long"), h - F.floor(h)
 
-    wanted = sorted({p for t in pending for p in around(t)})
-    rows = long.groupBy("_g", "_c").agg(F.percentile_approx("_v", wanted, BRACKET_ACCURACY).alias("p")).collect()
-    values = {(r["_g"], r["_c"]): dict(zip(wanted, r["p"])) for r in rows}
-    for t in pending:
-        points[t] = {values[t[:2]][p] for p in around(t)}
+
+def _count_off(rows: Sequence, qs: Sequence[float]) -> list[tuple]:
+    """Quantiles from (group, column, value, count) rows."""
+    by_key: dict = {}
+    for r in rows:
+        by_key.setdefault((r["_g"], r["c"]), []).append((r["v"], r["n"]))
+    out = []
+    for (g, c), counts in by_key.items():
+        counts.sort()
+        upto = np.cumsum([n for _, n in counts])
+        for q in qs:
+            h = (int(upto[-1]) - 1) * q
+            low, high = (counts[int(np.searchsorted(upto, e, side="right"))][0] for e in (math.floor(h), math.ceil(h)))
+            out.append((g, c, float(q), low + (h - math.floor(h)) * (high - low)))
+    return out
 
 
 def _segments(long: DataFrame, points: dict) -> dict:

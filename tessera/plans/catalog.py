@@ -31,6 +31,7 @@ from tessera.operators.regress import fit
 from tessera.plans import select as sel
 from tessera.plans.training import evaluate_new_data, predict_new_rows, train_and_evaluate
 from tessera.plans.prepare import ZONE, process_dataset
+from tessera.session import spread
 from tessera.sources.io import load_xy
 from tessera.sources.tables import (
     CUSTOMER_LOCATIONS_SQL,
@@ -607,18 +608,43 @@ def q_kmeans_empty(spark, sf):
 
 
 EMB_DIM = 64
-_emb_km, _emb_c, _emb_lab = kmeans_ctes(
-    "emb", f"md5(concat_ws('|', '{SEED}', vec_id)), vec_id", [f"CAST(embedding[{j + 1}] AS DOUBLE)" for j in range(EMB_DIM)], 10, "e"
-)
 
 
-@query(
-    "kmeans_wide",
-    W("emb AS (SELECT vec_id, embedding FROM embeddings)", *_emb_km, f"sz AS (SELECT z, count(*) AS size FROM {_emb_lab} GROUP BY z)")
-    + f"SELECT c.z AS zone, coalesce(sz.size, 0) AS size, "
-    + ", ".join(f"round(c.x{j}, 9) AS c{j}" for j in range(EMB_DIM)) + " "
-    f"FROM {_emb_c} c LEFT JOIN sz ON c.z = sz.z",
-)
+def _wide_kmeans_sql(k: int = 10, rounds: int = 60) -> str:
+    """Lloyd iterations over points and centres as lists, one small table each:
+    no column per coordinate, so any number of rounds stays cheap to plan."""
+    order = f"md5(concat_ws('|', '{SEED}', vec_id)), vec_id"
+    ctes = [
+        "pts AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings)",
+        f"c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY {order}) - 1 AS z, v, false AS done FROM pts ORDER BY {order} LIMIT {k})",
+    ]
+
+    def label(t: int) -> str:
+        return (
+            "SELECT vec_id, v, z FROM (SELECT p.vec_id, p.v, c.z, row_number() OVER (PARTITION BY p.vec_id "
+            f"ORDER BY list_distance(p.v, c.v), c.z) AS near FROM pts p CROSS JOIN c{t} c) WHERE near = 1"
+        )
+
+    for t in range(1, rounds + 1):
+        ctes.append(
+            f"m{t} AS MATERIALIZED (SELECT z, list(x ORDER BY j) AS v FROM (SELECT z, j, avg(x) AS x FROM "
+            f"(SELECT z, unnest(v) AS x, generate_subscripts(v, 1) AS j FROM ({label(t - 1)})) GROUP BY z, j) GROUP BY z)"
+        )
+        moved = "coalesce(m.v, c.v)"
+        ctes.append(
+            f"c{t} AS MATERIALIZED (SELECT c.z, CASE WHEN c.done THEN c.v ELSE {moved} END AS v, "
+            f"c.done OR sum(pow(list_distance({moved}, c.v), 2)) OVER () < {KM_TOL} AS done "
+            f"FROM c{t - 1} c LEFT JOIN m{t} m ON c.z = m.z)"
+        )
+    ctes.append(f"sz AS (SELECT z, count(*) AS size FROM ({label(rounds)}) GROUP BY z)")
+    return (
+        W(*ctes) + "SELECT CAST(c.z AS INTEGER) AS zone, coalesce(sz.size, 0) AS size, "
+        + ", ".join(f"round(c.v[{j + 1}], 9) AS c{j}" for j in range(EMB_DIM))
+        + f" FROM c{rounds} c LEFT JOIN sz ON c.z = sz.z"
+    )
+
+
+@query("kmeans_wide", _wide_kmeans_sql())
 def q_kmeans_wide(spark, sf):
     df = embedding_points(spark, sf)
     pts = [F.col("embedding").getItem(j).cast("double") for j in range(EMB_DIM)]
@@ -631,6 +657,10 @@ def q_kmeans_wide(spark, sf):
     )
 
 
+def _zone_centre_sql() -> str:
+    return ", ".join(f"round(max(CASE z WHEN 0 THEN c0_{j} WHEN 1 THEN c1_{j} END), 9) AS center_{j}" for j in range(2))
+
+
 def _own_dist_sql(lab: str, cen_pivot: str, k: int, coords=("lat", "lon")) -> str:
     parts = " ".join(
         f"WHEN {i} THEN " + " + ".join(f"pow({c} - c{i}_{j}, 2)" for j, c in enumerate(coords)) for i in range(k)
@@ -664,35 +694,41 @@ def q_zone_inter(spark, sf):
     return out.select(*KEY, ZONE, *[r(c, 9).alias(c) for c in names], "is_house_zone_0", "is_house_zone_1")
 
 
-@query(
-    "zone_stats",
-    W(HOUSES, CONV, *_house_km, f"tot AS (SELECT count(*) AS t FROM {_house_lab})")
-    + " UNION ALL ".join(
-        f"SELECT z AS location_zone, '{f}' AS feature, count(*) AS size, round(CAST(count(*) AS DOUBLE) / max(t) * 100, 9) AS percentage, "
-        f"round(avg({f}), 9) AS mean, round(median({f}), 9) AS median, round(stddev_samp({f}), 9) AS std, "
-        f"count(*) FILTER (WHERE {f} IS NULL) AS missing FROM {_house_lab}, tot GROUP BY z"
-        for f in ("age", "rooms")
-    ),
+ZONE_STATS_SQL = W(HOUSES, CONV, *_house_km, f"tot AS (SELECT count(*) AS t FROM {_house_lab})") + " UNION ALL ".join(
+    f"SELECT z AS location_zone, '{f}' AS feature, count(*) AS size, round(CAST(count(*) AS DOUBLE) / max(t) * 100, 9) AS percentage, "
+    f"round(avg({f}), 9) AS mean, round(median({f}), 9) AS median, round(stddev_samp({f}), 9) AS std, "
+    f"count(*) FILTER (WHERE {f} IS NULL) AS missing, {_zone_centre_sql()} FROM {_house_lab}, tot, hw GROUP BY z"
+    for f in ("age", "rooms")
 )
-def q_zone_stats(spark, sf):
-    df, m = _house_model(spark, sf)
-    zs = fe.zone_stats(m.predict(df, ["lat", "lon"], ZONE), ZONE, ["age", "rooms"], m.centers)
+
+
+def _zone_rows(zs: DataFrame) -> DataFrame:
     return zs.select(
         ZONE, "feature", "size", r("percentage", 9).alias("percentage"), r("mean", 9).alias("mean"),
         r("median", 9).alias("median"), r("std", 9).alias("std"), "missing",
+        *[r(F.col("center")[j], 9).alias(f"center_{j}") for j in range(2)],
     )
 
 
+@query("zone_stats", ZONE_STATS_SQL)
+def q_zone_stats(spark, sf):
+    df, m = _house_model(spark, sf)
+    return _zone_rows(fe.zone_stats(m.predict(df, ["lat", "lon"], ZONE), ZONE, ["age", "rooms"], m.centers))
+
+
 PROC_INTER = ["area", "rooms", "age", "has_pool", "is_house", "house_area", "pool_house", "dist_to_cluster_center"]
 PROC_INT_COLS = {"has_pool", "is_house", "pool_house"}
 
 
-def _process_sql() -> str:
-    ctes = [HOUSES, CONV, *_house_km,
+def _process_ctes() -> list[str]:
+    return [HOUSES, CONV, *_house_km,
             f"zm AS (SELECT z, avg(age) AS ma, avg(rooms) AS mr FROM {_house_lab} GROUP BY z)",
             f"imp AS (SELECT l.* REPLACE (coalesce(l.age, zm.ma) AS age, coalesce(l.rooms, zm.mr) AS rooms) FROM {_house_lab} l JOIN zm ON l.z = zm.z)",
             f"eng AS (SELECT imp.*, has_pool * is_house AS pool_house, area * is_house AS house_area, "
             f"{_own_dist_sql('', '', 2)} AS dist_to_cluster_center FROM imp, hw)"]
+
+
+def _process_sql() -> str:
     cols = [KEYS_SQL, "round(area, 9) AS area", "is_house", "has_pool", "round(age, 9) AS age", "round(rooms, 9) AS rooms",
             "round(price, 9) AS price", "z AS location_zone", "pool_house", "round(house_area, 9) AS house_area",
             "round(dist_to_cluster_center, 9) AS dist_to_cluster_center"]
@@ -700,21 +736,50 @@ def _process_sql() -> str:
         for i in range(2):
             e = f"{f} * CAST(z = {i} AS INTEGER)"
             cols.append(f"{e} AS {f}_zone_{i}" if f in PROC_INT_COLS else f"round({e}, 9) AS {f}_zone_{i}")
-    return W(*ctes) + "SELECT " + ", ".join(cols) + " FROM eng"
+    return W(*_process_ctes()) + "SELECT " + ", ".join(cols) + " FROM eng"
 
 
-@query("process_dataset", _process_sql())
-def q_process(spark, sf):
-    res = process_dataset(
+def _processed(spark, sf):
+    return process_dataset(
         conv(spark, sf), k=2, location_cols=["lat", "lon"], features_to_impute=["age", "rooms"], impute_by_zone=True,
         create_zone_interactions=True, zone_interaction_features=PROC_INTER, key_cols=KEY,
         kmeans_params={"seed": SEED},
     )
-    out = res.df
+
+
+@query("process_dataset", _process_sql())
+def q_process(spark, sf):
+    out = _processed(spark, sf).df
     dtypes = dict(out.dtypes)
     return out.select(*[r(c, 9).alias(c) if dtypes[c] == "double" else F.col(c) for c in out.columns])
 
 
+@query("process_dataset_pos", W(*_process_ctes()) + "SELECT round(lat, 9) AS lat, round(lon, 9) AS lon, z AS location_zone FROM eng")
+def q_process_pos(spark, sf):
+    return _processed(spark, sf).df_pos.select(r("lat", 9).alias("lat"), r("lon", 9).alias("lon"), ZONE)
+
+
+@query("process_dataset_zone_stats", ZONE_STATS_SQL)
+def q_process_zone_stats(spark, sf):
+    return _zone_rows(_processed(spark, sf).zone_stats)
+
+
+PROC_NEW = ["pool_house", "house_area", "dist_to_cluster_center", *[f"{f}_zone_{i}" for f in PROC_INTER for i in range(2)]]
+
+
+@query(
+    "process_dataset_feature_stats",
+    W(*_process_ctes(), "wide AS (SELECT *, " + ", ".join(f"{f} * CAST(z = {i} AS INTEGER) AS {f}_zone_{i}" for f in PROC_INTER for i in range(2)) + " FROM eng)")
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, round(avg({c}), 8) AS mean, round(stddev_samp({c}), 8) AS std, "
+        f"round(CAST(min({c}) AS DOUBLE), 8) AS min, round(CAST(max({c}) AS DOUBLE), 8) AS max FROM wide" for c in PROC_NEW
+    ),
+)
+def q_process_feature_stats(spark, sf):
+    st = _processed(spark, sf).feature_stats
+    return st.select("feature", *[r(c, 8).alias(c) for c in ("mean", "std", "min", "max")])
+
+
 # ---------------------------------------------------------- 2.8 regression
 
 def ols2_ctes(src: str, x1: str, x2: str, y: str, alpha: str = "0.0", name: str = "fit", where: str = "TRUE") -> list[str]:
@@ -819,44 +884,44 @@ def q_loss_history(spark, sf):
 
 
 def _descent_sql(loss: str, lr: float, epochs: int, w1: float = 0.0, w2: float = 0.0) -> str:
-    """Subgradient descent of y on lon over the rows, one CTE per epoch; the
-    state after the epoch with the lowest loss counts."""
+    """Subgradient descent of y on lon over the rows, recursively; the state after the epoch with the lowest loss counts."""
     base = {"mse": "avg(e * e)", "l2": "sqrt(sum(e * e))", "mae": "avg(abs(e))", "l1": "sum(abs(e))"}[loss]
     scale = {"mse": "2 * avg({})", "l2": "sum({}) / sqrt(sum(e * e))", "mae": "avg({})", "l1": "sum({})"}[loss]
     part = "sign(e)" if loss in ("mae", "l1") else "e"
     g0, g1 = scale.format(part), scale.format(f"{part} * lon")
-    ctes = [HOUSES, CONV, "d AS MATERIALIZED (SELECT lon / 100 AS lon, price / 1000 AS y FROM conv)",
-            "t0 AS (SELECT 0.0::DOUBLE AS b0, 0.0::DOUBLE AS b1, 'inf'::DOUBLE AS low, 0.0::DOUBLE AS w0, 0.0::DOUBLE AS w1)"]
-    for t in range(epochs):
-        ctes.append(
-            f"a{t} AS MATERIALIZED (SELECT any_value(b0) AS b0, any_value(b1) AS b1, any_value(low) AS low, any_value(w0) AS w0, any_value(w1) AS w1, "
-            f"{base} + {w1} * abs(any_value(b1)) + {w2} * any_value(b1) * any_value(b1) / 2 AS v, "
-            f"any_value(b0) - {lr} * ({g0}) AS n0, any_value(b1) - {lr} * ({g1} + {w1} * sign(any_value(b1)) + {w2} * any_value(b1)) AS n1 "
-            f"FROM (SELECT t{t}.*, d.lon, b0 + b1 * lon - y AS e FROM d, t{t}))"
-        )
-        ctes.append(
-            f"t{t + 1} AS MATERIALIZED (SELECT n0 AS b0, n1 AS b1, least(low, v) AS low, CASE WHEN v < low THEN n0 ELSE w0 END AS w0, "
-            f"CASE WHEN v < low THEN n1 ELSE w1 END AS w1 FROM a{t})"
-        )
-    return W(*ctes) + f"SELECT 'intercept' AS term, 0 AS power, {ssig('w0')} AS coefficient FROM t{epochs} UNION ALL SELECT 'lon', 1, {ssig('w1')} FROM t{epochs}"
+    data = "d AS MATERIALIZED (SELECT lon / 100 AS lon, price / 1000 AS y FROM conv)"
+    descent = (
+        "gd(epoch, b0, b1, low, w0, w1) AS (SELECT 0, 0.0::DOUBLE, 0.0::DOUBLE, 'inf'::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE UNION ALL "
+        "SELECT epoch + 1, n0, n1, least(low, v), CASE WHEN v < low THEN n0 ELSE w0 END, CASE WHEN v < low THEN n1 ELSE w1 END FROM ("
+        f"SELECT epoch, low, w0, w1, {base} + {w1} * abs(b1) + {w2} * b1 * b1 / 2 AS v, "
+        f"b0 - {lr} * ({g0}) AS n0, b1 - {lr} * ({g1} + {w1} * sign(b1) + {w2} * b1) AS n1 "
+        f"FROM (SELECT gd.*, d.lon, b0 + b1 * lon - y AS e FROM d, gd WHERE epoch < {epochs}) GROUP BY epoch, b0, b1, low, w0, w1))"
+    )
+    last = f"FROM gd WHERE epoch = {epochs}"
+    return "WITH RECURSIVE " + ",\n".join([HOUSES, CONV, data, descent]) + (
+        f"\nSELECT 'intercept' AS term, 0 AS power, {ssig('w0')} AS coefficient {last} UNION ALL SELECT 'lon', 1, {ssig('w1')} {last}"
+    )
 
 
-# rate, and epochs that the unrolled SQL can follow
+# rate and penalty weights of each; ridge stops before its loss is level to the
+# last bit, where the epoch of the lowest loss is a matter of rounding
 DESCENTS = {
     "fit_gd_mae": ({"loss": "mae"}, 2.0, (0, 0)),
     "fit_gd_l1": ({"loss": "l1"}, 2e-4, (0, 0)),
     "fit_gd_l2": ({"loss": "l2"}, 0.5, (0, 0)),
-    "fit_gd_ridge": ({"regularization": "l2", "alpha": 0.4}, 0.1, (0, 0.4)),
+    "fit_gd_ridge": ({"regularization": "l2", "alpha": 0.4, "epochs": 120}, 0.1, (0, 0.4)),
     "fit_gd_elasticnet": ({"regularization": "elasticnet", "alpha": 0.4, "l1_ratio": 0.25}, 0.1, (0.1, 0.3)),
 }
-DESCENT_EPOCHS = 40
+DESCENT_EPOCHS = 1000
 
 
 def _descent_query(name: str, params: dict, lr: float, weights: tuple) -> None:
-    @query(name, _descent_sql(params.get("loss", "mse"), lr, DESCENT_EPOCHS, *weights))
+    settings = {"method": "gradient_descent", "learning_rate": lr, "epochs": DESCENT_EPOCHS, "tolerance": 1e-300, **params}
+
+    @query(name, _descent_sql(params.get("loss", "mse"), lr, settings["epochs"], *weights))
     def run(spark, sf):
         df = conv(spark, sf).select((F.col("lon") / 100).alias("lon"), (F.col("price") / 1000).alias("y"))
-        return _coef_df(spark, fit(df, ["lon"], "y", method="gradient_descent", learning_rate=lr, epochs=DESCENT_EPOCHS, tolerance=1e-300, **params))
+        return _coef_df(spark, fit(df, ["lon"], "y", **settings))
 
 
 for _name, (_params, _lr, _weights) in DESCENTS.items():
@@ -884,8 +949,9 @@ WIDE_MODEL = 300
     + f"SELECT {KEYS_SQL}, round((my - b1 * m1 - b2 * m2) + b1 * area + b2 * lon, 3) AS prediction FROM conv, fit",
 )
 def q_fit_wide(spark, sf):
-    # 300 dependent regressors span the same space as two
-    df = conv(spark, sf)
+    # 300 dependent regressors span the same space as two; the rows are dealt
+    # to the cores while they are narrow
+    df = spread(conv(spark, sf), KEY)
     parts = {f"x{i}": F.col("area") * (1 + i % 7) + F.col("lon") * (i % 5) for i in range(WIDE_MODEL)}
     wide = df.withColumns(parts)
     m = fit(wide, list(parts), "price")
@@ -1063,7 +1129,8 @@ def q_predict_new(spark, sf):
     return predict_new_rows(new, res.pipeline).select(*KEY, r("prediction", 4).alias("prediction"))
 
 
-SWEEP_LAMBDAS = [0.0, 1e3, 1e4, 1e5, 1e6]
+# 200 weights, up to about twenty times the rows of a small table
+SWEEP_LAMBDAS = [5000.0 * i for i in range(200)]
 
 
 def _ridge_norm_ctes(src: str, stats_from: str, where: str, lambdas, group: str | None = None, zero: str = "1.0") -> list[str]:
@@ -1156,10 +1223,12 @@ def q_improve(spark, sf):
 
 
 CV_LAMBDAS = [0.0, 1e4, 1e5]
+# 100 weights x 10 folds
+CV_GRID = [1000.0 * i for i in range(100)]
 
 
-def _cv_sql(lambdas) -> str:
-    ctes = [HOUSES, CONV, fold_cte(), "ks AS (SELECT DISTINCT fold AS k FROM folded)",
+def _cv_sql(lambdas, folds: int = 5) -> str:
+    ctes = [HOUSES, CONV, fold_cte(k=folds), "ks AS (SELECT DISTINCT fold AS k FROM folded)",
             "trn AS (SELECT ks.k, folded.* FROM ks JOIN folded ON folded.fold <> ks.k)",
             *_ridge_norm_ctes("trn", "trn", "TRUE", lambdas, group="k", zero="1e-8"),
             f"sc AS (SELECT k, position, {LAM}, avg(pow(price - ({SWEEP_PRED}), 2)) AS mse, "
@@ -1168,9 +1237,9 @@ def _cv_sql(lambdas) -> str:
     return W(*ctes) + f"SELECT CAST(position AS INTEGER) AS position, {LAM}, {ssig('avg(mse)')} AS mse, {ssig('avg(r2)')} AS r2 FROM sc GROUP BY position, {LAM}"
 
 
-@query("cv_lambda", _cv_sql(CV_LAMBDAS))
+@query("cv_lambda", _cv_sql(CV_GRID, 10))
 def q_cv_lambda(spark, sf):
-    res = sel.cv_lambda(conv(spark, sf), ["area", "lon"], "price", KEY, CV_LAMBDAS, n_splits=5, seed=SEED)
+    res = sel.cv_lambda(conv(spark, sf), ["area", "lon"], "price", KEY, CV_GRID, n_splits=10, seed=SEED)
     return small(res.curve, ["mse", "r2"])
 
 
@@ -1192,6 +1261,42 @@ def q_cv_plain(spark, sf):
     return small(res.curve, ["mse", "r2"])
 
 
+def _cv_degrees_sql(top: int = 9, k: int = 5) -> str:
+    """Degrees 1 to ``top`` of one feature by orthogonal polynomials: on each
+    fold's training rows p(j+1) = (x - a) p(j) - b p(j-1), and the coefficient of
+    p(j) is that of y alone, so every degree adds one term to the last fit."""
+    ctes = [
+        HOUSES, CONV, fold_cte(k=k), f"ks AS (SELECT unnest(range({k})) AS k)",
+        "sc AS (SELECT avg(area) AS m, stddev_samp(area) AS s FROM conv)",
+        "p0 AS MATERIALIZED (SELECT ks.k, folded.fold <> ks.k AS train, (area - m) / s AS x, ln(price) AS y, price, "
+        "0.0::DOUBLE AS below, 1.0::DOUBLE AS p, 0.0::DOUBLE AS f FROM folded, ks, sc)",
+    ]
+    for j in range(top + 1):
+        ctes.append(
+            f"s{j} AS MATERIALIZED (SELECT k, sum(p * p) AS n, sum(x * p * p) / sum(p * p) AS a, sum(y * p) / sum(p * p) AS c "
+            f"FROM p{j} WHERE train GROUP BY k)"
+        )
+        b, join = ("s.n / l.n", f"JOIN s{j - 1} l ON l.k = p.k") if j else ("0", "")
+        ctes.append(
+            f"p{j + 1} AS MATERIALIZED (SELECT p.k, p.train, p.x, p.y, p.price, p.p AS below, (p.x - s.a) * p.p - {b} * p.below AS p, "
+            f"p.f + s.c * p.p AS f FROM p{j} p JOIN s{j} s ON s.k = p.k {join})"
+        )
+    fits = " UNION ALL ".join(
+        f"SELECT {d - 1} AS position, {d}.0::DOUBLE AS degree, avg(pow(exp(f) - price, 2)) AS mse, "
+        f"1 - sum(pow(price - exp(f), 2)) / (var_pop(price) * count(price)) AS r2 FROM p{d + 1} WHERE NOT train GROUP BY k"
+        for d in range(1, top + 1)
+    )
+    return W(*ctes, f"sd AS ({fits})") + (
+        f"SELECT CAST(position AS INTEGER) AS position, degree, {ssig('avg(mse)')} AS mse, {ssig('avg(r2)')} AS r2 FROM sd GROUP BY position, degree"
+    )
+
+
+@query("cv_degree_nine", _cv_degrees_sql())
+def q_cv_degrees(spark, sf):
+    res = sel.cv_degree(conv(spark, sf), ["area"], "price", KEY, list(range(1, 10)), n_splits=5, seed=SEED, transform_target="log", inverse="exp")
+    return small(res.curve, ["mse", "r2"])
+
+
 def _cv_degree_sql() -> str:
     """Degrees 1 and 2 of one feature, fold-normalised, log target scored after exp."""
     ctes = [
@@ -1332,14 +1437,15 @@ def q_qq_line(spark, sf):
 # --------------------------------------------- lasso sweep (gradient descent)
 
 LASSO_LAMBDAS = [0.0, 10.0, 50.0]
+LASSO_GRID = [0.25 * i for i in range(200)]
 # as many epochs as both engines follow to the last digit compared
 LASSO_EPOCHS, LASSO_LR = 60, 0.01
 LASSO_FIT = {"method": "gradient_descent", "regularization": "l1", "epochs": LASSO_EPOCHS, "learning_rate": LASSO_LR,
              "tolerance": 1e-12}
 
 
-def _lasso_sql(select: str) -> str:
-    lam_rows = ", ".join(f"({i}, {v}::DOUBLE)" for i, v in enumerate(LASSO_LAMBDAS))
+def _lasso_sql(select: str, lambdas) -> str:
+    lam_rows = ", ".join(f"({i}, {v}::DOUBLE)" for i, v in enumerate(lambdas))
     g = ("g AS (SELECT n, n * c11 / (s1 * s1) AS g11, n * c12 / (s1 * s2) AS g12, n * c22 / (s2 * s2) AS g22, "
          "n * my AS t0, n * c1y / s1 AS t1, n * c2y / s2 AS t2, n * (vy + my * my) AS yy, m1, s1, m2, s2 FROM st)")
     st = ("st AS (SELECT count(*)::DOUBLE AS n, avg(area) AS m1, stddev_samp(area) AS s1, avg(lon) AS m2, stddev_samp(lon) AS s2, "
@@ -1370,19 +1476,20 @@ def _lasso_sql(select: str) -> str:
     )
 
 
-def _lasso(spark, sf):
-    return sel.lambda_sweep(conv(spark, sf), ["area", "lon"], "price", KEY, LASSO_LAMBDAS, 0.2, SEED, fit_params=LASSO_FIT)
+def _lasso(spark, sf, lambdas):
+    return sel.lambda_sweep(conv(spark, sf), ["area", "lon"], "price", KEY, lambdas, 0.2, SEED, fit_params=LASSO_FIT)
 
 
 @query(
     "lasso_weights",
     _lasso_sql(
         f"SELECT CAST(position AS INTEGER) AS position, {LAM}, 'area' AS feature, {ssig('w1')} AS weight FROM fin "
-        f"UNION ALL SELECT CAST(position AS INTEGER), {LAM}, 'lon', {ssig('w2')} FROM fin"
+        f"UNION ALL SELECT CAST(position AS INTEGER), {LAM}, 'lon', {ssig('w2')} FROM fin",
+        LASSO_LAMBDAS,
     ),
 )
 def q_lasso_weights(spark, sf):
-    return small(_lasso(spark, sf).weights, ["weight"])
+    return small(_lasso(spark, sf, LASSO_LAMBDAS).weights, ["weight"])
 
 
 @query(
@@ -1391,11 +1498,12 @@ def q_lasso_weights(spark, sf):
         "SELECT CAST(fin.position AS INTEGER) AS position, fin.\"lambda\", "
         + ssig("avg(pow(price - (w0 + w1 * (area - m1) / s1 + w2 * (lon - m2) / s2), 2))") + " AS mse, "
         + ssig("1 - sum(pow(price - (w0 + w1 * (area - m1) / s1 + w2 * (lon - m2) / s2), 2)) / (var_pop(price) * count(price))")
-        + " AS r2 FROM fin, g, split WHERE is_test GROUP BY fin.position, fin.\"lambda\""
+        + " AS r2 FROM fin, g, split WHERE is_test GROUP BY fin.position, fin.\"lambda\"",
+        LASSO_GRID,
     ),
 )
 def q_lasso_sweep(spark, sf):
-    return small(_lasso(spark, sf).curve, ["mse", "r2"])
+    return small(_lasso(spark, sf, LASSO_GRID).curve, ["mse", "r2"])
 
 
 # ------------------------------------------- separate keys of the inventory

@@ -108,7 +108,12 @@ class FittedPrep:
         return [c for c in full.columns if c not in df.columns and c != ZONE]
 
 
-def fit_prepare(
+def fit_prepare(df: DataFrame, **settings) -> FittedPrep:
+    """Learn the parameters; see :func:`_fit` for the settings."""
+    return _fit(df, **settings)[0]
+
+
+def _fit(
     df: DataFrame,
     k: int = 2,
     location_cols: Sequence[str] | None = ("lat", "lon"),
@@ -119,22 +124,26 @@ def fit_prepare(
     zone_interaction_features: Sequence[str] = DEFAULT_INTERACTIONS,
     key_cols: Sequence[str] | None = None,
     kmeans_params: dict | None = None,
-) -> FittedPrep:
+) -> tuple[FittedPrep, DataFrame | None]:
+    """The frozen parameters, and the zone statistics where the imputation
+    means were read from them (zone imputation)."""
     loc = tuple(location_cols or ())
     if impute_by_zone and not loc:
         raise ValueError("zone imputation needs location columns")
     km = kmeans_fit(df, list(loc), k=k, key_cols=key_cols, **(kmeans_params or {})) if loc else None
     zone_means: tuple = ()
     global_means: tuple = ()
+    stats = None
     if features_to_impute:
         if impute_by_zone:
-            labelled = df.withColumn(ZONE, km.label([F.col(c) for c in loc]))
-            rows = labelled.groupBy(ZONE).agg(*[F.avg(c).alias(c) for c in features_to_impute]).collect()
-            zone_means = tuple(tuple([r[ZONE], *[r[c] for c in features_to_impute]]) for r in rows if r[ZONE] is not None)
+            stats = _zone_table(df, km, loc, features_to_impute)
+            means = {(r[ZONE], r["feature"]): r["mean"] for r in stats.collect()}
+            zones = sorted({z for z, _ in means})
+            zone_means = tuple(tuple([z, *[means[z, c] for c in features_to_impute]]) for z in zones)
         else:
             global_means = tuple(fit_mean(df, list(features_to_impute)).items())
     ops = tuple(feature_ops) if feature_ops is not None else tuple(default_ops(loc, km))
-    return FittedPrep(
+    prep = FittedPrep(
         km,
         loc,
         tuple(features_to_impute),
@@ -144,6 +153,15 @@ def fit_prepare(
         ops,
         tuple(zone_interaction_features) if create_zone_interactions else None,
     )
+    return prep, stats
+
+
+def _zone_table(df: DataFrame, kmeans: KMeansModel, location_cols: Sequence[str], features: Sequence[str]) -> DataFrame:
+    """Zone statistics before imputation, as a small fixed table (at most one
+    row per centre and feature)."""
+    labelled = df.withColumn(ZONE, kmeans.label([F.col(c) for c in location_cols])).filter(F.col(ZONE).isNotNull())
+    z = zone_stats(labelled, ZONE, list(features), kmeans.centers)
+    return df.sparkSession.createDataFrame(z.collect(), z.schema)
 
 
 @dataclass(frozen=True)
@@ -168,13 +186,11 @@ def process_dataset(
     """
     spark = df.sparkSession
     with staged(df, by=fit_kwargs.get("key_cols")) as data:
-        if prep is None:
-            prep = fit_prepare(data, **fit_kwargs)
         zs = None
-        if prep.location_cols and prep.impute_cols:
-            labelled = data.withColumn(ZONE, prep.kmeans.label([F.col(c) for c in prep.location_cols]))
-            z = zone_stats(labelled.filter(F.col(ZONE).isNotNull()), ZONE, list(prep.impute_cols), prep.kmeans.centers)
-            zs = spark.createDataFrame(z.collect(), z.schema)
+        if prep is None:
+            prep, zs = _fit(data, **fit_kwargs)
+        if zs is None and prep.location_cols and prep.impute_cols:
+            zs = _zone_table(data, prep.kmeans, prep.location_cols, prep.impute_cols)
         full, _ = prep.transform(data)
         new = [c for c in full.columns if c not in df.columns and c != ZONE]
         fs = None

@@ -36,7 +36,7 @@ from tessera.functions.expr import dlit, display_name, poly_terms
 from tessera.functions.metrics import Metric, get_metric
 from tessera.operators.moments import factor_table, merge_factors, tsqr
 from tessera.operators.prep import target_transform
-from tessera.operators.regress import FitSpec, descend, gradient_descent_grid, rows_step, solve_ols, solve_ridge
+from tessera.operators.regress import FitSpec, descend_rows, gradient_descent_grid, solve_ols, solve_ridge_grid
 from tessera.operators.rank import hash_key
 from tessera.operators.split import fold_column, split_column
 from tessera.session import staged
@@ -113,9 +113,7 @@ def _solve_grid(m: np.ndarray, n: int, cols: list[int], spec: FitSpec, alphas: S
         B = gradient_descent_grid(sub, n, spec, alphas)
         return [B[:, j] for j in range(B.shape[1])]
     if spec.regularization == "l2":
-        return [
-            solve_ridge(sub, a, exclude_intercept=spec.exclude_intercept) if a > 0 else solve_ols(sub, n) for a in alphas
-        ]
+        return solve_ridge_grid(sub, n, alphas, spec.exclude_intercept)
     return [solve_ols(sub, n)] * len(alphas)
 
 
@@ -140,24 +138,12 @@ def _fit_rows(
 ) -> list[np.ndarray]:
     """Absolute-loss fits of many models at once.
 
-    A model is (group left out, map A of its design from the common one,
-    penalty weight, number of its coefficients): with design D and map A it
-    predicts D A b, so its gradient is A' times the common one.
+    A model is (group left out, map of its design from the common one, penalty
+    weight, number of its coefficients); see :func:`descend_rows`.
     """
-    width = len(terms)
-    step, proj = rows_step(data, terms, y, spec.loss, group)
-    leave_out = [g for g, _, _, _ in models]
-    mask = np.arange(width)[:, None] < np.array([q for _, _, _, q in models])[None, :]
-
-    def data_step(b):
-        common = np.column_stack([a @ b[:, j] for j, (_, a, _, _) in enumerate(models)])
-        loss, grad = step(common, leave_out)
-        return loss, np.column_stack([a.T @ grad[:, j] for j, (_, a, _, _) in enumerate(models)])
-
-    try:
-        best = descend(data_step, width, spec, [alpha for _, _, alpha, _ in models], mask)[0]
-    finally:
-        proj.unpersist()
+    left_out, maps, alphas, widths = zip(*models)
+    mask = np.arange(len(terms))[:, None] < np.array(widths)[None, :]
+    best = descend_rows(data, terms, y, spec, alphas, group, left_out, maps, mask)[0]
     return [best[:q, j] for j, (_, _, _, q) in enumerate(models)]
 
 

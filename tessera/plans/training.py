@@ -21,6 +21,7 @@ from tessera.operators.prep import NormParams, fit_zscore, numeric_columns, targ
 from tessera.operators.regress import LinearModel, fit
 from tessera.operators.rank import hash_key
 from tessera.operators.split import split_column
+from tessera.sources.io import open_frame
 from tessera.session import staged
 
 
@@ -68,7 +69,7 @@ class TrainResult:
 
 
 def train_and_evaluate(
-    df: DataFrame,
+    df: DataFrame | str,
     target: str,
     key_cols: Sequence[str],
     features: Sequence[str] | None = None,
@@ -82,8 +83,10 @@ def train_and_evaluate(
     fit_params: Mapping | None = None,
     split_col: str = "is_test",
 ) -> TrainResult:
+    """Split, normalise, fit and score; ``df`` may be a path, as in ``load_xy``."""
     if transform_target is not None and inverse is None:
         raise ValueError("inverse must be given when the target is transformed")
+    df = open_frame(df)
     if fit_params is None:
         fit_params = {"method": "gradient_descent", "learning_rate": 0.01, "epochs": 1000}
     if features is None:  # every numeric column but the target and the key
@@ -111,9 +114,9 @@ def train_and_evaluate(
     return TrainResult(pipe, scores, pipe.transform(tagged_all.withColumn(split_col, split)).drop("_h"), split_col)
 
 
-def evaluate_new_data(df: DataFrame, pipeline: FittedPipeline, metrics: Sequence[str | Metric] = (MSE, R2)) -> DataFrame:
-    """Score a separate labelled set with the stored params and transforms."""
-    return pipeline.evaluate(df, metrics)
+def evaluate_new_data(df: DataFrame | str, pipeline: FittedPipeline, metrics: Sequence[str | Metric] = (MSE, R2)) -> DataFrame:
+    """Score a separate labelled set (a frame or a path) with the stored params and transforms."""
+    return pipeline.evaluate(open_frame(df), metrics)
 
 
 def predict_new_rows(df: DataFrame, pipeline: FittedPipeline, out: str = "prediction") -> DataFrame:

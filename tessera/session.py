@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -123,16 +124,35 @@ def materialize(df: DataFrame) -> DataFrame:
         cached.unpersist()
 
 
-def is_small(df: DataFrame) -> bool:
-    """Whether the optimizer's size estimate is below one input split per core.
+def size_estimate(df: DataFrame) -> int:
+    """The optimizer's estimate of the bytes of ``df``.
 
     Read from the plan's statistics: nothing runs, so shuffles upstream of
     ``df`` are not executed to learn a partition count.
     """
-    spark = df.sparkSession
-    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return size < split * spark.sparkContext.defaultParallelism
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def split_estimate(df: DataFrame) -> int:
+    """Input splits that the size estimate amounts to (a million where the
+    optimizer knows nothing)."""
+    splits = -(-size_estimate(df) // df.sparkSession._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    return min(splits, 1 << 20)
+
+
+def is_small(df: DataFrame) -> bool:
+    """Whether the estimate is below one input split per core."""
+    return split_estimate(df) <= df.sparkSession.sparkContext.defaultParallelism
+
+
+def is_spread(df: DataFrame) -> bool:
+    """Whether the plan already deals its rows to as many partitions as there
+    are cores, by an explicit repartition in the plan itself or below a cached
+    frame.  Nothing runs to find out."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    dealt = re.findall(r"\bRepartition (\d+), true|RepartitionByExpression \[.*\], (\d+)|(\d+)\), REPARTITION_BY_NUM", plan)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return any(int(n) >= cores for found in dealt for n in found if n)
 
 
 def spread(df: DataFrame, by: Sequence[str] | None = None) -> DataFrame:
@@ -141,9 +161,10 @@ def spread(df: DataFrame, by: Sequence[str] | None = None) -> DataFrame:
     A large input already has many splits and is left alone (no shuffle); a
     small one (few files or row groups) is repartitioned so per-row work is
     not single-threaded: hashed on ``by`` (a unique key: balanced,
-    deterministic without a sort) or round-robin.
+    deterministic without a sort) or round-robin.  One whose plan is spread
+    already stays as it is.
     """
-    if not is_small(df):
+    if not is_small(df) or is_spread(df):
         return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores, *by) if by else df.repartition(cores)

@@ -77,6 +77,14 @@ def write_table(
         raise ValueError(f"unknown format {fmt!r}")
 
 
+def open_frame(df: DataFrame | str) -> DataFrame:
+    """``df`` itself, or the rows of a CSV file with a header or a Parquet table."""
+    if not isinstance(df, str):
+        return df
+    spark = SparkSession.active()
+    return read_csv(spark, df) if df.lower().endswith(".csv") else read_parquet(spark, df)
+
+
 def load_xy(
     df: DataFrame | str,
     target: str,
@@ -88,9 +96,7 @@ def load_xy(
     X and y stay in one DataFrame so rows never need re-aligning.  ``df`` may be
     the path of a CSV file with a header, or of a Parquet table.
     """
-    if isinstance(df, str):
-        spark = SparkSession.active()
-        df = read_csv(spark, df) if df.lower().endswith(".csv") else read_parquet(spark, df)
+    df = open_frame(df)
     if target not in df.columns:
         raise ValueError(f"target column {target!r} not found")
     feats = [c for c in df.columns if c != target] if features is None else list(features)

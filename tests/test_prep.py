@@ -94,3 +94,28 @@ def test_group_mean_join_path(spark, houses, monkeypatch):
     want = pdf["age"].fillna(pdf.groupby("is_house")["age"].transform("mean"))
     assert np.allclose(got.loc[pdf["id"], "age"].values, want.values)
     assert list(fitted.apply(houses).columns) == houses.columns
+
+
+def test_group_means_of_one_heavy_group_and_many_others(spark, monkeypatch):
+    """Half of the rows in one group, more groups than may be broadcast: heavy
+    groups are broadcast, only the tail is joined by shuffle."""
+    monkeypatch.setattr(pr, "MAX_BROADCAST_GROUPS", 50)
+    rng = np.random.default_rng(17)
+    n = 6000
+    g = np.where(rng.random(n) < 0.5, 7, rng.integers(0, 900, n))
+    rows = [(i, None if i % 41 == 0 else int(g[i]), None if rng.random() < 0.2 else float(i % 97)) for i in range(n)]
+    rows += [(n, 5000, None)]  # a group without any value
+    df = spark.createDataFrame(rows, "id long, g long, v double").repartition(5)
+    out = pr.impute_group_mean(df, ["v"], "g")
+    sums = {}
+    for _, k, v in rows:
+        if k is not None and v is not None:
+            s = sums.setdefault(k, [0.0, 0])
+            s[0] += v
+            s[1] += 1
+    want = {i: v if v is not None or k is None or k not in sums else sums[k][0] / sums[k][1] for i, k, v in rows}
+    got = {r["id"]: r["v"] for r in out.collect()}
+    assert out.columns == ["id", "g", "v"] and got.keys() == want.keys()
+    assert all((got[i] is None and want[i] is None) or abs(got[i] - want[i]) < 1e-9 for i in want)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan and "LeftAnti" in plan and "strategy=broadcast" in plan

@@ -142,15 +142,14 @@ def test_pair_bins_matches_numpy(spark, houses):
     assert set(zip(got.x, got.y)) == {("area", "age"), ("age", "area")}
 
 
-def test_corr_one_pass_equals_pairwise(spark, monkeypatch):
+def test_corr_merged_over_a_tree(spark, monkeypatch):
     rng = np.random.default_rng(5)
     x = rng.normal(size=(400, 6)) @ rng.normal(size=(6, 6)) + 1000.0  # large means: no cancellation allowed
     cols = [f"c{i}" for i in range(6)]
     pdf = pd.DataFrame(x, columns=cols)
     df = to_spark(spark, pdf, ", ".join(f"{c} double" for c in cols), partitions=3)
-    monkeypatch.setattr(pf, "CORR_CHUNK", 4)  # 21 pairs > 4: the one-pass (TSQR) route
     fast = pf.corr_matrix(df, cols).toPandas().set_index(["a", "b"])["r"]
-    monkeypatch.setattr(pf, "CORR_CHUNK", 1000)  # one chunk of corr() aggregates
+    monkeypatch.setattr(pf, "split_estimate", lambda df: 2000)  # a tree of three levels
     slow = pf.corr_matrix(df, cols).toPandas().set_index(["a", "b"])["r"]
     want = pdf.corr()
     for a in cols:
@@ -159,6 +158,29 @@ def test_corr_one_pass_equals_pairwise(spark, monkeypatch):
             assert np.isclose(slow[(a, b)], want.loc[a, b], atol=1e-12)
 
 
+def test_corr_of_many_columns_runs_the_same_jobs(spark):
+    rng = np.random.default_rng(6)
+    pdf = pd.DataFrame(rng.normal(size=(500, 300)) + rng.normal(size=(500, 1)) * 2, columns=[f"c{i}" for i in range(300)])
+    pdf.iloc[rng.random(500) < 0.3, 3] = np.nan
+    pdf.iloc[rng.random(500) < 0.5, 7] = np.nan
+    pdf["c9"] = np.nan
+    pdf["c10"] = 0.1
+    pdf.loc[pdf["c3"].notna(), "c11"] = 5.5  # constant wherever c3 is known
+    jobs = {}
+    for n in (3, 300):
+        df = spark.createDataFrame(pdf.iloc[:, :n])
+        spark.sparkContext.setJobGroup(f"corr{n}", f"corr{n}")
+        got = pf.corr_matrix(df).toPandas().set_index(["a", "b"])["r"].unstack()
+        jobs[n] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"corr{n}"))
+    spark.sparkContext.setJobGroup("idle", "idle")
+    assert jobs[3] == jobs[300]
+    cols = list(pdf.columns)
+    want = pdf.corr()
+    want.loc["c10"] = want.loc[:, "c10"] = np.nan  # pandas: rounding noise of a constant
+    want.loc["c3", "c11"] = want.loc["c11", "c3"] = np.nan
+    assert np.allclose(got.loc[cols, cols].to_numpy(float), want.to_numpy(float), atol=1e-12, equal_nan=True)
+
+
 def test_kde_many_points_chunked(spark):
     v = np.linspace(-2, 3, 50) ** 3
     df = spark.createDataFrame([(float(x),) for x in v], "v double")
@@ -172,3 +194,29 @@ def test_describe_top_ties_to_smallest(spark):
     df = spark.createDataFrame([("b",), ("a",), ("b",), ("a",), ("c",), (None,)], "s string")
     row = pf.describe_all(df).first()
     assert row["top"] == "a" and row["freq"] == 2 and row["unique"] == 3 and row["count"] == 5
+
+
+def test_zone_stats_of_many_zones(spark):
+    """20,000 zones, one of which holds half of the rows."""
+    from tessera.operators.features import zone_stats
+
+    rng = np.random.default_rng(12)
+    n = 120_000
+    zone = np.where(rng.random(n) < 0.5, 5, rng.integers(0, 20_000, n))
+    pdf = pd.DataFrame({"zone": zone.astype(np.int32), "a": rng.normal(size=n), "b": rng.integers(0, 9, n).astype(float)})
+    pdf.loc[rng.random(n) < 0.1, "a"] = np.nan
+    df = spark.createDataFrame(pdf).select("zone", F.nanvl("a", F.lit(None)).alias("a"), "b").repartition(6)
+    centers = [[float(z), -float(z)] for z in range(20_000)]
+    got = zone_stats(df, "zone", ["a", "b"], centers).toPandas().sort_values(["feature", "zone"]).reset_index(drop=True)
+    parts = []
+    for f in ("a", "b"):
+        g = pdf.groupby("zone")[f]
+        parts.append(pd.DataFrame({"feature": f, "size": g.size(), "mean": g.mean(), "median": g.median(), "std": g.std(),
+                                   "missing": g.size() - g.count()}).reset_index())
+    want = pd.concat(parts).sort_values(["feature", "zone"]).reset_index(drop=True)
+    for c in ("zone", "size", "missing"):
+        assert (got[c] == want[c]).all()
+    for c in ("mean", "median", "std"):
+        assert np.allclose(got[c].to_numpy(float), want[c].to_numpy(float), atol=1e-9, equal_nan=True)
+    assert np.allclose(got["percentage"], want["size"] / n * 100)
+    assert all(list(c) == centers[z] for z, c in zip(got["zone"], got["center"]))

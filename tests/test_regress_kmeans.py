@@ -66,6 +66,43 @@ def test_partition_invariance(spark, linear_exact):
     assert np.allclose(a.coef, b.coef, atol=1e-12)
 
 
+def test_wide_design_of_full_rank(spark, monkeypatch):
+    """300 independent regressors against lstsq, and their wide prediction."""
+    from tessera.operators import moments
+
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(900, 300)) * 10.0 ** rng.integers(-2, 3, 300)
+    y = x @ rng.normal(size=300) + 4 + rng.normal(size=900)
+    names = [f"x{i}" for i in range(300)]
+    pdf = pd.DataFrame(x, columns=names).assign(y=y)
+    pdf.loc[5, "x7"] = np.nan
+    df = to_spark(spark, pdf, ", ".join(f"{c} double" for c in pdf.columns), partitions=3)
+    known = pdf.dropna()
+    a = np.column_stack([np.ones(len(known)), known[names].to_numpy()])
+    want = np.linalg.lstsq(a, known["y"].to_numpy(), rcond=None)[0]
+    for stack in (moments.STACK_WIDTHS, 1):
+        monkeypatch.setattr(moments, "STACK_WIDTHS", stack)
+        m = rg.fit_ols(df, names, "y")
+        assert np.allclose([m.intercept, *m.coef], want, rtol=1e-8, atol=1e-9)
+    got = m.predict(df).select("y", "prediction").toPandas().sort_values("y")
+    expected = pd.Series(want[0] + pdf[names].to_numpy() @ want[1:], index=pdf.y).sort_index()
+    assert got["prediction"].isna().sum() == 1
+    assert np.allclose(got["prediction"].to_numpy(float), expected.to_numpy(), equal_nan=True)
+
+
+def test_wide_powers_of_several_columns(spark):
+    """Powers 1..39 of eight columns: 312 terms, checked against lstsq."""
+    rng = np.random.default_rng(9)
+    pdf = pd.DataFrame(rng.uniform(-1, 1, size=(1500, 8)), columns=[f"x{i}" for i in range(8)])
+    pdf["y"] = np.sin(3 * pdf.x0) + pdf.x1**3 + rng.normal(size=1500) / 10
+    df = to_spark(spark, pdf, ", ".join(f"{c} double" for c in pdf.columns), partitions=2)
+    m = rg.fit(df, list(pdf.columns[:8]), "y", degree=39)
+    design = np.column_stack([np.ones(1500), *[pdf.iloc[:, :8].to_numpy() ** i for i in range(1, 40)]])
+    want = design @ np.linalg.lstsq(design, pdf.y.to_numpy(), rcond=np.finfo(float).eps * 1500)[0]
+    got = m.predict(df).select("x0", "prediction").toPandas().sort_values("x0")["prediction"].to_numpy()
+    assert np.allclose(got, pd.Series(want, index=pdf.x0).sort_index().to_numpy(), atol=1e-4)
+
+
 def test_tsqr_tree_merge(spark, linear_exact):
     pdf, _ = linear_exact
     df = to_spark(spark, pdf, partitions=9)
@@ -167,23 +204,24 @@ def _lloyd(x, centers, iters):
     return centers
 
 
-@pytest.mark.parametrize("direct", [64, 0])
-def test_kmeans_matches_numpy_lloyd(spark, monkeypatch, direct):
+@pytest.mark.parametrize("held", [True, False])
+def test_kmeans_matches_numpy_lloyd(spark, monkeypatch, held):
     import tessera.operators.kmeans as km
 
-    monkeypatch.setattr(km, "DIRECT_MERGE_TASKS", direct)  # 0: codegen'd groupBy path
+    monkeypatch.setattr(km, "can_hold", lambda df: held)  # False: codegen'd groupBy path
     rng = np.random.default_rng(3)
     x = np.vstack([rng.normal(0, 1, (100, 2)), rng.normal(6, 1, (100, 2))])
     pdf = pd.DataFrame({"id": np.arange(200), "a": x[:, 0], "b": x[:, 1]})
     df = to_spark(spark, pdf, "id long, a double, b double", partitions=4)
     init = [[0.0, 0.0], [1.0, 1.0], [6.0, 6.0]]
+    df = spark.createDataFrame(pdf) if held else df
     m = kmeans_fit(df, ["a", "b"], k=3, max_iter=5, tol=-1.0, init=init)
     assert np.allclose(np.array(m.centers), _lloyd(x, np.array(init), 5), atol=1e-10)
 
 
 def test_kmeans_paths_agree(spark, monkeypatch):
-    """Codegen'd expression path, vectorised path merged by groupBy, and
-    vectorised path merged on the driver give the same centres and labels."""
+    """All rounds in one job, a codegen'd expression per round, and vectorised
+    partial sums per round give the same centres and labels."""
     import tessera.operators.kmeans as km
 
     rng = np.random.default_rng(4)
@@ -191,9 +229,9 @@ def test_kmeans_paths_agree(spark, monkeypatch):
     pdf = pd.DataFrame({"id": np.arange(150), "a": x[:, 0], "b": x[:, 1], "c": x[:, 2]})
     df = to_spark(spark, pdf, "id long, a double, b double, c double", partitions=3)
     results = []
-    for wide, direct in ((10_000, 0), (1, 0), (1, 64)):
+    for wide, held in ((10_000, False), (1, False), (1, True)):
         monkeypatch.setattr(km, "WIDE", wide)
-        monkeypatch.setattr(km, "DIRECT_MERGE_TASKS", direct)
+        monkeypatch.setattr(km, "can_hold", lambda df, held=held: held)
         m = kmeans_fit(df, ["a", "b", "c"], k=3, max_iter=6, key_cols=["id"])
         labels = m.predict(df, ["a", "b", "c"]).orderBy("id").select("zone").toPandas()["zone"].values
         results.append((np.array(m.centers), labels))
@@ -203,6 +241,94 @@ def test_kmeans_paths_agree(spark, monkeypatch):
     assert WIDE >= 1
 
 
+def test_bounded_rows_skip_centres_and_keep_labels():
+    """Labels under carried bounds equal full assignment in every round, ties
+    and empty clusters included, and later rounds look at fewer rows."""
+    from tessera.operators.kmeans import BoundedRows, _nearest, _sums, lloyd
+
+    rng = np.random.default_rng(13)
+    centres = rng.normal(size=(10, 64)) * 4
+    x = centres[rng.integers(0, 10, 3000)] + rng.normal(size=(3000, 64))
+    bounded, looked = BoundedRows(x), []
+
+    def sums_of(c, shifts):
+        before = bounded.looked
+        labels = bounded.assign(c, shifts)
+        looked.append(bounded.looked - before)
+        assert (labels == _nearest(x, c)).all()
+        return _sums(x, labels, len(c))
+
+    start = np.vstack([x[:9], np.full(64, 1e6)])  # the last one stays empty
+    found, rounds, _, stopped = lloyd(start, sums_of, 1e-4, 100)
+    assert stopped and (found[9] == 1e6).all() and looked[0] == 3000 and looked[-1] < 300
+    grid = np.array([[i, j] for i in range(6) for j in range(6)], float)  # many ties
+    bounded = BoundedRows(grid)
+    lloyd(grid[[0, 35, 14]], lambda c, s: _sums(grid, _check(bounded, c, s, grid, _nearest), 3), -1.0, 8)
+
+
+def _check(bounded, c, shifts, x, nearest):
+    labels = bounded.assign(c, shifts)
+    assert (labels == nearest(x, c)).all()
+    return labels
+
+
+def test_kmeans_and_absolute_descent_run_a_fixed_number_of_jobs(spark):
+    rng = np.random.default_rng(14)
+    pdf = pd.DataFrame(rng.normal(size=(400, 3)), columns=["a", "b", "y"])
+    df = spark.createDataFrame(pdf.assign(id=np.arange(400)))  # of known size
+    sc = spark.sparkContext
+    jobs = {}
+    for name, run in {
+        "k3": lambda: kmeans_fit(df, ["a", "b"], k=4, max_iter=3, tol=-1, key_cols=["id"]),
+        "k40": lambda: kmeans_fit(df, ["a", "b"], k=4, max_iter=40, tol=-1, key_cols=["id"]),
+        "e3": lambda: rg.fit_gd(df, ["a", "b"], "y", loss="mae", epochs=3, tolerance=1e-300),
+        "e1000": lambda: rg.fit_gd(df, ["a", "b"], "y", loss="mae", epochs=1000, tolerance=1e-300),
+    }.items():
+        sc.setJobGroup(f"fixed-{name}", name)
+        run()
+        jobs[name] = len(sc.statusTracker().getJobIdsForGroup(f"fixed-{name}"))
+    sc.setJobGroup("idle", "idle")
+    assert jobs["k3"] == jobs["k40"] and jobs["e3"] == jobs["e1000"]
+
+
+@pytest.mark.parametrize("loss", ["mae", "l1"])
+def test_absolute_descent_ways_agree(spark, monkeypatch, loss):
+    """One job for all epochs, rows beyond its memory, and one job per epoch."""
+    from tessera.operators import rounds
+
+    rng = np.random.default_rng(15)
+    pdf = pd.DataFrame(rng.normal(size=(300, 2)), columns=["a", "y"])
+    pdf.loc[4, "a"] = np.nan
+    df = spark.createDataFrame(pdf)  # of known size
+    assert rounds.can_hold(df)
+
+    def fitted():
+        m = rg.fit_gd(df, ["a"], "y", degree=2, loss=loss, learning_rate=0.01 if loss == "mae" else 1e-4, epochs=5, tolerance=1e-300)
+        return np.array([m.intercept, *m.coef, *m.history])
+
+    want = fitted()
+    monkeypatch.setattr(rounds, "TASK_BYTES", 1)  # as many tasks as run at once
+    assert np.allclose(fitted(), want, rtol=1e-9)
+    monkeypatch.setattr(rounds, "HELD_BYTES", 100)
+    assert np.allclose(fitted(), want, rtol=1e-9)
+    monkeypatch.setattr(rg, "can_hold", lambda df: False)
+    assert np.allclose(fitted(), want, rtol=1e-9)
+    with pytest.raises(ValueError, match="no complete rows"):
+        rg.fit_gd(df.filter("a is null"), ["a"], "y", loss=loss)
+
+
+@pytest.mark.parametrize("exclude", [True, False])
+def test_ridge_grid_equals_single_solutions(exclude):
+    rng = np.random.default_rng(16)
+    for x in (rng.normal(size=(50, 4)), np.repeat(rng.normal(size=(50, 2)), 2, axis=1)):
+        a = np.column_stack([np.ones(50), x * 100, rng.normal(size=50)])
+        r = np.linalg.qr(a, mode="r")
+        alphas = [0.0, 1e-3, 1.0, 1e5]
+        for alpha, got in zip(alphas, rg.solve_ridge_grid(r, 50, alphas, exclude)):
+            want = rg.solve_ridge(r, alpha, exclude_intercept=exclude) if alpha else rg.solve_ols(r, 50)
+            assert np.allclose(got, want, rtol=1e-7, atol=1e-9)
+
+
 def test_kmeans_ties_empty_cluster_and_nulls(spark):
     df = spark.createDataFrame([(0, 1.0, 0.0), (1, 3.0, 0.0), (2, None, 1.0)], "id long, a double, b double")
     # the point (1,0) is half-way between centres 0 and 2 -> lowest index; centre 2 at (100,100) gets no point

@@ -167,3 +167,26 @@ def test_lambda_sweep_with_inverse_transform(data):
         p, yy = np.exp(a_te @ b), np.exp(ly[is_test])
         assert np.isclose(curve.loc[pos, "mse"], np.mean((p - yy) ** 2), rtol=1e-8)
         assert np.isclose(curve.loc[pos, "r2"], 1 - ((yy - p) ** 2).sum() / ((yy - yy.mean()) ** 2).sum(), rtol=1e-8)
+
+
+def test_degrees_one_to_nine_against_lstsq(spark):
+    """Nine degrees x five folds of three features, each fold normalised with its
+    own training rows, against lstsq on the rows."""
+    rng = np.random.default_rng(21)
+    n = 400
+    pdf = pd.DataFrame({"id": np.arange(n), "a": rng.uniform(20, 160, n), "b": rng.normal(5, 2, n), "c": rng.integers(0, 30, n).astype(float)})
+    pdf["y"] = np.exp(1 + np.sin(pdf.a / 30) + pdf.b / 10 + rng.normal(size=n) / 20)
+    df = to_spark(spark, pdf, "id long, a double, b double, c double, y double", partitions=4)
+    feats = ["a", "b", "c"]
+    res = sel.cv_degree(df, feats, "y", ["id"], list(range(1, 10)), n_splits=5, seed=3, transform_target="log", inverse="exp")
+    got = res.folds.toPandas().set_index(["fold", "degree"])
+    fold = pdf["id"].map(_folds(list(pdf["id"]), 5, 3)).to_numpy()
+    x, y = pdf[feats].to_numpy(), pdf["y"].to_numpy()
+    for k in range(5):
+        tr = fold != k
+        z = (x - x[tr].mean(axis=0)) / x[tr].std(axis=0, ddof=1)
+        for d in range(1, 10):
+            design = np.column_stack([np.ones(n), *[z**i for i in range(1, d + 1)]])
+            beta = np.linalg.lstsq(design[tr], np.log(y[tr]), rcond=None)[0]
+            e = np.exp(design[~tr] @ beta) - y[~tr]
+            assert np.isclose(got.loc[(k, float(d)), "mse"], np.mean(e**2), rtol=1e-6)

@@ -96,6 +96,30 @@ def test_exact_quantiles_match_numpy(spark, monkeypatch):
         assert np.isclose(per[(str(grp), "a", 0.5)], sub["a"].median(), atol=1e-12)
 
 
+@pytest.mark.parametrize("leaf", [50_000, 10])
+def test_grouped_quantiles(spark, monkeypatch, leaf):
+    """Ties, a group with half of the rows, NULL groups and values."""
+    monkeypatch.setattr(rk, "SELECT_LEAF_ROWS", leaf)
+    rng = np.random.default_rng(11)
+    n = 4000
+    g = np.where(rng.random(n) < 0.5, 7, rng.integers(0, 60, n)).astype(float)
+    pdf = pd.DataFrame({"g": g, "a": rng.integers(0, 40, n) / 4.0, "b": rng.normal(size=n)})
+    pdf.loc[::9, "a"] = np.nan
+    pdf.loc[pdf.g == 3, "b"] = np.nan
+    pdf.loc[::31, "g"] = np.nan
+    df = to_spark(spark, pdf, "g double, a double, b double", partitions=5)
+    qs = [0.0, 0.1, 0.5, 1.0]
+    got = {(r["group"], r["feature"], r["q"]): r["value"] for r in rk.grouped_quantiles(df, ["a", "b"], qs, "g").collect()}
+    want = {}
+    for key, sub in pdf.groupby("g", dropna=False):
+        for c in ("a", "b"):
+            if sub[c].notna().any():
+                for q in qs:
+                    want[None if np.isnan(key) else key, c, q] = np.nanquantile(sub[c], q)
+    assert got.keys() == want.keys()
+    assert all(np.isclose(got[k], want[k], rtol=0, atol=1e-12) for k in want)
+
+
 def test_quantiles_of_a_log_spread_column_need_few_jobs(spark):
     rng = np.random.default_rng(6)
     v = np.exp(rng.normal(0, 12, 60_000))

@@ -120,3 +120,16 @@ def test_stream_wide_kmeans_labels(spark):
     got = spark.read.parquet(os.path.join(root, "out")).orderBy("id").select("zone").toPandas()["zone"].values
     want = model.predict(df, cols).orderBy("id").select("zone").toPandas()["zone"].values
     assert (got == want).all()
+
+
+def test_training_from_a_path_equals_training_from_rows(spark, tmp_path):
+    pdf = make_houses(120).drop(columns=["area_units", "age", "rooms"])
+    for path, write in ((f"{tmp_path}/h.csv", pdf.to_csv), (f"{tmp_path}/h.parquet", pdf.to_parquet)):
+        write(path, index=False)
+        kw = {"features": ["area", "is_house", "has_pool"], "fit_params": {"method": "pseudo_inverse"}}
+        a = train_and_evaluate(path, "price", ["id"], **kw)
+        b = train_and_evaluate(spark.createDataFrame(pdf), "price", ["id"], **kw)
+        assert np.allclose([a.pipeline.model.intercept, *a.pipeline.model.coef], [b.pipeline.model.intercept, *b.pipeline.model.coef])
+        again = [evaluate_new_data(d, b.pipeline).collect() for d in (path, spark.createDataFrame(pdf))]
+        assert [r["metric"] for r in again[0]] == [r["metric"] for r in again[1]]
+        assert np.allclose([r["value"] for r in again[0]], [r["value"] for r in again[1]])
