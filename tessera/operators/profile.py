@@ -206,9 +206,9 @@ def corr_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
             return pd.DataFrame({"_part": [int(pdf["_part"].iloc[0])], **{c: [total.values[c].ravel()] for c in total.values}})
 
         partials = tree_merged(data.mapInArrow(block, _CO_SCHEMA), [], merge, _CO_SCHEMA, split_estimate(data), 48 * p * p)
-        total = CoMoments(means)
-        for row in partials.toLocalIterator():
-            total.merge(row)
+        total, table = CoMoments(means), partials.toArrow()
+        for i in range(table.num_rows):
+            total.merge({c: table[c][i].values for c in total.values})
     r = total.correlations()
     rows = [(cols[i], cols[j], None if np.isnan(r[i, j]) else float(r[i, j])) for i in range(p) for j in range(p)]
     return df.sparkSession.createDataFrame(rows, schema)

@@ -24,8 +24,10 @@ from tessera.session import is_small, size_estimate
 
 #: Rows that one task may hold, in bytes; beyond it the caller's other way runs.
 HELD_BYTES = 256 << 20
-#: Input bytes (the optimizer's estimate) that are worth a task of their own.
-TASK_BYTES = 1 << 20
+#: Input bytes (the optimizer's estimate) that are worth a task of their own.  A
+#: gathering takes about a second however little it moves (Spark polls for it),
+#: so inputs below this bound are one block of one task and need none.
+TASK_BYTES = 16 << 20
 
 
 def slots(df: DataFrame) -> int:
