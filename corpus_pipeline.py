@@ -9,8 +9,6 @@ result is written as Parquet and reread.  No SQL expresses the classifier, so
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,53 +16,27 @@ from tessera.llm import common, exact_dedup, langid, mixing, near_dedup, packing
 from tessera.llm.queries import tokenizer_path
 from tessera.sources.io import read_table
 
-#: Scratch tables of the stage before: its result is written when the next
-#: stage begins, so they can go then.
-_earlier: list[str] = []
-
-
-def _stage(fn: Callable) -> Callable:
-    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        common.release(spark, _earlier)
-        before = set(common.scratch_tables())
-        out = fn(spark, docs, sf_dir)
-        _earlier[:] = [p for p in common.scratch_tables() if p not in before]
-        return out
-
-    run_stage.__name__, run_stage.__doc__ = fn.__name__, fn.__doc__
-    return run_stage
-
-
-@_stage
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is identified; no letter, no text: rejected."""
     learn = F.col("doc_id").isNotNull() & ~common.held_out(F.col("doc_id"))
     return langid.keep_identified(docs, langid.train(docs, learn=learn))
 
 
-@_stage
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
     return exact_dedup.deduplicate(docs)
 
 
-@_stage
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
     return near_dedup.remove_near_copies(docs)
 
 
-@_stage
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the target weights take them; ``n_chars`` follows
-    a text of which only the first words are taken."""
-    out = mixing.repeated(docs)
-    if "n_chars" in out.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    """Documents, whole, as often as the target weights take them."""
+    return mixing.repeated(docs)
 
 
-@_stage
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the mix, placed into sequences."""
     return packing.pack(docs, tokenizer_path())
@@ -82,13 +54,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; intermediate tables lie in the shared
-    folder and go when the stage after the next begins."""
+    """All stages over ``documents``.  A stage's scratch tables go as soon as
+    its result is written, and the result once the next one is; what the last
+    stage reads stays until the interpreter ends."""
     docs, written = read_table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
-        out = stage(spark, docs, sf_dir)
+        before = common.scratch_tables()
         path = common.scratch_path(spark, f"pipeline-{name}")
-        out.write.parquet(path)
-        common.release(spark, written)
+        stage(spark, docs, sf_dir).write.parquet(path)
+        made = [p for p in common.scratch_tables() if p not in before and p != path]
+        common.release(spark, [*made, *written])
         docs, written = spark.read.parquet(path), [path]
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -9,8 +9,9 @@ aggregate per round.
 
 A source with target t and size s repeats every document floor(t / s) times;
 the rest of the target is taken from its documents in the order of a seeded
-digest, until it is used up.  The last of these documents gives only the
-missing number of words, so a source's total is its rounded target.  Prefix sums
+digest, until it is used up.  :func:`mark` counts only the missing words of the
+last of these documents, so a source's total is its rounded target;
+:func:`repeated` takes that document whole or not at all.  Prefix sums
 over the digest order come from a histogram of the digest and, inside the one
 bin where the rest runs out, from a window; both have about sqrt(rows of the
 largest source) rows, so a hot source is never ordered in one task.
@@ -192,19 +193,13 @@ def mark(docs: DataFrame, **options) -> DataFrame:
 def repeated(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str = "source", seed: int = 17, **options) -> DataFrame:
     """The mix itself: every row as often as it is taken, all columns kept.
 
-    A fractional repetition that ends inside a document is one row whose text
-    holds the first words only; texts are otherwise unchanged.
+    The document in which a fractional repetition ends is taken whole or not at
+    all, whichever brings its source nearer to the target (whole on a tie), so
+    every text is an input text and a source ends within one document of its
+    target.  Rows without words add nothing and are not taken.
     """
     mix = plan_mix(docs, doc_id=doc_id, text=text, source=source, seed=seed, **options)
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), *measured(docs, doc_id, text, source, seed))
-    rows = taken(mix, rows).filter("taken > 0").select(
-        "row",
-        F.when(F.col("part") == F.col("size"), F.col("whole") + 1).otherwise(F.col("whole")).alias("copies"),
-        F.when(F.col("part") < F.col("size"), F.col("part")).otherwise(0).alias("words"),
-    )
-    copies = rows.filter("copies > 0").select("row", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("row")
-    lead = F.array_join(
-        F.slice(F.regexp_extract_all(F.col("row")[text], F.lit(r"[\x20\x09-\x0D]*" + WORD_PATTERN), F.lit(0)), F.lit(1), F.col("words").cast("int")), ""
-    )
-    pieces = rows.filter("words > 0").select(F.col("row").withField(text, lead).alias("row"))
-    return copies.unionByName(pieces).select("row.*")
+    more = (2 * F.col("part") >= F.col("size")).cast("long")
+    copies = taken(mix, rows).filter("size > 0").select("row", (F.col("whole") + more).alias("copies")).filter("copies > 0")
+    return copies.select("row", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("row.*")

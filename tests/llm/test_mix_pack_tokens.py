@@ -2,6 +2,7 @@
 
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -72,11 +73,19 @@ def test_mix_other_shares(docs, rows):
     check_mix(rows, mixing.mark(docs, share=5.0).collect(), share=5.0)
 
 
-def test_repeated_rows_hold_the_words_taken(docs):
-    taken = sum(r["taken"] for r in mixing.mark(docs).collect())
+def test_repeated_rows_are_whole_and_near_the_words_taken(docs, rows):
+    taken, got, longest = Counter(), Counter(), Counter()
+    for r in mixing.mark(docs.select("doc_id", "text", "source")).join(docs.select("doc_id", "source").distinct(), "doc_id").collect():
+        taken[r["source"]] += r["taken"]
     out = mixing.repeated(docs)
     assert out.columns == docs.columns
-    assert sum(len(words(r["text"])) for r in out.collect()) == taken
+    texts = {r[1] for r in rows}
+    for r in out.collect():
+        assert r["text"] in texts
+        got[r["source"]] += len(words(r["text"]))
+    for r in rows:
+        longest[r[3]] = max(longest[r[3]], len(words(r[1])))
+    assert all(abs(got[s] - taken[s]) <= longest[s] / 2 + 1 for s in longest if s is not None)
 
 
 def test_mix_empty_tables(no_docs, make):
