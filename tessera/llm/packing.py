@@ -41,13 +41,16 @@ UNITS = 512
 #: its patterns cover everything.
 GAP = 0.0005
 MAX_PIVOTS = 6000
+#: Columns taken from one round of pricing.
+COLUMNS = 16
 
 
 # -- column generation over the histogram (bounded: at most UNITS classes) ----
 
 
-def best_pattern(value: np.ndarray, units: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
-    """Unbounded knapsack: the pattern of largest value within ``capacity``."""
+def best_patterns(value: np.ndarray, units: np.ndarray, capacity: int) -> list[tuple[float, np.ndarray]]:
+    """Unbounded knapsack: for every class, the pattern of largest value within
+    ``capacity`` that holds it; the best first, equal patterns once."""
     f = np.zeros(capacity + 1)
     pick = np.full(capacity + 1, -1)
     for c in range(1, capacity + 1):
@@ -58,18 +61,27 @@ def best_pattern(value: np.ndarray, units: np.ndarray, capacity: int) -> tuple[f
             k = int(gain.argmax())
             if gain[k] > f[c]:
                 f[c], pick[c] = gain[k], k
-    pattern, c = np.zeros(len(units)), capacity
-    while c > 0:
-        if pick[c] < 0:
-            c -= 1
-        else:
-            pattern[pick[c]] += 1
-            c -= units[pick[c]]
-    return float(f[capacity]), pattern
+    held = value + f[capacity - units]
+    found: dict[bytes, tuple[float, np.ndarray]] = {}
+    for first in np.argsort(-held, kind="stable")[: 4 * COLUMNS]:
+        pattern, c = np.zeros(len(units)), capacity - int(units[first])
+        pattern[first] = 1
+        while c > 0:
+            if pick[c] < 0:
+                c -= 1
+            else:
+                pattern[pick[c]] += 1
+                c -= units[pick[c]]
+        found.setdefault(pattern.tobytes(), (float(held[first]), pattern))
+        if len(found) == COLUMNS:
+            break
+    return list(found.values())
 
 
 def solve_patterns(units: np.ndarray, demand: np.ndarray, capacity: int = UNITS) -> list[tuple[np.ndarray, float]]:
-    """Column generation by the revised simplex method: (pattern, times)."""
+    """Column generation by the revised simplex method: (pattern, times).  A
+    round of pricing gives several columns; each enters if the duals that the
+    ones before left still price it above one."""
     m = len(units)
     basis = [np.zeros(m) for _ in range(m)]
     for i in range(m):
@@ -77,23 +89,25 @@ def solve_patterns(units: np.ndarray, demand: np.ndarray, capacity: int = UNITS)
     inverse = np.diag([1.0 / basis[i][i] for i in range(m)])
     x = inverse @ demand
     bound = float(demand @ units) / capacity
-    for _ in range(MAX_PIVOTS):
-        if x.sum() <= (1 + GAP) * bound:
-            break
-        dual = inverse.sum(axis=0)
-        worth, pattern = best_pattern(dual, units, capacity)
-        if worth <= 1 + 1e-7:
+    pivots = 0
+    while pivots < MAX_PIVOTS and x.sum() > (1 + GAP) * bound:
+        entered = 0
+        for _, pattern in best_patterns(inverse.sum(axis=0), units, capacity):
+            column = inverse @ pattern
+            if column.sum() <= 1 + 1e-7:  # its value under the duals as they are
+                continue
+            room = np.where(column > 1e-9, x / np.where(column > 1e-9, column, 1), np.inf)
+            out = int(room.argmin())
+            pivot = inverse[out] / column[out]
+            step = x[out] / column[out]
+            inverse = inverse - np.outer(column, pivot)
+            inverse[out] = pivot
+            x = np.maximum(x - column * step, 0)
+            x[out] = step
+            basis[out] = pattern
+            entered, pivots = entered + 1, pivots + 1
+        if not entered:
             break
-        column = inverse @ pattern
-        room = np.where(column > 1e-9, x / np.where(column > 1e-9, column, 1), np.inf)
-        out = int(room.argmin())
-        pivot = inverse[out] / column[out]
-        step = x[out] / column[out]
-        inverse = inverse - np.outer(column, pivot)
-        inverse[out] = pivot
-        x = np.maximum(x - column * step, 0)
-        x[out] = step
-        basis[out] = pattern
     return [(basis[i], float(x[i])) for i in range(m) if x[i] > 1e-9]
 
 
