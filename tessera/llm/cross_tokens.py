@@ -21,8 +21,8 @@ a group is a link.
 Where no token of either tokenizer can cross a space that follows a visible
 character, or join a letter with another kind of character (read from rules and
 vocabularies), texts are cut into chunks there and chunks into parts, and each
-distinct part is encoded and aligned once per task process (in bounded caches);
-otherwise whole texts are.
+distinct part is encoded once per task process (in bounded caches); otherwise
+whole texts are.  Ids are aligned by array operations, many texts at a time.
 
 Defined results: a text that is NULL or empty, or whose token bytes differ from
 a space and the text, has no tokens (zeros, empty digest).  Every row is a
@@ -35,7 +35,7 @@ import hashlib
 import json
 import os
 import re
-from collections import Counter
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,11 +48,15 @@ from tessera.llm.common import small_enough, staged, worker_cache
 from tessera.llm.tokens import _byte_names
 
 #: A block closes at this many documents (16-bit ordinals allow 65,536), or as
-#: soon as it holds this many occurrences of chunks.
+#: soon as it holds this many (document, pair) entries.
 BLOCK_DOCS = 8192
-BLOCK_CHUNKS = 1_000_000
-CACHE_CHUNKS = 150_000
-CACHE_PARTS = 150_000
+BLOCK_ENTRIES = 1_500_000
+#: Ids (4 bytes each) that are aligned together.
+BATCH_BYTES = 2 << 20
+#: Groups with more links than this are counted by distinct ids.
+WIDE_GROUP = 256
+CACHE_CHUNKS = 200_000
+CACHE_PARTS = 200_000
 #: Scores are broadcast up to this many distinct pairs.
 MAX_BROADCAST_PAIRS = 1_000_000
 #: Blocks whose sums a scoring task holds at a time.
@@ -152,54 +156,19 @@ def load(path: str):
 # -- one chunk ----------------------------------------------------------------
 
 
-def groups_of(a: list[int], b: list[int], a_len: list[int], b_len: list[int]) -> Iterator[tuple[list[int], list[int]]]:
-    """Id lists between byte offsets where tokens of both end (equal totals)."""
-    i = j = 0
-    while i < len(a):
-        first_a, first_b = i, j
-        ahead = a_len[a[i]] - b_len[b[j]]
-        i, j = i + 1, j + 1
-        while ahead:
-            if ahead < 0:
-                ahead += a_len[a[i]]
-                i += 1
-            else:
-                ahead -= b_len[b[j]]
-                j += 1
-        yield a[first_a:i], b[first_b:j]
-
-
 class Parts(dict):
-    """raw text -> (n_a, n_b, n_groups, n_links, groups as text, pairs, links of
-    each pair), or None where the tokens' bytes differ from the text's."""
+    """raw text -> ids of A and of B (unsigned little-endian 32-bit), or None
+    where the tokens' bytes differ from the text's."""
 
     def __init__(self, path_a: str, path_b: str):
         super().__init__()
         self.a, self.b = load(path_a), load(path_b)
-        self.lengths = [[len(t.bytes_of.get(i, b"")) for i in range(max(t.bytes_of) + 1)] for t in (self.a, self.b)]
 
     def __missing__(self, raw: str):
-        a, b = self.a.encode(raw), self.b.encode(raw)
+        a, b, data = self.a.encode(raw), self.b.encode(raw), raw.encode()
         a_bytes, b_bytes = self.a.bytes_of, self.b.bytes_of
-        data = raw.encode()
-        if b"".join([a_bytes[t] for t in a]) != data or b"".join([b_bytes[t] for t in b]) != data:
-            found = None
-        else:
-            shown, pairs, n_groups, n_links = [], {}, 0, 0
-            for left, right in groups_of(a, b, *self.lengths):
-                n_groups += 1
-                if len(left) == len(right) == 1:
-                    x, y = left[0], right[0]
-                    shown.append(f"{x}|{y}")
-                    n_links += 1
-                    pairs[x << 32 | y] = pairs.get(x << 32 | y, 0) + 1
-                    continue
-                shown.append(f"{','.join(map(str, left))}|{','.join(map(str, right))}")
-                n_links += len(left) * len(right)
-                for x, nx in Counter(left).items() if len(left) > 9 else ((t, 1) for t in left):
-                    for y, ny in Counter(right).items() if len(right) > 9 else ((t, 1) for t in right):
-                        pairs[x << 32 | y] = pairs.get(x << 32 | y, 0) + nx * ny
-            found = (len(a), len(b), n_groups, n_links, ";".join(shown), tuple(pairs), tuple(pairs.values()))
+        same = b"".join([a_bytes[t] for t in a]) == data == b"".join([b_bytes[t] for t in b])
+        found = (array("I", a).tobytes(), array("I", b).tobytes()) if same else None
         if len(self) < CACHE_PARTS and len(raw) < 32:
             self[raw] = found
         return found
@@ -212,21 +181,18 @@ class Chunks(dict):
         super().__init__()
         self.parts = Parts(path_a, path_b)
         self.cuts = self.parts.a.cuts_at_spaces and self.parts.b.cuts_at_spaces
+        tables = [t.bytes_of for t in (self.parts.a, self.parts.b)]
+        self.lengths = [np.array([len(t.get(i, b"")) for i in range(max(t) + 1)], np.int64) for t in tables]
+        # every id with the mark that may follow it in the text of groups
+        self.shown = [f"{i}{mark}" for t, marks in zip(self.lengths, (",|", ",;")) for i in range(len(t)) for mark in marks]
 
     def __missing__(self, chunk: str):
         raw = " " + chunk
-        names = PART_END.split(raw) if self.cuts and not chunk.isalpha() else [raw]
-        found = [self.parts[n] for n in names]
-        if None in found:
-            record = None
-        elif len(found) == 1:
-            record = found[0]
+        if self.cuts and not chunk.isalpha():
+            found = [self.parts[n] for n in PART_END.split(raw)]
+            record = None if None in found else (b"".join([f[0] for f in found]), b"".join([f[1] for f in found]))
         else:
-            n_a, n_b, n_groups, n_links, shown, pairs, links = zip(*found)
-            record = (
-                sum(n_a), sum(n_b), sum(n_groups), sum(n_links), ";".join(shown),
-                tuple([x for p in pairs for x in p]), tuple([x for m in links for x in m]),
-            )
+            record = self.parts[raw]
         if len(self) < CACHE_CHUNKS and len(chunk) < 64:
             self[chunk] = record
         return record
@@ -248,94 +214,160 @@ class Chunks(dict):
 # -- a block of documents -----------------------------------------------------
 
 
-class Numbers(dict):
-    """chunk -> its number in the block; keeps the records by number."""
-
-    def __init__(self, chunks: Chunks):
-        super().__init__()
-        self.chunks, self.records, self.shown, self.bad = chunks, [], [], set()
-
-    def __missing__(self, chunk: str) -> int:
-        record, number = self.chunks[chunk], len(self.records)
-        if record is None:
-            self.bad.add(number)
-            record = (0, 0, 0, 0, "", (), ())
-        self.records.append(record)
-        self.shown.append(record[4])
-        self[chunk] = number
-        return number
+class Alignment:
+    """Groups of the tokens of many texts, one after the other.
+
+    Token ends are byte offsets from the first text on; both tokenizers end at
+    every text's end, so the ends they share cut all texts at once."""
+
+    def __init__(self, a: np.ndarray, b: np.ndarray, chunks: Chunks):
+        self.a, self.b, self.chunks = a, b, chunks
+        ends = [np.cumsum(n[t]) for n, t in zip(chunks.lengths, (a, b))]
+        at = np.searchsorted(ends[1], ends[0])
+        last_a = ends[1][at] == ends[0]
+        last_b = np.zeros(len(b), bool)
+        last_b[at[last_a]] = True
+        self.last = (last_a, last_b)
+        #: group of each token; tokens of each group
+        self.group = [np.cumsum(x) - x for x in self.last]
+        self.count = [np.bincount(g) for g in self.group]
+        self.first = [np.cumsum(n) - n for n in self.count]
+
+    def shown(self) -> list[int]:
+        """Numbers, in the table of ids with marks, of all tokens in the order
+        of the text of groups."""
+        na, nb = self.count
+        start = np.cumsum(na + nb) - (na + nb)
+        out = np.empty(len(self.a) + len(self.b), np.int64)
+        ga, gb = self.group
+        out[start[ga] + np.arange(len(ga)) - self.first[0][ga]] = 2 * self.a + self.last[0]
+        out[(start + na)[gb] + np.arange(len(gb)) - self.first[1][gb]] = 2 * (len(self.chunks.lengths[0]) + self.b) + self.last[1]
+        return out.tolist()
+
+    def pairs(self, ordinal: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(key, links), sorted and distinct: the key holds the pair and, last,
+        the document's ``ordinal`` (given for each token of A)."""
+        width = len(self.chunks.lengths[1])
+        wide = np.flatnonzero(self.count[0] * self.count[1] > WIDE_GROUP)
+        ga = self.group[0]
+        use = slice(None) if not len(wide) else ~np.isin(ga, wide)
+        ga, a, doc = ga[use], self.a[use], ordinal[use]
+        n = self.count[1][ga]
+        inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        b = self.b[np.repeat(self.first[1][ga], n) + inside]
+        key = np.sort((np.repeat(a, n) * width + b) * BLOCK_DOCS + np.repeat(doc, n))
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+        keys, links = [key[first]], [np.diff(np.append(first, len(key)))]
+        for g in wide:  # by distinct ids, so repeats do not multiply
+            here = [slice(f[g], f[g] + c[g]) for f, c in zip(self.first, self.count)]
+            (ids_a, n_a), (ids_b, n_b) = (np.unique(t[h], return_counts=True) for t, h in zip((self.a, self.b), here))
+            keys.append(((ids_a[:, None] * width + ids_b[None, :]) * BLOCK_DOCS + ordinal[here[0].start]).ravel())
+            links.append((n_a[:, None] * n_b[None, :]).ravel())
+        if len(keys) == 1:
+            return keys[0], links[0]
+        return _summed(np.concatenate(keys), np.concatenate(links))
+
+
+def _summed(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, sorted, with the sums of ``n``."""
+    order = np.argsort(key, kind="stable")
+    key, n = key[order], n[order]
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    return key[first], np.add.reduceat(n, first) if len(first) else n
 
 
 class Block:
-    """Documents, and the numbers of their chunks, until the block closes."""
+    """Documents and their pairs, until the block closes.  Tokens wait until a
+    batch of them is aligned together."""
 
     def __init__(self, chunks: Chunks):
         self.chunks = chunks
         self.clear()
 
     def clear(self) -> None:
-        self.numbers = Numbers(self.chunks)
         self.ids: list[int | None] = []
-        self.digests: list[str] = []
-        self.uses: list[np.ndarray] = []  # per run of chunks
-        self.ordinals: list[int] = []
-        self.held = 0
+        self.digests: list = []
+        self.bad: set[int] = set()
+        self.waiting: list[tuple[int, bytes, bytes]] = []
+        self.waiting_bytes = 0
+        self.sums = np.zeros((4, BLOCK_DOCS), np.int64)
+        self.keys: list[np.ndarray] = []
+        self.links: list[np.ndarray] = []
+        self.entries = 0
 
     def full(self) -> bool:
-        return len(self.ids) >= BLOCK_DOCS or self.held >= BLOCK_CHUNKS
+        return len(self.ids) >= BLOCK_DOCS or self.entries >= BLOCK_ENTRIES
 
     def add(self, doc_id: int | None, text: str | None) -> None:
-        numbers, digest, uses = self.numbers, hashlib.sha256(), []
-        whole = bool(text)
-        for run in self.chunks.runs(text or ""):
-            at = [numbers[c] for c in run]
-            if numbers.bad and not numbers.bad.isdisjoint(at):
-                whole = False
-                break
-            shown = numbers.shown
-            digest.update(((";" if uses else "") + ";".join([shown[i] for i in at])).encode())
-            uses.append(np.array(at, np.int32))
-        if whole:
-            self.uses += uses
-            self.ordinals += [len(self.ids)] * len(uses)
-            self.held += sum(map(len, uses))
+        ordinal, records = len(self.ids), self.chunks
         self.ids.append(doc_id)
-        self.digests.append(digest.hexdigest() if whole else "")
+        self.digests.append(None)
+        for run in self.chunks.runs(text or ""):
+            found = [records[c] for c in run]
+            if None in found:
+                self.bad.add(ordinal)
+                return
+            a, b = b"".join([f[0] for f in found]), b"".join([f[1] for f in found])
+            self.waiting.append((ordinal, a, b))
+            self.waiting_bytes += len(a) + len(b)
+            if self.waiting_bytes >= BATCH_BYTES:
+                self.align()
+
+    def align(self) -> None:
+        if not self.waiting:
+            return
+        ordinals, texts_a, texts_b = zip(*self.waiting)
+        n_a, n_b = (np.array([len(t) // 4 for t in texts], np.int64) for texts in (texts_a, texts_b))
+        a, b = (np.frombuffer(b"".join(texts), "<u4").astype(np.int64) for texts in (texts_a, texts_b))
+        self.waiting, self.waiting_bytes = [], 0
+        found = Alignment(a, b, self.chunks)
+        ordinal = np.repeat(np.array(ordinals, np.int64), n_a)
+        key, links = found.pairs(ordinal)
+        self.keys.append(key)
+        self.links.append(links)
+        self.entries += len(key)
+        # a group belongs to the document of its last token of A
+        owner = ordinal[found.last[0]]
+        np.add.at(self.sums[0], np.array(ordinals), n_a)
+        np.add.at(self.sums[1], np.array(ordinals), n_b)
+        np.add.at(self.sums[2], owner, 1)
+        np.add.at(self.sums[3], owner, found.count[0] * found.count[1])
+        shown, table, at = found.shown(), self.chunks.shown, 0
+        for i, n in zip(ordinals, (n_a + n_b).tolist()):
+            text = "".join([table[c] for c in shown[at : at + n]])[:-1].encode()
+            at += n
+            if self.digests[i] is None:
+                self.digests[i] = hashlib.sha256(text)
+            else:
+                self.digests[i].update(b";" + text)
 
     def tables(self) -> tuple[dict, list[tuple[int, np.ndarray, np.ndarray]]]:
         """Document columns; and per plane (pair, ordinal), sorted by both."""
-        records, n = self.numbers.records, len(self.ids)
-        sums = np.zeros((4, n), np.int64)
-        columns = {"ordinal": np.arange(n, dtype=np.int32), "doc_id": self.ids, "groups_sha256": self.digests}
-        columns |= dict(zip(("n_a", "n_b", "n_groups", "n_links"), sums))
-        if not self.uses:
+        self.align()
+        n = len(self.ids)
+        digests = [None if i in self.bad else d for i, d in enumerate(self.digests)]
+        whole = np.array([d is not None for d in digests])
+        columns = {"ordinal": np.arange(n, dtype=np.int32), "doc_id": self.ids}
+        columns["groups_sha256"] = [d.hexdigest() if d is not None else "" for d in digests]
+        columns |= dict(zip(("n_a", "n_b", "n_groups", "n_links"), self.sums[:, :n] * whole))
+        if not self.entries:
             return columns, []
-        each = np.concatenate(self.uses).astype(np.int64)
-        ordinal = np.repeat(np.array(self.ordinals, np.int64), [len(u) for u in self.uses])
-        sizes = np.array([r[:4] for r in records], np.int64)
-        for i in range(4):
-            np.add.at(sums[i], ordinal, sizes[each, i])
-        # (document, chunk) once, with its number of occurrences
-        used, times = np.unique(ordinal * len(records) + each, return_counts=True)
-        ordinal, chunk = np.divmod(used, len(records))
-        length = np.array([len(r[5]) for r in records], np.int64)
-        starts = np.cumsum(length) - length
-        pairs = np.fromiter((p for r in records for p in r[5]), np.int64, length.sum())
-        links = np.fromiter((m for r in records for m in r[6]), np.int64, length.sum())
-        names, local = np.unique(pairs, return_inverse=True)
-        span = length[chunk]
-        at = np.repeat(starts[chunk] - (np.cumsum(span) - span), span) + np.arange(span.sum())
-        key = local[at] * np.int64(BLOCK_DOCS) + np.repeat(ordinal, span)
-        weight = links[at] * np.repeat(times, span)
-        order = np.argsort(key, kind="stable")
-        key, weight = key[order], weight[order]
-        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        key, more = key[first], np.add.reduceat(weight, first) - 1
-        out = [(0, names[key // BLOCK_DOCS], key % BLOCK_DOCS)]
+        # batches that share a document share its keys
+        key, more = _summed(np.concatenate(self.keys), np.concatenate(self.links))
+        if self.bad:
+            good = whole[key % BLOCK_DOCS]
+            key, more = key[good], more[good]
+        width = len(self.chunks.lengths[1])
+        more = more - 1
+
+        def split(key):
+            pair, ordinal = np.divmod(key, BLOCK_DOCS)
+            return (pair // width) << 32 | pair % width, ordinal
+
+        out = [(0, *split(key))]
         plane = 1
         while more.any():
-            bit = more & 1 == 1
-            out.append((plane, names[key[bit] // BLOCK_DOCS], key[bit] % BLOCK_DOCS))
+            out.append((plane, *split(key[more & 1 == 1])))
             key, more, plane = key[more > 1], more[more > 1] >> 1, plane + 1
         return columns, out
 

@@ -5,6 +5,7 @@ import hashlib
 import random
 import re
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
@@ -204,8 +205,8 @@ def documents(block):
     return by_row((r[0], *map(int, r[1:5]), r[5]) for r in zip(*(found[n] for n in names)))
 
 
-def test_small_blocks_and_runs(make, aligned, monkeypatch):
-    table, want, _ = aligned
+def test_small_batches_and_runs(aligned, monkeypatch):
+    table, want, count = aligned
     monkeypatch.setattr(cross_tokens, "RUN_CHARS", 50)
     chunks = cross_tokens.Chunks(A, B)
     assert chunks.cuts
@@ -213,10 +214,14 @@ def test_small_blocks_and_runs(make, aligned, monkeypatch):
         if r[1]:
             runs = list(chunks.runs(r[1]))
             assert " ".join(" ".join(run) for run in runs) == r[1]
+    monkeypatch.setattr(cross_tokens, "BATCH_BYTES", 400)
+    monkeypatch.setattr(cross_tokens, "WIDE_GROUP", 3)
     block = cross_tokens.Block(chunks)
     for r in table:
         block.add(r[0], r[1])
     assert documents(block) == by_row((w[0], *w[1:5], w[7]) for w in want)
+    (_, pairs, _), *_ = block.tables()[1]
+    assert Counter((int(p) >> 32, int(p) & 0xFFFFFFFF) for p in pairs) == count
 
 
 def test_alignment_without_chunks_and_of_nothing(no_docs, make, monkeypatch):
@@ -240,14 +245,16 @@ def test_containers_round_trip(found):
     links = {(p, o): m for p, o, m in found}
     if not links:
         return
+    width, total = 50, Counter()
+    block = cross_tokens.Block(SimpleNamespace(lengths=[None, np.ones(width)]))
+    block.ids, block.digests = [None] * 300, [hashlib.sha256()] * 300
     keys = sorted(links)
-    total = Counter()
-    block = cross_tokens.Block(None)
-    block.numbers.records = [(1, 1, 1, 1, "", [p << 32 | 7], [1]) for p in range(41)]
-    block.ids = block.digests = [None] * 300
-    for p, o in keys:
-        block.uses.append(np.full(links[p, o], p, np.int32))
-        block.ordinals.append(o)
+    for part in (keys[::2], keys[1::2], keys[:3]):  # the last batch meets keys again
+        block.keys.append(np.array([(p * width + 7) * cross_tokens.BLOCK_DOCS + o for p, o in part], np.int64))
+        block.links.append(np.array([links[k] for k in part], np.int64))
+    block.entries = len(keys)
+    for k in keys[:3]:
+        links[k] *= 2
     for plane, pairs, ordinals in block.tables()[1]:
         for rows in cross_tokens.containers(plane, pairs, ordinals, 300):
             n = rows["docs"].to_numpy()
@@ -256,6 +263,7 @@ def test_containers_round_trip(found):
                 if len(at):
                     row, ordinal = cross_tokens._members(kind, n[at], rows["bits"].take(pa.array(at)))
                     for r, o in zip(row, ordinal):
+                        assert rows["b"][int(at[r])].as_py() == 7
                         total[rows["a"][int(at[r])].as_py(), int(o)] += 1 if plane == 0 else 2 ** (plane - 1)
     assert dict(total) == links
 
