@@ -208,8 +208,10 @@ def test_patterns_cover_the_histogram_exactly():
 
 
 def test_knapsack_prices_the_best_pattern():
-    value, pattern = packing.best_pattern(np.array([0.2, 0.55, 0.3]), np.array([2, 5, 3]), 10)
+    (value, pattern), *others = packing.best_patterns(np.array([0.2, 0.55, 0.3]), np.array([2, 5, 3]), 10)
     assert value == pytest.approx(1.1) and list(pattern) == [0, 2, 0]
+    assert [v for v, _ in others] == sorted((v for v, _ in others), reverse=True)
+    assert all(v == pytest.approx(p @ [0.2, 0.55, 0.3]) and p @ [2, 5, 3] <= 10 for v, p in others)
 
 
 def test_functions_are_spark_columns(docs):
