@@ -30,6 +30,8 @@ FILTERS = 8
 TRAIN_ROWS_PER_LANG = 400
 TRAIN_WINDOWS_PER_ROW = 4
 UNDETERMINED = "und"
+#: Texts that a task holds as strings at a time.
+TEXTS_AT_ONCE = 256
 
 
 def _symbols() -> np.ndarray:
@@ -279,18 +281,24 @@ def predict(docs: DataFrame, model: ByteCNN | None, doc_id: str = "doc_id", text
 
 def keep_identified(docs: DataFrame, model: ByteCNN | None, text: str = "text", min_score: float = 0.34) -> DataFrame:
     """The rows of ``docs``, all columns unchanged, whose language is found
-    with at least ``min_score``; the rest (``und`` included) is rejected.
+    with at least ``min_score``; the rest (``und`` included) is rejected.  Only
+    texts go through Python, a few at a time.
     With no model (nothing labelled), every text with a letter stays."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = model.pair_tables() if model else None
-        for b in batches:
-            texts = b.column(b.schema.get_field_index(text)).to_pylist()
+    tables: list = []  # made once per task
+
+    @F.arrow_udf("boolean")
+    def identified(column: pa.Array) -> pa.Array:
+        if model is not None and not tables:
+            tables.append(model.pair_tables())
+        keep: list[bool] = []
+        for at in range(0, len(column), TEXTS_AT_ONCE):
+            texts = column.slice(at, TEXTS_AT_ONCE).to_pylist()
             if model is None:
-                keep = [t is not None and any(map(str.isalpha, t)) for t in texts]
+                keep += [t is not None and any(map(str.isalpha, t)) for t in texts]
             else:
-                names, scores = score_texts(model, tables, texts)
-                keep = [n != UNDETERMINED and s >= min_score for n, s in zip(names, scores)]
-            yield b.filter(pa.array(keep, pa.bool_()))
+                names, scores = score_texts(model, tables[0], texts)
+                keep += [n != UNDETERMINED and bool(s >= min_score) for n, s in zip(names, scores)]
+        return pa.array(keep, pa.bool_())
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.filter(identified(docs[text]))

@@ -41,6 +41,8 @@ from tessera.llm.components import connected
 
 #: Members of a block in the confirmation; more for very large clusters.
 BLOCK = 128
+# Shingle sets that a task builds at a time.
+SETS_AT_ONCE = 256
 #: Up to this many rows (ids of clustered or dropped documents) are broadcast.
 MAX_BROADCAST_IDS = 500_000
 MISS = 1e-5
@@ -257,11 +259,13 @@ def confirmed_links(docs: DataFrame, clusters: DataFrame, k: int, percent: int,
 
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
-        for b in batches:
-            got = [shingle_set((t.as_py() or "").encode("utf-8", "replace"), k, powers).tobytes() for t in b["text"]]
-            yield pa.RecordBatch.from_arrays(
-                [b["node"], b["root"], b["blocks"], pa.array(got, pa.binary())], ["node", "root", "blocks", "shingles"]
-            )
+        for whole in batches:
+            for at in range(0, len(whole), SETS_AT_ONCE):
+                b = whole.slice(at, SETS_AT_ONCE)
+                got = [shingle_set((t.as_py() or "").encode("utf-8", "replace"), k, powers).tobytes() for t in b["text"]]
+                yield pa.RecordBatch.from_arrays(
+                    [b["node"], b["root"], b["blocks"], pa.array(got, pa.binary())], ["node", "root", "blocks", "shingles"]
+                )
 
     sets = texts.select("node", "root", "blocks", "text").mapInArrow(
         load, "node long, root long, blocks int, shingles binary"
