@@ -53,25 +53,28 @@ def best_patterns(value: np.ndarray, units: np.ndarray, capacity: int) -> list[t
     ``capacity`` that holds it; the best first, equal patterns once."""
     f = np.zeros(capacity + 1)
     pick = np.full(capacity + 1, -1)
+    fitting = np.searchsorted(units, np.arange(capacity + 1), side="right").tolist()
     for c in range(1, capacity + 1):
         f[c], pick[c] = f[c - 1], -1
-        n = np.searchsorted(units, c, side="right")
+        n = fitting[c]
         if n:
             gain = f[c - units[:n]] + value[:n]
             k = int(gain.argmax())
             if gain[k] > f[c]:
                 f[c], pick[c] = gain[k], k
     held = value + f[capacity - units]
+    picked, lengths = pick.tolist(), units.tolist()
     found: dict[bytes, tuple[float, np.ndarray]] = {}
-    for first in np.argsort(-held, kind="stable")[: 4 * COLUMNS]:
-        pattern, c = np.zeros(len(units)), capacity - int(units[first])
+    for first in np.argsort(-held, kind="stable")[: 2 * COLUMNS].tolist():
+        pattern, c = np.zeros(len(units)), capacity - lengths[first]
         pattern[first] = 1
         while c > 0:
-            if pick[c] < 0:
+            k = picked[c]
+            if k < 0:
                 c -= 1
             else:
-                pattern[pick[c]] += 1
-                c -= units[pick[c]]
+                pattern[k] += 1
+                c -= lengths[k]
         found.setdefault(pattern.tobytes(), (float(held[first]), pattern))
         if len(found) == COLUMNS:
             break
@@ -89,19 +92,24 @@ def solve_patterns(units: np.ndarray, demand: np.ndarray, capacity: int = UNITS)
     inverse = np.diag([1.0 / basis[i][i] for i in range(m)])
     x = inverse @ demand
     bound = float(demand @ units) / capacity
+    dual = inverse.sum(axis=0)
     pivots = 0
     while pivots < MAX_PIVOTS and x.sum() > (1 + GAP) * bound:
         entered = 0
-        for _, pattern in best_patterns(inverse.sum(axis=0), units, capacity):
-            column = inverse @ pattern
-            if column.sum() <= 1 + 1e-7:  # its value under the duals as they are
+        for _, pattern in best_patterns(dual.copy(), units, capacity):
+            if dual @ pattern <= 1 + 1e-7:  # its value under the duals as they are
                 continue
+            use = np.flatnonzero(pattern)
+            column = inverse[:, use] @ pattern[use]
             room = np.where(column > 1e-9, x / np.where(column > 1e-9, column, 1), np.inf)
             out = int(room.argmin())
             pivot = inverse[out] / column[out]
             step = x[out] / column[out]
-            inverse = inverse - np.outer(column, pivot)
+            # only the rows and columns that the pivot touches change
+            rows, cols = np.flatnonzero(np.abs(column) > 1e-12), np.flatnonzero(pivot)
+            inverse[np.ix_(rows, cols)] -= np.outer(column[rows], pivot[cols])
             inverse[out] = pivot
+            dual += (1 - column.sum()) * pivot
             x = np.maximum(x - column * step, 0)
             x[out] = step
             basis[out] = pattern
