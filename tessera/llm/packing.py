@@ -51,6 +51,8 @@ COLUMNS = 16
 def best_patterns(value: np.ndarray, units: np.ndarray, capacity: int) -> list[tuple[float, np.ndarray]]:
     """Unbounded knapsack: for every class, the pattern of largest value within
     ``capacity`` that holds it; the best first, equal patterns once."""
+    order = np.argsort(units, kind="stable")
+    units, value = units[order], value[order]
     f = np.zeros(capacity + 1)
     pick = np.full(capacity + 1, -1)
     fitting = np.searchsorted(units, np.arange(capacity + 1), side="right").tolist()
@@ -75,7 +77,9 @@ def best_patterns(value: np.ndarray, units: np.ndarray, capacity: int) -> list[t
             else:
                 pattern[k] += 1
                 c -= lengths[k]
-        found.setdefault(pattern.tobytes(), (float(held[first]), pattern))
+        whole = np.zeros(len(units))
+        whole[order] = pattern
+        found.setdefault(whole.tobytes(), (float(held[first]), whole))
         if len(found) == COLUMNS:
             break
     return list(found.values())
