@@ -27,6 +27,16 @@ def round_even(c: str | Column) -> Column:
     return F.rint(col_of(c)).cast("long")
 
 
+def round_half_up(c: str | Column, digits: int) -> Column:
+    """``round`` of a DOUBLE column, the same values: a decimal number is built
+    only for values near a tie or too large to scale exactly enough."""
+    x, unit = col_of(c), F.lit(10.0**digits)
+    scaled = x * unit
+    whole = F.rint(scaled)
+    clear = (F.abs(scaled) < F.lit(2.0**42)) & (F.abs(scaled - whole) < F.lit(0.49))
+    return F.when(clear, whole / unit + F.lit(0.0)).otherwise(F.round(x, digits))
+
+
 def erfinv(y: str | Column) -> Column:
     """Inverse error function, Winitzki's approximation with a = 0.147."""
     y = col_of(y)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tessera.functions.expr import distance_to_own_center, poly_terms
 from tessera.operators.prep import numeric_columns
 from tessera.operators.rank import grouped_quantiles
-from tessera.session import materialize
+from tessera.session import materialize, wide_projection
 
 # Centres of zones sent to every task (one short row each).
 MAX_BROADCAST_CENTERS = 100_000
@@ -122,6 +122,7 @@ def power_features(
 ) -> DataFrame:
     """``c_power_k`` for each numeric column (target excluded via ``exclude``), one projection."""
     specs = power_feature_names(df, powers, cap, exclude)
+    wide_projection(df.sparkSession)
     return df.withColumns({name: F.pow(F.col(c), F.lit(float(p))) for name, c, p in specs})
 
 

@@ -19,7 +19,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.expr import erfinv
+from tessera.functions.expr import erfinv, round_half_up
 from tessera.operators import diagnostics as dg
 from tessera.operators import features as fe
 from tessera.operators import prep as pr
@@ -485,7 +485,7 @@ def q_powers(spark, sf):
     df = conv(spark, sf).select(*KEY, (F.col("lat") / 10).alias("a"), (F.col("lon") / 10).alias("b"), "price")
     out = fe.power_features(df, range(1, 40), exclude=[*KEY, "price"])
     names = [n for n, _, _ in fe.power_feature_names(df, range(1, 40), exclude=[*KEY, "price"])]
-    return out.select(*KEY, *[r(c, 12).alias(c) for c in names])
+    return out.select(*KEY, *[round_half_up(c, 12).alias(c) for c in names])
 
 
 @query(

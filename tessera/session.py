@@ -45,6 +45,24 @@ def local_session(
     return spark
 
 
+#: Bytecode of a method that HotSpot still compiles, and Spark's own limit.
+JIT_METHOD_BYTES = 8000
+UNSET_METHOD_BYTES = "65535"
+
+
+def wide_projection(spark: SparkSession) -> None:
+    """Let projections of many expressions run as compiled code.
+
+    Whole-stage code generation puts all expressions of a projection into one
+    method; beyond 8000 bytes HotSpot leaves that method to the interpreter, for
+    every row.  With the limit at HotSpot's own (as Spark's documentation says)
+    such a stage uses projections split into small methods.  A limit that
+    the session's owner has set stays.
+    """
+    if spark.conf.get("spark.sql.codegen.hugeMethodLimit", UNSET_METHOD_BYTES) == UNSET_METHOD_BYTES:
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", str(JIT_METHOD_BYTES))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder of the session.
 

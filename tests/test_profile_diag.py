@@ -220,3 +220,29 @@ def test_zone_stats_of_many_zones(spark):
         assert np.allclose(got[c].to_numpy(float), want[c].to_numpy(float), atol=1e-9, equal_nan=True)
     assert np.allclose(got["percentage"], want["size"] / n * 100)
     assert all(list(c) == centers[z] for z, c in zip(got["zone"], got["center"]))
+
+
+def test_round_half_up_equals_round(spark):
+    """The quick rounding gives the values of ``round``, near ties included."""
+    from tessera.functions.expr import round_half_up
+
+    rng = np.random.default_rng(21)
+    near = np.arange(-400, 400) / 1e12 + 5e-13
+    values = [*rng.normal(size=500), *rng.random(500) ** 30, *near, 0.0, -0.0, -1e-14, 4.5, 1e9, -1e300, float("nan"), float("inf"), None]
+    df = spark.createDataFrame([(float(v) if v is not None else None,) for v in values], "x double")
+    for digits in (0, 9, 12):
+        rows = df.select(F.round("x", digits).alias("want"), round_half_up("x", digits).alias("got")).collect()
+        assert [repr(r["got"]) for r in rows] == [repr(r["want"]) for r in rows]
+
+
+def test_power_features_run_compiled(spark):
+    """A stage beyond HotSpot's method size is not run by the interpreter, and
+    a limit of the session's owner stays."""
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    df = spark.createDataFrame([(0.5, 2.0)], "a double, b double")
+    for owners, want in ((None, "8000"), ("30000", "30000")):
+        spark.conf.set(limit, owners) if owners else spark.conf.unset(limit)
+        row = fe.power_features(df, range(1, 40)).first()
+        assert spark.conf.get(limit) == want
+        assert row["a_power_39"] == 0.5**39 and row["b_power_39"] == 2.0**39
+    spark.conf.unset(limit)
