@@ -224,3 +224,21 @@ def test_null_segment_and_segment_named_like_the_total(spark):
     assert len(impact) == 4 and all(r["average_target"] is not None for r in impact)
     with pytest.raises(ValueError):
         sel.feature_impact(coefs, df.filter("seg = 'z'"), "seg", "y", "x")
+
+
+def test_wide_fit_folds_stacks_of_bounded_size(spark, monkeypatch):
+    """A batch far above the stack is folded in pieces that stay in the cache."""
+    seen, qr = [], moments._qr_r
+    monkeypatch.setattr(moments, "_qr_r", lambda m, k: (seen.append(len(m)), qr(m, k))[1])
+    x = np.random.default_rng(22).normal(size=(10_000, 40))
+    factors = moments._Factors(40)
+    factors.add(None, x)
+    factors.handed_on(0)
+    assert max(seen) <= 8 * 40 + 40 and len(seen) == 32
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    spark.conf.unset(limit)
+    df = spark.createDataFrame([tuple(map(float, r)) for r in x[:60]], ", ".join(f"c{i} double" for i in range(40)))
+    ((r, n),) = moments.tsqr(df, [F.col(c) for c in df.columns]).values()
+    assert n == 60 and np.allclose(r.T @ r, x[:60].T @ x[:60])
+    assert spark.conf.get(limit) == "8000"
+    spark.conf.unset(limit)
