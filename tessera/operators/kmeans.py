@@ -37,6 +37,10 @@ from tessera.session import staged
 
 # Above this many centre coordinates (k * d) assignment is vectorised in Python.
 WIDE = 64
+#: Bytes of rows that an assignment works on at a time.
+PART_BYTES = 4 << 20
+#: Label and two bounds of a held row, in bytes.
+BOUND_BYTES = 4 + 8 + 8
 #: Bounds closer than this share of them count as meeting (rounding).
 SLACK = 1e-9
 
@@ -63,34 +67,59 @@ def _sums(x: np.ndarray, labels: np.ndarray, k: int) -> np.ndarray:
 
 
 class BoundedRows:
-    """Rows with their labels and distance bounds from round to round."""
+    """Rows with their labels and distance bounds from round to round.
+
+    Rounds go through the rows in parts, so besides the rows and ``BOUND_BYTES``
+    for each of them nothing grows with their number."""
 
     def __init__(self, x: np.ndarray):
         self.x = x
         self.labels = None
         self.looked = 0  # rows that were compared with every centre
 
+    def parts(self) -> list[slice]:
+        step = max(1, PART_BYTES // (8 * max(1, self.x.shape[1])))
+        return [slice(at, at + step) for at in range(0, len(self.x), step)]
+
     def assign(self, centers: np.ndarray, shifts: np.ndarray | None) -> np.ndarray:
         """Labels under ``centers``, which moved by ``shifts`` since the last
         call."""
-        if self.labels is None or len(centers) < 2:
-            self.labels, self.own, self.other = self._look(self.x, centers)
+        first = self.labels is None
+        if first:
+            self.labels = np.empty(len(self.x), np.int32)
+            self.own, self.other = np.empty(len(self.x)), np.empty(len(self.x))
+        if first or len(centers) < 2:
+            for part in self.parts():
+                self.labels[part], self.own[part], self.other[part] = self._look(self.x[part], centers)
             return self.labels
-        self.own += shifts[self.labels]
         # the largest move among the other centres
         order = np.argsort(shifts)
         most = np.full(len(centers), shifts[order[-1]])
         most[order[-1]] = shifts[order[-2]]
-        self.other -= most[self.labels]
         between = np.sqrt(_squared(centers, centers))
         np.fill_diagonal(between, np.inf)
-        safe = np.maximum(between.min(axis=1)[self.labels] / 2, self.other)
-        near = np.flatnonzero(self.own * (1 + SLACK) >= safe)
-        self.own[near] = np.sqrt(((self.x[near] - centers[self.labels[near]]) ** 2).sum(axis=1))
-        near = near[self.own[near] * (1 + SLACK) >= safe[near]]
-        self.labels[near], self.own[near], self.other[near] = self._look(self.x[near], centers)
+        for part in self.parts():
+            self._move(part, centers, shifts, most, between.min(axis=1) / 2)
         return self.labels
 
+    def _move(self, part: slice, centers: np.ndarray, shifts: np.ndarray, most: np.ndarray, half: np.ndarray) -> None:
+        # views: what changes here changes the whole
+        x, labels, own, other = self.x[part], self.labels[part], self.own[part], self.other[part]
+        own += shifts[labels]
+        other -= most[labels]
+        safe = np.maximum(half[labels], other)
+        near = np.flatnonzero(own * (1 + SLACK) >= safe)
+        own[near] = np.sqrt(((x[near] - centers[labels[near]]) ** 2).sum(axis=1))
+        near = near[own[near] * (1 + SLACK) >= safe[near]]
+        labels[near], own[near], other[near] = self._look(x[near], centers)
+
+    def sums(self, k: int) -> np.ndarray:
+        """:func:`_sums` of all rows under their labels."""
+        out = np.zeros((k, self.x.shape[1] + 1))
+        for part in self.parts():
+            out += _sums(self.x[part], self.labels[part], k)
+        return out
+
     def _look(self, x: np.ndarray, centers: np.ndarray):
         self.looked += len(x)
         d = _squared(x, centers)
@@ -188,9 +217,14 @@ def kmeans_fit(
 
     def body(rows, total):
         bounded = BoundedRows(rows)
-        return lloyd(centers, lambda c, shifts: total(_sums(rows, bounded.assign(c, shifts), k)), tol, max_iter)
 
-    found = in_one_job(proj, d, body) if can_hold(proj) else None
+        def sums_of(c, shifts):
+            bounded.assign(c, shifts)
+            return total(bounded.sums(k))
+
+        return lloyd(centers, sums_of, tol, max_iter)
+
+    found = in_one_job(proj, d, body, BOUND_BYTES) if can_hold(proj) else None
     if found is None:
         with staged(proj) as data:
             found = lloyd(centers, lambda c, _: _sums_by_job(data, c), tol, max_iter)

@@ -22,8 +22,9 @@ from pyspark.sql import DataFrame
 from tessera.operators.blocks import matrix
 from tessera.session import is_small, size_estimate
 
-#: Rows that one task may hold, in bytes; beyond it the caller's other way runs.
-HELD_BYTES = 256 << 20
+#: Bytes that one task may hold, its rows and what the caller keeps for each of
+#: them; beyond it the caller's other way runs.
+HELD_BYTES = 128 << 20
 #: Input bytes (the optimizer's estimate) that are worth a task of their own.  A
 #: gathering takes about a second however little it moves (Spark polls for it),
 #: so inputs below this bound are one block of one task and need none.
@@ -43,15 +44,36 @@ def can_hold(df: DataFrame) -> bool:
     return is_small(df) and dynamic != "true" and slots(df) > 0
 
 
-def in_one_job(df: DataFrame, width: int, body: Callable):
+class Rows:
+    """A matrix that takes in blocks; it grows in place by a quarter, so that no
+    second copy of it is ever held."""
+
+    def __init__(self, width: int):
+        self.held = np.empty((0, width))
+        self.n = 0
+
+    def add(self, block: np.ndarray) -> None:
+        n = self.n + len(block)
+        if n > len(self.held):
+            self.held.resize((max(n, len(self.held) * 5 // 4), self.held.shape[1]), refcheck=False)
+        self.held[self.n : n] = block
+        self.n = n
+
+    def rows(self) -> np.ndarray:
+        return self.held[: self.n]
+
+
+def in_one_job(df: DataFrame, width: int, body: Callable, extra: int = 0, most: int | None = None):
     """``body(rows, total)`` in a barrier stage over the array column ``_x``.
 
     ``rows`` is the task's matrix (NULL as NaN) and ``total(part)`` the sum of
     all tasks' parts.  The result of the first task is returned; None means
-    that some task's rows are too many to hold.
+    that some task's rows are too many to hold: more than ``HELD_BYTES`` (or
+    ``most``, if less) with the ``extra`` bytes that ``body`` keeps for each row.
     """
     tasks = max(1, min(slots(df), -(-size_estimate(df) // TASK_BYTES)))
-    held = HELD_BYTES
+    held = HELD_BYTES if most is None else min(most, HELD_BYTES)
+    row_bytes = 8 * width + extra
 
     def run(batches):
         from pyspark import BarrierTaskContext
@@ -65,17 +87,16 @@ def in_one_job(df: DataFrame, width: int, body: Callable):
             parts = [np.frombuffer(base64.b64decode(s)) for s in context.allGather(sent)]
             return np.sum(parts, axis=0).reshape(part.shape)
 
-        blocks, n = [], 0
+        kept, n = Rows(width), 0
         for b in batches:
             n += len(b)
-            if 8 * width * n <= held:
-                blocks.append(matrix(b["_x"], width).copy())
+            if row_bytes * n <= held:
+                kept.add(matrix(b["_x"], width))
             else:
-                blocks.clear()
+                kept = Rows(width)
         result = None
-        if total(np.array([float(8 * width * n > held)]))[0] == 0:
-            rows = np.concatenate(blocks) if blocks else np.zeros((0, width))
-            result = body(rows, total)
+        if total(np.array([float(row_bytes * n > held)]))[0] == 0:
+            result = body(kept.rows(), total)
         if context.partitionId() == 0:
             yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(result)], pa.binary())], ["result"])
 

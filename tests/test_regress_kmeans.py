@@ -421,3 +421,27 @@ def test_ridge_matches_mllib_mapping(spark):
     ml = LinearRegression(featuresCol="f", labelCol="y", regParam=alpha * pdf["y"].std() / n, elasticNetParam=0.0,
                           standardization=False, solver="l-bfgs", tol=1e-12, maxIter=500).fit(vec)
     assert np.allclose([ours.intercept, *ours.coef], [ml.intercept, *ml.coefficients.toArray()], rtol=1e-4, atol=1e-4)
+
+
+def test_bounded_rows_hold_little_beside_the_rows():
+    """Rounds work in parts: beside the rows, a label and two bounds of each."""
+    import tracemalloc
+
+    from tessera.operators.kmeans import BOUND_BYTES, PART_BYTES, BoundedRows
+    from tessera.operators.rounds import Rows
+
+    x = np.random.default_rng(23).normal(size=(600_000, 2))
+    tracemalloc.start()
+    held = Rows(2)
+    for at in range(0, len(x), 10_000):
+        held.add(x[at : at + 10_000])
+    assert tracemalloc.get_traced_memory()[1] < 2.3 * x.nbytes and (held.rows() == x).all()
+    tracemalloc.reset_peak()
+    before = tracemalloc.get_traced_memory()[0]
+    bounded, centers = BoundedRows(held.rows()), np.array([[0.0, 0.0], [1.0, 1.0]])
+    bounded.assign(centers, None)
+    bounded.assign(centers + 0.1, np.full(2, np.sqrt(0.02)))
+    sums = bounded.sums(2)
+    peak = tracemalloc.get_traced_memory()[1] - before
+    tracemalloc.stop()
+    assert sums[:, 2].sum() == len(x) and peak < BOUND_BYTES * len(x) + 8 * PART_BYTES
