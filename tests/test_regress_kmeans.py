@@ -445,3 +445,29 @@ def test_bounded_rows_hold_little_beside_the_rows():
     peak = tracemalloc.get_traced_memory()[1] - before
     tracemalloc.stop()
     assert sums[:, 2].sum() == len(x) and peak < BOUND_BYTES * len(x) + 8 * PART_BYTES
+
+
+@pytest.mark.parametrize("loss", ["mae", "l1"])
+def test_absolute_descent_needs_few_jobs_beyond_memory(spark, monkeypatch, loss):
+    """Rows that no task holds: far fewer passes than epochs, the same epochs."""
+    from tessera.operators import signed
+
+    rng = np.random.default_rng(24)
+    x, y = rng.normal(size=3000), rng.normal(size=3000) * 3 + 5
+    x[:40], y[:40] = 0.0, 2.0  # equal rows
+    pdf = pd.DataFrame({"x": x, "y": y})
+    df = to_spark(spark, pdf, "x double, y double", partitions=3)
+    monkeypatch.setattr(rg, "can_hold", lambda df: False)
+    monkeypatch.setattr(signed, "NEAR_BYTES", 24 * 400)
+    rate, epochs = (0.5 if loss == "mae" else 0.5 / 3000), 150
+    spark.sparkContext.setJobGroup(f"signed-{loss}", loss)
+    m = rg.fit_gd(df, ["x"], "y", loss=loss, learning_rate=rate, epochs=epochs, tolerance=1e-300)
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"signed-{loss}"))
+    spark.sparkContext.setJobGroup("idle", "idle")
+    a, b, history = np.column_stack([np.ones(3000), x]), np.zeros(2), []
+    for _ in range(epochs):
+        e = a @ b - y
+        scale = 3000 if loss == "mae" else 1
+        history.append(np.abs(e).sum() / scale)
+        b = b - rate * (a.T @ np.sign(e)) / scale
+    assert np.allclose(m.history, history, rtol=1e-10) and jobs < epochs / 2
